@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The harmonized table is rebuilt in one batch per data refresh (a new yearly
+vintage); there is no watermark, window, session or state logic to carry
+over, so no Structured Streaming query is defined. A refresh re-runs
+:func:`yearweave.plans.workflow.run` and overwrites only the affected year
+partitions (dynamic partition overwrite).
+"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -15,13 +16,48 @@ from yearweave.functions.strings import squish
 DEFAULT_DATE_FORMATS: tuple[str, ...] = ("yyyyMMdd", "yyyy-M-d", "M/d/yyyy", "ddMMMyyyy")
 
 
+def format_shape(fmt: str) -> str | None:
+    """A permissive regex for values a datetime pattern can parse, or None.
+
+    Numeric fields become digit runs, text fields (``MMM``, ``EEE``) letter
+    runs, anything quoted or unknown disables the guard. Used to skip
+    ``try_to_date`` on values that cannot match: a failed parse is far more
+    expensive than a regex test.
+    """
+    out, i = ["^"], 0
+    while i < len(fmt):
+        ch = fmt[i]
+        j = i
+        while j < len(fmt) and fmt[j] == ch:
+            j += 1
+        run = j - i
+        if ch in "yMdHhmsSu" and not (ch == "M" and run >= 3):
+            if out[-1] != r"\d+":  # adjacent numeric fields: one digit run
+                out.append(r"\d+")
+        elif ch in "ML" and run >= 3 or ch == "E" or ch == "a":
+            out.append(r"\p{L}+")
+        elif ch.isalpha() or ch == "'":
+            return None
+        else:
+            out.append(re.escape(fmt[i:j]))
+        i = j
+    out.append("$")
+    return "".join(out)
+
+
 def parse_date_multi(c: ColumnOrName, formats: Sequence[str] = DEFAULT_DATE_FORMATS) -> Column:
     """Squish, ``""`` to NULL, then the first format that parses wins.
 
-    ``try_to_date`` never raises under ANSI mode; a value no format accepts is NULL.
+    ``try_to_date`` never raises under ANSI mode; a value no format accepts is
+    NULL. Each attempt is guarded by the format's shape regex.
     """
     cleaned = F.nullif(squish(c), F.lit(""))
-    return F.coalesce(*[F.try_to_date(cleaned, fmt) for fmt in formats])
+    attempts = []
+    for fmt in formats:
+        shape = format_shape(fmt)
+        attempt = F.try_to_date(cleaned, fmt)
+        attempts.append(F.when(cleaned.rlike(shape), attempt) if shape else attempt)
+    return F.coalesce(*attempts)
 
 
 def as_date(c: ColumnOrName) -> Column:

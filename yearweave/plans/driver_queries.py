@@ -28,6 +28,7 @@ from yearweave.functions.strings import (
     zip5_or_null,
 )
 from yearweave.operators import causes, crosswalk, dates, demographics, geography, lookup, projection, quality, recode, schema, times, vintage
+from yearweave.session import spread
 from yearweave.sources.manifest import classify_files, missing_csv, select_vintages
 
 AS_OF = "2026-01-01"
@@ -46,7 +47,7 @@ def register(name: str, sql: str | None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def s(c) -> F.Column:

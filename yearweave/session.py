@@ -48,3 +48,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin fan-out when a scan yields fewer splits than the session's
+    parallelism (e.g. a single-row-group file feeding CPU-heavy text or date
+    work). On a cluster reading many files this is a no-op: no extra shuffle."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

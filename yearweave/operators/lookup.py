@@ -24,7 +24,6 @@ from yearweave.operators._common import (
     BROADCAST_MAX_ROWS,
     MAP_LITERAL_MAX_ROWS,
     DataGuardError,
-    bounded_count,
     duplicate_keys,
     maybe_broadcast,
     require_columns,
@@ -45,18 +44,25 @@ def _check_many_to_one(lookup: DataFrame, key: str, what: str) -> None:
         raise DataGuardError(f"{what}: lookup key '{key}' is not unique: {[r[0] for r in dup]}")
 
 
-def _lookup_column(df: DataFrame, key_col: str, lookup: DataFrame, key: str, value: str, alias: str):
-    """Add ``alias`` = lookup value of ``df[key_col]`` (NULL when unmatched)."""
+def _small_lookup(lookup: DataFrame, key: str, value: str):
+    """The lookup's (key, value) rows when it has at most ``MAP_LITERAL_MAX_ROWS``
+    rows (one bounded job), else None."""
     small = lookup.select(F.col(key).cast("string").alias("k"), F.col(value).cast("string").alias("v"))
-    if bounded_count(small, MAP_LITERAL_MAX_ROWS) <= MAP_LITERAL_MAX_ROWS:
-        rows = small.collect()
-        has_null_key = [r["v"] for r in rows if r["k"] is None]
+    rows = small.limit(MAP_LITERAL_MAX_ROWS + 1).collect()
+    return rows if len(rows) <= MAP_LITERAL_MAX_ROWS else None
+
+
+def _lookup_column(df: DataFrame, key_col: str, lookup: DataFrame, key: str, value: str, alias: str, rows=None):
+    """Add ``alias`` = lookup value of ``df[key_col]`` (NULL when unmatched)."""
+    if rows is not None:
+        null_key = [r["v"] for r in rows if r["k"] is None]
         pairs = [x for r in rows if r["k"] is not None for x in (F.lit(r["k"]), F.lit(r["v"]))]
         mapped = F.try_element_at(F.create_map(*pairs), F.col(key_col)) if pairs else F.lit(None).cast("string")
-        if has_null_key:
-            mapped = F.when(F.col(key_col).isNull(), F.lit(has_null_key[0])).otherwise(mapped)
+        if null_key:
+            mapped = F.when(F.col(key_col).isNull(), F.lit(null_key[0])).otherwise(mapped)
         return df.withColumn(alias, mapped)
-    side = maybe_broadcast(small.withColumnRenamed("k", f"{alias}__k").withColumnRenamed("v", alias), BROADCAST_MAX_ROWS)
+    small = lookup.select(F.col(key).cast("string").alias(f"{alias}__k"), F.col(value).cast("string").alias(alias))
+    side = maybe_broadcast(small, BROADCAST_MAX_ROWS)
     return df.join(side, df[key_col].eqNullSafe(side[f"{alias}__k"]), "left").drop(f"{alias}__k")
 
 
@@ -79,12 +85,19 @@ def apply_lookup_pairs(
     if on_unmatched not in ("raise", "ignore"):
         raise ValueError("on_unmatched must be 'raise' or 'ignore'")
     require_columns(lookup, [lookup_key, lookup_value], what)
-    _check_many_to_one(lookup, lookup_key, what)
+    rows = _small_lookup(lookup, lookup_key, lookup_value)
+    if rows is not None:  # many-to-one guard on the collected rows
+        keys = [r["k"] for r in rows]
+        dups = sorted({str(k) for k in keys if keys.count(k) > 1})
+        if dups:
+            raise DataGuardError(f"{what}: lookup key '{lookup_key}' is not unique: {dups}")
+    else:
+        _check_many_to_one(lookup, lookup_key, what)
     checks = []
     for i, p in enumerate(pairs):
         require_columns(df, [year_col, p.key_col, p.target_col], what)
         tmp = f"__lookup_{i}"
-        df = _lookup_column(df, p.key_col, lookup, lookup_key, lookup_value, tmp)
+        df = _lookup_column(df, p.key_col, lookup, lookup_key, lookup_value, tmp, rows)
         in_scope = F.col(year_col) < F.lit(int(p.year_threshold))
         checks.append((p, in_scope & F.col(p.key_col).isNotNull() & F.col(tmp).isNull()))
         mapped = p.value_transform(F.col(tmp)) if p.value_transform else F.col(tmp)

@@ -15,7 +15,7 @@ the broadcast bound a shuffle join is used.
 from __future__ import annotations
 
 import logging
-from collections import defaultdict
+from collections import OrderedDict, defaultdict
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +26,7 @@ from yearweave.operators._common import (
     MAP_LITERAL_MAX_ROWS,
     maybe_broadcast,
 )
+from yearweave.operators._common import DataGuardError
 from yearweave.operators.crosswalk import validate_recode_crosswalk
 
 log = logging.getLogger("yearweave")
@@ -75,26 +76,42 @@ def recode(
     validate: bool = True,
     map_max_rows: int = MAP_LITERAL_MAX_ROWS,
 ) -> DataFrame:
-    """Recode every crosswalk variable present in ``df`` for all years in one pass."""
-    if validate:
-        validate_recode_crosswalk(cw)
-    pairs = _pairs_by_variable(cw)
+    """Recode every crosswalk variable present in ``df`` for all years in one pass.
+
+    The crosswalk is read once: its distinct (year, variable, from, to) rows
+    come to the driver when they fit the bound (checked), where the
+    ambiguity guard and the expressions are built; a larger crosswalk is
+    validated with a distributed aggregate and applied through joins.
+    """
+    distinct = cw.select("file_year", "variable", "from_code", "to_code").dropDuplicates()
     bound = DRIVER_TABLE_MAX_ROWS
-    rows = pairs.limit(bound + 1).collect()
+    rows = distinct.limit(bound + 1).collect()
     grouped = defaultdict(list)
     if len(rows) <= bound:
+        if validate:
+            seen = defaultdict(set)
+            for r in rows:
+                seen[(r["file_year"], r["variable"], r["from_code"])].add(r["to_code"])
+            bad = sorted(((k, t) for k, t in seen.items() if len(t) > 1), key=lambda kv: str(kv[0]))
+            if bad:
+                sample = ", ".join(f"{v}[{y}]={f!r}" for (y, v, f), _ in bad[:20])
+                raise DataGuardError(f"recode crosswalk maps a from_code to several to_codes: {sample}")
         for r in rows:
-            grouped[r["variable"]].append(r.asDict())
-        variables = list(grouped)
-    else:  # too large to hold on the driver: every variable goes through a join
-        variables = [r["variable"] for r in pairs.select("variable").distinct().collect()]
+            if r["to_code"] is not None:  # coalesce(NULL, value) keeps the value
+                grouped[r["variable"]].append(r.asDict())
+        variables = list(OrderedDict((r["variable"], None) for r in rows))
+    else:  # too large to hold on the driver: distributed guard, every variable through a join
+        if validate:
+            validate_recode_crosswalk(cw)
+        variables = [r["variable"] for r in distinct.select("variable").distinct().collect()]
+    pairs = _pairs_by_variable(cw)
     present = [v for v in variables if v in df.columns]
     for v in sorted(set(variables) - set(present)):
         log.info("'%s' not present in data frame; skipping.", v)
     if not present:
         return df
 
-    small_vars = [v for v in present if grouped and len(grouped[v]) <= map_max_rows]
+    small_vars = [v for v in present if len(rows) <= bound and len(grouped[v]) <= map_max_rows]
     big_vars = [v for v in present if v not in small_vars]
     if small_vars:
         # Variables with a small crosswalk: literal-map expressions, one projection.

@@ -94,11 +94,12 @@ def join_literals(stat: DataFrame, lit: DataFrame, keys: Sequence[str] = ("file_
     if null_safe is None:
         any_null = F.bool_or(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]))
         null_safe = bool(lit.select(*keys).agg(any_null.alias("x")).collect()[0]["x"])
+    order = [*stat.columns, *[c for c in lit.columns if c not in keys]]  # statistical columns first, as in R
     if not null_safe:
-        return stat.join(lit, keys, "left")
+        return stat.join(lit, keys, "left").select(*order)
     r = lit.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in lit.columns if c not in keys])
     cond = reduce(lambda a, b: a & b, [stat[k].eqNullSafe(r[f"__r_{k}"]) for k in keys])
-    return stat.join(r, cond, "left").drop(*[f"__r_{k}" for k in keys])
+    return stat.join(r, cond, "left").select(*order)
 
 
 def literal_key_duplicates(lit: DataFrame, keys: Sequence[str] = ("file_year", "state_file_number")) -> DataFrame:

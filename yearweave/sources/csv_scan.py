@@ -18,6 +18,9 @@ CSV_OPTIONS: Mapping[str, str] = {
     "escape": '"',
     "multiLine": "true",
     "inferSchema": "false",
+    # Like readr's trim_ws: blanks around unquoted values go; quoted values keep theirs.
+    "ignoreLeadingWhiteSpace": "true",
+    "ignoreTrailingWhiteSpace": "true",
     "mode": "PERMISSIVE",
     "encoding": "UTF-8",
 }

@@ -48,8 +48,12 @@ def test_unknown_and_out_of_state_codes(spark):
 
 
 def test_unmatched_code_raises(spark):
-    with pytest.raises(DataGuardError):
+    with pytest.raises(Exception, match="no match for code '77'"):      # in-plan guard, no extra pass
         run(spark, file_year=2014, residence_county_wa_code="77")
+    cmap = geography.county_map_from_rule(spark)
+    df = frame(spark, file_year=2014, residence_county_wa_code="77")
+    with pytest.raises(DataGuardError, match="1 row"):                  # counting guard
+        geography.clean_geography(df, cmap, geography_pairs(), literal_pairs(), on_unmatched="count")
 
 
 @pytest.mark.parametrize("fips,state,expected", [

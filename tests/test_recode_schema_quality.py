@@ -79,8 +79,11 @@ def test_schema_guards(spark):
     with pytest.raises(DataGuardError):                                                        # one value, two labels
         schema.enforce_schema(df, spark.createDataFrame(fac, SCHEMA))
     fac = base + [("b", "factor", False, "y", "Y", None, "", "")]
-    with pytest.raises(DataGuardError):                                                        # unexpected level
-        schema.enforce_schema(df, spark.createDataFrame(fac, SCHEMA))
+    with pytest.raises(DataGuardError, match="x"):                                             # unexpected level, scan
+        schema.enforce_schema(df, spark.createDataFrame(fac, SCHEMA), check_levels="scan")
+    typed, _ = schema.enforce_schema(df, spark.createDataFrame(fac, SCHEMA))                   # in-plan: raises on use
+    with pytest.raises(Exception, match="not defined in the schema: x"):
+        typed.collect()
 
 
 def test_demographics(spark):

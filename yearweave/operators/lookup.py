@@ -78,12 +78,19 @@ def apply_lookup_pairs(
 ) -> DataFrame:
     """Fold ``lookup_before_year`` over several column pairs (D7), cumulatively.
 
-    The unmatched guard (D6) of all pairs runs as one aggregate over the data.
-    ``on_unmatched``: ``"raise"`` (reference behaviour) or ``"ignore"``;
-    use :func:`unmatched_codes` for a full report.
+    Unmatched guard (D6), ``on_unmatched``:
+
+    - ``"raise"`` (default): checked inside the plan. The target column's
+      expression raises on the first in-scope non-NULL code without a value,
+      naming the column and the code. No extra pass over the data; the job
+      that materializes the result fails, so nothing partial is committed.
+    - ``"count"``: one aggregate over the data for all pairs before returning,
+      raising with the number of unmatched rows per column (the reference's
+      message). Costs one extra pass.
+    - ``"ignore"``: no check; use :func:`unmatched_codes` for a full report.
     """
-    if on_unmatched not in ("raise", "ignore"):
-        raise ValueError("on_unmatched must be 'raise' or 'ignore'")
+    if on_unmatched not in ("raise", "count", "ignore"):
+        raise ValueError("on_unmatched must be 'raise', 'count' or 'ignore'")
     require_columns(lookup, [lookup_key, lookup_value], what)
     rows = _small_lookup(lookup, lookup_key, lookup_value)
     if rows is not None:  # many-to-one guard on the collected rows
@@ -99,15 +106,20 @@ def apply_lookup_pairs(
         tmp = f"__lookup_{i}"
         df = _lookup_column(df, p.key_col, lookup, lookup_key, lookup_value, tmp, rows)
         in_scope = F.col(year_col) < F.lit(int(p.year_threshold))
-        checks.append((p, in_scope & F.col(p.key_col).isNotNull() & F.col(tmp).isNull()))
+        bad = in_scope & F.col(p.key_col).isNotNull() & F.col(tmp).isNull()
+        checks.append(p)
         mapped = p.value_transform(F.col(tmp)) if p.value_transform else F.col(tmp)
+        if on_unmatched == "count":
+            df = df.withColumn(f"__bad_{i}", bad)
+        value = F.when(in_scope, mapped).otherwise(F.col(p.target_col))
         if on_unmatched == "raise":
-            df = df.withColumn(f"__bad_{i}", checks[-1][1])
-        df = df.withColumn(p.target_col, F.when(in_scope, mapped).otherwise(F.col(p.target_col))).drop(tmp)
-    if on_unmatched == "raise" and checks:
+            msg = F.concat(F.lit(f"{what}: {p.key_col} has no match for code '"), F.col(p.key_col).cast("string"), F.lit("'"))
+            value = F.when(bad, F.raise_error(msg).cast("string")).otherwise(value)
+        df = df.withColumn(p.target_col, value).drop(tmp)
+    if on_unmatched == "count" and checks:
         bad_cols = [f"__bad_{i}" for i in range(len(checks))]
         counts = df.agg(*[F.count_if(F.col(c)).alias(c) for c in bad_cols]).collect()[0]
-        problems = [(p, counts[c]) for (p, _), c in zip(checks, bad_cols) if counts[c]]
+        problems = [(p, counts[c]) for p, c in zip(checks, bad_cols) if counts[c]]
         df = df.drop(*bad_cols)
         if problems:
             msg = "; ".join(f"{n} row(s) in {p.key_col} have no match" for p, n in problems)

@@ -71,6 +71,8 @@ class Config:
     column_pairs: Sequence[tuple[str, str, int]] = DEFAULT_COLUMN_PAIRS
     literal_pairs: Sequence[tuple[str, str, int]] = DEFAULT_LITERAL_PAIRS
     csv_options: dict = field(default_factory=dict)
+    on_unmatched: str = "raise"      # lookup guard: in-plan ("raise"), one counting pass ("count"), "ignore"
+    check_levels: str = "plan"       # factor-level guard: in-plan ("plan"), one listing pass ("scan"), "off"
     final_spec: Sequence[str | Selector] = FINAL_SPEC
 
 
@@ -110,14 +112,14 @@ def _county_map(spark: SparkSession, cfg: Config) -> DataFrame:
 
 def clean(spark: SparkSession, df: DataFrame, cfg: Config, schema_df: DataFrame | None = None):
     """Stage 2 (lazy except the guards): returns ``(final_df, audits)``."""
-    df = geography.clean_geography(df, _county_map(spark, cfg), cfg.column_pairs, cfg.literal_pairs)
+    df = geography.clean_geography(df, _county_map(spark, cfg), cfg.column_pairs, cfg.literal_pairs, cfg.on_unmatched)
     df = causes.all_cause_codes(causes.clean_cause_codes(df))
     df = demographics.derive_demographics(df)
     df, date_errors = dates_op.clean_dates(df, as_of_date=_today(cfg))
     df, time_errors = times_op.clean_times(df)
     audits = {"date_parse_errors": date_errors, "time_parse_errors": time_errors}
     if schema_df is not None:
-        df, conversions = schema.enforce_schema(df, schema_df)
+        df, conversions = schema.enforce_schema(df, schema_df, cfg.check_levels)
         audits["data_type_conversions"] = conversions
     cod_text = [c for c in df.columns if "cod_text" in c]
     df = df.withColumns({c: title_case(c) for c in [*TITLE_CASE_COLUMNS, *cod_text] if c in df.columns})

@@ -45,13 +45,20 @@ def format_shape(fmt: str) -> str | None:
     return "".join(out)
 
 
-def parse_date_multi(c: ColumnOrName, formats: Sequence[str] = DEFAULT_DATE_FORMATS) -> Column:
+def squish_or_null(c: ColumnOrName) -> Column:
+    """Squished text, ``""`` as NULL - the input form of :func:`parse_date_multi`."""
+    return F.nullif(squish(c), F.lit(""))
+
+
+def parse_date_multi(c: ColumnOrName, formats: Sequence[str] = DEFAULT_DATE_FORMATS, squished: bool = False) -> Column:
     """Squish, ``""`` to NULL, then the first format that parses wins.
 
     ``try_to_date`` never raises under ANSI mode; a value no format accepts is
-    NULL. Each attempt is guarded by the format's shape regex.
+    NULL. Each attempt is guarded by the format's shape regex. Pass
+    ``squished=True`` when ``c`` already is :func:`squish_or_null` output (a
+    staged column), so the squish runs once per value.
     """
-    cleaned = F.nullif(squish(c), F.lit(""))
+    cleaned = col(c) if squished else squish_or_null(c)
     attempts = []
     for fmt in formats:
         shape = format_shape(fmt)

@@ -19,6 +19,7 @@ from yearweave.functions.dates import (
     completed_years,
     minus_months_strict,
     parse_date_multi,
+    squish_or_null,
     year_end,
     year_start,
 )
@@ -53,12 +54,15 @@ def parse_dates(df: DataFrame, vars: Sequence[str] = DATE_VARS, formats=DEFAULT_
     future dates and years <= 1850 (placeholders such as 9999) to NULL."""
     require_columns(df, vars, "clean_dates")
     today = _today(as_of_date)
+    # Two projections: the L2 checks reference the parsed column by name, so
+    # the multi-format parse is computed once per value, not once per reference.
+    df = df.withColumns({f"{v}_parsed": squish_or_null(v) for v in vars})
+    df = df.withColumns({f"{v}_parsed": parse_date_multi(f"{v}_parsed", formats, squished=True) for v in vars})
+    nd = F.lit(None).cast("date")
     out = {}
     for v in vars:
-        p = parse_date_multi(v, formats)
-        p = F.when(p > today, F.lit(None).cast("date")).otherwise(p)
-        p = F.when(F.year(p) <= MIN_VALID_YEAR_EXCLUSIVE, F.lit(None).cast("date")).otherwise(p)
-        out[f"{v}_parsed"] = p
+        p = F.col(f"{v}_parsed")
+        out[f"{v}_parsed"] = F.when((p > today) | (F.year(p) <= MIN_VALID_YEAR_EXCLUSIVE), nd).otherwise(p)
     return df.withColumns(out)
 
 

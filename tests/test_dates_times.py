@@ -73,3 +73,17 @@ def test_time_rules(spark):
     got = [r["time_of_death"] for r in out.orderBy("state_file_number").collect()]
     assert got == [c[1] for c in cases]
     assert sorted(r["original_value"] for r in rep.collect()) == ["12:5", "930"]
+
+
+def test_time_type_output(spark):
+    """time_as="time" gives Spark's TIME type when the session enables it."""
+    prev = spark.conf.get("spark.sql.timeType.enabled", "false")
+    spark.conf.set("spark.sql.timeType.enabled", "true")
+    try:
+        rows = [("1", 2018, "0930", None, None, None, None, None)]
+        df = spark.createDataFrame(rows, ", ".join(f"{c} {'int' if c == 'file_year' else 'string'}" for c in TIME_COLS))
+        out, _ = clean_times(df, time_as="time")
+        assert dict(out.dtypes)["time_of_death"].startswith("time")
+        assert str(out.collect()[0]["time_of_death"]) == "09:30:00"
+    finally:
+        spark.conf.set("spark.sql.timeType.enabled", prev)

@@ -58,6 +58,19 @@ FINAL_SPEC: tuple[str | Selector, ...] = (
 )
 
 
+# Row order of each written report (G1): sorting happens only at this boundary.
+REPORT_ORDER = {
+    "date_parse_errors": ["variable", "original_value"],
+    "time_parse_errors": ["variable", "original_value", "primary_value"],
+    "data_type_conversions": ["variable"],
+    "completeness": ["file_year", "sort_key"],
+    "validation": ["rule"],
+    "data_dictionary": ["varname"],
+    "missing_variable_summary": ["to_name", "file_type"],
+    "recoding_variable_review": ["variable", "from_code", "to_code"],
+}
+
+
 @dataclass(frozen=True)
 class Config:
     raw_folder: str
@@ -149,7 +162,8 @@ def run(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]:
     reports["validation"] = quality.validate_rules(written, death_record_rules(written), [("state_file_number_unique", ["file_year", "state_file_number"])])
     descriptions = schema_df.select(F.col("variable").alias("varname"), F.col("description").alias("desc")).distinct()
     reports["data_dictionary"] = quality.data_dictionary(written, descriptions, SUPPRESSED)
-    parquet.write_tables(reports, f"{out}/reports")
+    parquet.write_tables(reports, f"{out}/reports", sort_by=REPORT_ORDER,
+                         single_file={"completeness", "validation", "data_dictionary", "data_type_conversions"})
     return reports
 
 
@@ -164,7 +178,7 @@ def review(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]:
         "missing_variable_summary": crosswalk.missing_variable_summary(renames),
         "recoding_variable_review": crosswalk.flagged_recode_summary(cw, STATISTICAL),
     }
-    parquet.write_tables(tables, f"{cfg.output_folder.rstrip('/')}/reports/review")
+    parquet.write_tables(tables, f"{cfg.output_folder.rstrip('/')}/reports/review", sort_by=REPORT_ORDER)
     return tables
 
 

@@ -34,10 +34,21 @@ def read_harmonized(spark: SparkSession, path: str, years=None) -> DataFrame:
     return df
 
 
-def write_tables(tables: Mapping[str, DataFrame], folder: str, fmt: str = "parquet") -> None:
-    """Write several small report tables under one folder, one subfolder each."""
+def write_tables(tables: Mapping[str, DataFrame], folder: str, fmt: str = "parquet",
+                 sort_by: Mapping[str, list[str]] | None = None, single_file: bool | set = True) -> None:
+    """Write report tables under one folder, one subfolder each.
+
+    ``sort_by`` orders a table at this boundary (the only place rows are
+    sorted). ``single_file`` (True, False or a set of names) collapses a
+    table to one file - meant for tables bounded by the number of columns
+    or rules, not for reports that grow with the data.
+    """
+    sort_by = sort_by or {}
     for name, df in tables.items():
-        w = df.coalesce(1).write.mode("overwrite")
+        if name in sort_by:
+            df = df.orderBy(*sort_by[name])
+        one = single_file if isinstance(single_file, bool) else name in single_file
+        w = (df.coalesce(1) if one else df).write.mode("overwrite")
         if fmt == "csv":
             w.option("header", "true").csv(f"{folder}/{name}")
         else:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yearweave.functions.strings import pad_left, percent_label
+from yearweave.operators._common import maybe_broadcast
 
 
 def natural_sort_key(variable: Column, prefix: str = "record_axis_code_") -> Column:
@@ -166,5 +167,5 @@ def data_dictionary(
     )
     if descriptions is not None:
         desc = descriptions.select("varname", "desc").dropDuplicates(["varname"])
-        out = out.join(F.broadcast(desc), "varname", "left")
+        out = out.join(maybe_broadcast(desc), "varname", "left")
     return out

@@ -1076,14 +1076,14 @@ def documents_labelled(spark, sf_dir) -> DataFrame:
     j = vintage.join_literals(d, lab, ["doc_id"])
     return j.select(
         "doc_id", "lang", "source", "n_chars", "quality", "toxic",
-        F.when(F.col("n_chars") < 500, null_string()).otherwise(F.left("text", F.lit(3))).alias("record_axis_code_2"),
+        F.when(F.col("n_chars") < 500, null_string()).otherwise(F.col("lang")).alias("record_axis_code_2"),
         F.when(F.col("doc_id") % 3 == 0, null_string()).otherwise(F.col("source")).alias("record_axis_code_10"),
     )
 
 
 _DOCS_LABELLED_SQL = """dl AS (
   SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic,
-         CASE WHEN d.n_chars < 500 THEN NULL ELSE left(d.text, 3) END AS record_axis_code_2,
+         CASE WHEN d.n_chars < 500 THEN NULL ELSE d.lang END AS record_axis_code_2,
          CASE WHEN d.doc_id % 3 = 0 THEN NULL ELSE d.source END AS record_axis_code_10
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
 _DL_COLS = ["doc_id", "source", "n_chars", "quality", "toxic", "record_axis_code_2", "record_axis_code_10"]

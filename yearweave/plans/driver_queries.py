@@ -1299,3 +1299,102 @@ FROM u
 """)
 def q_harmonize_orders(spark, sf_dir):
     return harmonize_orders(spark, sf_dir)
+
+
+# --------------------------------------------------------------------------
+# The whole cleaning stage (geography, codes, demographics, dates, times,
+# types, strings, final projection) on death-record-shaped rows derived from
+# orders + customer: one record per order, years shifted to 2012-2018.
+# Composite of operators that each have an oracle above, so this query is
+# checked by row count only.
+# --------------------------------------------------------------------------
+
+RECORD_YEAR_SHIFT = 17
+RECORD_LAYOUT_CUTOVER = 2015
+
+# The columns of the final table that the derivation leaves constant.
+_CONSTANT_COLUMNS = {
+    "manner": "N", "disposition": "B", "injury_acme_place": None, "injury_at_work": None, "residence_city_limits": "Y",
+    "residence_length_type": "Y", "place_of_death_type": "4", "marital_status": "M", "pregnancy": None,
+    "armed_forces": "N", "tobacco": "U", "death_facility": None, "autopsy": "N", "certifier_designation": "D",
+    "me_coroner_referred": "N", "informant_relationship": "SPOUSE", "injury_description": None, "injury_place": None,
+    "date_of_death_modifier": None, "injury_county": None, "residence_county": None, "injury_state": None,
+    "injury_county_wa_code": None, "injury_county_fips": None, "time_of_injury": None, "time_of_injury_hour": None,
+    "time_of_injury_minutes": None, "date_of_injury": None, "cod_text_other": None, "injury_zip_code": None,
+}
+
+
+def death_records(spark, sf_dir) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    c = table(spark, sf_dir, "customer")
+    j = o.join(c, o["o_custkey"] == c["c_custkey"], "left")
+    k, ck, nk = F.col("o_orderkey"), F.col("o_custkey"), F.col("c_nationkey")
+    year = (F.year("o_orderdate") + RECORD_YEAR_SHIFT).cast("int")
+    old = year <= RECORD_LAYOUT_CUTOVER
+    death = F.add_months(as_date("o_orderdate"), 12 * RECORD_YEAR_SHIFT)
+    birth = F.add_months(death, -12 * (ck % 100).cast("int") - (k % 12).cast("int"))
+
+    def fmt(d):
+        return F.when(old, F.date_format(d, "yyyyMMdd")).otherwise(F.date_format(d, "MM/dd/yyyy"))
+
+    hour, minute = s(k % 25), s(k % 61)
+    cols = {
+        "vintage_label": F.concat_ws("_", F.when(old, F.lit("BEDROCK")).otherwise(F.lit("WHALES")), s(year)),
+        "date_harmonized": F.lit(AS_OF),
+        "source_system": F.when(old, F.lit("BEDROCK")).otherwise(F.lit("WHALES")),
+        "file_year": year,
+        "state_file_number": s(k), "local_file_number": s(ck),
+        "sex": F.when(k % 3 == 0, F.lit("M")).when(k % 3 == 1, F.lit("F")).otherwise(F.lit("U")),
+        "date_of_death": fmt(death), "date_of_birth": fmt(birth),
+        "date_received": fmt(F.date_add(death, (k % 900).cast("int"))), "disposition_date": fmt(F.date_add(death, 3)),
+        "time_of_death_hour": F.when(old, hour), "time_of_death_minutes": F.when(old, minute),
+        "time_of_death": F.when(~old, F.concat(F.lpad(hour, 2, "0"), F.lpad(minute, 2, "0"))),
+        "underlying_cod_code": F.concat(F.substring(F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), (k % 26 + 1).cast("int"), 1),
+                                        s(k % 90 + 10), F.lit("."), s(k % 10)),
+        "record_axis_code_1": F.when(k % 2 == 0, F.lit("I21.9")),
+        "record_axis_code_2": F.when(k % 3 == 0, F.lit("E11.9")),
+        "record_axis_code_10": F.when(k % 5 == 0, F.lit("j44")),
+        "residence_county_wa_code": F.when(old, s(nk + 1)), "death_county_wa_code": F.when(old, s(nk % 39 + 1)),
+        "residence_county_fips": F.when(~old, F.concat(F.lit("53"), F.lpad(s(nk * 2 + 1), 3, "0"))),
+        "death_county_fips": F.when(~old, s(nk * 2 + 1)),
+        "residence_state_fips_code": F.when(old, F.lit("48")).when(ck % 5 == 0, F.lit("OR")).otherwise(F.lit("WA")),
+        "death_state": F.when(old, F.lit("48")).otherwise(F.lit("WASHINGTON")),
+        "age": s(ck % 100), "age_type": F.lit("1"), "age_years": s(ck % 100),
+        "hispanic_nchs_bridge": s(k % 7), "race_summary_code": s(k % 6 + 10),
+        "race_white": F.when(k % 6 == 0, F.lit("Y")).otherwise(F.lit("N")),
+        "race_black": F.when(k % 6 == 1, F.lit("Y")).otherwise(F.lit("N")),
+        "race_amer_indian_alaskan": F.when(k % 6 == 2, F.lit("Y")).otherwise(F.lit("N")),
+        **{f: F.when(k % 6 == 3, F.lit("Y")).otherwise(F.lit("N")) for f in demographics.ASIAN_FLAGS},
+        **{f: F.when(k % 6 == 4, F.lit("Y")).otherwise(F.lit("N")) for f in demographics.NHPI_FLAGS},
+        "occupation": F.col("c_mktsegment"),
+        "industry": F.when(k % 9 == 0, F.lit("unknown")).otherwise(F.col("o_orderpriority")),
+        "residence_length": F.when(k % 4 == 0, F.lit("999")).otherwise(s(ck % 40)),
+        "death_zip_code": F.lpad(s(ck % 100000), 5, "0"),
+        "residence_zip_code": F.when(k % 8 == 0, F.concat(F.lpad(s(ck % 100000), 5, "0"), F.lit("-0001")))
+                               .otherwise(F.lpad(s(ck % 100000), 5, "0")),
+        "cod_text_1": F.lower(F.col("c_name")),
+    }
+    cols.update({name: F.lit(v).cast("string") for name, v in _CONSTANT_COLUMNS.items()})
+    return j.select(*[e.alias(n) for n, e in cols.items()])
+
+
+RECORD_TYPES = {"file_year": "integer", "age_years": "integer", "hispanic": "integer",
+                "date_harmonized": "date", "date_of_birth": "date", "date_of_death": "date", "date_of_injury": "date",
+                "date_received": "date", "disposition_date": "date", "time_of_death": "time", "time_of_injury": "time"}
+RECORD_FACTORS = {"sex": [("M", "Male"), ("F", "Female"), ("U", "Unknown")]}
+
+
+def cleaned_records(spark, sf_dir):
+    from yearweave.plans import workflow
+    cfg = workflow.Config(raw_folder="", output_folder="", rename_statistical="", rename_literals="",
+                          recode_statistical="", schema="", as_of_date=AS_OF)
+    derived, audits = workflow.derive(spark, death_records(spark, sf_dir), cfg)
+    sch = workflow.schema_table(spark, derived.columns, RECORD_TYPES, RECORD_FACTORS)
+    final, more = workflow.finish(derived, cfg, sch)
+    audits.update(more)
+    return final, audits
+
+
+@register("clean_death_records", None)
+def q_clean_death_records(spark, sf_dir):
+    return cleaned_records(spark, sf_dir)[0]

@@ -123,14 +123,20 @@ def _county_map(spark: SparkSession, cfg: Config) -> DataFrame:
     return csv_scan.load_control_table(spark, cfg.county_map)
 
 
-def clean(spark: SparkSession, df: DataFrame, cfg: Config, schema_df: DataFrame | None = None):
-    """Stage 2 (lazy except the guards): returns ``(final_df, audits)``."""
+def derive(spark: SparkSession, df: DataFrame, cfg: Config):
+    """Stage 2, part 1: geography, cause codes, demographics, dates, times.
+    Returns ``(df, audits)``; the frame's columns are what the schema must list."""
     df = geography.clean_geography(df, _county_map(spark, cfg), cfg.column_pairs, cfg.literal_pairs, cfg.on_unmatched)
     df = causes.all_cause_codes(causes.clean_cause_codes(df))
     df = demographics.derive_demographics(df)
     df, date_errors = dates_op.clean_dates(df, as_of_date=_today(cfg))
     df, time_errors = times_op.clean_times(df)
-    audits = {"date_parse_errors": date_errors, "time_parse_errors": time_errors}
+    return df, {"date_parse_errors": date_errors, "time_parse_errors": time_errors}
+
+
+def finish(df: DataFrame, cfg: Config, schema_df: DataFrame | None = None):
+    """Stage 2, part 2: types from the schema, string rules, final projection."""
+    audits = {}
     if schema_df is not None:
         df, conversions = schema.enforce_schema(df, schema_df, cfg.check_levels)
         audits["data_type_conversions"] = conversions
@@ -147,6 +153,30 @@ def clean(spark: SparkSession, df: DataFrame, cfg: Config, schema_df: DataFrame
     return select_spec(df, cfg.final_spec), audits
 
 
+def clean(spark: SparkSession, df: DataFrame, cfg: Config, schema_df: DataFrame | None = None):
+    """Stage 2 (lazy except the guards): returns ``(final_df, audits)``."""
+    df, audits = derive(spark, df, cfg)
+    df, more = finish(df, cfg, schema_df)
+    audits.update(more)
+    return df, audits
+
+
+def schema_table(spark: SparkSession, columns, types: dict, factors: dict | None = None) -> DataFrame:
+    """A long-form schema table for ``columns``: ``types`` maps a column to its
+    data type (default character); ``factors`` maps a column to
+    ``[(value, label), ...]`` (unordered factor)."""
+    factors = factors or {}
+    rows = []
+    for c in columns:
+        if c in factors:
+            rows += [(c, "factor", False, v, lab, None, c, None) for v, lab in factors[c]]
+        else:
+            rows.append((c, types.get(c, "character"), None, None, None, None, c, None))
+    ddl = ("variable string, data_type string, factor_is_ordered boolean, factor_value string, factor_label string, "
+           "factor_order int, description string, source_file_type string")
+    return spark.createDataFrame(rows, ddl)
+
+
 def run(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]:
     """Both stages with their writes; returns the report tables (also written)."""
     out = cfg.output_folder.rstrip("/")

@@ -76,14 +76,18 @@ def union_vintages(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def join_literals(stat: DataFrame, lit: DataFrame, keys: Sequence[str] = ("file_year", "state_file_number"),
-                  null_safe: bool | None = None) -> DataFrame:
-    """Statistical LEFT JOIN literals on the keys.
+                  null_safe: bool = False) -> DataFrame:
+    """Statistical LEFT JOIN literals on the keys; every statistical row is kept.
 
     Non-key columns must be disjoint (a clash would be silently suffixed in R).
-    NULL keys match NULL keys in the reference; with ``null_safe=None`` one
-    cheap aggregate over the literals' key columns decides: no NULL key on
-    that side means a plain equi-join is equivalent (and avoids hashing every
-    NULL-key row into one partition).
+
+    NULL keys: dplyr matches NULL to NULL, which pairs every NULL-key
+    statistical row with every NULL-key literals row - all pairs within one
+    group, all of it hashed into one partition. By default a NULL key
+    matches nothing here (its literal columns are NULL); use
+    :func:`null_key_counts` to report such rows. ``null_safe=True`` restores
+    NULL-matches-NULL for sources known to hold at most a handful of
+    NULL-key literal rows.
     """
     keys = list(keys)
     require_columns(stat, keys, "join_literals(stat)")
@@ -91,9 +95,6 @@ def join_literals(stat: DataFrame, lit: DataFrame, keys: Sequence[str] = ("file_
     clash = (set(stat.columns) & set(lit.columns)) - set(keys)
     if clash:
         raise DataGuardError(f"statistical and literals files share non-key column(s): {sorted(clash)}")
-    if null_safe is None:
-        any_null = F.bool_or(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]))
-        null_safe = bool(lit.select(*keys).agg(any_null.alias("x")).collect()[0]["x"])
     order = [*stat.columns, *[c for c in lit.columns if c not in keys]]  # statistical columns first, as in R
     if not null_safe:
         return stat.join(lit, keys, "left").select(*order)
@@ -102,6 +103,13 @@ def join_literals(stat: DataFrame, lit: DataFrame, keys: Sequence[str] = ("file_
     return stat.join(r, cond, "left").select(*order)
 
 
+def null_key_counts(df: DataFrame, keys: Sequence[str] = ("file_year", "state_file_number")) -> DataFrame:
+    """Rows per year whose join key has a NULL part (audit for D1)."""
+    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    by = [k for k in keys if k == "file_year"]
+    return df.filter(any_null).groupBy(*by).agg(F.count(F.lit(1)).alias("n_null_key_rows"))
+
+
 def literal_key_duplicates(lit: DataFrame, keys: Sequence[str] = ("file_year", "state_file_number")) -> DataFrame:
     """Optional audit: literal rows sharing a key (they would multiply statistical rows)."""
     return lit.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)

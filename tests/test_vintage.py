@@ -46,3 +46,25 @@ def test_scan_columns_missing_source_raises(spark, tmp_path):
         csv_scan.scan_columns(spark, [str(p)], [("DTH_DT", "date_of_death")], ["date_of_death"])
     with pytest.raises(DataGuardError):
         csv_scan.scan_columns(spark, [], [("CERTNO", "state_file_number")], ["state_file_number"])
+
+
+def test_code_sets_strip_bom_and_stay_strings(spark, tmp_path):
+    from yearweave.sources.csv_scan import load_code_sets
+    (tmp_path / "wa_county_code_to_fips_codes.csv").write_bytes(
+        "﻿county_wa_code,county_wa_label,county_fips_code,county_fips_label\n01,Adams,001,Adams\n00,Unknown,00,Unknown\n".encode("utf-8"))
+    (tmp_path / "notes.txt").write_text("ignored")
+    sets = load_code_sets(spark, str(tmp_path))
+    assert list(sets) == ["wa_county_code_to_fips"]
+    df = sets["wa_county_code_to_fips"]
+    assert df.columns[0] == "county_wa_code" and dict(df.dtypes)["county_wa_code"] == "string"
+    assert sorted(r[0] for r in df.select("county_wa_code").collect()) == ["00", "01"]
+
+
+def test_parquet_roundtrip_prunes_years(spark, tmp_path):
+    from yearweave.sources.parquet import read_harmonized, write_harmonized
+    df = spark.createDataFrame([(2014, "a"), (2015, "b"), (2015, "c")], "file_year int, v string")
+    write_harmonized(df, str(tmp_path / "h"))
+    back = read_harmonized(spark, str(tmp_path / "h"), years=[2015])
+    assert sorted(r["v"] for r in back.collect()) == ["b", "c"]
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(file_year" in plan and "2015" in plan

@@ -16,6 +16,7 @@ from yearweave.functions.strings import pad_left, remove_first_punct
 from yearweave.operators._common import require_columns
 from yearweave.operators.dates import Cleaned, first_example
 
+# The time columns cleaned (each with _hour and _minutes parts).
 TIME_VARS: tuple[str, ...] = ("time_of_death", "time_of_injury")
 # Fixed value: accepted HHMM shape after cleaning (hour 00-23, minute 00-59).
 HHMM_PATTERN = r"^([01][0-9]|2[0-3])[0-5][0-9]$"

@@ -591,10 +591,11 @@ def q_zip_check(spark, sf_dir):
     return c.select("c_custkey", z.alias("zip_raw")).withColumn("zip_code", zip5_or_null("zip_raw"))
 
 
-# Placeholder spellings turned into NULL.
-OCCUPATION_PLACEHOLDERS = ("-", "--", "---", "------", ".", "?")
-OCCUPATION_PLACEHOLDER_WORDS = ("Not Applicable", "Unknown")
-INJURY_PLACE_PLACEHOLDERS = ("-", "?", "NONE", "UNKNOWN", "NOT APPLICABLE")
+from yearweave.plans.workflow import (  # noqa: E402  (placeholder spellings)
+    INJURY_PLACE_PLACEHOLDERS,
+    OCCUPATION_PLACEHOLDER_WORDS,
+    OCCUPATION_PLACEHOLDERS,
+)
 
 
 @register("placeholders", """

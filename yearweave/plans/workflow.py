@@ -37,8 +37,14 @@ DEFAULT_COLUMN_PAIRS = (("death_county_wa_code", "death_county_fips", 2022),
                         ("injury_county_wa_code", "injury_county_fips", 2022))
 DEFAULT_LITERAL_PAIRS = (("residence_county_fips", "residence_county", 2016),
                          ("injury_county_fips", "injury_county", 2016))
+# Columns the string rules apply to, placeholder spellings that
+# become NULL, and the narrative columns the data dictionary shows no values for.
 TITLE_CASE_COLUMNS = ("occupation", "industry", "informant_relationship", "injury_description")
 ZIP_COLUMNS = ("death_zip_code", "injury_zip_code", "residence_zip_code")
+OCCUPATION_PLACEHOLDERS = ("-", "--", "---", "------", ".", "?")
+OCCUPATION_PLACEHOLDER_WORDS = ("Not Applicable", "Unknown")
+INJURY_PLACE_PLACEHOLDERS = ("-", "?", "NONE", "UNKNOWN", "NOT APPLICABLE")
+RESIDENCE_LENGTH_PLACEHOLDERS = ("999",)
 SUPPRESSED = ("cod_text_1", "cod_text_2", "cod_text_3", "cod_text_4", "cod_text_other", "injury_description")
 
 # Order of the final table (names, then selectors).
@@ -143,13 +149,10 @@ def finish(df: DataFrame, cfg: Config, schema_df: DataFrame | None = None):
     cod_text = [c for c in df.columns if "cod_text" in c]
     df = df.withColumns({c: title_case(c) for c in [*TITLE_CASE_COLUMNS, *cod_text] if c in df.columns})
     df = df.withColumns({c: zip5_or_null(c) for c in ZIP_COLUMNS if c in df.columns})
-    words = ("Not Applicable", "Unknown")
-    exact = ("-", "--", "---", "------", ".", "?")
-    df = df.withColumns({c: nullify_placeholders(c, exact, words) for c in ("industry", "occupation") if c in df.columns})
-    if "injury_place" in df.columns:
-        df = df.withColumn("injury_place", nullify_placeholders("injury_place", ("-", "?", "NONE", "UNKNOWN", "NOT APPLICABLE")))
-    if "residence_length" in df.columns:
-        df = df.withColumn("residence_length", nullify_placeholders("residence_length", ("999",)))
+    rules = {c: nullify_placeholders(c, OCCUPATION_PLACEHOLDERS, OCCUPATION_PLACEHOLDER_WORDS) for c in ("industry", "occupation")}
+    rules["injury_place"] = nullify_placeholders("injury_place", INJURY_PLACE_PLACEHOLDERS)
+    rules["residence_length"] = nullify_placeholders("residence_length", RESIDENCE_LENGTH_PLACEHOLDERS)
+    df = df.withColumns({c: e for c, e in rules.items() if c in df.columns})
     return select_spec(df, cfg.final_spec), audits
 
 

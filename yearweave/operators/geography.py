@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from yearweave.functions.logic import null_string
 from yearweave.functions.strings import last_n, pad_left, remove_first
-from yearweave.operators.lookup import LookupPair, apply_lookup_pairs
+from yearweave.operators.lookup import LookupPair, apply_lookup_pairs, prefetch_lookup
 
 Y = "file_year"
 
@@ -41,10 +41,12 @@ def k1_pad_wa_codes(df: DataFrame, cols: Sequence[str] = WA_CODE_COLUMNS) -> Dat
     return df.withColumns(out)
 
 
-def k2_wa_to_fips(df: DataFrame, county_map: DataFrame, column_pairs: Sequence[tuple[str, str, int]], on_unmatched="raise") -> DataFrame:
+def k2_wa_to_fips(df: DataFrame, county_map: DataFrame, column_pairs: Sequence[tuple[str, str, int]], on_unmatched="raise",
+                  prefetched=None) -> DataFrame:
     """For each (wa_col, fips_col, threshold): FIPS from the WA code before the threshold year."""
     pairs = [LookupPair(wa, fips, int(thr)) for wa, fips, thr in column_pairs]
-    return apply_lookup_pairs(df, pairs, county_map, "county_wa_code", "county_fips_code", Y, on_unmatched, "county_wa_code_to_fips")
+    return apply_lookup_pairs(df, pairs, county_map, "county_wa_code", "county_fips_code", Y, on_unmatched,
+                              "county_wa_code_to_fips", prefetched)
 
 
 def k3_null_out_of_state(df: DataFrame) -> DataFrame:
@@ -58,10 +60,12 @@ def k3_null_out_of_state(df: DataFrame) -> DataFrame:
     })
 
 
-def k4_fips_to_names(df: DataFrame, county_map: DataFrame, literal_pairs: Sequence[tuple[str, str, int]], on_unmatched="raise") -> DataFrame:
+def k4_fips_to_names(df: DataFrame, county_map: DataFrame, literal_pairs: Sequence[tuple[str, str, int]], on_unmatched="raise",
+                     prefetched=None) -> DataFrame:
     """For each (fips_col, literal_col, threshold): upper-cased county name before the threshold year."""
     pairs = [LookupPair(f, lit, int(thr), F.upper) for f, lit, thr in literal_pairs]
-    return apply_lookup_pairs(df, pairs, county_map, "county_fips_code", "county_fips_label", Y, on_unmatched, "county_fips_to_literals")
+    return apply_lookup_pairs(df, pairs, county_map, "county_fips_code", "county_fips_label", Y, on_unmatched,
+                              "county_fips_to_literals", prefetched)
 
 
 def k5_death_fips_last3(df: DataFrame) -> DataFrame:
@@ -125,10 +129,11 @@ def clean_geography(
     on_unmatched: str = "raise",
 ) -> DataFrame:
     """All geography rules K1-K12 in order; later rules see earlier results."""
+    rows = prefetch_lookup(county_map)  # a county-sized map is read once for both folds
     df = k1_pad_wa_codes(df)
-    df = k2_wa_to_fips(df, county_map, column_pairs, on_unmatched)
+    df = k2_wa_to_fips(df, county_map, column_pairs, on_unmatched, rows)
     df = k3_null_out_of_state(df)
-    df = k4_fips_to_names(df, county_map, literal_pairs, on_unmatched)
+    df = k4_fips_to_names(df, county_map, literal_pairs, on_unmatched, rows)
     for rule in (k5_death_fips_last3, k6_death_state, k7_residence_out_of_state, k8_residence_pad,
                  k9_residence_strip_state, k10_residence_state, k11_injury_fips, k12_injury_fips_recent):
         df = rule(df)

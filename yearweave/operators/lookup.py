@@ -52,6 +52,12 @@ def _small_lookup(lookup: DataFrame, key: str, value: str):
     return rows if len(rows) <= MAP_LITERAL_MAX_ROWS else None
 
 
+def prefetch_lookup(lookup: DataFrame) -> list[dict] | None:
+    """All rows of a lookup with at most ``MAP_LITERAL_MAX_ROWS`` rows (one bounded job), else None."""
+    rows = lookup.limit(MAP_LITERAL_MAX_ROWS + 1).collect()
+    return [r.asDict() for r in rows] if len(rows) <= MAP_LITERAL_MAX_ROWS else None
+
+
 def _lookup_column(df: DataFrame, key_col: str, lookup: DataFrame, key: str, value: str, alias: str, rows=None):
     """Add ``alias`` = lookup value of ``df[key_col]`` (NULL when unmatched)."""
     if rows is not None:
@@ -75,9 +81,13 @@ def apply_lookup_pairs(
     year_col: str = "file_year",
     on_unmatched: str = "raise",
     what: str = "lookup",
+    prefetched: list[dict] | None = None,
 ) -> DataFrame:
     """Fold ``lookup_before_year`` over several column pairs (D7), cumulatively.
 
+    ``prefetched``: the lookup table's rows already on the driver (from
+    :func:`prefetch_lookup`), so several folds over one small code set read it once.
+
     Unmatched guard (D6), ``on_unmatched``:
 
     - ``"raise"`` (default): checked inside the plan. The target column's
@@ -92,7 +102,11 @@ def apply_lookup_pairs(
     if on_unmatched not in ("raise", "count", "ignore"):
         raise ValueError("on_unmatched must be 'raise', 'count' or 'ignore'")
     require_columns(lookup, [lookup_key, lookup_value], what)
-    rows = _small_lookup(lookup, lookup_key, lookup_value)
+    if prefetched is not None:
+        rows = [{"k": None if r[lookup_key] is None else str(r[lookup_key]),
+                 "v": None if r[lookup_value] is None else str(r[lookup_value])} for r in prefetched]
+    else:
+        rows = _small_lookup(lookup, lookup_key, lookup_value)
     if rows is not None:  # many-to-one guard on the collected rows
         keys = [r["k"] for r in rows]
         dups = sorted({str(k) for k in keys if keys.count(k) > 1})

@@ -49,3 +49,16 @@ def test_completeness_is_a_share(spark, rows):
 def test_date_parse_never_raises(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x string")
     assert len(df.select(parse_date_multi("x")).collect()) == len(values)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from([2014, 2015]), codes), min_size=1, max_size=40),
+       st.dictionaries(st.tuples(st.sampled_from([2014, 2015]), st.sampled_from(["1", "2", "A", None])),
+                       st.sampled_from(["X", "Y", None]), max_size=6))
+def test_recode_strategies_agree(spark, rows, mapping):
+    df = spark.createDataFrame([(y, v, i) for i, (y, v) in enumerate(rows)], "file_year int, code string, id int")
+    cw = spark.createDataFrame([(y, "code", f, None, t, None, False) for (y, f), t in mapping.items()],
+                               "file_year int, variable string, from_code string, from_label string, to_code string, to_label string, review_flag boolean")
+    by_map = {r["id"]: r["code"] for r in recode.recode(df, cw).collect()}
+    by_join = {r["id"]: r["code"] for r in recode.recode(df, cw, map_max_rows=0).collect()}
+    assert by_map == by_join

@@ -156,3 +156,12 @@ def test_end_to_end(spark, project):
     assert dd["cod_text_1"]["value_counts"] is None and dd["sex"]["desc"] == "sex"
     review = workflow.review(spark, project)
     assert [r["to_name"] for r in review["missing_variable_summary"].collect()] != []
+
+
+def test_rerun_is_idempotent(spark, project):
+    path = os.path.join(project.output_folder, "harmonized_data.parquet")
+    workflow.run(spark, project)
+    first = sorted(tuple(str(v) for v in r) for r in spark.read.parquet(path).collect())
+    workflow.run(spark, project)
+    second = sorted(tuple(str(v) for v in r) for r in spark.read.parquet(path).collect())
+    assert first == second and len(first) == 4

@@ -54,7 +54,9 @@ def spread(df: DataFrame) -> DataFrame:
     """Round-robin fan-out when a scan yields fewer splits than the session's
     parallelism (e.g. a single-row-group file feeding CPU-heavy text or date
     work). On a cluster reading many files this is a no-op: no extra shuffle."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a Spark Connect session: leave the plan unchanged
+        return df
+    return df.repartition(target) if splits < target else df

@@ -20,8 +20,12 @@ def unicode_trim(c: ColumnOrName) -> Column:
 
 
 def squish(c: ColumnOrName) -> Column:
-    """Trim, then collapse every inner run of blanks to one space."""
-    return F.regexp_replace(unicode_trim(c), rf"{_BLANK}+", " ")
+    """Trim, then collapse every inner run of blanks to one space.
+
+    Done as: collapse every run (including the outer ones) to one ASCII
+    space, then ``trim`` that single space - one regex pass instead of two.
+    """
+    return F.trim(F.regexp_replace(col(c), rf"{_BLANK}+", " "))
 
 
 def normalize_text(c: ColumnOrName) -> Column:

@@ -68,3 +68,15 @@ def test_parquet_roundtrip_prunes_years(spark, tmp_path):
     assert sorted(r["v"] for r in back.collect()) == ["b", "c"]
     plan = back._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(file_year" in plan and "2015" in plan
+
+
+def test_several_files_per_vintage_must_share_the_header(spark, tmp_path):
+    a, b, c = tmp_path / "a.csv", tmp_path / "b.csv", tmp_path / "c.csv"
+    a.write_text("CERTNO,SEX\n1,M\n")
+    b.write_text("CERTNO,SEX\n2,F\n")
+    c.write_text("SEX,CERTNO\nF,3\n")
+    ok = csv_scan.scan_columns(spark, [str(a), str(b)], [("CERTNO", "id"), ("SEX", "sex")], ["id", "sex"])
+    assert sorted(tuple(r) for r in ok.collect()) == [("1", "M"), ("2", "F")]
+    swapped = csv_scan.scan_columns(spark, [str(a), str(c)], [("CERTNO", "id"), ("SEX", "sex")], ["id", "sex"])
+    with pytest.raises(Exception):
+        swapped.collect()

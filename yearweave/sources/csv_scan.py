@@ -18,6 +18,9 @@ CSV_OPTIONS: Mapping[str, str] = {
     "escape": '"',
     "multiLine": "true",
     "inferSchema": "false",
+    # Several files of one vintage are read by position; validate every
+    # file's header against the first instead of silently shifting columns.
+    "enforceSchema": "false",
     # Like readr's trim_ws: blanks around unquoted values go; quoted values keep theirs.
     "ignoreLeadingWhiteSpace": "true",
     "ignoreTrailingWhiteSpace": "true",

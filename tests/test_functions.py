@@ -52,16 +52,16 @@ def test_title_case_starts_words_after_any_separator(spark):
 
 
 def test_normalize_text_order(spark):
-    assert one(spark, normalize_text("x"), "a\tb​c ") == "abc"
+    assert one(spark, normalize_text("x"), "a\tb\u200bc ") == "abc"
     assert one(spark, normalize_text("x"), "") is None
     assert one(spark, normalize_text("x"), "NA") is None
     assert one(spark, normalize_text("x"), " NA ") == "NA"          # trim comes last
-    assert one(spark, normalize_text("x"), "  ") == ""      # only blanks -> ""
-    assert one(spark, normalize_text("x"), "​") is None          # only control -> NULL
+    assert one(spark, normalize_text("x"), "\u00a0\u00a0") == ""      # only blanks -> ""
+    assert one(spark, normalize_text("x"), "\u200b") is None          # only control -> NULL
 
 
 def test_squish(spark):
-    assert one(spark, squish("x"), "  a   b  ") == "a b"
+    assert one(spark, squish("x"), "  a \u00a0 b  ") == "a b"
 
 
 def test_bins_labels_and_edges(spark):

@@ -51,7 +51,7 @@ def test_scan_columns_missing_source_raises(spark, tmp_path):
 def test_code_sets_strip_bom_and_stay_strings(spark, tmp_path):
     from yearweave.sources.csv_scan import load_code_sets
     (tmp_path / "wa_county_code_to_fips_codes.csv").write_bytes(
-        "﻿county_wa_code,county_wa_label,county_fips_code,county_fips_label\n01,Adams,001,Adams\n00,Unknown,00,Unknown\n".encode("utf-8"))
+        "\ufeffcounty_wa_code,county_wa_label,county_fips_code,county_fips_label\n01,Adams,001,Adams\n00,Unknown,00,Unknown\n".encode("utf-8"))
     (tmp_path / "notes.txt").write_text("ignored")
     sets = load_code_sets(spark, str(tmp_path))
     assert list(sets) == ["wa_county_code_to_fips"]

@@ -1399,3 +1399,76 @@ def cleaned_records(spark, sf_dir):
 @register("clean_death_records", None)
 def q_clean_death_records(spark, sf_dir):
     return cleaned_records(spark, sf_dir)[0]
+
+
+# --------------------------------------------------------------------------
+# Sources end to end: whole orders written as messy CSV (quoted blanks, NA,
+# tab, newline, quoted comma / doubled quote, zero-width space, NBSP) into
+# the session's checkpoint folder and read back as an all-string vintage
+# (A10, A11, J1); and a partitioned Parquet round trip.
+# --------------------------------------------------------------------------
+
+def scratch_folder(spark, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder of the session."""
+    import uuid
+    from yearweave.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/yearweave-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def messy_order_strings(spark, sf_dir) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    k, p = F.col("o_orderkey"), F.col("o_orderpriority")
+    cause = (F.when(k % 8 == 0, p).when(k % 8 == 1, F.concat(F.lit("  "), p, F.lit(" ")))
+             .when(k % 8 == 2, F.concat(p, F.lit("\tx"))).when(k % 8 == 3, F.lit("NA"))
+             .when(k % 8 == 4, F.lit("")).when(k % 8 == 5, F.concat(F.lit('a, "b" '), p))
+             .when(k % 8 == 6, F.concat(p, F.lit("\nline2")))
+             .otherwise(F.concat(F.lit("\u200b"), p, F.lit("\u00a0"))))
+    sex = F.when(k % 3 == 0, F.col("o_orderstatus")).when(k % 3 == 1, F.lit(" NA ")).otherwise(null_string())
+    return o.select(s(k).alias("CERTNO"), sex.alias("SEX"), cause.alias("CAUSE_A"),
+                    F.date_format("o_orderdate", "yyyyMMdd").alias("DTH_DT"))
+
+
+_CSV_WRITE = {"header": "true", "quote": '"', "escape": '"', "quoteAll": "true",
+              "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+CSV_LAYOUT = [("CERTNO", "state_file_number"), ("SEX", "sex"), ("CAUSE_A", "cod_text_1"), ("DTH_DT", "date_of_death")]
+CSV_CANONICAL = ["state_file_number", "sex", "date_of_death", "cod_text_1", "time_of_death"]
+
+
+def _j1_sql(x: str) -> str:
+    return _TRIM_SQL.replace("{x}", f"nullif(nullif(regexp_replace({x}, '\\p{{C}}', '', 'g'), ''), 'NA')")
+
+
+@register("csv_all_string_scan", f"""
+WITH m AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS certno,
+    CASE o_orderkey % 3 WHEN 0 THEN o_orderstatus WHEN 1 THEN ' NA ' ELSE NULL END AS sex,
+    CASE o_orderkey % 8 WHEN 0 THEN o_orderpriority WHEN 1 THEN '  ' || o_orderpriority || ' '
+      WHEN 2 THEN o_orderpriority || chr(9) || 'x' WHEN 3 THEN 'NA' WHEN 4 THEN ''
+      WHEN 5 THEN 'a, "b" ' || o_orderpriority WHEN 6 THEN o_orderpriority || chr(10) || 'line2'
+      ELSE chr(8203) || o_orderpriority || chr(160) END AS cause,
+    strftime(o_orderdate, '%Y%m%d') AS dth
+  FROM orders)
+SELECT {_j1_sql('certno')} AS state_file_number, {_j1_sql('sex')} AS sex, {_j1_sql('dth')} AS date_of_death,
+       {_j1_sql('cause')} AS cod_text_1, CAST(NULL AS VARCHAR) AS time_of_death
+FROM m
+""")
+def q_csv_all_string_scan(spark, sf_dir):
+    from yearweave.sources.csv_scan import scan_columns
+    folder = scratch_folder(spark, "csv_all_string_scan")
+    messy_order_strings(spark, sf_dir).write.options(**_CSV_WRITE).mode("overwrite").csv(folder)
+    return scan_columns(spark, [folder], CSV_LAYOUT, CSV_CANONICAL)
+
+
+@register("parquet_roundtrip", """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS file_year, CAST(o_orderkey AS VARCHAR) AS state_file_number,
+       o_orderstatus AS status, o_totalprice AS total_price
+FROM orders
+""")
+def q_parquet_roundtrip(spark, sf_dir):
+    from yearweave.sources.parquet import read_harmonized, write_harmonized
+    o = table(spark, sf_dir, "orders")
+    df = o.select(F.year("o_orderdate").cast("int").alias("file_year"), s("o_orderkey").alias("state_file_number"),
+                  F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("total_price"))
+    folder = scratch_folder(spark, "parquet_roundtrip")
+    write_harmonized(df, folder)
+    return read_harmonized(spark, folder)

@@ -62,3 +62,34 @@ def test_recode_strategies_agree(spark, rows, mapping):
     by_map = {r["id"]: r["code"] for r in recode.recode(df, cw).collect()}
     by_join = {r["id"]: r["code"] for r in recode.recode(df, cw, map_max_rows=0).collect()}
     assert by_map == by_join
+
+
+dates_text = st.one_of(st.none(), st.dates(min_value=__import__("datetime").date(1840, 1, 1),
+                                           max_value=__import__("datetime").date(2030, 12, 31)).map(lambda d: d.strftime("%Y%m%d")),
+                       st.sampled_from(["junk", "99991231", ""]))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from([2014, 2016]), dates_text, dates_text, dates_text, dates_text, dates_text),
+                min_size=1, max_size=25))
+def test_clean_dates_satisfy_logic_rules(spark, rows):
+    import datetime as dt
+    from yearweave.operators.dates import DATE_VARS, clean_dates
+    data = [(str(i), y, "2026-01-01", b, d, inj, rec, disp) for i, (y, b, d, inj, rec, disp) in enumerate(rows)]
+    ddl = ", ".join(f"{c} {'int' if c == 'file_year' else 'string'}" for c in ["state_file_number", "file_year", *DATE_VARS])
+    out, _ = clean_dates(spark.createDataFrame(data, ddl), as_of_date="2026-01-01")
+    for r in out.collect():
+        death, birth, inj = r["date_of_death"], r["date_of_birth"], r["date_of_injury"]
+        if death is not None:
+            assert death.year == r["file_year"]                                    # L4
+        if birth is not None:
+            assert death is not None and birth <= death                            # L5
+            assert (death.year - birth.year - ((death.month, death.day) < (birth.month, birth.day))) < 120  # L6
+        if inj is not None and death is not None:
+            assert inj <= death                                                    # L7
+        for v in ("date_received", "disposition_date"):
+            if r[v] is not None:                                                   # L8
+                assert death is not None and death <= r[v] <= dt.date(r["file_year"] + 2, 12, 31)
+        for v in DATE_VARS:
+            if r[v] is not None:
+                assert dt.date(1851, 1, 1) <= r[v] <= dt.date(2026, 1, 1)          # L2

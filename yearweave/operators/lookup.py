@@ -63,13 +63,14 @@ def _lookup_column(df: DataFrame, key_col: str, lookup: DataFrame, key: str, val
     if rows is not None:
         null_key = [r["v"] for r in rows if r["k"] is None]
         pairs = [x for r in rows if r["k"] is not None for x in (F.lit(r["k"]), F.lit(r["v"]))]
-        mapped = F.try_element_at(F.create_map(*pairs), F.col(key_col)) if pairs else F.lit(None).cast("string")
+        key = F.col(key_col).cast("string")  # map keys are strings; codes may arrive typed
+        mapped = F.try_element_at(F.create_map(*pairs), key) if pairs else F.lit(None).cast("string")
         if null_key:
             mapped = F.when(F.col(key_col).isNull(), F.lit(null_key[0])).otherwise(mapped)
         return df.withColumn(alias, mapped)
     small = lookup.select(F.col(key).cast("string").alias(f"{alias}__k"), F.col(value).cast("string").alias(alias))
     side = maybe_broadcast(small, BROADCAST_MAX_ROWS)
-    return df.join(side, df[key_col].eqNullSafe(side[f"{alias}__k"]), "left").drop(f"{alias}__k")
+    return df.join(side, df[key_col].cast("string").eqNullSafe(side[f"{alias}__k"]), "left").drop(f"{alias}__k")
 
 
 def apply_lookup_pairs(
@@ -174,6 +175,6 @@ def unmatched_codes(
     scope = F.col(key_col).isNotNull()
     if year_threshold is not None:
         scope = scope & (F.col(year_col) < F.lit(int(year_threshold)))
-    codes = df.filter(scope).groupBy(F.col(key_col).alias("code")).agg(F.count(F.lit(1)).alias("n_rows"))
+    codes = df.filter(scope).groupBy(F.col(key_col).cast("string").alias("code")).agg(F.count(F.lit(1)).alias("n_rows"))
     keys = lookup.select(F.col(lookup_key).cast("string").alias("code")).filter(F.col("code").isNotNull()).distinct()
     return codes.join(maybe_broadcast(keys), "code", "left_anti")

@@ -34,13 +34,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     is. Only when it is unset (local tests) a fresh scratch folder is made.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir() or ""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext, the conf is all there is
+        sc = None
+    if not current and sc is not None:
+        current = sc.getCheckpointDir() or ""
     if not current:
         current = tempfile.mkdtemp(prefix="yearweave-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(current)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
     return current
 
 

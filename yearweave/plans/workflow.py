@@ -92,6 +92,9 @@ class Config:
     csv_options: dict = field(default_factory=dict)
     on_unmatched: str = "raise"      # lookup guard: in-plan ("raise"), one counting pass ("count"), "ignore"
     check_levels: str = "plan"       # factor-level guard: in-plan ("plan"), one listing pass ("scan"), "off"
+    time_as: str = "string"          # time of day as "HH:mm:ss" text, or Spark's TIME type ("time")
+    completeness_threshold: float = 1.0
+    keep_axis_in_completeness: bool = False
     final_spec: Sequence[str | Selector] = FINAL_SPEC
 
 
@@ -136,7 +139,7 @@ def derive(spark: SparkSession, df: DataFrame, cfg: Config):
     df = causes.all_cause_codes(causes.clean_cause_codes(df))
     df = demographics.derive_demographics(df)
     df, date_errors = dates_op.clean_dates(df, as_of_date=_today(cfg))
-    df, time_errors = times_op.clean_times(df)
+    df, time_errors = times_op.clean_times(df, time_as=cfg.time_as)
     return df, {"date_parse_errors": date_errors, "time_parse_errors": time_errors}
 
 
@@ -191,7 +194,8 @@ def run(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]:
     parquet.write_harmonized(final, f"{out}/harmonized_data.parquet")
     written = parquet.read_harmonized(spark, f"{out}/harmonized_data.parquet")
     reports = dict(audits)
-    reports["completeness"] = quality.completeness_report(written)
+    reports["completeness"] = quality.completeness_report(
+        written, threshold=cfg.completeness_threshold, keep_axis=cfg.keep_axis_in_completeness)
     reports["validation"] = quality.validate_rules(written, death_record_rules(written), [("state_file_number_unique", ["file_year", "state_file_number"])])
     descriptions = schema_df.select(F.col("variable").alias("varname"), F.col("description").alias("desc")).distinct()
     reports["data_dictionary"] = quality.data_dictionary(written, descriptions, SUPPRESSED)

@@ -13,9 +13,10 @@ log = logging.getLogger("yearweave")
 # Control tables (crosswalks, lookups) at or below this many rows are compiled
 # into literal map expressions: no join, no exchange, one codegen stage.
 MAP_LITERAL_MAX_ROWS = 256
-# Above that and up to this bound a lookup side is broadcast; beyond it the
-# join is left to a shuffle (sort-merge) join.
+# Above that and up to these bounds (rows and estimated bytes) a lookup side is
+# broadcast; beyond either the join is left to a shuffle (sort-merge) join.
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 # Hard bound on any control table that is brought to the driver.
 DRIVER_TABLE_MAX_ROWS = 200_000
 
@@ -48,11 +49,30 @@ def bounded_count(df: DataFrame, bound: int) -> int:
     return df.limit(bound + 1).count()
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind a checked row bound; otherwise leave it to AQE."""
-    if bounded_count(df, max_rows) <= max_rows:
+def bounded_size(df: DataFrame, max_rows: int) -> tuple[int, int]:
+    """Rows (capped at ``max_rows + 1``) and estimated in-memory bytes of ``df``.
+
+    One bounded job: the byte estimate is the variable-length payload of the
+    string/binary columns plus 8 bytes per field and row (the fixed part of a
+    row), so a few wide text values cannot slip past a row-only bound.
+    """
+    variable = [c for c, t in df.dtypes if t in ("string", "binary")]
+    payload = F.lit(0).cast("long")
+    for c in variable:
+        payload = payload + F.coalesce(F.octet_length(F.col(c)), F.lit(0))
+    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(payload).alias("b")).first()
+    n = int(r["n"])
+    return n, int(r["b"] or 0) + n * 8 * (len(df.columns) + 1)
+
+
+def maybe_broadcast(
+    df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
+) -> DataFrame:
+    """Broadcast hint only behind a checked row and byte bound; otherwise leave it to AQE."""
+    n, size = bounded_size(df, max_rows)
+    if n <= max_rows and size <= max_bytes:
         return F.broadcast(df)
-    log.warning("lookup side exceeds %d rows; using a shuffle join", max_rows)
+    log.warning("lookup side exceeds %d rows or %d bytes; using a shuffle join", max_rows, max_bytes)
     return df
 
 

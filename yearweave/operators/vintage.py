@@ -96,10 +96,20 @@ def join_literals(stat: DataFrame, lit: DataFrame, keys: Sequence[str] = ("file_
     if clash:
         raise DataGuardError(f"statistical and literals files share non-key column(s): {sorted(clash)}")
     order = [*stat.columns, *[c for c in lit.columns if c not in keys]]  # statistical columns first, as in R
-    if not null_safe:
-        return stat.join(lit, keys, "left").select(*order)
     r = lit.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in lit.columns if c not in keys])
-    cond = reduce(lambda a, b: a & b, [stat[k].eqNullSafe(r[f"__r_{k}"]) for k in keys])
+    if null_safe:
+        cond = reduce(lambda a, b: a & b, [stat[k].eqNullSafe(r[f"__r_{k}"]) for k in keys])
+        return stat.join(r, cond, "left").select(*order)
+    # A NULL key matches nothing, but the shuffle would still hash every
+    # NULL-key row into one partition. String keys that are NULL are replaced
+    # by a per-row salt (a control character, which text normalization removes
+    # from real values, plus a row hash) so those rows spread over all tasks;
+    # the salt is evaluated only for NULL keys.
+    string_keys = {k for k, t in stat.dtypes if t == "string" and k in keys}
+    salt = F.concat(F.lit("\u0000"), F.xxhash64(*[stat[c] for c in stat.columns]).cast("string"))
+    cond = reduce(lambda a, b: a & b, [
+        (F.coalesce(stat[k], salt) if k in string_keys else stat[k]) == r[f"__r_{k}"] for k in keys
+    ])
     return stat.join(r, cond, "left").select(*order)
 
 

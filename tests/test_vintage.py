@@ -37,6 +37,32 @@ def test_join_literals_keeps_rows_and_order(spark):
         vintage.join_literals(stat, lit.withColumn("vintage_label", lit["cod_text_1"]))
 
 
+
+def test_join_literals_salts_null_keys(spark):
+    """NULL-key statistical rows hash by a per-row salt, not all into one partition."""
+    from pyspark.sql import functions as F
+    stat = spark.range(200).select(F.lit(2014).alias("file_year"),
+                                   F.when(F.col("id") % 2 == 0, F.col("id").cast("string")).alias("state_file_number"),
+                                   F.col("id").alias("x"))
+    lit = spark.range(0, 200, 4).select(F.lit(2014).alias("file_year"), F.col("id").cast("string").alias("state_file_number"),
+                                        F.lit("c").alias("cod_text_1"))
+    out = vintage.join_literals(stat, lit)
+    assert out.count() == 200
+    assert out.filter(F.col("cod_text_1").isNotNull()).count() == 50
+    assert out.filter(F.col("state_file_number").isNull() & F.col("cod_text_1").isNotNull()).count() == 0
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "coalesce(state_file_number" in plan and "xxhash64" in plan
+
+
+def test_broadcast_guard_checks_bytes(spark):
+    from yearweave.operators._common import bounded_size, maybe_broadcast
+    df = spark.createDataFrame([("a" * 100, 1), ("b", 2)], "k string, v int")
+    n, size = bounded_size(df, 10)
+    assert n == 2 and size == 101 + 2 * 8 * 3
+    assert "ResolvedHint" in maybe_broadcast(df)._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in maybe_broadcast(df, max_bytes=100)._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in maybe_broadcast(df, max_rows=1)._jdf.queryExecution().analyzed().toString()
+
 def test_scan_columns_missing_source_raises(spark, tmp_path):
     p = tmp_path / "DeathStatF2014.csv"
     p.write_text('CERTNO,SEX\n1, M \n2,"a, ""b"""\n', encoding="utf-8")

@@ -19,6 +19,9 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        # PySpark otherwise records the Python call site of every Column
+        # function (several JVM round trips each); it only enriches error text.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("YEARWEAVE_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )

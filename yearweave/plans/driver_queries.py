@@ -439,32 +439,14 @@ def _fips_to_name_sql(x: str) -> str:
             f"THEN 'COUNTY ' || lpad(CAST((CAST({x} AS INTEGER) + 1) // 2 AS VARCHAR), 2, '0') END)")
 
 
-_GEO_SQL = f"""
-WITH {_ORDERS_NATION_SQL},
-g0 AS (
-  SELECT o_orderkey,
-    CAST(file_year + CASE WHEN o_orderkey % 2 = 0 THEN 15 ELSE 23 END AS INTEGER) AS file_year,
-    CASE WHEN c_nationkey = 24 THEN '99' ELSE CAST(c_nationkey AS VARCHAR) END AS residence_county_wa_code,
-    CAST((c_nationkey + 3) % 40 AS VARCHAR) AS death_county_wa_code,
-    CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE CAST(o_custkey % 39 AS VARCHAR) END AS injury_county_wa_code,
-    CASE o_orderkey % 4 WHEN 0 THEN '53' || lpad(CAST(c_nationkey * 2 + 1 AS VARCHAR), 3, '0')
-                        WHEN 1 THEN CAST(c_nationkey * 2 + 1 AS VARCHAR) WHEN 2 THEN '00' ELSE '41051' END AS residence_county_fips,
-    CASE o_orderkey % 3 WHEN 0 THEN CAST(c_nationkey AS VARCHAR) WHEN 1 THEN '00530' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0')
-                        ELSE '00' END AS death_county_fips,
-    CASE o_custkey % 3 WHEN 0 THEN CAST(c_nationkey * 2 + 1 AS VARCHAR) WHEN 1 THEN '99' || lpad(CAST(c_nationkey * 2 + 1 AS VARCHAR), 3, '0')
-                       ELSE '00' END AS injury_county_fips,
-    CASE o_custkey % 4 WHEN 0 THEN 'WA' WHEN 1 THEN '48' WHEN 2 THEN 'OR' ELSE NULL END AS residence_state_fips_code,
-    CASE o_orderkey % 3 WHEN 0 THEN '48' WHEN 1 THEN 'WASHINGTON' ELSE NULL END AS death_state,
-    CASE WHEN o_orderkey % 5 < 2 THEN 'WASHINGTON' WHEN o_orderkey % 5 < 4 THEN 'OREGON' ELSE NULL END AS injury_state,
-    CASE WHEN o_custkey % 2 = 0 THEN NULL ELSE 'KING' END AS injury_county,
-    'OLD NAME' AS residence_county
-  FROM src),
-g1 AS (  -- K1
+def _geo_steps_sql(src: str) -> str:
+    """K1-K12 as CTEs ``g1`` .. ``g12`` over any table ``src`` holding the geography columns."""
+    return f"""g1 AS (  -- K1
   SELECT * REPLACE (
     CASE WHEN {_pad_sql('residence_county_wa_code', 2)} = '99' THEN NULL ELSE {_pad_sql('residence_county_wa_code', 2)} END AS residence_county_wa_code,
     CASE WHEN {_pad_sql('death_county_wa_code', 2)} = '99' THEN NULL ELSE {_pad_sql('death_county_wa_code', 2)} END AS death_county_wa_code,
     CASE WHEN {_pad_sql('injury_county_wa_code', 2)} = '99' THEN NULL ELSE {_pad_sql('injury_county_wa_code', 2)} END AS injury_county_wa_code)
-  FROM g0),
+  FROM {src}),
 g2 AS (  -- K2
   SELECT * REPLACE (
     CASE WHEN file_year < 2022 THEN {_wa_to_fips_sql('death_county_wa_code')} ELSE death_county_fips END AS death_county_fips,
@@ -508,12 +490,38 @@ g11a AS (  -- K11 (first rule)
 g11 AS (  -- K11 (second rule)
   SELECT * REPLACE (
     CASE WHEN file_year BETWEEN 2022 AND 2023 AND injury_county_fips <> '00' THEN {_pad_sql('right(injury_county_fips, 3)', 3)} ELSE injury_county_fips END AS injury_county_fips)
-  FROM g11a)
+  FROM g11a),
+g12 AS (  -- K12
+  SELECT * REPLACE (CASE WHEN file_year > 2023 AND injury_state <> 'WASHINGTON' THEN '00' ELSE injury_county_fips END AS injury_county_fips)
+  FROM g11)"""
+
+
+_GEO_SQL = f"""
+WITH {_ORDERS_NATION_SQL},
+g0 AS (
+  SELECT o_orderkey,
+    CAST(file_year + CASE WHEN o_orderkey % 2 = 0 THEN 15 ELSE 23 END AS INTEGER) AS file_year,
+    CASE WHEN c_nationkey = 24 THEN '99' ELSE CAST(c_nationkey AS VARCHAR) END AS residence_county_wa_code,
+    CAST((c_nationkey + 3) % 40 AS VARCHAR) AS death_county_wa_code,
+    CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE CAST(o_custkey % 39 AS VARCHAR) END AS injury_county_wa_code,
+    CASE o_orderkey % 4 WHEN 0 THEN '53' || lpad(CAST(c_nationkey * 2 + 1 AS VARCHAR), 3, '0')
+                        WHEN 1 THEN CAST(c_nationkey * 2 + 1 AS VARCHAR) WHEN 2 THEN '00' ELSE '41051' END AS residence_county_fips,
+    CASE o_orderkey % 3 WHEN 0 THEN CAST(c_nationkey AS VARCHAR) WHEN 1 THEN '00530' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0')
+                        ELSE '00' END AS death_county_fips,
+    CASE o_custkey % 3 WHEN 0 THEN CAST(c_nationkey * 2 + 1 AS VARCHAR) WHEN 1 THEN '99' || lpad(CAST(c_nationkey * 2 + 1 AS VARCHAR), 3, '0')
+                       ELSE '00' END AS injury_county_fips,
+    CASE o_custkey % 4 WHEN 0 THEN 'WA' WHEN 1 THEN '48' WHEN 2 THEN 'OR' ELSE NULL END AS residence_state_fips_code,
+    CASE o_orderkey % 3 WHEN 0 THEN '48' WHEN 1 THEN 'WASHINGTON' ELSE NULL END AS death_state,
+    CASE WHEN o_orderkey % 5 < 2 THEN 'WASHINGTON' WHEN o_orderkey % 5 < 4 THEN 'OREGON' ELSE NULL END AS injury_state,
+    CASE WHEN o_custkey % 2 = 0 THEN NULL ELSE 'KING' END AS injury_county,
+    'OLD NAME' AS residence_county
+  FROM src),
+{_geo_steps_sql('g0')}
 SELECT o_orderkey, file_year, residence_county_wa_code, death_county_wa_code, injury_county_wa_code,
   residence_county_fips, death_county_fips,
-  CASE WHEN file_year > 2023 AND injury_state <> 'WASHINGTON' THEN '00' ELSE injury_county_fips END AS injury_county_fips,  -- K12
+  injury_county_fips,
   residence_state_fips_code, death_state, injury_state, injury_county, residence_county
-FROM g11
+FROM g12
 """
 
 
@@ -1021,16 +1029,8 @@ def event_race_codes(spark, sf_dir) -> DataFrame:
     return e.select("event_id", pick(hisp, 8).alias("hispanic_nchs_bridge"), pick(race, 9).alias("race_summary_code"), *cols)
 
 
-def _race_sql():
-    flags = list(demographics.ASIAN_FLAGS) + list(demographics.NHPI_FLAGS) + ["race_white", "race_black", "race_amer_indian_alaskan"]
-    flag_cols = ",\n    ".join(
-        f"CASE WHEN (event_id * {i + 3}) % 7 = 0 THEN 'Y' WHEN (event_id * {i + 3}) % 7 = 6 THEN NULL ELSE 'N' END AS {f}"
-        for i, f in enumerate(flags))
-    hisp = ["'0'", "'1'", "'5'", "'9'", "NULL", "'3'", "'6'", "'0'"]
-    race = ["'10'", "'11'", "'12'", "'13'", "'14'", "'15'", "'99'", "NULL", "'21'"]
-    hcase = "CASE event_id % 8 " + " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(hisp)) + " END"
-    rcase = "CASE event_id % 9 " + " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(race)) + " END"
-
+def _race_parts_sql():
+    """SQL for race6, race_ethnicity7, the any-'Y' flag rule and race_code."""
     def any_y(cols):
         anyy = " OR ".join(f"{c} = 'Y'" for c in cols)
         return f"CASE WHEN ({anyy}) THEN 'Y' WHEN NOT ({anyy}) THEN 'N' END"
@@ -1042,6 +1042,19 @@ def _race_sql():
           + " ".join(f"WHEN (hispanic = 0 OR hispanic IS NULL) AND race6 = '{lab}' THEN '{lab}-NH'" for lab in labels.values())
           + " WHEN (hispanic = 0 OR hispanic IS NULL) AND race6 = 'Multi Race' THEN 'Multi-Race-NH' END")
     bits = " || ".join(f"(CASE WHEN {c} = 'Y' THEN '1' WHEN NOT ({c} = 'Y') THEN '0' END)" for c in demographics.RACE_CODE_FLAGS)
+    return r6, r7, any_y, bits
+
+
+def _race_sql():
+    flags = list(demographics.ASIAN_FLAGS) + list(demographics.NHPI_FLAGS) + ["race_white", "race_black", "race_amer_indian_alaskan"]
+    flag_cols = ",\n    ".join(
+        f"CASE WHEN (event_id * {i + 3}) % 7 = 0 THEN 'Y' WHEN (event_id * {i + 3}) % 7 = 6 THEN NULL ELSE 'N' END AS {f}"
+        for i, f in enumerate(flags))
+    hisp = ["'0'", "'1'", "'5'", "'9'", "NULL", "'3'", "'6'", "'0'"]
+    race = ["'10'", "'11'", "'12'", "'13'", "'14'", "'15'", "'99'", "NULL", "'21'"]
+    hcase = "CASE event_id % 8 " + " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(hisp)) + " END"
+    rcase = "CASE event_id % 9 " + " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(race)) + " END"
+    r6, r7, any_y, bits = _race_parts_sql()
     return f"""
 WITH e AS (SELECT event_id, {hcase} AS hispanic_nchs_bridge, {rcase} AS race_summary_code,
     {flag_cols}
@@ -1306,8 +1319,8 @@ def q_harmonize_orders(spark, sf_dir):
 # The whole cleaning stage (geography, codes, demographics, dates, times,
 # types, strings, final projection) on death-record-shaped rows derived from
 # orders + customer: one record per order, years shifted to 2012-2018.
-# Composite of operators that each have an oracle above, so this query is
-# checked by row count only.
+# Its DuckDB twin chains the same rules as SQL CTEs (the geography steps are
+# shared with the geo_rules oracle); dates are returned as ISO text.
 # --------------------------------------------------------------------------
 
 RECORD_YEAR_SHIFT = 17
@@ -1396,9 +1409,175 @@ def cleaned_records(spark, sf_dir):
     return final, audits
 
 
-@register("clean_death_records", None)
+# The 84 columns the final projection keeps for these records (FINAL_SPEC applied to them).
+RECORD_FINAL_COLUMNS = (
+    "date_harmonized", "vintage_label", "source_system", "file_year", "state_file_number", "local_file_number",
+    "date_of_birth", "date_of_injury", "date_of_death", "date_of_death_modifier", "date_received", "disposition_date",
+    "time_of_death", "time_of_injury", "underlying_cod_code", "all_cod_code", "record_axis_code_1", "record_axis_code_2",
+    "record_axis_code_10", "cod_text_1", "cod_text_other", "manner", "disposition", "injury_acme_place", "injury_at_work",
+    "injury_description", "residence_city_limits", "residence_county", "residence_county_fips", "residence_state_fips_code",
+    "residence_zip_code", "residence_length", "residence_length_type", "injury_place", "injury_county",
+    "injury_county_fips", "injury_state", "injury_zip_code", "death_county_fips", "death_state", "death_zip_code",
+    "place_of_death_type", "age", "age_type", "age_years", "age_6g", "age_11g", "age_20g", "age_5yr", "sex",
+    "marital_status", "pregnancy", "armed_forces", "industry", "occupation", "tobacco", "hispanic_nchs_bridge", "hispanic",
+    "race_summary_code", "race_white", "race_black", "race_amer_indian_alaskan", *demographics.ASIAN_FLAGS,
+    *demographics.NHPI_FLAGS, "race_ethnicity2", "race6", "race_ethnicity7", "race_asian", "race_nhpi", "race_code",
+    "death_facility", "informant_relationship", "autopsy", "certifier_designation", "me_coroner_referred",
+)
+RECORD_DATE_COLUMNS = ("date_harmonized", "date_of_birth", "date_of_injury", "date_of_death", "date_received", "disposition_date")
+
+
+def _records_sql() -> str:
+    """DuckDB twin of the whole cleaning stage on the same derived records:
+    input rows, geography (K1-K12), cause codes, age and race derivations,
+    dates (L1-L8), times (M1-M7), types, string rules; dates as ISO text."""
+    from yearweave.functions.bins import AGE_CUTS
+    from yearweave.plans import workflow
+    old = f"CAST(year(o.o_orderdate) + {RECORD_YEAR_SHIFT} AS INTEGER) <= {RECORD_LAYOUT_CUTOVER}"
+    k, ck, nk = "o.o_orderkey", "o.o_custkey", "c.c_nationkey"
+
+    def fmt(d):
+        return f"CASE WHEN {old} THEN strftime({d}, '%Y%m%d') ELSE strftime({d}, '%m/%d/%Y') END"
+
+    def flag(cond):
+        return f"CASE WHEN {cond} THEN 'Y' ELSE 'N' END"
+
+    def text(v):
+        return "CAST(NULL AS VARCHAR)" if v is None else f"'{v}'"
+
+    death = f"CAST(CAST(o.o_orderdate AS DATE) + to_months({12 * RECORD_YEAR_SHIFT}) AS DATE)"
+    birth = f"CAST({death} - to_months(CAST(12 * ({ck} % 100) + {k} % 12 AS INTEGER)) AS DATE)"
+    hour, minute = f"CAST({k} % 25 AS VARCHAR)", f"CAST({k} % 61 AS VARCHAR)"
+    zip5 = f"lpad(CAST({ck} % 100000 AS VARCHAR), 5, '0')"
+    cols = {
+        "vintage_label": f"(CASE WHEN {old} THEN 'BEDROCK' ELSE 'WHALES' END) || '_' || CAST(CAST(year(o.o_orderdate) + 17 AS INTEGER) AS VARCHAR)",
+        "date_harmonized": f"'{AS_OF}'",
+        "source_system": f"CASE WHEN {old} THEN 'BEDROCK' ELSE 'WHALES' END",
+        "file_year": "CAST(year(o.o_orderdate) + 17 AS INTEGER)",
+        "state_file_number": f"CAST({k} AS VARCHAR)", "local_file_number": f"CAST({ck} AS VARCHAR)",
+        "sex": f"CASE {k} % 3 WHEN 0 THEN 'M' WHEN 1 THEN 'F' ELSE 'U' END",
+        "date_of_death": fmt(death), "date_of_birth": fmt(birth),
+        "date_received": fmt(f"{death} + CAST({k} % 900 AS INTEGER)"), "disposition_date": fmt(f"{death} + 3"),
+        "time_of_death_hour": f"CASE WHEN {old} THEN {hour} END", "time_of_death_minutes": f"CASE WHEN {old} THEN {minute} END",
+        "time_of_death": f"CASE WHEN NOT ({old}) THEN lpad({hour}, 2, '0') || lpad({minute}, 2, '0') END",
+        "underlying_cod_code": f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ', CAST({k} % 26 + 1 AS INTEGER), 1) || CAST({k} % 90 + 10 AS VARCHAR) || '.' || CAST({k} % 10 AS VARCHAR)",
+        "record_axis_code_1": f"CASE WHEN {k} % 2 = 0 THEN 'I21.9' END",
+        "record_axis_code_2": f"CASE WHEN {k} % 3 = 0 THEN 'E11.9' END",
+        "record_axis_code_10": f"CASE WHEN {k} % 5 = 0 THEN 'j44' END",
+        "residence_county_wa_code": f"CASE WHEN {old} THEN CAST({nk} + 1 AS VARCHAR) END",
+        "death_county_wa_code": f"CASE WHEN {old} THEN CAST({nk} % 39 + 1 AS VARCHAR) END",
+        "residence_county_fips": f"CASE WHEN NOT ({old}) THEN '53' || lpad(CAST({nk} * 2 + 1 AS VARCHAR), 3, '0') END",
+        "death_county_fips": f"CASE WHEN NOT ({old}) THEN CAST({nk} * 2 + 1 AS VARCHAR) END",
+        "residence_state_fips_code": f"CASE WHEN {old} THEN '48' WHEN {ck} % 5 = 0 THEN 'OR' ELSE 'WA' END",
+        "death_state": f"CASE WHEN {old} THEN '48' ELSE 'WASHINGTON' END",
+        "age": f"CAST({ck} % 100 AS VARCHAR)", "age_type": "'1'", "age_years": f"CAST({ck} % 100 AS VARCHAR)",
+        "hispanic_nchs_bridge": f"CAST({k} % 7 AS VARCHAR)", "race_summary_code": f"CAST({k} % 6 + 10 AS VARCHAR)",
+        "race_white": flag(f"{k} % 6 = 0"), "race_black": flag(f"{k} % 6 = 1"), "race_amer_indian_alaskan": flag(f"{k} % 6 = 2"),
+        **{f: flag(f"{k} % 6 = 3") for f in demographics.ASIAN_FLAGS},
+        **{f: flag(f"{k} % 6 = 4") for f in demographics.NHPI_FLAGS},
+        "occupation": "c.c_mktsegment",
+        "industry": f"CASE WHEN {k} % 9 = 0 THEN 'unknown' ELSE o.o_orderpriority END",
+        "residence_length": f"CASE WHEN {k} % 4 = 0 THEN '999' ELSE CAST({ck} % 40 AS VARCHAR) END",
+        "death_zip_code": zip5,
+        "residence_zip_code": f"CASE WHEN {k} % 8 = 0 THEN {zip5} || '-0001' ELSE {zip5} END",
+        "cod_text_1": "lower(c.c_name)",
+        **{n: text(v) for n, v in _CONSTANT_COLUMNS.items()},
+    }
+    r0 = ",\n    ".join(f"{e} AS {n}" for n, e in cols.items())
+
+    def icd(x):
+        c = f"regexp_replace(upper({x}), '[^A-Z0-9]', '', 'g')"
+        return f"CASE WHEN regexp_full_match({c}, '[A-Z][0-9][0-9A-Z]{{1,3}}') THEN {c} END"
+
+    def squish_parse(x):
+        sq = f"nullif(regexp_replace(regexp_replace({x}, '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', 'g'), '[\\s\\p{{Z}}]+', ' ', 'g'), '')"
+        p0 = (f"CAST(coalesce(try_strptime({sq}, '%Y%m%d'), try_strptime({sq}, '%Y-%m-%d'), "
+              f"try_strptime({sq}, '%m/%d/%Y'), try_strptime({sq}, '%d%b%Y')) AS DATE)")
+        return f"CASE WHEN {p0} > DATE '{AS_OF}' OR year({p0}) <= 1850 THEN NULL ELSE {p0} END"
+
+    def hour_ok(x, lim):
+        return f"CASE WHEN TRY_CAST({x} AS DOUBLE) >= {lim} THEN NULL WHEN TRY_CAST({x} AS DOUBLE) < {lim} THEN {x} END"
+
+    def hhmm(t):
+        return f"CASE WHEN regexp_full_match({t}, '([01][0-9]|2[0-3])[0-5][0-9]') THEN substr({t}, 1, 2) || ':' || substr({t}, 3, 2) || ':00' END"
+
+    def fix_time(t):
+        return f"CASE WHEN (CASE WHEN {t} = '2400' THEN '0000' ELSE {t} END) = '9999' THEN NULL WHEN {t} = '2400' THEN '0000' ELSE {t} END"
+
+    def title(x):
+        return f"CASE WHEN {x} IS NULL THEN NULL ELSE " + _TITLE_SQL.replace("{x}", x).replace("{{", "{").replace("}}", "}") + " END"
+
+    def placeholder(x, exact, words=()):
+        arms = [f"WHEN {x} IN ({', '.join(repr(v) for v in exact)}) THEN NULL"]
+        arms += [f"WHEN regexp_matches({x}, '(?i){w}') THEN NULL" for w in words]
+        return f"CASE {' '.join(arms)} ELSE {x} END"
+
+    r6, r7, any_y, bits = _race_parts_sql()
+    bins = ", ".join(f"{_bins_sql('age_years', cuts)} AS {name}" for name, cuts in AGE_CUTS.items())
+    time_parts = ("time_of_death_hour", "time_of_death_minutes", "time_of_death", "time_of_injury_hour", "time_of_injury_minutes", "time_of_injury")
+    sex = "CASE sex " + " ".join(f"WHEN '{v}' THEN '{lab}'" for v, lab in RECORD_FACTORS["sex"]) + " END"
+    final = {
+        **{d: f"strftime({d}, '%Y-%m-%d')" for d in RECORD_DATE_COLUMNS},
+        "sex": sex,
+        **{c: title(c) for c in ("informant_relationship", "injury_description", "cod_text_1", "cod_text_other")},
+        "industry": placeholder(title("industry"), workflow.OCCUPATION_PLACEHOLDERS, workflow.OCCUPATION_PLACEHOLDER_WORDS),
+        "occupation": placeholder(title("occupation"), workflow.OCCUPATION_PLACEHOLDERS, workflow.OCCUPATION_PLACEHOLDER_WORDS),
+        **{z: f"CASE WHEN regexp_full_match({z}, '[0-9]{{5}}') THEN {z} END" for z in workflow.ZIP_COLUMNS},
+        "injury_place": placeholder("injury_place", workflow.INJURY_PLACE_PLACEHOLDERS),
+        "residence_length": placeholder("residence_length", workflow.RESIDENCE_LENGTH_PLACEHOLDERS),
+    }
+    out = ",\n  ".join(f"{final.get(n, n)} AS {n}" for n in RECORD_FINAL_COLUMNS)
+    return f"""
+WITH r0 AS (
+  SELECT {r0}
+  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey),
+{_geo_steps_sql('r0')},
+c1 AS (SELECT * REPLACE ({icd('underlying_cod_code')} AS underlying_cod_code, {icd('record_axis_code_1')} AS record_axis_code_1,
+                         {icd('record_axis_code_2')} AS record_axis_code_2, {icd('record_axis_code_10')} AS record_axis_code_10) FROM g12),
+c2 AS (SELECT *, concat_ws(';', underlying_cod_code, record_axis_code_2, record_axis_code_10) AS all_cod_code FROM c1),
+a1 AS (SELECT * REPLACE (CASE WHEN age_type = '9' AND age = '999' THEN NULL WHEN NOT (age_type = '9' AND age = '999') THEN age END AS age,
+                         CAST(trunc(TRY_CAST(age_years AS DOUBLE)) AS INTEGER) AS age_years) FROM c2),
+a2 AS (SELECT * REPLACE (CASE WHEN age_years > 120 THEN NULL WHEN NOT (age_years > 120) THEN age_years END AS age_years) FROM a1),
+a3 AS (SELECT *, {bins},
+         CASE WHEN hispanic_nchs_bridge = '0' THEN 0 WHEN hispanic_nchs_bridge IN ('1', '2', '3', '4', '5') THEN 1 END AS hispanic,
+         {r6} AS race6 FROM a2),
+a4 AS (SELECT *, CASE WHEN hispanic = 0 THEN 'Not Hispanic' WHEN hispanic = 1 THEN 'Hispanic' END AS race_ethnicity2,
+         {r7} AS race_ethnicity7, {any_y(demographics.ASIAN_FLAGS)} AS race_asian, {any_y(demographics.NHPI_FLAGS)} AS race_nhpi FROM a3),
+a5 AS (SELECT *, {bits} AS race_code FROM a4),
+d0 AS (SELECT * REPLACE ({", ".join(f"{squish_parse(d)} AS {d}" for d in RECORD_DATE_COLUMNS)}) FROM a5),
+d1 AS (SELECT * REPLACE (CASE WHEN date_of_death BETWEEN make_date(file_year, 1, 1) AND make_date(file_year, 12, 31) THEN date_of_death
+                              WHEN NOT (date_of_death BETWEEN make_date(file_year, 1, 1) AND make_date(file_year, 12, 31)) THEN NULL END AS date_of_death) FROM d0),
+d2 AS (SELECT * REPLACE (CASE WHEN date_of_birth <= date_of_death THEN date_of_birth END AS date_of_birth) FROM d1),
+d3 AS (SELECT * REPLACE (CASE WHEN year(date_of_death) - year(date_of_birth)
+                                   - CASE WHEN strftime(date_of_death, '%m%d') < strftime(date_of_birth, '%m%d') THEN 1 ELSE 0 END < 120
+                              THEN date_of_birth END AS date_of_birth) FROM d2),
+d4 AS (SELECT *, CASE WHEN day(CAST(date_of_birth - INTERVAL 9 MONTH AS DATE)) = day(date_of_birth)
+                      THEN CAST(date_of_birth - INTERVAL 9 MONTH AS DATE) END AS birth_m9 FROM d3),
+d5 AS (SELECT * EXCLUDE (birth_m9) REPLACE (
+         CASE WHEN date_of_injury < birth_m9 THEN NULL WHEN date_of_injury > date_of_death THEN NULL ELSE date_of_injury END AS date_of_injury,
+         CASE WHEN date_received BETWEEN date_of_death AND make_date(file_year + 2, 12, 31) THEN date_received END AS date_received,
+         CASE WHEN disposition_date BETWEEN date_of_death AND make_date(file_year + 2, 12, 31) THEN disposition_date END AS disposition_date)
+       FROM d4),
+t1 AS (SELECT * REPLACE ({", ".join(f"regexp_replace({t}, '\\p{{P}}', '') AS {t}" for t in time_parts)}) FROM d5),
+t2 AS (SELECT * REPLACE ({hour_ok('time_of_death_hour', 24)} AS time_of_death_hour, {hour_ok('time_of_death_minutes', 60)} AS time_of_death_minutes,
+                         {hour_ok('time_of_injury_hour', 24)} AS time_of_injury_hour, {hour_ok('time_of_injury_minutes', 60)} AS time_of_injury_minutes) FROM t1),
+t3 AS (SELECT * REPLACE ({", ".join(f"{_pad_sql(t, 2)} AS {t}" for t in time_parts if t.endswith(("_hour", "_minutes")))}) FROM t2),
+t4 AS (SELECT *,
+         CASE WHEN time_of_death_hour IS NOT NULL AND time_of_death_minutes IS NOT NULL THEN time_of_death_hour || time_of_death_minutes
+              WHEN time_of_death_hour IS NOT NULL AND time_of_death_minutes IS NULL THEN time_of_death_hour || '00' END AS dp,
+         CASE WHEN time_of_injury_hour IS NOT NULL AND time_of_injury_minutes IS NOT NULL THEN time_of_injury_hour || time_of_injury_minutes
+              WHEN time_of_injury_hour IS NOT NULL AND time_of_injury_minutes IS NULL THEN time_of_injury_hour || '00' END AS ip FROM t3),
+t5 AS (SELECT * REPLACE (coalesce(dp, time_of_death) AS time_of_death, coalesce(ip, time_of_injury) AS time_of_injury) FROM t4),
+t6 AS (SELECT * REPLACE ({fix_time('time_of_death')} AS time_of_death, {fix_time('time_of_injury')} AS time_of_injury) FROM t5),
+t7 AS (SELECT * REPLACE ({hhmm('time_of_death')} AS time_of_death, {hhmm('time_of_injury')} AS time_of_injury) FROM t6)
+SELECT {out}
+FROM t7"""
+
+
+@register("clean_death_records", _records_sql())
 def q_clean_death_records(spark, sf_dir):
-    return cleaned_records(spark, sf_dir)[0]
+    final = cleaned_records(spark, sf_dir)[0]
+    return final.withColumns({d: iso(d) for d in RECORD_DATE_COLUMNS})
 
 
 # --------------------------------------------------------------------------

@@ -6,8 +6,9 @@ recode to NULL is impossible; variables missing from the data are skipped;
 an ambiguous crosswalk (one ``from_code`` with two ``to_code``) raises.
 
 Plan shape: instead of one join per variable per year, each variable becomes
-one Column expression. Small crosswalks compile to a literal map keyed by
-``file_year|value`` (no join, no exchange, stays in whole-stage codegen).
+one Column expression. Small crosswalks compile to literal maps, one per
+group of years sharing the same codes (no join, no exchange, stays in
+whole-stage codegen).
 Larger ones become a broadcast hash join per variable (size checked); beyond
 the broadcast bound a shuffle join is used.
 """
@@ -31,8 +32,6 @@ from yearweave.operators.crosswalk import validate_recode_crosswalk
 
 log = logging.getLogger("yearweave")
 
-_SEP = "\u0001"  # joins year and value in map keys; cannot occur after text normalization
-
 
 def _pairs_by_variable(cw: DataFrame):
     """Distinct (file_year, from_code, to_code) per variable with a non-NULL to_code.
@@ -48,18 +47,30 @@ def _pairs_by_variable(cw: DataFrame):
 
 
 def recode_expression(value: Column, year: Column, pairs) -> Column:
-    """``coalesce(mapped, value)`` with a literal map for non-NULL codes and a
-    per-year arm for the NULL code (map keys cannot be NULL)."""
-    keyed, null_arm = [], {}
+    """``coalesce(mapped, value)``: a literal map per group of years that share
+    the same codes, chosen by an integer test on the year, plus a per-year arm
+    for the NULL code (map keys cannot be NULL).
+
+    Spark looks a key up in a literal map by scanning its entries, so one map
+    keyed by ``year|value`` would cost (years x codes) string compares per
+    row; grouping by year costs at most (groups) int compares + (codes)
+    string compares, and needs no key concatenation.
+    """
+    by_year, null_arm = defaultdict(dict), {}
     for p in pairs:
         if p["from_code"] is None:
             null_arm[int(p["file_year"])] = p["to_code"]
         else:
-            keyed.append((f"{int(p['file_year'])}{_SEP}{p['from_code']}", p["to_code"]))
+            by_year[int(p["file_year"])][p["from_code"]] = p["to_code"]
+    groups = defaultdict(list)  # identical code mappings share one map
+    for y, mapping in sorted(by_year.items()):
+        groups[tuple(sorted(mapping.items()))].append(y)
     mapped = None
-    if keyed:
-        m = F.create_map(*[F.lit(x) for kv in keyed for x in kv])
-        mapped = F.try_element_at(m, F.concat(year.cast("string"), F.lit(_SEP), value))
+    for items, years in groups.items():
+        cond = year == F.lit(years[0]) if len(years) == 1 else year.isin(years)
+        m = F.create_map(*[F.lit(x) for kv in items for x in kv])
+        arm = F.try_element_at(m, value)
+        mapped = F.when(cond, arm) if mapped is None else mapped.when(cond, arm)
     if null_arm:
         arm = None
         for y, to in sorted(null_arm.items()):

@@ -26,6 +26,24 @@ def test_recode_semantics(spark, map_max_rows):
     assert out.count() == 5
 
 
+
+def test_recode_groups_years_with_equal_codes(spark):
+    """Years with the same code mapping share one literal map; results match the join path."""
+    years = list(range(2005, 2020))
+    rows = [(y, "sex", c, f"{c}{'x' if y < 2015 else 'y'}", False) for y in years for c in ("1", "2")]
+    rows.append((2016, "sex", None, "U", False))
+    table = cw(spark, rows)
+    data = spark.createDataFrame([(y, v, f"{y}-{v}") for y in [*years, 2021] for v in ("1", "2", "3", None)],
+                                 "file_year int, sex string, id string")
+    by_map = recode.recode(data, table)
+    by_join = recode.recode(data, table, map_max_rows=0)
+    got = {r["id"]: r["sex"] for r in by_map.collect()}
+    assert got == {r["id"]: r["sex"] for r in by_join.collect()}
+    assert got["2010-1"] == "1x" and got["2015-2"] == "2y" and got["2010-3"] == "3"
+    assert got["2016-None"] == "U" and got["2017-None"] is None and got["2021-1"] == "1"
+    analyzed = by_map._jdf.queryExecution().analyzed().toString()
+    assert analyzed.count("map(") == 2          # two groups of years, not one map per year
+
 def test_ambiguous_crosswalk_raises(spark):
     data = spark.createDataFrame([(2014, "1")], "file_year int, sex string")
     with pytest.raises(DataGuardError):

@@ -58,13 +58,20 @@ def prefetch_lookup(lookup: DataFrame) -> list[dict] | None:
     return [r.asDict() for r in rows] if len(rows) <= MAP_LITERAL_MAX_ROWS else None
 
 
-def _lookup_column(df: DataFrame, key_col: str, lookup: DataFrame, key: str, value: str, alias: str, rows=None):
+def _map_literal(rows) -> Column | None:
+    """The collected (k, v) rows as one literal map (non-NULL keys only)."""
+    pairs = [x for r in rows if r["k"] is not None for x in (F.lit(r["k"]), F.lit(r["v"]))]
+    return F.create_map(*pairs) if pairs else None
+
+
+def _lookup_column(df: DataFrame, key_col: str, lookup: DataFrame, key: str, value: str, alias: str, rows=None,
+                   map_literal: Column | None = None):
     """Add ``alias`` = lookup value of ``df[key_col]`` (NULL when unmatched)."""
     if rows is not None:
         null_key = [r["v"] for r in rows if r["k"] is None]
-        pairs = [x for r in rows if r["k"] is not None for x in (F.lit(r["k"]), F.lit(r["v"]))]
+        m = map_literal if map_literal is not None else _map_literal(rows)
         key = F.col(key_col).cast("string")  # map keys are strings; codes may arrive typed
-        mapped = F.try_element_at(F.create_map(*pairs), key) if pairs else F.lit(None).cast("string")
+        mapped = F.try_element_at(m, key) if m is not None else F.lit(None).cast("string")
         if null_key:
             mapped = F.when(F.col(key_col).isNull(), F.lit(null_key[0])).otherwise(mapped)
         return df.withColumn(alias, mapped)
@@ -116,10 +123,11 @@ def apply_lookup_pairs(
     else:
         _check_many_to_one(lookup, lookup_key, what)
     checks = []
+    map_literal = _map_literal(rows) if rows is not None else None  # built once, shared by all pairs
     for i, p in enumerate(pairs):
         require_columns(df, [year_col, p.key_col, p.target_col], what)
         tmp = f"__lookup_{i}"
-        df = _lookup_column(df, p.key_col, lookup, lookup_key, lookup_value, tmp, rows)
+        df = _lookup_column(df, p.key_col, lookup, lookup_key, lookup_value, tmp, rows, map_literal)
         in_scope = F.col(year_col) < F.lit(int(p.year_threshold))
         bad = in_scope & F.col(p.key_col).isNotNull() & F.col(tmp).isNull()
         checks.append(p)

@@ -44,6 +44,14 @@ def test_recode_groups_years_with_equal_codes(spark):
     analyzed = by_map._jdf.queryExecution().analyzed().toString()
     assert analyzed.count("map(") == 2          # two groups of years, not one map per year
 
+
+def test_recode_text_year_column(spark):
+    """A text year column is compared as text: a malformed year keeps its value instead of failing a cast."""
+    data = spark.createDataFrame([("2014", "1"), ("2015", "1"), ("20x5", "1"), ("2014", None)], "file_year string, sex string")
+    table = cw(spark, [(2014, "sex", "1", "M", False), (2015, "sex", "1", "Male", False), (2014, "sex", None, "U", False)])
+    got = [tuple(r) for r in recode.recode(data, table).collect()]
+    assert sorted(got, key=str) == sorted([("2014", "M"), ("2015", "Male"), ("20x5", "1"), ("2014", "U")], key=str)
+
 def test_ambiguous_crosswalk_raises(spark):
     data = spark.createDataFrame([(2014, "1")], "file_year int, sex string")
     with pytest.raises(DataGuardError):

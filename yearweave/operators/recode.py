@@ -46,7 +46,7 @@ def _pairs_by_variable(cw: DataFrame):
     return small
 
 
-def recode_expression(value: Column, year: Column, pairs) -> Column:
+def recode_expression(value: Column, year: Column, pairs, year_as_text: bool = False) -> Column:
     """``coalesce(mapped, value)``: a literal map per group of years that share
     the same codes, chosen by an integer test on the year, plus a per-year arm
     for the NULL code (map keys cannot be NULL).
@@ -65,16 +65,19 @@ def recode_expression(value: Column, year: Column, pairs) -> Column:
     groups = defaultdict(list)  # identical code mappings share one map
     for y, mapping in sorted(by_year.items()):
         groups[tuple(sorted(mapping.items()))].append(y)
+    def lit_year(y: int):
+        return str(y) if year_as_text else y  # a text year column is compared as text, never cast
+
     mapped = None
     for items, years in groups.items():
-        cond = year == F.lit(years[0]) if len(years) == 1 else year.isin(years)
+        cond = year == F.lit(lit_year(years[0])) if len(years) == 1 else year.isin([lit_year(y) for y in years])
         m = F.create_map(*[F.lit(x) for kv in items for x in kv])
         arm = F.try_element_at(m, value)
         mapped = F.when(cond, arm) if mapped is None else mapped.when(cond, arm)
     if null_arm:
         arm = None
         for y, to in sorted(null_arm.items()):
-            cond = value.isNull() & (year == F.lit(y))
+            cond = value.isNull() & (year == F.lit(lit_year(y)))
             arm = F.when(cond, F.lit(to)) if arm is None else arm.when(cond, F.lit(to))
         mapped = arm if mapped is None else F.coalesce(arm, mapped)
     return value if mapped is None else F.coalesce(mapped, value)
@@ -126,7 +129,8 @@ def recode(
     big_vars = [v for v in present if v not in small_vars]
     if small_vars:
         # Variables with a small crosswalk: literal-map expressions, one projection.
-        exprs = {v: recode_expression(F.col(v), F.col(year_col), grouped[v]) for v in small_vars}
+        as_text = dict(df.dtypes)[year_col] == "string"
+        exprs = {v: recode_expression(F.col(v), F.col(year_col), grouped[v], as_text) for v in small_vars}
         df = df.withColumns(exprs)
 
     # Large crosswalks: one hash join per variable on (year, code), broadcast behind a size check.

@@ -106,7 +106,8 @@ def join_literals(stat: DataFrame, lit: DataFrame, keys: Sequence[str] = ("file_
     # from real values, plus a row hash) so those rows spread over all tasks;
     # the salt is evaluated only for NULL keys.
     string_keys = {k for k, t in stat.dtypes if t == "string" and k in keys}
-    salt = F.concat(F.lit("\u0000"), F.xxhash64(*[stat[c] for c in stat.columns]).cast("string"))
+    hashable = [c for c, t in stat.dtypes if not t.startswith(("map", "array", "struct"))]
+    salt = F.concat(F.lit("\u0000"), F.xxhash64(*[stat[c] for c in hashable]).cast("string"))
     cond = reduce(lambda a, b: a & b, [
         (F.coalesce(stat[k], salt) if k in string_keys else stat[k]) == r[f"__r_{k}"] for k in keys
     ])

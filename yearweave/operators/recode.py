@@ -25,6 +25,7 @@ from yearweave.operators._common import (
     BROADCAST_MAX_ROWS,
     DRIVER_TABLE_MAX_ROWS,
     MAP_LITERAL_MAX_ROWS,
+    collect_small,
     maybe_broadcast,
 )
 from yearweave.operators._common import DataGuardError
@@ -32,6 +33,10 @@ from yearweave.operators.crosswalk import validate_recode_crosswalk
 
 log = logging.getLogger("yearweave")
 
+# A control character (removed from real values by text normalization) that
+# starts the join-key salt of NULL values: it can never equal a crosswalk code.
+_SALT_PREFIX = "\u0000"
+
 
 def _pairs_by_variable(cw: DataFrame):
     """Distinct (file_year, from_code, to_code) per variable with a non-NULL to_code.
@@ -134,15 +139,23 @@ def recode(
         df = df.withColumns(exprs)
 
     # Large crosswalks: one hash join per variable on (year, code), broadcast behind a size check.
+    # The NULL code (at most one target per year) is applied as an expression; in the join key a
+    # NULL value is replaced by a per-row salt that matches nothing, so NULL-valued rows spread
+    # over all tasks of a shuffle join instead of sharing one hash key.
     for v in big_vars:
-        lk = pairs.filter(F.col("variable") == v).select(
+        var_pairs = pairs.filter(F.col("variable") == v)
+        null_rows = collect_small(var_pairs.filter(F.col("from_code").isNull()).select("file_year", "from_code", "to_code"),
+                                  what="recode NULL-code rows")
+        lk = var_pairs.filter(F.col("from_code").isNotNull()).select(
             F.col("file_year").alias("__rc_year"), F.col("from_code").alias("__rc_from"), F.col("to_code").alias("__rc_to")
         )
         lk = maybe_broadcast(lk, BROADCAST_MAX_ROWS)
-        cond = (df[year_col] == lk["__rc_year"]) & df[v].eqNullSafe(lk["__rc_from"])
-        df = (
-            df.join(lk, cond, "left")
-            .withColumn(v, F.coalesce(F.col("__rc_to"), F.col(v)))
-            .drop("__rc_year", "__rc_from", "__rc_to")
-        )
+        hashable = [c for c, t in df.dtypes if not t.startswith(("map", "array", "struct"))]
+        salt = F.concat(F.lit(_SALT_PREFIX), F.xxhash64(*[df[c] for c in hashable]).cast("string"))
+        cond = (df[year_col] == lk["__rc_year"]) & (F.coalesce(df[v].cast("string"), salt) == lk["__rc_from"])
+        null_arm = recode_expression(F.lit(None).cast("string"), F.col(year_col), [r.asDict() for r in null_rows],
+                                     dict(df.dtypes)[year_col] == "string")
+        value = F.when(F.col(v).isNull(), null_arm).otherwise(F.coalesce(F.col("__rc_to"), F.col(v))) if null_rows \
+            else F.coalesce(F.col("__rc_to"), F.col(v))
+        df = df.join(lk, cond, "left").withColumn(v, value).drop("__rc_year", "__rc_from", "__rc_to")
     return df

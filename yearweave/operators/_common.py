@@ -13,6 +13,9 @@ log = logging.getLogger("yearweave")
 # Control tables (crosswalks, lookups) at or below this many rows are compiled
 # into literal map expressions: no join, no exchange, one codegen stage.
 MAP_LITERAL_MAX_ROWS = 256
+# Lookups without a year dimension scan one map of all their keys per row; a
+# broadcast hash join was measured cheaper per row from roughly 100-150 entries.
+LOOKUP_MAP_MAX_ROWS = 128
 # Above that and up to these bounds (rows and estimated bytes) a lookup side is
 # broadcast; beyond either the join is left to a shuffle (sort-merge) join.
 BROADCAST_MAX_ROWS = 2_000_000

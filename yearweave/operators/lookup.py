@@ -6,7 +6,7 @@ with the reference's guards: the lookup must be many-to-one (checked on the
 lookup table itself, O(lookup) instead of counting the fact table) and every
 in-scope non-NULL key must find a non-NULL value (one aggregate for all pairs).
 
-Plan shape: a lookup of at most ``MAP_LITERAL_MAX_ROWS`` rows compiles to a
+Plan shape: a lookup of at most ``LOOKUP_MAP_MAX_ROWS`` rows compiles to a
 literal map (no join); a larger one is broadcast behind a row-count check,
 and beyond that left to a shuffle join.
 """
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from yearweave.operators._common import (
     BROADCAST_MAX_ROWS,
-    MAP_LITERAL_MAX_ROWS,
+    LOOKUP_MAP_MAX_ROWS,
     DataGuardError,
     duplicate_keys,
     maybe_broadcast,
@@ -45,17 +45,17 @@ def _check_many_to_one(lookup: DataFrame, key: str, what: str) -> None:
 
 
 def _small_lookup(lookup: DataFrame, key: str, value: str):
-    """The lookup's (key, value) rows when it has at most ``MAP_LITERAL_MAX_ROWS``
+    """The lookup's (key, value) rows when it has at most ``LOOKUP_MAP_MAX_ROWS``
     rows (one bounded job), else None."""
     small = lookup.select(F.col(key).cast("string").alias("k"), F.col(value).cast("string").alias("v"))
-    rows = small.limit(MAP_LITERAL_MAX_ROWS + 1).collect()
-    return rows if len(rows) <= MAP_LITERAL_MAX_ROWS else None
+    rows = small.limit(LOOKUP_MAP_MAX_ROWS + 1).collect()
+    return rows if len(rows) <= LOOKUP_MAP_MAX_ROWS else None
 
 
 def prefetch_lookup(lookup: DataFrame) -> list[dict] | None:
-    """All rows of a lookup with at most ``MAP_LITERAL_MAX_ROWS`` rows (one bounded job), else None."""
-    rows = lookup.limit(MAP_LITERAL_MAX_ROWS + 1).collect()
-    return [r.asDict() for r in rows] if len(rows) <= MAP_LITERAL_MAX_ROWS else None
+    """All rows of a lookup with at most ``LOOKUP_MAP_MAX_ROWS`` rows (one bounded job), else None."""
+    rows = lookup.limit(LOOKUP_MAP_MAX_ROWS + 1).collect()
+    return [r.asDict() for r in rows] if len(rows) <= LOOKUP_MAP_MAX_ROWS else None
 
 
 def _map_literal(rows) -> Column | None:

@@ -25,3 +25,10 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     model = public_tokenizers.path("piece_bpe_32k.model")
     return token_digest(encode_decode(table(spark, sf_dir, "documents"), model))
+
+
+@_query
+def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .kd_shards import document_shards
+
+    return document_shards(table(spark, sf_dir, "documents"), leaves=16)

@@ -32,3 +32,31 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .kd_shards import document_shards
 
     return document_shards(table(spark, sf_dir, "documents"), leaves=16)
+
+
+@_query
+def op3_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc_bundles import read_bundles, with_roles, write_bundles
+
+    bundles = write_bundles(with_roles(table(spark, sf_dir, "pages"), min_payload=0))
+    return read_bundles(bundles, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+#: The digest in base 32, five hex digits (four base-32 digits) at a time.
+ORACLE_SQL["op3_warc_bundles"] = """
+WITH p AS (
+  SELECT page_id, sha1(coalesce(html, '')) AS h, octet_length(encode(coalesce(html, ''))) AS n FROM pages
+), g AS (SELECT h, n, max(page_id) AS newest FROM p GROUP BY h, n),
+d AS (
+  SELECT h, list_aggregate(list_transform(range(0, 32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      1 + ((CAST('0x' || substr(h, CAST(1 + 5 * (i // 4) AS INT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31)::INT, 1)),
+    'string_agg', '') AS digest
+  FROM (SELECT DISTINCT h FROM p)
+)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> newest THEN newest END AS refers_to
+FROM p JOIN g USING (h, n) JOIN d USING (h)
+"""

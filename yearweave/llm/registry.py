@@ -60,3 +60,10 @@ SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
   CASE WHEN page_id <> newest THEN newest END AS refers_to
 FROM p JOIN g USING (h, n) JOIN d USING (h)
 """
+
+
+@_query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import toxicity
+
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -26,12 +27,27 @@ from pyspark.sql import functions as F
 from .common import text_or_empty
 
 #: Chunks whose ids a worker remembers before it starts anew.
-REMEMBERED_CHUNKS = 1_000_000
+REMEMBERED_CHUNKS = 1_500_000
 #: Up to this many symbols a flat agenda is quicker than a heap.
 FLAT_AGENDA = 40
 _INFINITE = float("inf")
 
 
+def _packed(ids: list[int]) -> bytes:
+    return array("i", ids).tobytes()
+
+
+class _Remembered(dict):
+    """Chunks and their ids; a new chunk is merged when first asked for."""
+
+    def __init__(self, encoder: AgendaEncoder):
+        self.encoder = encoder
+
+    def __missing__(self, chunk: str) -> bytes:
+        self[chunk] = ids = self.encoder.parts_merged(chunk)
+        return ids
+
+
 class AgendaEncoder:
     """Ids of texts under one merge-type vocabulary, as the library gives them (no begin or end ids)."""
 
@@ -59,32 +75,25 @@ class AgendaEncoder:
         # runs of the space mark with the joinable characters after them; else one character
         self.chunks = re.compile(f"▁*{any_joined}+|▁+|.", re.DOTALL).findall
         self.words_only = not any(p[1] == "▁" and p[0] != "▁" for p in inside)
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known = _Remembered(self)
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> bytes:
+        """The ids as 32-bit integers one after another."""
         mark = self.library.normalize(text)
         if not self.words_only:
-            return list(self.merged(mark))
-        known, parts = self.known, self.chunks(mark)
-        if len(known) > REMEMBERED_CHUNKS:
-            known.clear()
-        for part in set(parts):
-            if part not in known:
-                known[part] = self._parts_merged(part)
-        return list(chain.from_iterable(map(known.__getitem__, parts)))
-
-    def _parts_merged(self, chunk: str) -> tuple[int, ...]:
+            return _packed(self.merged(mark))
+        if len(self.known) > REMEMBERED_CHUNKS:
+            self.known.clear()
+        return b"".join(map(self.known.__getitem__, self.chunks(mark)))
+
+    def parts_merged(self, chunk: str) -> bytes:
         """Cut at every pair of neighbours that no piece holds, as before a full stop after a word."""
-        inside, known, start = self.inside, self.known, 0
-        ids: tuple[int, ...] = ()
-        for at in [i for i, pair in enumerate(zip(chunk, chunk[1:]), 1) if pair not in inside]:
-            part = chunk[start:at]
-            if part not in known:
-                known[part] = self.merged(part)
-            ids, start = ids + known[part], at
-        return ids + self.merged(chunk[start:])
-
-    def merged(self, chunk: str) -> tuple[int, ...]:
+        cuts = [i for i, pair in enumerate(zip(chunk, chunk[1:]), 1) if pair not in self.inside]
+        if not cuts:
+            return _packed(self.merged(chunk))
+        return b"".join([self.known[chunk[i:j]] for i, j in zip([0, *cuts], [*cuts, len(chunk)])])
+
+    def merged(self, chunk: str) -> list[int]:
         symbols = self._flat(list(chunk)) if len(chunk) <= FLAT_AGENDA else self._heaped(list(chunk))
         out: list[int] = []
         for symbol in symbols:
@@ -92,7 +101,7 @@ class AgendaEncoder:
                 out.append(self.ids[symbol])
             else:
                 out.extend(self.byte_ids[b] for b in symbol.encode())
-        return tuple(out)
+        return out
 
     def _flat(self, symbols: list[str]) -> list[str]:
         cost = self.cost.get
@@ -160,12 +169,12 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
             for start in range(0, whole.num_rows, 256):
                 batch = whole.slice(start, 256)
                 texts = batch.column(1).to_pylist()
-                ids = [encoder.encode(t) for t in texts]
                 expected = encoder.library.encode(texts, num_threads=1)
-                same = [a == b for a, b in zip(ids, expected)]
-                decoded = encoder.library.decode(expected, num_threads=1) if expected else []
+                packed = [_packed(ids) for ids in expected]
+                same = [encoder.encode(t) == p for t, p in zip(texts, packed)]
+                decoded = encoder.library.decode(expected, num_threads=1)
                 ends = np.cumsum([0, *map(len, expected)])
-                flat = np.fromiter(chain.from_iterable(expected), np.int32, int(ends[-1]))
+                flat = np.frombuffer(b"".join(packed), np.int32)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0),
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),

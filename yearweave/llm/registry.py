@@ -67,3 +67,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import toxicity
 
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash_groups import simhash_groups
+
+    return simhash_groups(table(spark, sf_dir, "documents"))

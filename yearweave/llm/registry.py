@@ -74,3 +74,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash_groups import simhash_groups
 
     return simhash_groups(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import decontamination_report
+
+    return decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -81,3 +81,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import decontamination_report
 
     return decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op8_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .hnsw_search import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), 20, lambda vec_id: vec_id % 20 == 0)

@@ -24,7 +24,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     survives the loss of any executor, keeps column pruning, and is split by file size again."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/stage-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -88,3 +88,10 @@ def op8_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .hnsw_search import nearest
 
     return nearest(table(spark, sf_dir, "embeddings"), 20, lambda vec_id: vec_id % 20 == 0)
+
+
+@_query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import removal_digest, without_repeats
+
+    return removal_digest(without_repeats(table(spark, sf_dir, "documents")))

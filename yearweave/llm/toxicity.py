@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,7 +25,7 @@ from .common import text_or_empty
 
 FEATURES = 1 << 18
 #: Bound of the training sample: labelled rows of each class, and bytes of the longest text in it.
-TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_TEXT_BYTES = 2500, 5000, 1 << 18
+TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_TEXT_BYTES = 1800, 3000, 1 << 17
 EPOCHS, LEARNING_RATE, DECAY = 150, 0.1, 2e-6
 _REMEMBERED_WORDS = 600_000
 
@@ -55,20 +56,25 @@ def train(texts: list[str], toxic: np.ndarray, sample_weight: np.ndarray) -> Sen
     if len(set(toxic.tolist())) < 2:
         return model
     vocabulary: dict[str, int] = {}
-    sentence_of, word_at, document_of = [], [], []
+    sentence_of, word_at, document_of = array("q"), array("q"), array("q")
     for d, text in enumerate(texts):
         for m in _sentences(text.lower()):
             words = _words(m.group())
             if words:
-                word_at += [vocabulary.setdefault(w, len(vocabulary)) for w in words]
-                sentence_of += [len(document_of)] * len(words)
+                word_at.extend(vocabulary.setdefault(w, len(vocabulary)) for w in words)
+                sentence_of.extend([len(document_of)] * len(words))
                 document_of.append(d)
-    features = [word_features(w) for w in vocabulary]
-    sizes = np.array([len(f) for f in features])
-    owner, feature = np.repeat(np.arange(len(features)), sizes), np.concatenate(features)
+    flat, sizes = array("q"), array("q")
+    for w in vocabulary:
+        grams = word_features(w)
+        flat.extend(grams)
+        sizes.append(len(grams))
+    n_words, n_sentences, n_docs = len(vocabulary), len(document_of), len(texts)
+    del vocabulary
+    sizes, feature = np.array(sizes), np.array(flat)
+    owner = np.repeat(np.arange(n_words), sizes)
     share = (1.0 / sizes)[owner]
     sentence_of, word_at, document_of = map(np.array, (sentence_of, word_at, document_of))
-    n_words, n_sentences, n_docs = len(features), len(document_of), len(texts)
     sample_weight = sample_weight / sample_weight.sum()
     bias = -4.0
     moments = [[np.zeros(FEATURES), np.zeros(FEATURES)], [0.0, 0.0]]

@@ -9,6 +9,7 @@ together, and last by id hash, so that one large group of copies can still be cu
 
 from __future__ import annotations
 
+import json
 import math
 from dataclasses import dataclass
 
@@ -102,8 +103,14 @@ def _key() -> Column:
 
 
 def _table(df: DataFrame, nodes: list[_Node], *fields: str) -> DataFrame:
-    schema = "shard int, " + ", ".join(f"{f} long" if f == "low" else f"{f} int" for f in fields)
-    return df.sparkSession.createDataFrame([(n.first, *[getattr(n, f) for f in fields]) for n in nodes], schema)
+    rows = [{"shard": n.first, **{f: getattr(n, f) for f in fields}} for n in nodes]
+    return _rows(df, rows, "shard int, " + ", ".join(f"{f} long" if f in ("low", "high") else f"{f} int" for f in fields))
+
+
+def _rows(df: DataFrame, rows: list[dict], schema: str) -> DataFrame:
+    """A small table from driver values, made by a JVM expression (a local list would start Python workers)."""
+    kind = "array<struct<" + schema.replace(" ", ":").replace(",:", ",") + ">>"
+    return df.sparkSession.range(1, numPartitions=1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), kind)))
 
 
 def _choose_dimensions(placed: DataFrame, nodes: list[_Node], n_dims: int) -> None:
@@ -123,9 +130,9 @@ def _choose_dimensions(placed: DataFrame, nodes: list[_Node], n_dims: int) -> No
 def _refine(keyed: DataFrame, nodes: list[_Node]) -> None:
     """One look closer: the bin of each node's key range in which its median lies."""
     step = max(1, min(10, (HISTOGRAM_ROWS // len(nodes)).bit_length() - 1))
-    ranges = keyed.sparkSession.createDataFrame(
-        [(n.first, n.low, n.low + (1 << n.bits), max(0, n.bits - step)) for n in nodes],
-        "shard int, __low long, __high long, __shift int")
+    ranges = _rows(keyed, [
+        {"shard": n.first, "__low": n.low, "__high": n.low + (1 << n.bits), "__shift": max(0, n.bits - step)}
+        for n in nodes], "shard int, __low long, __high long, __shift int")
     histogram = (
         keyed.join(F.broadcast(ranges), "shard")
         .filter((F.col("__key") >= F.col("__low")) & (F.col("__key") < F.col("__high")))

@@ -95,3 +95,10 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .suffix_dedup import removal_digest, without_repeats
 
     return removal_digest(without_repeats(table(spark, sf_dir, "documents")))
+
+
+@_query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import line_report
+
+    return line_report(table(spark, sf_dir, "documents"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 
@@ -102,3 +103,37 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import line_report
 
     return line_report(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .tool_chat import linked_chat
+
+    return linked_chat(table(spark, sf_dir, "conversations")).select(
+        "conv_id", "call_id", "turn", "level", "name", "n_results", F.array_join("errors", "; ").alias("errors"), "message")
+
+
+ORACLE_SQL["op5_tool_calls"] = """
+WITH u AS (SELECT DISTINCT conv_id, turn, text FROM conversations WHERE role = 'user'),
+c AS (
+  SELECT u.conv_id, 'turn-' || u.turn AS call_id, u.turn, u.text, p.turn IS NOT NULL AS follows,
+    count(*) OVER (PARTITION BY u.conv_id, u.turn) AS n_calls
+  FROM u LEFT JOIN (SELECT DISTINCT conv_id, turn FROM u) p ON p.conv_id = u.conv_id AND p.turn = u.turn - 2
+), r AS (
+  SELECT conv_id, 'turn-' || (turn - 1) AS call_id, min(turn) AS turn, count(*) AS n_results, min(text) AS content
+  FROM conversations WHERE role = 'assistant' GROUP BY ALL
+)
+SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id) AS call_id,
+  coalesce(c.turn, r.turn) AS turn, CASE WHEN c.turn IS NOT NULL THEN 0 END AS level,
+  CASE WHEN c.turn IS NOT NULL THEN 'reply' END AS name, coalesce(n_results, 0) AS n_results,
+  CASE WHEN c.turn IS NULL THEN 'result without a call' ELSE concat_ws('; ',
+    CASE WHEN text IS NULL THEN 'missing text' END, CASE WHEN n_calls > 1 THEN 'identifier used twice' END,
+    CASE WHEN r.turn IS NULL THEN 'no result' END) END AS errors,
+  '{"arguments":' || CASE WHEN c.turn IS NULL THEN 'null' ELSE '{'
+      || CASE WHEN follows THEN '"after":"${turn-' || (c.turn - 2) || '}",' ELSE '' END
+      || CASE WHEN text IS NOT NULL THEN '"text":' || to_json(text)::VARCHAR || ',' ELSE '' END || '"turn":' || c.turn || '}' END
+    || ',"id":' || to_json(coalesce(c.call_id, r.call_id))::VARCHAR
+    || ',"name":' || CASE WHEN c.turn IS NULL THEN 'null' ELSE '"reply"' END
+    || ',"result":' || coalesce(to_json(content)::VARCHAR, 'null') || '}' AS message
+FROM c FULL JOIN r ON c.conv_id = r.conv_id AND c.call_id = r.call_id
+"""

@@ -173,7 +173,7 @@ def line_report(docs: DataFrame) -> DataFrame:
 
 def without_repeated_lines(docs: DataFrame) -> DataFrame:
     """The documents without the lines to drop; ``n_chars`` follows the text. A document that loses all its
-    lines is a copy and goes; one that was empty before stays."""
+    lines of MIN_CHARS or more is a copy and goes; one without a line to drop stays as it is."""
     text = text_or_empty("text")
     removed = repeated_lines(docs).select(F.col("doc_id").alias("__doc_id"), F.col("th").alias("__th"), F.col("no").alias("__no"))
     rows = docs.withColumn("__key", F.xxhash64(text))
@@ -182,7 +182,8 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__no"))
     new = F.when(F.col("__no").isNull(), F.col("text")).otherwise(
         F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
-    out = joined.withColumn("__new", new).filter(F.col("__no").isNull() | (F.trim("__new") != ""))
+    left = F.exists(F.split("__new", "\n", -1), lambda line: F.char_length(line) >= MIN_CHARS)
+    out = joined.withColumn("__new", new).filter(F.col("__no").isNull() | left)
     values = {"text": F.col("__new"), "n_chars": F.char_length("__new").cast(docs.schema["n_chars"].dataType)} if (
         "n_chars" in docs.columns) else {"text": F.col("__new")}
     return out.select(*[values.get(c, F.col(c)).alias(c) for c in docs.columns])

@@ -5,7 +5,8 @@ score: the share of an item's weight that the passage covers. Terms of an item c
 their document frequency; those before the pivot, whose weights together stay under the threshold,
 cannot lift an item over it alone and need no postings. Items lie in blocks. A passage sums the block
 maxima of the postings it meets and the block's largest weight before the pivot; only blocks that can
-reach the threshold are opened, and their items are scored in full. Every item at or over the threshold
+reach the threshold are opened. There each item has a bound of its own, and what still can reach the
+threshold is scored in full. Every item at or over the threshold
 is then verified by the overlap of five-word shingles with its question and its answer.
 """
 
@@ -55,10 +56,14 @@ class Index:
     """Postings after the pivot by block, and the items for full scores and verification."""
 
     terms: dict[str, int] = field(default_factory=dict)
-    starts: np.ndarray = None  # of a term's postings
+    starts: np.ndarray = None  # of a term's postings by block
     blocks: np.ndarray = None
     maxima: np.ndarray = None
     rest: np.ndarray = None  # of a block: the largest weight before the pivot
+    item_starts: np.ndarray = None  # of a term's postings by item
+    items: np.ndarray = None
+    impacts: np.ndarray = None
+    item_rest: np.ndarray = None
     weights: list[dict[int, float]] = field(default_factory=list)
     ids: list[int] = field(default_factory=list)
     question: list[set[str]] = field(default_factory=list)
@@ -70,7 +75,9 @@ def build_index(items: list[tuple[int, str, dict[str, float], dict[str, int]]],
     """``items``: id, text, the terms' weights as shares of the item's own score, and their document frequencies."""
     index = Index()
     postings: dict[int, dict[int, float]] = {}
+    by_item: dict[int, list[tuple[int, float]]] = {}
     rest: Counter = Counter()
+    item_rest = []
     for i, (item_id, text, shares, frequency) in enumerate(items):
         block, before = i // BLOCK_ITEMS, 0.0
         index.ids.append(item_id)
@@ -87,19 +94,33 @@ def build_index(items: list[tuple[int, str, dict[str, float], dict[str, int]]],
             if after_pivot:
                 at = postings.setdefault(t, {})
                 at[block] = max(at.get(block, 0.0), shares[term])
+                by_item.setdefault(t, []).append((i, shares[term]))
             else:
                 before += shares[term]
         rest[block] = max(rest[block], before)
+        item_rest.append(before)
         index.weights.append(weights)
     n_blocks = (len(items) + BLOCK_ITEMS - 1) // BLOCK_ITEMS
     index.rest = np.array([rest[b] for b in range(n_blocks)])
-    lists = [sorted(postings.get(t, {}).items()) for t in range(len(index.terms))]
-    index.starts = np.cumsum([0, *map(len, lists)])
-    index.blocks = np.array([b for one in lists for b, _ in one], np.int64)
-    index.maxima = np.array([m for one in lists for _, m in one])
+    index.item_rest = np.array(item_rest)
+
+    def flat(lists: list[list[tuple[int, float]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return (np.cumsum([0, *map(len, lists)]), np.array([k for one in lists for k, _ in one], np.int64),
+                np.array([v for one in lists for _, v in one]))
+
+    n = len(index.terms)
+    index.starts, index.blocks, index.maxima = flat([sorted(postings.get(t, {}).items()) for t in range(n)])
+    index.item_starts, index.items, index.impacts = flat([by_item.get(t, []) for t in range(n)])
     return index
 
 
+def _met(starts: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For the terms' postings one after another: which of the terms, and where the posting is."""
+    size = starts[term + 1] - starts[term]
+    return np.repeat(np.arange(len(term)), size), (
+        np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(starts[term], size))
+
+
 def matches(index: Index, texts: list[str], threshold: float, overlap: float) -> list[list[tuple[int, float, float, float]]]:
     """For each whole text: (item id, score, question overlap, answer overlap) of every verified item."""
     found: list[dict[int, tuple]] = [{} for _ in texts]
@@ -127,30 +148,35 @@ def matches(index: Index, texts: list[str], threshold: float, overlap: float) ->
     if not len(pairs):
         return [[] for _ in texts]
     p, t = np.divmod(pairs, n_terms)
-    size = index.starts[t + 1] - index.starts[t]
-    at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(index.starts[t], size)
-    cell, inverse = np.unique(np.repeat(p, size) * n_blocks + index.blocks[at], return_inverse=True)
+    which, at = _met(index.starts, t)
+    cell, inverse = np.unique(p[which] * n_blocks + index.blocks[at], return_inverse=True)
     bound = np.bincount(inverse, index.maxima[at])
     opened = cell[bound + index.rest[cell % n_blocks] >= threshold - 1e-9]
-    for p in np.unique(opened // n_blocks).tolist():
-        d = int(np.searchsorted(first, p, "right") - 1)
-        begin = (p - int(first[d])) * stride
-        words = documents[d][begin:begin + 2 * stride]
-        terms = {get(w) for w in words}
-        shingles = None
-        for block in (opened[np.searchsorted(opened, p * n_blocks):np.searchsorted(opened, (p + 1) * n_blocks)] % n_blocks).tolist():
-            for i in range(block * BLOCK_ITEMS, min((block + 1) * BLOCK_ITEMS, len(index.ids))):
-                score = sum(w for t, w in index.weights[i].items() if t in terms)
-                if not index.weights[i] or score < threshold - 1e-9:
-                    continue
-                if shingles is None:
-                    shingles = {n: _shingles(words, n) for n in range(1, SHINGLE_WORDS + 1)}
-                question, answer = (_share(part, shingles) for part in (index.question[i], index.answer[i]))
-                n_q, n_a = len(index.question[i]), len(index.answer[i])
-                if (question * n_q + answer * n_a) / max(1, n_q + n_a) >= overlap:
-                    best = found[d].get(i)
-                    if best is None or score > best[1]:
-                        found[d][i] = (index.ids[i], min(1.0, score), question, answer)
+    which, at = _met(index.item_starts, t)
+    inside = np.isin(p[which] * n_blocks + index.items[at] // BLOCK_ITEMS, opened)
+    which, at = which[inside], at[inside]
+    n_items = len(index.ids)
+    cell, inverse = np.unique(p[which] * n_items + index.items[at], return_inverse=True)
+    bound = np.bincount(inverse, index.impacts[at], len(cell))
+    cell = cell[bound + index.item_rest[cell % n_items] >= threshold - 1e-9]
+    last, terms, shingles = -1, set(), None
+    for p, i in zip((cell // n_items).tolist(), (cell % n_items).tolist()):
+        if p != last:
+            d = int(np.searchsorted(first, p, "right") - 1)
+            begin = (p - int(first[d])) * stride
+            words = documents[d][begin:begin + 2 * stride]
+            last, terms, shingles = p, {get(w) for w in words}, None
+        score = sum(w for t, w in index.weights[i].items() if t in terms)
+        if score < threshold - 1e-9:
+            continue
+        if shingles is None:
+            shingles = {n: _shingles(words, n) for n in range(1, SHINGLE_WORDS + 1)}
+        question, answer = (_share(part, shingles) for part in (index.question[i], index.answer[i]))
+        n_q, n_a = len(index.question[i]), len(index.answer[i])
+        if (question * n_q + answer * n_a) / max(1, n_q + n_a) >= overlap:
+            best = found[d].get(i)
+            if best is None or score > best[1]:
+                found[d][i] = (index.ids[i], min(1.0, score), question, answer)
     return [[f[i] for i in sorted(f)] for f in found]
 
 

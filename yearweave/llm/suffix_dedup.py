@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from .common import stage, text_or_empty
 
 LENGTH, ANCHOR = 200, 32
-#: Different segments of one anchor that go to one task; bytes of segments that are expanded together.
-ANCHOR_SEGMENTS, TOGETHER_BYTES = 1024, 1 << 19
+#: Different segments of one key that go to one task; bytes of segments that are expanded together.
+KEY_SEGMENTS, TOGETHER_BYTES = 1024, 1 << 17
 #: Windows that are hashed at a time, whatever the length of a text.
 PIECE = 1 << 20
 
@@ -66,7 +66,7 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 def segments(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, ...]:
-    """Start, number of windows, anchor hash and content hash of each segment of a text."""
+    """Start, number of windows, place of the anchor, anchor hash and content hash of each segment of a text."""
     out = []
     for at in range(0, max(0, len(text) - length + 1), PIECE):
         data = np.frombuffer(text, np.uint8, count=min(len(text) - at, PIECE + length - 1), offset=at)
@@ -78,10 +78,10 @@ def segments(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, ...]:
         sums = np.append(np.uint64(0), np.cumsum(_BYTE[data] * _powers(_BASE, len(data)), dtype=np.uint64))
         content = (sums[start + count + length - 1] - sums[start]) * _powers(_INVERSE, len(data))[start]
         out.append((
-            start + at, count, _mixed(grams[anchor_at[start].astype(np.int64)]).view(np.int64),
+            start + at, count, anchor_at[start].astype(np.int64) - start, _mixed(grams[anchor_at[start].astype(np.int64)]).view(np.int64),
             _mixed(content + count.astype(np.uint64) * _MIX).view(np.int64)))
     if not out:
-        return tuple(np.zeros(0, np.int64) for _ in range(4))
+        return tuple(np.zeros(0, np.int64) for _ in range(5))
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
@@ -163,77 +163,97 @@ def _segment_rows(docs: DataFrame, length: int) -> DataFrame:
             found = [segments(t, length) for t in texts]
             counts = [len(f[0]) for f in found]
             row = np.repeat(np.arange(len(texts)), counts)
-            start, count, anchor, content = (np.concatenate([f[i] for f in found]) for i in range(4))
+            start, count, place, anchor, content = (np.concatenate([f[i] for f in found]) for i in range(5))
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)), pa.array(start, pa.int64()),
-                pa.array(count, pa.int32()), pa.array(anchor), pa.array(content)],
-                names=["doc_id", "th", "start", "windows", "anchor", "content"])
+                pa.array(count, pa.int16()), pa.array(place, pa.int16()), pa.array(anchor), pa.array(content)],
+                names=["doc_id", "th", "start", "windows", "place", "anchor", "content"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.filter(F.octet_length("body") >= length).mapInArrow(
-        run, f"doc_id {kind}, th long, start long, windows int, anchor long, content long")
+        run, f"doc_id {kind}, th long, start long, windows short, place short, anchor long, content long")
+
+
+def _halves(rows: DataFrame, length: int) -> DataFrame:
+    """Each row's windows in two families by the anchor's place in a window, in ``low`` to ``high``.
+
+    ``place`` is the anchor's in the segment, ``shift`` that of the first window, ``body`` the windows'
+    bytes. ``key`` is the hash of what all windows of the family hold, ``s1`` and ``s2`` that of the new body."""
+    mid = F.floor((F.col("low") + F.col("high")) / 2).cast("int")
+    family = F.explode(F.array(F.struct(F.col("low").alias("l"), mid.alias("h")), F.struct((mid + 1).alias("l"), F.col("high").alias("h"))))
+    most = F.least("f.h", F.col("place") - F.col("shift"))
+    least = F.greatest("f.l", F.col("place") - F.col("shift") - F.col("windows") + 1)
+    split = rows.select("*", family.alias("f")).filter("f.l <= f.h").select(
+        "anchor", "content", "place", F.col("f.l").alias("low"), F.col("f.h").alias("high"), "body",
+        F.col("shift").alias("was"), (F.col("place") - most).alias("shift"), (most - least + 1).alias("windows")).filter("windows > 0")
+    split = split.withColumn("body", F.substring("body", F.col("shift") - F.col("was") + 1, F.col("windows") + (length - 1))).drop("was")
+    held = F.substring("body", F.col("place") - F.col("low") - F.col("shift") + 1, length - (F.col("high") - F.col("low")))
+    return split.select(
+        "*", F.xxhash64("low", "high", held).alias("key"), F.xxhash64("body").alias("s1"), F.xxhash64(F.lit(2), "body").alias("s2"))
 
 
 def _expanded(dealt: DataFrame, length: int) -> DataFrame:
-    """Repeated window ranges of each segment, anchors dealt out and met in order within a task."""
+    """Repeated window ranges of each segment; keys are dealt out and met in order within a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("low", pa.int32()), ("high", pa.int32())]))
-        held: dict[tuple[int, int], bytes] = {}
+        held: list[tuple[int, int, int, bytes]] = []
         size = 0
 
         def settled() -> pa.RecordBatch:
-            flags = repeated_starts(list(held.values()), length)
-            keys, found, at = [], [], 0
-            for key, body in held.items():
+            flags = repeated_starts([h[3] for h in held], length)
+            out, at = [], 0
+            for anchor, content, shift, body in held:
                 low, high = _ranges(flags[at:at + len(body) - length + 1])
                 at += len(body) + 1
-                if low:
-                    keys.append(key)
-                    found.append([{"low": a, "high": b} for a, b in zip(low, high)])
-            return pa.RecordBatch.from_arrays([
-                pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
-                pa.array(found, kind)], names=["anchor", "content", "ranges"])
+                out += [(anchor, content, shift + a, shift + b) for a, b in zip(low, high)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([o[i] for o in out], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))],
+                names=["anchor", "content", "low", "high"])
 
         last = None
         for batch in batches:
-            for anchor, content, body in zip(*(c.to_pylist() for c in batch.columns)):
-                if size > TOGETHER_BYTES and anchor != last:
+            for key, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if size > TOGETHER_BYTES and key != last:
                     yield settled()
                     held.clear()
                     size = 0
-                if (anchor, content) not in held:
-                    held[anchor, content] = body
-                    size += len(body)
-                last = anchor
+                held.append(tuple(row))
+                size += len(row[3])
+                last = key
         if held:
             yield settled()
 
-    return dealt.select("anchor", "content", "body").mapInArrow(
-        run, "anchor long, content long, ranges array<struct<low:int,high:int>>")
-
-
-def _by_window(bodies: DataFrame, length: int) -> DataFrame:
-    """The same for anchors of very many segments: windows as rows of two content hashes, counted."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for anchor, content, body in zip(*(c.to_pylist() for c in batch.columns)):
-                data = np.frombuffer(body, np.uint8)
-                n = len(data) - length + 1
-                hashes = []
-                for table in (_BYTE, _mixed(_BYTE)):
-                    sums = np.append(np.uint64(0), np.cumsum(table[data] * _powers(_BASE, len(data)), dtype=np.uint64))
-                    hashes.append(_mixed((sums[length:] - sums[:-length]) * _powers(_INVERSE, n)).view(np.int64))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(n, anchor, np.int64)), pa.array(np.full(n, content, np.int64)),
-                    pa.array(np.arange(n, dtype=np.int32)), *map(pa.array, hashes)], names=["anchor", "content", "low", "h1", "h2"])
-
-    windows = bodies.select("anchor", "content", "body").mapInArrow(
-        run, "anchor long, content long, low int, h1 long, h2 long")
-    repeated = windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").select("h1", "h2")
-    return windows.join(repeated, ["h1", "h2"], "left_semi").groupBy("anchor", "content").agg(
-        F.collect_list(F.struct("low", (F.col("low") + 1).alias("high"))).alias("ranges"))
+    return dealt.select("key", "anchor", "content", "shift", "body").mapInArrow(
+        run, "anchor long, content long, low int, high int")
+
+
+def _repeated_ranges(bodies: DataFrame, length: int) -> DataFrame:
+    """anchor, content, low, high: the windows of different segments of one anchor that repeat."""
+    found = []
+    rows = bodies.select("*", F.lit(0).alias("low"), F.lit(length - ANCHOR).alias("high"), F.lit(0).alias("shift"))
+    while True:
+        rows = stage(_halves(rows, length), "halves")
+        keys = rows.groupBy("key").agg(F.count("*").alias("n"), *[
+            f(c).alias(f"{n}_{c}") for c in ("s1", "s2") for n, f in (("least", F.min), ("most", F.max))]).filter("n > 1")
+        live = rows.join(keys, "key").withColumn("alike", F.expr("least_s1 = most_s1 AND least_s2 = most_s2"))
+        live = stage(live.drop("least_s1", "most_s1", "least_s2", "most_s2"), "live-halves")
+        whole = lambda df: df.select("anchor", "content", F.col("shift").alias("low"), (F.col("shift") + F.col("windows")).alias("high"))
+        rest = live.filter("NOT alike")
+        others = [c for c in rows.columns if c not in ("key", "s1", "s2")]
+        different = stage(rest.groupBy("key", "s1", "s2").agg(
+            *[F.first(c).alias(c) for c in others], F.count("*").alias("copies")), "different-halves")
+        repeated = different.filter("copies > 1").select("key", "s1", "s2")
+        crowded = different.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > KEY_SEGMENTS).select("key")
+        few = different.join(crowded, "key", "left_anti")
+        found += [
+            whole(live.filter("alike")), whole(rest.join(repeated, ["key", "s1", "s2"], "left_semi")),
+            stage(_expanded(few.repartition("key").sortWithinPartitions("key"), length), "ranges")]
+        rows = different.join(crowded, "key", "left_semi").select(*others)
+        if crowded.isEmpty():
+            out = found[0]
+            for more in found[1:]:
+                out = out.unionByName(more)
+            return out
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -251,27 +271,21 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     anchors = found.groupBy("anchor").agg(
         F.count("*").alias("n"), F.min("content").alias("least"), F.max("content").alias("most")).filter("n > 1")
     live = stage(found.join(anchors, "anchor").select(
-        "doc_id", "th", "start", "windows", "anchor", "content", (F.col("least") == F.col("most")).alias("alike")), "live")
-    different = live.filter(~F.col("alike")).groupBy("anchor", "content").agg(
-        *[F.first(c).alias(c) for c in ("doc_id", "th", "start", "windows")], F.count("*").alias("copies"))
-    different = stage(different, "different")
-    crowded = different.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > ANCHOR_SEGMENTS).select(
-        "anchor", F.lit(True).alias("crowded"))
-    one = different.join(crowded, "anchor", "left")
+        "doc_id", "th", "start", "windows", "place", "anchor", "content", (F.col("least") == F.col("most")).alias("alike")), "live")
+    different = stage(live.filter(~F.col("alike")).groupBy("anchor", "content").agg(
+        *[F.first(c).alias(c) for c in ("doc_id", "th", "start", "windows", "place")], F.count("*").alias("copies")), "different")
     of_text = lambda other: rows["doc_id"].eqNullSafe(other["doc_id"]) & (rows["th"] == other["th"])
-    bodies = stage(rows.join(one, of_text(one)).select(
-        "anchor", "content", F.coalesce("crowded", F.lit(False)).alias("crowded"),
-        F.substring("body", F.col("start").cast("int") + 1, F.col("windows") + (length - 1)).alias("body")), "bodies")
-    ranges = (
-        _expanded(bodies.filter("NOT crowded").repartition("anchor").sortWithinPartitions("anchor"), length)
-        .unionByName(_by_window(bodies.filter("crowded"), length))
-        .unionByName(different.filter("copies > 1").select(
-            "anchor", "content", F.array(F.struct(F.lit(0).alias("low"), F.col("windows").alias("high"))).alias("ranges"))))
+    # rows that repeat a document give a body each: one of them is enough
+    bodies = stage(rows.join(different, of_text(different)).select(
+        "anchor", "content", F.col("place").cast("int").alias("place"), F.col("windows").cast("int").alias("windows"),
+        F.substring("body", F.col("start").cast("int") + 1, F.col("windows") + (length - 1)).alias("body")
+    ).dropDuplicates(["anchor", "content"]), "bodies")
+    ranges = _repeated_ranges(bodies, length).unionByName(different.filter("copies > 1").select(
+        "anchor", "content", F.lit(0).alias("low"), F.col("windows").cast("int").alias("high")))
     at = lambda window: F.col("start") + window
     whole = live.filter("alike").select("doc_id", "th", at(0).alias("low"), at(F.col("windows") + (length - 1)).alias("high"))
     partly = live.filter("NOT alike").join(ranges, ["anchor", "content"]).select(
-        "doc_id", "th", "start", F.explode("ranges").alias("r")).select(
-        "doc_id", "th", at(F.col("r.low")).alias("low"), at(F.col("r.high") + (length - 1)).alias("high"))
+        "doc_id", "th", at(F.col("low")).alias("low"), at(F.col("high") + (length - 1)).alias("high"))
     covered = stage(whole.unionByName(partly).groupBy("doc_id", "th").agg(
         F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs")), "covered")
     return _cut(rows.join(covered, of_text(covered), "left").select(rows["doc_id"], rows["body"], "lows", "highs"))

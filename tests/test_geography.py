@@ -48,12 +48,12 @@ def test_unknown_and_out_of_state_codes(spark):
 
 
 def test_unmatched_code_raises(spark):
-    with pytest.raises(Exception, match="no match for code '77'"):      # in-plan guard, no extra pass
+    with pytest.raises(Exception, match="no value for code '77'"):      # in-plan guard, no extra pass
         run(spark, file_year=2014, residence_county_wa_code="77")
     cmap = geography.county_map_from_rule(spark)
     df = frame(spark, file_year=2014, residence_county_wa_code="77")
-    with pytest.raises(DataGuardError, match="1 row"):                  # counting guard
-        geography.clean_geography(df, cmap, geography_pairs(), literal_pairs(), on_unmatched="count")
+    with pytest.raises(DataGuardError, match="1 row.* 1 code.*77"):                  # counting guard
+        geography.clean_geography(df, cmap, geography_pairs(), literal_pairs(), on_unmatched="scan")
 
 
 @pytest.mark.parametrize("fips,state,expected", [
@@ -91,7 +91,7 @@ def test_lookup_is_row_preserving_and_reports_unmatched(spark):
     df = spark.createDataFrame([(2014, "01", None), (2014, "09", None), (2018, "09", "keep")], "file_year int, k string, t string")
     out = lookup_before_year(df, "k", "t", cmap, "county_wa_code", "county_fips_code", 2016, on_unmatched="ignore")
     assert [r["t"] for r in out.collect()] == ["001", None, "keep"]
-    rep = unmatched_codes(df, "k", cmap, "county_wa_code", 2016).collect()
+    rep = unmatched_codes(df, "k", cmap, "county_wa_code", "county_fips_code", 2016).collect()
     assert [(r["code"], r["n_rows"]) for r in rep] == [("09", 1)]
 
 

@@ -60,7 +60,7 @@ def test_recode_strategies_agree(spark, rows, mapping):
     cw = spark.createDataFrame([(y, "code", f, None, t, None, False) for (y, f), t in mapping.items()],
                                "file_year int, variable string, from_code string, from_label string, to_code string, to_label string, review_flag boolean")
     by_map = {r["id"]: r["code"] for r in recode.recode(df, cw).collect()}
-    by_join = {r["id"]: r["code"] for r in recode.recode(df, cw, map_max_rows=0).collect()}
+    by_join = {r["id"]: r["code"] for r in recode.recode(df, cw, strategy="join").collect()}
     assert by_map == by_join
 
 

@@ -3,7 +3,7 @@
 from yearweave.functions.bins import AGE_CUTS, bin_by_cuts, bin_labels
 from yearweave.functions.codes import icd10_clean
 from yearweave.functions.dates import (
-    DEFAULT_DATE_FORMATS,
+    DEFAULT_DATE_ORDERS,
     as_date,
     completed_years,
     minus_months_strict,
@@ -11,7 +11,7 @@ from yearweave.functions.dates import (
     year_end,
     year_start,
 )
-from yearweave.functions.logic import all_true, any_true, if_else3, in_set, null_string
+from yearweave.functions.logic import any_true, if_else3, in_set, null_string
 from yearweave.functions.strings import (
     combine_columns,
     extract_or_null,
@@ -30,7 +30,7 @@ from yearweave.functions.strings import (
 )
 
 __all__ = [
-    "AGE_CUTS", "DEFAULT_DATE_FORMATS", "all_true", "any_true", "as_date", "bin_by_cuts", "bin_labels",
+    "AGE_CUTS", "DEFAULT_DATE_ORDERS", "any_true", "as_date", "bin_by_cuts", "bin_labels",
     "combine_columns", "completed_years", "extract_or_null", "icd10_clean", "if_else3", "in_set",
     "keep_if_match", "last_n", "minus_months_strict", "normalize_text", "null_string",
     "nullify_placeholders", "pad_left", "parse_date_multi", "percent_label", "remove_first",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -11,38 +10,30 @@ from pyspark.sql import functions as F
 from yearweave.functions.logic import ColumnOrName, col
 from yearweave.functions.strings import squish
 
-# The accepted date layouts, tried in this order per value
-# (year-month-day without separators, ISO, US month/day/year, day-month-abbrev-year).
-DEFAULT_DATE_FORMATS: tuple[str, ...] = ("yyyyMMdd", "yyyy-M-d", "M/d/yyyy", "ddMMMyyyy")
+# The accepted date orders, tried in this order per value. ``Y`` is a four-digit year, ``m`` and
+# ``d`` one or two digits, ``b`` an English month name or its first three letters. As the reference's parser
+# does, separators in an order stand for any run of other characters between the parts, or none.
+DEFAULT_DATE_ORDERS: tuple[str, ...] = ("Ymd", "mdY", "dbY")
+_PARTS = {"Y": r"(\d{4})", "m": r"(\d{1,2})", "d": r"(\d{1,2})", "b": r"(\p{L}{3,9})"}
+_TWO_DIGITS = {**_PARTS, "m": r"(\d{2})", "d": r"(\d{2})"}
+_MONTHS = "January February March April May June July August September October November December".split()
 
 
-def format_shape(fmt: str) -> str | None:
-    """A permissive regex for values a datetime pattern can parse, or None.
+def _order_patterns(order: str) -> list[str]:
+    """Patterns of an order: digits run together (then two per month and day), or parts set apart.
 
-    Numeric fields become digit runs, text fields (``MMM``, ``EEE``) letter
-    runs, anything quoted or unknown disables the guard. Used to skip
-    ``try_to_date`` on values that cannot match: a failed parse is far more
-    expensive than a regex test.
-    """
-    out, i = ["^"], 0
-    while i < len(fmt):
-        ch = fmt[i]
-        j = i
-        while j < len(fmt) and fmt[j] == ch:
-            j += 1
-        run = j - i
-        if ch in "yMdHhmsSu" and not (ch == "M" and run >= 3):
-            if out[-1] != r"\d+":  # adjacent numeric fields: one digit run
-                out.append(r"\d+")
-        elif ch in "ML" and run >= 3 or ch == "E" or ch == "a":
-            out.append(r"\p{L}+")
-        elif ch.isalpha() or ch == "'":
-            return None
-        else:
-            out.append(re.escape(fmt[i:j]))
-        i = j
-    out.append("$")
-    return "".join(out)
+    Between a digit and a letter nothing need stand."""
+    together = "^" + "".join(_TWO_DIGITS[p] for p in order) + "$"
+    apart = "^" + _PARTS[order[0]]
+    for before, part in zip(order, order[1:]):
+        apart += (r"[^\p{L}\d]*" if "b" in (before, part) else r"[^\p{L}\d]+") + _PARTS[part]
+    return [apart + "$"] if "b" in order else [together, apart + "$"]
+
+
+def _month_number(c: Column) -> Column:
+    """1 to 12 for a full English month name or its first three letters in any case, else NULL."""
+    names = F.create_map(*[F.lit(x) for i, m in enumerate(_MONTHS, 1) for n in {m.lower(), m[:3].lower()} for x in (n, str(i))])
+    return F.try_element_at(names, F.lower(c))
 
 
 def squish_or_null(c: ColumnOrName) -> Column:
@@ -50,20 +41,21 @@ def squish_or_null(c: ColumnOrName) -> Column:
     return F.nullif(squish(c), F.lit(""))
 
 
-def parse_date_multi(c: ColumnOrName, formats: Sequence[str] = DEFAULT_DATE_FORMATS, squished: bool = False) -> Column:
-    """Squish, ``""`` to NULL, then the first format that parses wins.
+def parse_date_multi(c: ColumnOrName, orders: Sequence[str] = DEFAULT_DATE_ORDERS, squished: bool = False) -> Column:
+    """Squish, ``""`` to NULL, then the first order that gives a valid date wins.
 
-    ``try_to_date`` never raises under ANSI mode; a value no format accepts is
-    NULL. Each attempt is guarded by the format's shape regex. Pass
-    ``squished=True`` when ``c`` already is :func:`squish_or_null` output (a
-    staged column), so the squish runs once per value.
+    ``2014/03/05``, ``2014.3.5``, ``2014 03 05``, ``03-05-2018``, ``5Mar2014`` and ``05-MAR-2014`` all parse. A value
+    that no order accepts, or whose day does not exist, is NULL; nothing raises under ANSI mode. A regex stands before
+    each attempt: it is far cheaper than a failed parse. Pass ``squished=True`` when ``c`` already
+    is :func:`squish_or_null` output (a staged column), so the squish runs once per value.
     """
     cleaned = col(c) if squished else squish_or_null(c)
     attempts = []
-    for fmt in formats:
-        shape = format_shape(fmt)
-        attempt = F.try_to_date(cleaned, fmt)
-        attempts.append(F.when(cleaned.rlike(shape), attempt) if shape else attempt)
+    for order in orders:
+        for pattern in _order_patterns(order):
+            part = {p: F.regexp_extract(cleaned, pattern, i) for i, p in enumerate(order, 1)}
+            month = _month_number(part["b"]) if "b" in part else part["m"]
+            attempts.append(F.when(cleaned.rlike(pattern), F.try_to_date(F.concat_ws("-", part["Y"], month, part["d"]), "yyyy-M-d")))
     return F.coalesce(*attempts)
 
 

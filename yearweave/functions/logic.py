@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from functools import reduce
-from operator import and_, or_
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -48,10 +48,5 @@ def any_true(conds: Iterable[Column]) -> Column:
     return reduce(or_, list(conds))
 
 
-def all_true(conds: Iterable[Column]) -> Column:
-    """Kleene AND over several conditions (FALSE wins over NULL)."""
-    return reduce(and_, list(conds))
-
-
 def null_string() -> Column:
     return F.lit(None).cast("string")

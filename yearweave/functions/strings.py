@@ -68,9 +68,9 @@ def extract_or_null(c: ColumnOrName, pattern: str, group: int = 1) -> Column:
 
 
 # A word is a run of letters, marks, digits and underscores, which may be
-# joined by an apostrophe or a period between two such runs ("o'brien",
-# "u.s"). Everything else (spaces, hyphens, brackets) separates words.
-_WORD = r"[\p{L}\p{M}\p{N}_]+(?:['.][\p{L}\p{M}\p{N}_]+)*"
+# joined by an apostrophe (straight or typographic), a period or another
+# mid-word mark of Unicode's word breaking between two such runs ("o'brien", "u.s"). Everything else (spaces, hyphens, brackets) separates words.
+_WORD = r"[\p{L}\p{M}\p{N}_]+(?:['.\u2019\u2018\u2024\uFE52\uFF07\uFF0E:\u00B7\u0387\u05F4\u2027\uFE13\uFE55\uFF1A][\p{L}\p{M}\p{N}_]+)*"
 TITLE_TOKEN_PATTERN = rf"({_WORD}|[^\p{{L}}\p{{M}}\p{{N}}_]+)"
 
 

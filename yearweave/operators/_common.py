@@ -1,27 +1,16 @@
-"""Shared guards: required columns (B11) and size-checked small-table handling."""
+"""Shared guards: required columns (B11), unique keys, and how control tables are applied."""
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-log = logging.getLogger("yearweave")
-
-# Control tables (crosswalks, lookups) at or below this many rows are compiled
-# into literal map expressions: no join, no exchange, one codegen stage.
-MAP_LITERAL_MAX_ROWS = 256
-# Lookups without a year dimension scan one map of all their keys per row; a
-# broadcast hash join was measured cheaper per row from roughly 100-150 entries.
-LOOKUP_MAP_MAX_ROWS = 128
-# Above that and up to these bounds (rows and estimated bytes) a lookup side is
-# broadcast; beyond either the join is left to a shuffle (sort-merge) join.
-BROADCAST_MAX_ROWS = 2_000_000
-BROADCAST_MAX_BYTES = 256 * 1024 * 1024
-# Hard bound on any control table that is brought to the driver.
-DRIVER_TABLE_MAX_ROWS = 200_000
+# How a control table (crosswalk, lookup) is applied; the caller chooses, and both give equal rows.
+# "map": its rows become literal map expressions - no join, no exchange; for tables of some hundred rows.
+# "join": an equi-join whose physical form adaptive execution picks by the sides' run-time sizes.
+STRATEGIES = ("map", "join")
 
 
 class SchemaMismatch(ValueError):
@@ -39,44 +28,27 @@ def require_columns(df: DataFrame, cols: Iterable[str], where: str = "") -> None
         raise SchemaMismatch(f"{prefix}missing column(s): {', '.join(missing)}")
 
 
-def collect_small(df: DataFrame, max_rows: int = DRIVER_TABLE_MAX_ROWS, what: str = "control table"):
-    """Collect a control table after proving its size; refuses anything larger."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise DataGuardError(f"{what} has more than {max_rows} rows; refusing to bring it to the driver")
-    return rows
-
-
-def bounded_count(df: DataFrame, bound: int) -> int:
-    """Row count capped at ``bound + 1`` (cheap size proof for a small side)."""
-    return df.limit(bound + 1).count()
-
-
-def bounded_size(df: DataFrame, max_rows: int) -> tuple[int, int]:
-    """Rows (capped at ``max_rows + 1``) and estimated in-memory bytes of ``df``.
-
-    One bounded job: the byte estimate is the variable-length payload of the
-    string/binary columns plus 8 bytes per field and row (the fixed part of a
-    row), so a few wide text values cannot slip past a row-only bound.
-    """
-    variable = [c for c, t in df.dtypes if t in ("string", "binary")]
-    payload = F.lit(0).cast("long")
-    for c in variable:
-        payload = payload + F.coalesce(F.octet_length(F.col(c)), F.lit(0))
-    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(payload).alias("b")).first()
-    n = int(r["n"])
-    return n, int(r["b"] or 0) + n * 8 * (len(df.columns) + 1)
-
-
-def maybe_broadcast(
-    df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
-) -> DataFrame:
-    """Broadcast hint only behind a checked row and byte bound; otherwise leave it to AQE."""
-    n, size = bounded_size(df, max_rows)
-    if n <= max_rows and size <= max_bytes:
-        return F.broadcast(df)
-    log.warning("lookup side exceeds %d rows or %d bytes; using a shuffle join", max_rows, max_bytes)
-    return df
+def check_strategy(strategy: str) -> None:
+    if strategy not in STRATEGIES:
+        raise ValueError(f"strategy must be one of {', '.join(STRATEGIES)}, not {strategy!r}")
+
+
+def whole_number_text(c: Column) -> Column:
+    """A year or code number as text in one form, whatever its type: 2014, 2014.0 and " 2014" are "2014".
+
+    Text that is no number stays as it is (it matches nothing, and never fails a cast)."""
+    s = F.trim(c.cast("string"))
+    number = s.try_cast("double")
+    return F.when(number == F.floor(number), number.try_cast("bigint").cast("string")).otherwise(s)
+
+
+def sources_by_target(renames: Iterable[tuple[str, str]]) -> dict[str, str]:
+    """``{to_name: from_name}``; two source columns for one canonical name are an error."""
+    out: dict[str, str] = {}
+    for source, target in renames:
+        if out.setdefault(target, source) != source:
+            raise SchemaMismatch(f"rename crosswalk: both {out[target]} and {source} are mapped to {target}")
+    return out
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:

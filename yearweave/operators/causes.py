@@ -12,7 +12,7 @@ from yearweave.functions.codes import icd10_clean
 from yearweave.functions.strings import combine_columns as combine_expr
 
 AXIS_PATTERN = re.compile(r"^record_axis_code_")
-AXIS_2_TO_20 = re.compile(r"^record_axis_code_(?:[2-9]|1[0-9]|20)$")
+AXIS_COLUMNS = range(2, 21)  # the further causes; column 1 repeats the underlying one
 
 
 def clean_cause_codes(df: DataFrame, underlying: str = "underlying_cod_code") -> DataFrame:
@@ -47,5 +47,6 @@ def combine_columns(df: DataFrame, input_cols: Sequence[str], output_col: str, d
 
 def all_cause_codes(df: DataFrame, underlying: str = "underlying_cod_code", output_col: str = "all_cod_code") -> DataFrame:
     """Underlying cause plus axis codes 2-20 joined with ';'."""
-    inputs = [underlying, *[c for c in df.columns if AXIS_2_TO_20.match(c)]]
+    number = {c: c.removeprefix("record_axis_code_") for c in df.columns if AXIS_PATTERN.match(c)}
+    inputs = [underlying, *[c for c, n in number.items() if n.isdigit() and str(int(n)) == n and int(n) in AXIS_COLUMNS]]
     return combine_columns(df, inputs, output_col, ";")

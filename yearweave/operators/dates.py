@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from yearweave.functions.dates import (
-    DEFAULT_DATE_FORMATS,
+    DEFAULT_DATE_ORDERS,
     completed_years,
     minus_months_strict,
     parse_date_multi,
@@ -49,7 +49,7 @@ def _today(as_of_date):
     return F.lit(as_of_date)
 
 
-def parse_dates(df: DataFrame, vars: Sequence[str] = DATE_VARS, formats=DEFAULT_DATE_FORMATS, as_of_date=None) -> DataFrame:
+def parse_dates(df: DataFrame, vars: Sequence[str] = DATE_VARS, orders=DEFAULT_DATE_ORDERS, as_of_date=None) -> DataFrame:
     """L1 + L2: add ``<v>_parsed`` for each column: multi-format parse, then
     future dates and years <= 1850 (placeholders such as 9999) to NULL."""
     require_columns(df, vars, "clean_dates")
@@ -57,7 +57,7 @@ def parse_dates(df: DataFrame, vars: Sequence[str] = DATE_VARS, formats=DEFAULT_
     # Two projections: the L2 checks reference the parsed column by name, so
     # the multi-format parse is computed once per value, not once per reference.
     df = df.withColumns({f"{v}_parsed": squish_or_null(v) for v in vars})
-    df = df.withColumns({f"{v}_parsed": parse_date_multi(f"{v}_parsed", formats, squished=True) for v in vars})
+    df = df.withColumns({f"{v}_parsed": parse_date_multi(f"{v}_parsed", orders, squished=True) for v in vars})
     nd = F.lit(None).cast("date")
     out = {}
     for v in vars:
@@ -116,10 +116,10 @@ def replace_parsed(df: DataFrame, vars: Sequence[str] = DATE_VARS) -> DataFrame:
     return df.drop(*vars).withColumnsRenamed({f"{v}_parsed": v for v in vars})
 
 
-def clean_dates(df: DataFrame, vars: Sequence[str] = DATE_VARS, formats=DEFAULT_DATE_FORMATS, as_of_date=None,
+def clean_dates(df: DataFrame, vars: Sequence[str] = DATE_VARS, orders=DEFAULT_DATE_ORDERS, as_of_date=None,
                 id_cols=("state_file_number", "file_year")) -> Cleaned:
     """Full date cleaning: returns the cleaned frame and the parse-error report."""
-    parsed = parse_dates(df, vars, formats, as_of_date)
+    parsed = parse_dates(df, vars, orders, as_of_date)
     report = date_error_report(parsed, vars, id_cols)
     cleaned = replace_parsed(date_logic(parsed), vars)
     return Cleaned(cleaned, report)

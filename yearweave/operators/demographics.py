@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from yearweave.operators.schema import parse_double
 from yearweave.functions.bins import AGE_CUTS, bin_by_cuts
 from yearweave.functions.logic import any_true, if_else3, in_set, null_string
 
@@ -39,7 +40,7 @@ def clean_age(df: DataFrame) -> DataFrame:
     """Unknown age to NULL, integer age_years capped at 120, four age groupings."""
     unknown = (F.col("age_type") == "9") & (F.col("age") == "999")
     df = df.withColumn("age", if_else3(unknown, null_string(), F.col("age")))
-    years = F.col("age_years").cast("string").try_cast("double").try_cast("int")
+    years = parse_double(F.col("age_years")).try_cast("int")
     df = df.withColumn("age_years", years)
     df = df.withColumn("age_years", if_else3(F.col("age_years") > MAX_AGE_YEARS, F.lit(None).cast("int"), F.col("age_years")))
     return df.withColumns({name: bin_by_cuts("age_years", cuts) for name, cuts in AGE_CUTS.items()})

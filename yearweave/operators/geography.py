@@ -46,7 +46,7 @@ def k2_wa_to_fips(df: DataFrame, county_map: DataFrame, column_pairs: Sequence[t
     """For each (wa_col, fips_col, threshold): FIPS from the WA code before the threshold year."""
     pairs = [LookupPair(wa, fips, int(thr)) for wa, fips, thr in column_pairs]
     return apply_lookup_pairs(df, pairs, county_map, "county_wa_code", "county_fips_code", Y, on_unmatched,
-                              "county_wa_code_to_fips", prefetched)
+                              "county code to FIPS", prefetched)
 
 
 def k3_null_out_of_state(df: DataFrame) -> DataFrame:
@@ -65,7 +65,7 @@ def k4_fips_to_names(df: DataFrame, county_map: DataFrame, literal_pairs: Sequen
     """For each (fips_col, literal_col, threshold): upper-cased county name before the threshold year."""
     pairs = [LookupPair(f, lit, int(thr), F.upper) for f, lit, thr in literal_pairs]
     return apply_lookup_pairs(df, pairs, county_map, "county_fips_code", "county_fips_label", Y, on_unmatched,
-                              "county_fips_to_literals", prefetched)
+                              "county FIPS to name", prefetched)
 
 
 def k5_death_fips_last3(df: DataFrame) -> DataFrame:

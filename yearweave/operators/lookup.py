@@ -6,9 +6,9 @@ with the reference's guards: the lookup must be many-to-one (checked on the
 lookup table itself, O(lookup) instead of counting the fact table) and every
 in-scope non-NULL key must find a non-NULL value (one aggregate for all pairs).
 
-Plan shape: a lookup of at most ``LOOKUP_MAP_MAX_ROWS`` rows compiles to a
-literal map (no join); a larger one is broadcast behind a row-count check,
-and beyond that left to a shuffle join.
+The lookup is prepared once, in Spark: keys and values as text, uniqueness as one
+aggregate. The caller's ``strategy`` applies it, with equal rows: ``"map"`` as a literal map
+(no join), ``"join"`` as an equi-join that adaptive execution broadcasts where it is small.
 """
 
 from __future__ import annotations
@@ -20,14 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from yearweave.operators._common import (
-    BROADCAST_MAX_ROWS,
-    LOOKUP_MAP_MAX_ROWS,
-    DataGuardError,
-    duplicate_keys,
-    maybe_broadcast,
-    require_columns,
-)
+from yearweave.operators._common import DataGuardError, check_strategy, duplicate_keys, require_columns
 
 
 @dataclass(frozen=True)
@@ -39,45 +32,29 @@ class LookupPair:
 
 
 def _check_many_to_one(lookup: DataFrame, key: str, what: str) -> None:
-    dup = duplicate_keys(lookup.select(key), [key]).limit(20).collect()
-    if dup:
-        raise DataGuardError(f"{what}: lookup key '{key}' is not unique: {[r[0] for r in dup]}")
+    n = duplicate_keys(lookup.select(F.col(key).cast("string").alias(key)), [key]).count()
+    if n:
+        raise DataGuardError(f"{what}: {n} value(s) of lookup key {key} are not unique; duplicate_keys() lists them all")
 
 
-def _small_lookup(lookup: DataFrame, key: str, value: str):
-    """The lookup's (key, value) rows when it has at most ``LOOKUP_MAP_MAX_ROWS``
-    rows (one bounded job), else None."""
-    small = lookup.select(F.col(key).cast("string").alias("k"), F.col(value).cast("string").alias("v"))
-    rows = small.limit(LOOKUP_MAP_MAX_ROWS + 1).collect()
-    return rows if len(rows) <= LOOKUP_MAP_MAX_ROWS else None
-
-
-def prefetch_lookup(lookup: DataFrame) -> list[dict] | None:
-    """All rows of a lookup with at most ``LOOKUP_MAP_MAX_ROWS`` rows (one bounded job), else None."""
-    rows = lookup.limit(LOOKUP_MAP_MAX_ROWS + 1).collect()
-    return [r.asDict() for r in rows] if len(rows) <= LOOKUP_MAP_MAX_ROWS else None
+def prefetch_lookup(lookup: DataFrame) -> list[dict]:
+    """All rows of a small lookup as text, cast by Spark, so that several folds with ``strategy="map"`` read it once."""
+    return [r.asDict() for r in lookup.select(*[F.col(c).cast("string").alias(c) for c in lookup.columns]).collect()]
 
 
 def _map_literal(rows) -> Column | None:
     """The collected (k, v) rows as one literal map (non-NULL keys only)."""
-    pairs = [x for r in rows if r["k"] is not None for x in (F.lit(r["k"]), F.lit(r["v"]))]
+    pairs = [x for r in rows if r["k"] is not None for x in (F.lit(r["k"]), F.lit(r["v"]).cast("string"))]
     return F.create_map(*pairs) if pairs else None
 
 
-def _lookup_column(df: DataFrame, key_col: str, lookup: DataFrame, key: str, value: str, alias: str, rows=None,
-                   map_literal: Column | None = None):
-    """Add ``alias`` = lookup value of ``df[key_col]`` (NULL when unmatched)."""
-    if rows is not None:
-        null_key = [r["v"] for r in rows if r["k"] is None]
-        m = map_literal if map_literal is not None else _map_literal(rows)
-        key = F.col(key_col).cast("string")  # map keys are strings; codes may arrive typed
-        mapped = F.try_element_at(m, key) if m is not None else F.lit(None).cast("string")
-        if null_key:
-            mapped = F.when(F.col(key_col).isNull(), F.lit(null_key[0])).otherwise(mapped)
-        return df.withColumn(alias, mapped)
-    small = lookup.select(F.col(key).cast("string").alias(f"{alias}__k"), F.col(value).cast("string").alias(alias))
-    side = maybe_broadcast(small, BROADCAST_MAX_ROWS)
-    return df.join(side, df[key_col].cast("string").eqNullSafe(side[f"{alias}__k"]), "left").drop(f"{alias}__k")
+def _joined(df: DataFrame, key_col: str, keyed: DataFrame, alias: str) -> DataFrame:
+    """Add ``alias`` by an equi-join on text keys. NULL keys match nothing here and are salted by row, so that they
+    spread over the tasks of a shuffle join; the lookup's own NULL key is applied as an expression."""
+    hashable = [c for c, t in df.dtypes if not t.startswith(("map", "array", "struct"))]
+    salt = F.concat(F.lit("\u0000"), F.xxhash64(*[df[c] for c in hashable]).cast("string"))
+    side = keyed.filter("k IS NOT NULL").select(F.col("k").alias(f"{alias}__k"), F.col("v").alias(alias))
+    return df.join(side, F.coalesce(df[key_col].cast("string"), salt) == side[f"{alias}__k"], "left").drop(f"{alias}__k")
 
 
 def apply_lookup_pairs(
@@ -90,63 +67,61 @@ def apply_lookup_pairs(
     on_unmatched: str = "raise",
     what: str = "lookup",
     prefetched: list[dict] | None = None,
+    strategy: str = "map",
 ) -> DataFrame:
     """Fold ``lookup_before_year`` over several column pairs (D7), cumulatively.
 
-    ``prefetched``: the lookup table's rows already on the driver (from
-    :func:`prefetch_lookup`), so several folds over one small code set read it once.
+    ``prefetched``: the lookup's rows from :func:`prefetch_lookup`, for ``strategy="map"``.
 
     Unmatched guard (D6), ``on_unmatched``:
 
-    - ``"raise"`` (default): checked inside the plan. The target column's
-      expression raises on the first in-scope non-NULL code without a value,
-      naming the column and the code. No extra pass over the data; the job
-      that materializes the result fails, so nothing partial is committed.
-    - ``"count"``: one aggregate over the data for all pairs before returning,
-      raising with the number of unmatched rows per column (the reference's
-      message). Costs one extra pass.
-    - ``"ignore"``: no check; use :func:`unmatched_codes` for a full report.
+    - ``"raise"`` (default): a filter on the row that raises on the first in-scope non-NULL code
+      without a value, naming column and code. No extra pass, and no projection, count or later
+      overwrite of the target can prune it; the job that reads the rows fails.
+    - ``"scan"``: one pass per pair before returning; raises with the number of rows and every code.
+    - ``"ignore"``: no check; :func:`unmatched_codes` gives the same list as a table.
     """
-    if on_unmatched not in ("raise", "count", "ignore"):
-        raise ValueError("on_unmatched must be 'raise', 'count' or 'ignore'")
+    if on_unmatched not in ("raise", "scan", "ignore"):
+        raise ValueError("on_unmatched must be 'raise', 'scan' or 'ignore'")
+    check_strategy(strategy)
     require_columns(lookup, [lookup_key, lookup_value], what)
-    if prefetched is not None:
-        rows = [{"k": None if r[lookup_key] is None else str(r[lookup_key]),
-                 "v": None if r[lookup_value] is None else str(r[lookup_value])} for r in prefetched]
-    else:
-        rows = _small_lookup(lookup, lookup_key, lookup_value)
-    if rows is not None:  # many-to-one guard on the collected rows
+    keyed = lookup.select(F.col(lookup_key).cast("string").alias("k"), F.col(lookup_value).cast("string").alias("v"))
+    if strategy == "map":
+        rows = [{"k": r[lookup_key], "v": r[lookup_value]} for r in prefetched] if prefetched is not None else [
+            r.asDict() for r in keyed.collect()]
         keys = [r["k"] for r in rows]
-        dups = sorted({str(k) for k in keys if keys.count(k) > 1})
-        if dups:
-            raise DataGuardError(f"{what}: lookup key '{lookup_key}' is not unique: {dups}")
+        repeated = len(keys) - len(set(keys))
+        if repeated:
+            _check_many_to_one(lookup, lookup_key, what)
+        map_literal = _map_literal(rows)  # built once, shared by all pairs
+        null_key = [r["v"] for r in rows if r["k"] is None]
     else:
         _check_many_to_one(lookup, lookup_key, what)
-    checks = []
-    map_literal = _map_literal(rows) if rows is not None else None  # built once, shared by all pairs
+        null_key = [r["v"] for r in keyed.filter("k IS NULL").collect()]  # unique: one row at most
     for i, p in enumerate(pairs):
         require_columns(df, [year_col, p.key_col, p.target_col], what)
+        if on_unmatched == "scan":
+            found = unmatched_codes(df, p.key_col, lookup, lookup_key, lookup_value, p.year_threshold, year_col).agg(
+                F.sum("n_rows").alias("n"), F.array_sort(F.collect_list("code")).alias("codes")).first()
+            if found["n"]:
+                raise DataGuardError(
+                    f"{what}: {found['n']} row(s) of {p.key_col} hold {len(found['codes'])} code(s) without a value: "
+                    + ", ".join(found["codes"]))
         tmp = f"__lookup_{i}"
-        df = _lookup_column(df, p.key_col, lookup, lookup_key, lookup_value, tmp, rows, map_literal)
+        code = F.col(p.key_col).cast("string")
+        if strategy == "map":
+            df = df.withColumn(tmp, F.try_element_at(map_literal, code) if map_literal is not None else F.lit(None).cast("string"))
+        else:
+            df = _joined(df, p.key_col, keyed, tmp)
+        if null_key:
+            df = df.withColumn(tmp, F.when(F.col(p.key_col).isNull(), F.lit(null_key[0])).otherwise(F.col(tmp)))
         in_scope = F.col(year_col) < F.lit(int(p.year_threshold))
-        bad = in_scope & F.col(p.key_col).isNotNull() & F.col(tmp).isNull()
-        checks.append(p)
-        mapped = p.value_transform(F.col(tmp)) if p.value_transform else F.col(tmp)
-        if on_unmatched == "count":
-            df = df.withColumn(f"__bad_{i}", bad)
-        value = F.when(in_scope, mapped).otherwise(F.col(p.target_col))
         if on_unmatched == "raise":
-            msg = F.concat(F.lit(f"{what}: {p.key_col} has no match for code '"), F.col(p.key_col).cast("string"), F.lit("'"))
-            value = F.when(bad, F.raise_error(msg).cast("string")).otherwise(value)
-        df = df.withColumn(p.target_col, value).drop(tmp)
-    if on_unmatched == "count" and checks:
-        bad_cols = [f"__bad_{i}" for i in range(len(checks))]
-        counts = df.agg(*[F.count_if(F.col(c)).alias(c) for c in bad_cols]).collect()[0]
-        problems = [(p, counts[c]) for p, c in zip(checks, bad_cols) if counts[c]]
-        df = df.drop(*bad_cols)
-        if problems:
-            msg = "; ".join(f"{n} row(s) in {p.key_col} have no match" for p, n in problems)
-            raise DataGuardError(f"{what}: {msg}")
+            bad = in_scope & F.col(p.key_col).isNotNull() & F.col(tmp).isNull()
+            message = F.concat(F.lit(f"{what}: {p.key_col} has no value for code '"), code, F.lit("'"))
+            df = df.filter(F.when(bad, F.raise_error(message).cast("boolean")).otherwise(True))
+        mapped = p.value_transform(F.col(tmp)) if p.value_transform else F.col(tmp)
+        df = df.withColumn(p.target_col, F.when(in_scope, mapped).otherwise(F.col(p.target_col))).drop(tmp)
     return df
 
 
@@ -161,10 +136,11 @@ def lookup_before_year(
     year_col: str = "file_year",
     value_transform: Callable[[Column], Column] | None = None,
     on_unmatched: str = "raise",
+    strategy: str = "map",
 ) -> DataFrame:
     """One pair of :func:`apply_lookup_pairs` (D3; with ``F.upper`` as transform, D4)."""
     pair = LookupPair(key_col, target_col, year_threshold, value_transform)
-    return apply_lookup_pairs(df, [pair], lookup, lookup_key, lookup_value, year_col, on_unmatched)
+    return apply_lookup_pairs(df, [pair], lookup, lookup_key, lookup_value, year_col, on_unmatched, strategy=strategy)
 
 
 def unmatched_codes(
@@ -172,17 +148,19 @@ def unmatched_codes(
     key_col: str,
     lookup: DataFrame,
     lookup_key: str,
+    lookup_value: str,
     year_threshold: int | None = None,
     year_col: str = "file_year",
 ) -> DataFrame:
-    """Report of in-scope non-NULL codes with no lookup row: ``code, n_rows``.
+    """Report of in-scope non-NULL codes without a lookup value: ``code, n_rows``.
 
-    Pre-aggregates per code before the anti join, so the join sees one row per
-    distinct code however skewed the data is.
+    A code whose lookup value is NULL has none, as for the guard. Pre-aggregates per code before
+    the anti join, so the join sees one row per distinct code however skewed the data is.
     """
     scope = F.col(key_col).isNotNull()
     if year_threshold is not None:
         scope = scope & (F.col(year_col) < F.lit(int(year_threshold)))
     codes = df.filter(scope).groupBy(F.col(key_col).cast("string").alias("code")).agg(F.count(F.lit(1)).alias("n_rows"))
-    keys = lookup.select(F.col(lookup_key).cast("string").alias("code")).filter(F.col("code").isNotNull()).distinct()
-    return codes.join(maybe_broadcast(keys), "code", "left_anti")
+    keys = lookup.filter(F.col(lookup_value).isNotNull()).select(F.col(lookup_key).cast("string").alias("code")).filter(
+        F.col("code").isNotNull()).distinct()
+    return codes.join(keys, "code", "left_anti")

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yearweave.functions.strings import pad_left, percent_label
-from yearweave.operators._common import maybe_broadcast
 
 
 def natural_sort_key(variable: Column, prefix: str = "record_axis_code_") -> Column:
@@ -96,6 +95,15 @@ def validate_rules(df: DataFrame, rules: Mapping[str, Column], unique_within: Se
     return out.withColumn("passed", F.col("n_failed") == 0)
 
 
+def column_rules(df: DataFrame, required: Mapping[str, str]) -> DataFrame:
+    """Q7 on the columns themselves: ``column, expected_type, actual_type, passed``, one row per required column.
+
+    Reads the schema only; an absent column has no ``actual_type``."""
+    types = dict(df.dtypes)
+    rows = [(c, t, types.get(c), types.get(c) == t) for c, t in required.items()]
+    return df.sparkSession.createDataFrame(rows, "column string, expected_type string, actual_type string, passed boolean")
+
+
 def data_dictionary(
     df: DataFrame,
     descriptions: DataFrame | None = None,
@@ -103,69 +111,52 @@ def data_dictionary(
     max_unique_values: int = 30,
     truncation_threshold: int = 15,
 ) -> DataFrame:
-    """Q8 (own spec): per column ``varname, data_type, n_rows, n_null, n_distinct,
-    value_counts, min_value, max_value`` (+ ``desc`` from ``descriptions``).
+    """Q8 (own spec): per column ``varname, data_type, n_rows, n_null, n_distinct, value_counts, min_value,
+    max_value``, with ``descriptions`` (varname, desc, source) also ``desc`` and ``source``.
 
-    ``n_distinct`` is exact when the column has at most ``max_unique_values``
-    distinct values (NULL otherwise); for those columns ``value_counts`` lists
-    ``value (count)`` sorted by value, each value cut to ``truncation_threshold``
-    characters; larger domains show ``min_value``/``max_value``. Suppressed
-    columns show no values.
+    ``n_distinct`` is exact. A column of at most ``max_unique_values`` distinct values has ``value_counts``: ``value
+    (count)`` sorted by value, value text cut to ``truncation_threshold`` characters; a larger one has
+    ``min_value`` and ``max_value``, whole. Suppressed columns show no values, nested columns only counts.
 
-    Pass 1: one aggregate with HyperLogLog estimates per column finds the small
-    domains. Pass 2: only those columns are unpivoted and counted per value.
+    Lazy: all columns are unpivoted and counted per value (pre-aggregated, one row per column and
+    value), then per column; extremes come from one typed aggregate. Of several descriptions
+    of a column the texts are joined, in order.
     """
-    spark = df.sparkSession
-    cols = df.columns
-    types = dict(df.dtypes)
-    comparable = {c for c in cols if not types[c].startswith(("array", "map", "struct", "binary"))}
+    cols, types = df.columns, dict(df.dtypes)
+    comparable = [c for c in cols if not types[c].startswith(("array", "map", "struct", "binary", "variant"))]
     aggs = [F.count(F.lit(1)).alias("__n")]
     for i, c in enumerate(cols):
         aggs.append(F.count(F.col(f"`{c}`")).alias(f"nn{i}"))
         if c in comparable:
-            aggs.append(F.approx_count_distinct(F.col(f"`{c}`")).alias(f"ad{i}"))
-            aggs.append(F.min(F.col(f"`{c}`")).cast("string").alias(f"mn{i}"))
-            aggs.append(F.max(F.col(f"`{c}`")).cast("string").alias(f"mx{i}"))
-    stats = df.agg(*aggs).collect()[0]  # one row: O(columns)
-    n = stats["__n"]
-    small = [c for i, c in enumerate(cols) if c in comparable and stats[f"ad{i}"] <= 2 * max_unique_values]
-
-    rows = []
-    exact = {}
-    if small:
-        entries = F.array(*[F.struct(F.lit(c).alias("varname"), F.col(f"`{c}`").cast("string").alias("value")) for c in small])
-        counts = (
-            df.select(F.explode(entries).alias("e")).select("e.*").filter(F.col("value").isNotNull())
-            .groupBy("varname", "value").agg(F.count(F.lit(1)).alias("n"))
-        )
-        per_var = counts.groupBy("varname").agg(
-            F.count(F.lit(1)).alias("k"),
-            # at most 2 * max_unique_values entries per column (HLL-guarded above)
-            F.sort_array(F.collect_list(F.struct("value", "n"))).alias("vals"),
-        ).collect()
-        for r in per_var:
-            exact[r["varname"]] = (r["k"], r["vals"])
-    for i, c in enumerate(cols):
-        nn = stats[f"nn{i}"]
-        k, vals = exact.get(c, (None, None))
-        if c in small and k is None:
-            k, vals = 0, []
-        n_distinct = k if k is not None and k <= max_unique_values else None
-        value_counts = None
-        mn = mx = None
-        if c not in suppress and c in comparable:
-            if n_distinct is not None:
-                value_counts = "; ".join(f"{v['value'][:truncation_threshold]} ({v['n']})" for v in vals)
-            else:
-                mn, mx = stats[f"mn{i}"], stats[f"mx{i}"]
-                mn = mn[:truncation_threshold] if mn is not None else None
-                mx = mx[:truncation_threshold] if mx is not None else None
-        rows.append((c, types[c], n, n - nn, n_distinct, value_counts, mn, mx))
-    out = spark.createDataFrame(
-        rows,
-        "varname string, data_type string, n_rows long, n_null long, n_distinct long, value_counts string, min_value string, max_value string",
-    )
+            aggs += [f(F.col(f"`{c}`")).cast("string").alias(f"{n}{i}") for n, f in (("mn", F.min), ("mx", F.max))]
+    none = F.lit(None).cast("string")
+    entries = [F.struct(
+        F.lit(c).alias("varname"), F.lit(types[c]).alias("data_type"), F.lit(i).alias("place"), F.col("__n").alias("n_rows"),
+        (F.col("__n") - F.col(f"nn{i}")).alias("n_null"),
+        (F.col(f"mn{i}") if c in comparable and c not in suppress else none).alias("mn"),
+        (F.col(f"mx{i}") if c in comparable and c not in suppress else none).alias("mx")) for i, c in enumerate(cols)]
+    columns = df.agg(*aggs).select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    values = F.array(*[F.struct(F.lit(c).alias("varname"), F.col(f"`{c}`").cast("string").alias("value")) for c in comparable])
+    counted = df.select(F.explode(values).alias("e")).select("e.*").filter("value IS NOT NULL").groupBy("varname", "value").agg(
+        F.count(F.lit(1)).alias("n"))
+    sizes = counted.groupBy("varname").agg(F.count(F.lit(1)).alias("n_distinct"))
+    few = sizes.filter(F.col("n_distinct") <= max_unique_values).select("varname")
+    listed = counted.join(few, "varname").groupBy("varname").agg(
+        F.sort_array(F.collect_list(F.struct("value", "n"))).alias("all")).select(  # at most max_unique_values entries
+        "varname", F.array_join(F.transform("all", lambda v: F.concat(
+            F.left(v["value"], F.lit(truncation_threshold)), F.lit(" ("), v["n"].cast("string"), F.lit(")"))), "; ").alias("listed"))
+    out = columns.join(sizes, "varname", "left").join(listed, "varname", "left")
+    is_comparable = F.col("varname").isin(comparable)
+    hidden = F.col("varname").isin(list(suppress)) if suppress else F.lit(False)
+    n_distinct = F.when(is_comparable, F.coalesce("n_distinct", F.lit(0).cast("bigint")))
+    large = n_distinct > max_unique_values
+    out = out.select(
+        "varname", "data_type", "n_rows", "n_null", n_distinct.alias("n_distinct"),
+        F.when(is_comparable & ~hidden & ~large, F.coalesce("listed", F.lit(""))).alias("value_counts"),
+        F.when(large, F.col("mn")).alias("min_value"), F.when(large, F.col("mx")).alias("max_value"))
     if descriptions is not None:
-        desc = descriptions.select("varname", "desc").dropDuplicates(["varname"])
-        out = out.join(maybe_broadcast(desc), "varname", "left")
+        texts = [c for c in ("desc", "source") if c in descriptions.columns]
+        joined = descriptions.groupBy("varname").agg(*[
+            F.array_join(F.array_sort(F.collect_set(c)), "; ").alias(c) for c in texts])  # a control table
+        out = out.join(joined, "varname", "left")
     return out

@@ -5,30 +5,22 @@ to ``from_code`` (NULL matches NULL) becomes ``coalesce(to_code, value)`` - a
 recode to NULL is impossible; variables missing from the data are skipped;
 an ambiguous crosswalk (one ``from_code`` with two ``to_code``) raises.
 
-Plan shape: instead of one join per variable per year, each variable becomes
-one Column expression. Small crosswalks compile to literal maps, one per
-group of years sharing the same codes (no join, no exchange, stays in
-whole-stage codegen).
-Larger ones become a broadcast hash join per variable (size checked); beyond
-the broadcast bound a shuffle join is used.
+The crosswalk is prepared once, in Spark: years, codes and values are compared as
+text in one form, ambiguity is one aggregate. Then the caller's ``strategy``
+applies it. ``"map"``: one Column expression per variable, a literal map per
+group of years sharing the same codes (no join, no exchange). ``"join"``: one
+equi-join per variable on (year, code). Both give equal rows.
 """
 
 from __future__ import annotations
 
 import logging
-from collections import OrderedDict, defaultdict
+from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from yearweave.operators._common import (
-    BROADCAST_MAX_ROWS,
-    DRIVER_TABLE_MAX_ROWS,
-    MAP_LITERAL_MAX_ROWS,
-    collect_small,
-    maybe_broadcast,
-)
-from yearweave.operators._common import DataGuardError
+from yearweave.operators._common import check_strategy, whole_number_text
 from yearweave.operators.crosswalk import validate_recode_crosswalk
 
 log = logging.getLogger("yearweave")
@@ -38,22 +30,17 @@ log = logging.getLogger("yearweave")
 _SALT_PREFIX = "\u0000"
 
 
-def _pairs_by_variable(cw: DataFrame):
-    """Distinct (file_year, from_code, to_code) per variable with a non-NULL to_code.
-
-    NULL ``to_code`` rows are dropped: ``coalesce(NULL, value)`` keeps the value.
-    """
-    small = (
-        cw.filter(F.col("to_code").isNotNull())
-        .select("variable", "file_year", "from_code", "to_code")
-        .distinct()
-    )
-    return small
+def prepared_crosswalk(cw: DataFrame) -> DataFrame:
+    """One row per (file_year, variable, from_code), all text; where codes are ambiguous, the least ``to_code``."""
+    text = cw.select(
+        whole_number_text(F.col("file_year")).alias("file_year"), F.col("variable").cast("string").alias("variable"),
+        F.col("from_code").cast("string").alias("from_code"), F.col("to_code").cast("string").alias("to_code"))
+    return text.groupBy("file_year", "variable", "from_code").agg(F.min("to_code").alias("to_code"))
 
 
-def recode_expression(value: Column, year: Column, pairs, year_as_text: bool = False) -> Column:
+def recode_expression(value: Column, year: Column, pairs) -> Column:
     """``coalesce(mapped, value)``: a literal map per group of years that share
-    the same codes, chosen by an integer test on the year, plus a per-year arm
+    the same codes, chosen by a test on the year, plus a per-year arm
     for the NULL code (map keys cannot be NULL).
 
     Spark looks a key up in a literal map by scanning its entries, so one map
@@ -63,26 +50,25 @@ def recode_expression(value: Column, year: Column, pairs, year_as_text: bool = F
     """
     by_year, null_arm = defaultdict(dict), {}
     for p in pairs:
+        if p["file_year"] is None:
+            continue  # a crosswalk row without a year applies to no row
         if p["from_code"] is None:
-            null_arm[int(p["file_year"])] = p["to_code"]
+            null_arm[p["file_year"]] = p["to_code"]
         else:
-            by_year[int(p["file_year"])][p["from_code"]] = p["to_code"]
+            by_year[p["file_year"]][p["from_code"]] = p["to_code"]
     groups = defaultdict(list)  # identical code mappings share one map
     for y, mapping in sorted(by_year.items()):
         groups[tuple(sorted(mapping.items()))].append(y)
-    def lit_year(y: int):
-        return str(y) if year_as_text else y  # a text year column is compared as text, never cast
-
     mapped = None
     for items, years in groups.items():
-        cond = year == F.lit(lit_year(years[0])) if len(years) == 1 else year.isin([lit_year(y) for y in years])
+        cond = year == F.lit(years[0]) if len(years) == 1 else year.isin(years)
         m = F.create_map(*[F.lit(x) for kv in items for x in kv])
         arm = F.try_element_at(m, value)
         mapped = F.when(cond, arm) if mapped is None else mapped.when(cond, arm)
     if null_arm:
         arm = None
         for y, to in sorted(null_arm.items()):
-            cond = value.isNull() & (year == F.lit(lit_year(y)))
+            cond = value.isNull() & (year == F.lit(y))
             arm = F.when(cond, F.lit(to)) if arm is None else arm.when(cond, F.lit(to))
         mapped = arm if mapped is None else F.coalesce(arm, mapped)
     return value if mapped is None else F.coalesce(mapped, value)
@@ -93,69 +79,54 @@ def recode(
     cw: DataFrame,
     year_col: str = "file_year",
     validate: bool = True,
-    map_max_rows: int = MAP_LITERAL_MAX_ROWS,
+    strategy: str = "map",
 ) -> DataFrame:
     """Recode every crosswalk variable present in ``df`` for all years in one pass.
 
-    The crosswalk is read once: its distinct (year, variable, from, to) rows
-    come to the driver when they fit the bound (checked), where the
-    ambiguity guard and the expressions are built; a larger crosswalk is
-    validated with a distributed aggregate and applied through joins.
+    Recoded variables become text, whatever they were. ``validate=False`` takes the least of
+    several targets of a code instead of raising. ``strategy`` is how, never what: see the module.
     """
-    distinct = cw.select("file_year", "variable", "from_code", "to_code").dropDuplicates()
-    bound = DRIVER_TABLE_MAX_ROWS
-    rows = distinct.limit(bound + 1).collect()
-    grouped = defaultdict(list)
-    if len(rows) <= bound:
-        if validate:
-            seen = defaultdict(set)
-            for r in rows:
-                seen[(r["file_year"], r["variable"], r["from_code"])].add(r["to_code"])
-            bad = sorted(((k, t) for k, t in seen.items() if len(t) > 1), key=lambda kv: str(kv[0]))
-            if bad:
-                sample = ", ".join(f"{v}[{y}]={f!r}" for (y, v, f), _ in bad[:20])
-                raise DataGuardError(f"recode crosswalk maps a from_code to several to_codes: {sample}")
-        for r in rows:
-            if r["to_code"] is not None:  # coalesce(NULL, value) keeps the value
-                grouped[r["variable"]].append(r.asDict())
-        variables = list(OrderedDict((r["variable"], None) for r in rows))
-    else:  # too large to hold on the driver: distributed guard, every variable through a join
-        if validate:
-            validate_recode_crosswalk(cw)
-        variables = [r["variable"] for r in distinct.select("variable").distinct().collect()]
-    pairs = _pairs_by_variable(cw)
+    check_strategy(strategy)
+    if validate:
+        validate_recode_crosswalk(cw)
+    prepared = prepared_crosswalk(cw)
+    if strategy == "map":
+        rows = [r.asDict() for r in prepared.collect()]
+        variables = sorted({r["variable"] for r in rows})
+    else:
+        variables = sorted(r["variable"] for r in prepared.select("variable").distinct().collect())
     present = [v for v in variables if v in df.columns]
     for v in sorted(set(variables) - set(present)):
-        log.info("'%s' not present in data frame; skipping.", v)
+        log.info("recode: no column %s in the data; its crosswalk rows are not used", v)
     if not present:
         return df
-
-    small_vars = [v for v in present if len(rows) <= bound and len(grouped[v]) <= map_max_rows]
-    big_vars = [v for v in present if v not in small_vars]
-    if small_vars:
-        # Variables with a small crosswalk: literal-map expressions, one projection.
-        as_text = dict(df.dtypes)[year_col] == "string"
-        exprs = {v: recode_expression(F.col(v), F.col(year_col), grouped[v], as_text) for v in small_vars}
-        df = df.withColumns(exprs)
-
-    # Large crosswalks: one hash join per variable on (year, code), broadcast behind a size check.
-    # The NULL code (at most one target per year) is applied as an expression; in the join key a
-    # NULL value is replaced by a per-row salt that matches nothing, so NULL-valued rows spread
-    # over all tasks of a shuffle join instead of sharing one hash key.
-    for v in big_vars:
-        var_pairs = pairs.filter(F.col("variable") == v)
-        null_rows = collect_small(var_pairs.filter(F.col("from_code").isNull()).select("file_year", "from_code", "to_code"),
-                                  what="recode NULL-code rows")
-        lk = var_pairs.filter(F.col("from_code").isNotNull()).select(
-            F.col("file_year").alias("__rc_year"), F.col("from_code").alias("__rc_from"), F.col("to_code").alias("__rc_to")
-        )
-        lk = maybe_broadcast(lk, BROADCAST_MAX_ROWS)
-        hashable = [c for c, t in df.dtypes if not t.startswith(("map", "array", "struct"))]
-        salt = F.concat(F.lit(_SALT_PREFIX), F.xxhash64(*[df[c] for c in hashable]).cast("string"))
-        cond = (df[year_col] == lk["__rc_year"]) & (F.coalesce(df[v].cast("string"), salt) == lk["__rc_from"])
-        null_arm = recode_expression(F.lit(None).cast("string"), F.col(year_col), [r.asDict() for r in null_rows],
-                                     dict(df.dtypes)[year_col] == "string")
-        value = F.when(F.col(v).isNull(), null_arm).otherwise(F.coalesce(F.col("__rc_to"), F.col(v))) if null_rows \
-            else F.coalesce(F.col("__rc_to"), F.col(v))
-        df = df.join(lk, cond, "left").withColumn(v, value).drop("__rc_year", "__rc_from", "__rc_to")
-    return df
+    year = whole_number_text(F.col(year_col))
+    text = {v: F.col(v).cast("string") for v in present}
+    pairs = prepared.filter(F.col("to_code").isNotNull())  # coalesce(NULL, value) keeps the value
+    if strategy == "map":
+        of = defaultdict(list)
+        for r in rows:
+            if r["to_code"] is not None:
+                of[r["variable"]].append(r)
+        return df.withColumns({v: recode_expression(text[v], year, of[v]) for v in present})
+
+    # One join per variable on (year, code). The NULL code (at most one target per year and variable) is an
+    # expression; in the join key a NULL value or year is a per-row salt that matches nothing, so such
+    # rows spread over all tasks of a shuffle join instead of sharing one hash key.
+    null_rows = defaultdict(list)
+    for r in pairs.filter(F.col("from_code").isNull()).collect():
+        null_rows[r["variable"]].append(r.asDict())
+    hashable = [c for c, t in df.dtypes if not t.startswith(("map", "array", "struct"))]
+    salt = F.concat(F.lit(_SALT_PREFIX), F.xxhash64(*[df[c] for c in hashable]).cast("string"))
+    df = df.withColumns({"__rc_row_year": F.coalesce(year, salt), "__rc_salt": salt})
+    for v in present:
+        codes = pairs.filter((F.col("variable") == v) & F.col("from_code").isNotNull()).select(
+            F.col("file_year").alias("__rc_year"), F.col("from_code").alias("__rc_from"), F.col("to_code").alias("__rc_to"))
+        key = F.coalesce(df[v].cast("string"), df["__rc_salt"])
+        df = df.join(codes, (df["__rc_row_year"] == codes["__rc_year"]) & (key == codes["__rc_from"]), "left")
+        value = F.coalesce(F.col("__rc_to"), F.col(v).cast("string"))
+        if null_rows[v]:
+            null_code = recode_expression(F.lit(None).cast("string"), F.col("__rc_row_year"), null_rows[v])
+            value = F.when(F.col(v).isNull(), null_code).otherwise(value)
+        df = df.withColumn(v, value).drop("__rc_year", "__rc_from", "__rc_to")
+    return df.drop("__rc_row_year", "__rc_salt")

@@ -15,6 +15,7 @@ from yearweave.functions.logic import if_else3, null_string
 from yearweave.functions.strings import pad_left, remove_first_punct
 from yearweave.operators._common import require_columns
 from yearweave.operators.dates import Cleaned, first_example
+from yearweave.operators.schema import parse_double
 
 # The time columns cleaned (each with _hour and _minutes parts).
 TIME_VARS: tuple[str, ...] = ("time_of_death", "time_of_injury")
@@ -42,8 +43,8 @@ def build_times(df: DataFrame, vars: Sequence[str] = TIME_VARS, time_as: str = "
     limits = {}
     for v in vars:
         h, m = _parts(v)
-        limits[h] = if_else3(F.col(h).try_cast("double") >= 24, null_string(), F.col(h))  # M2
-        limits[m] = if_else3(F.col(m).try_cast("double") >= 60, null_string(), F.col(m))
+        limits[h] = if_else3(parse_double(F.col(h)) >= 24, null_string(), F.col(h))  # M2
+        limits[m] = if_else3(parse_double(F.col(m)) >= 60, null_string(), F.col(m))
     df = df.withColumns(limits)
     df = df.withColumns({c: pad_left(c, 2) for v in vars for c in _parts(v)})           # M3
     prim = {}

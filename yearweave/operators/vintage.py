@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from yearweave.operators._common import DataGuardError, collect_small, require_columns
+from yearweave.operators._common import DataGuardError, require_columns, sources_by_target
 
 log = logging.getLogger("yearweave")
 
@@ -26,8 +26,8 @@ FRONT_COLUMNS = ("vintage_label", "date_harmonized", "source_system", "file_year
 
 
 def crosswalk_rows(cw_long: DataFrame):
-    """The long rename crosswalk on the driver (a control table, size-checked)."""
-    return [r.asDict() for r in collect_small(cw_long, what="rename crosswalk")]
+    """The long rename crosswalk on the driver (a control table: columns times years)."""
+    return [r.asDict() for r in cw_long.collect()]
 
 
 def canonical_columns(rows) -> list[str]:
@@ -44,9 +44,7 @@ def rename_to_canonical(df: DataFrame, renames: Sequence[tuple[str, str]], canon
     """B3-B5 on an already loaded frame: one ``select`` that renames, fills
     absent canonical columns with NULL strings and fixes the order."""
     require_columns(df, [f for f, _ in renames], "rename")
-    by_target = OrderedDict()
-    for f, t in renames:
-        by_target.setdefault(t, f)
+    by_target = sources_by_target(renames)
     return df.select(*[
         (F.col(f"`{by_target[t]}`").alias(t) if t in by_target else F.lit(None).cast("string").alias(t))
         for t in canonical
@@ -100,18 +98,16 @@ def join_literals(stat: DataFrame, lit: DataFrame, keys: Sequence[str] = ("file_
     if null_safe:
         cond = reduce(lambda a, b: a & b, [stat[k].eqNullSafe(r[f"__r_{k}"]) for k in keys])
         return stat.join(r, cond, "left").select(*order)
-    # A NULL key matches nothing, but the shuffle would still hash every
-    # NULL-key row into one partition. String keys that are NULL are replaced
-    # by a per-row salt (a control character, which text normalization removes
-    # from real values, plus a row hash) so those rows spread over all tasks;
-    # the salt is evaluated only for NULL keys.
-    string_keys = {k for k, t in stat.dtypes if t == "string" and k in keys}
+    # A NULL key matches nothing, but the shuffle would still hash every such row into one partition.
+    # A row with a NULL key gets a salt of its own as one more key, which no literals row has: it
+    # spreads such rows over all tasks whatever the keys' types.
     hashable = [c for c, t in stat.dtypes if not t.startswith(("map", "array", "struct"))]
-    salt = F.concat(F.lit("\u0000"), F.xxhash64(*[stat[c] for c in hashable]).cast("string"))
-    cond = reduce(lambda a, b: a & b, [
-        (F.coalesce(stat[k], salt) if k in string_keys else stat[k]) == r[f"__r_{k}"] for k in keys
-    ])
-    return stat.join(r, cond, "left").select(*order)
+    any_null = reduce(lambda a, b: a | b, [stat[k].isNull() for k in keys])
+    salted = stat.withColumn("__salt", F.when(any_null, F.xxhash64(*[stat[c] for c in hashable])))
+    r = r.withColumn("__r_salt", F.lit(None).cast("bigint"))
+    apart = F.coalesce(salted["__salt"], F.lit(0).cast("bigint")) == F.coalesce(r["__r_salt"], F.lit(0).cast("bigint"))
+    cond = reduce(lambda a, b: a & b, [salted[k] == r[f"__r_{k}"] for k in keys], apart)
+    return salted.join(r, cond, "left").select(*order)
 
 
 def null_key_counts(df: DataFrame, keys: Sequence[str] = ("file_year", "state_file_number")) -> DataFrame:
@@ -121,6 +117,13 @@ def null_key_counts(df: DataFrame, keys: Sequence[str] = ("file_year", "state_fi
     return df.filter(any_null).groupBy(*by).agg(F.count(F.lit(1)).alias("n_null_key_rows"))
 
 
+def literal_key_audit(stat: DataFrame, lit: DataFrame, keys: Sequence[str] = ("file_year", "state_file_number")) -> DataFrame:
+    """``side, file_year, n_null_key_rows`` for both sides of the literals join: rows that match nothing."""
+    sides = [null_key_counts(df, keys).select(F.lit(side).alias("side"), "file_year", "n_null_key_rows")
+             for side, df in (("statistical", stat), ("literals", lit))]
+    return sides[0].unionByName(sides[1])
+
+
 def literal_key_duplicates(lit: DataFrame, keys: Sequence[str] = ("file_year", "state_file_number")) -> DataFrame:
-    """Optional audit: literal rows sharing a key (they would multiply statistical rows)."""
+    """Audit: literals keys used by several rows, which multiply statistical rows."""
     return lit.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)

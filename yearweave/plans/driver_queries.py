@@ -28,7 +28,6 @@ from yearweave.functions.strings import (
     zip5_or_null,
 )
 from yearweave.operators import causes, crosswalk, dates, demographics, geography, lookup, projection, quality, recode, schema, times, vintage
-from yearweave.session import spread
 from yearweave.sources.manifest import classify_files, missing_csv, select_vintages
 
 AS_OF = "2026-01-01"
@@ -47,7 +46,7 @@ def register(name: str, sql: str | None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def s(c) -> F.Column:
@@ -95,6 +94,20 @@ def order_vintages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vintage.union_vintages(frames)
 
 
+@register("attach_vintage", f"""
+SELECT CASE WHEN o_orderstatus = 'O' THEN 'OLDSYS_1995' ELSE 'NEWSYS_1996' END AS vintage_label, '{AS_OF}' AS date_harmonized,
+  CASE WHEN o_orderstatus = 'O' THEN 'OLDSYS' ELSE 'NEWSYS' END AS source_system,
+  CAST(CASE WHEN o_orderstatus = 'O' THEN 1995 ELSE 1996 END AS INTEGER) AS file_year, o_orderkey, o_totalprice
+FROM orders
+""")
+def q_attach_vintage(spark, sf_dir):
+    """B6, B7 and H1 through the operators: two frames as two vintages."""
+    o = table(spark, sf_dir, "orders")
+    old, new = (o.filter(c).select("o_orderkey", "o_totalprice") for c in (F.col("o_orderstatus") == "O", F.col("o_orderstatus") != "O"))
+    return vintage.union_vintages([
+        vintage.attach_vintage(old, "OLDSYS_1995", 1995, "OLDSYS", AS_OF), vintage.attach_vintage(new, "NEWSYS_1996", 1996, "NEWSYS", AS_OF)])
+
+
 _VINTAGES_SQL = f"""
 SELECT 'OLDSYS_' || CAST(year(o_orderdate) AS VARCHAR) AS vintage_label, '{AS_OF}' AS date_harmonized,
        'OLDSYS' AS source_system, CAST(year(o_orderdate) AS INTEGER) AS file_year,
@@ -198,11 +211,11 @@ LEFT JOIN (SELECT DISTINCT file_year, from_code, to_code FROM cw WHERE variable
   ON p.file_year = src.file_year AND p.from_code IS NOT DISTINCT FROM src.priority
 """)
 def q_recode_codes_join_path(spark, sf_dir):
-    """Same recode forced through the broadcast-join strategy (large crosswalks)."""
+    """The same recode as joins."""
     o = table(spark, sf_dir, "orders")
     df = o.select("o_orderkey", F.year("o_orderdate").cast("int").alias("file_year"),
                   _status_with_nulls(o).alias("status"), F.col("o_orderpriority").alias("priority"))
-    return recode.recode(df, recode_crosswalk_df(spark), map_max_rows=0)
+    return recode.recode(df, recode_crosswalk_df(spark), strategy="join")
 
 
 # --------------------------------------------------------------------------
@@ -245,13 +258,31 @@ def q_flagged_recode_summary(spark, sf_dir):
 
 @register("recode_ambiguous_codes", f"""
 WITH {_DOC_CW_SQL},
-p AS (SELECT DISTINCT file_year, variable, from_code, to_code FROM doc_cw)
+p AS (SELECT DISTINCT file_year, variable, from_code, CASE WHEN review_flag THEN to_code || '_LONG' ELSE to_code END AS to_code FROM doc_cw)
 SELECT file_year, variable, from_code, CAST(count(*) AS BIGINT) AS n_to_codes
 FROM p GROUP BY file_year, variable, from_code HAVING count(*) > 1
 """)
 def q_recode_ambiguous_codes(spark, sf_dir):
-    """D5 on a recode crosswalk: codes mapped to several targets (none expected here)."""
-    return crosswalk.ambiguous_recodes(documents_recode_crosswalk(spark, sf_dir))
+    """D5 on a recode crosswalk in which long documents map a source to a target of their own."""
+    cw = documents_recode_crosswalk(spark, sf_dir)
+    return crosswalk.ambiguous_recodes(cw.withColumn(
+        "to_code", F.when(F.col("review_flag"), F.concat("to_code", F.lit("_LONG"))).otherwise(F.col("to_code"))))
+
+
+@register("recode_crosswalk_typed", """
+SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS file_year, 'priority' AS variable, o_orderpriority AS from_code,
+  CAST(NULL AS VARCHAR) AS from_label, CAST(o_custkey % 5 AS VARCHAR) AS to_code, CAST(NULL AS VARCHAR) AS to_label,
+  o_orderstatus = 'P' AS review_flag
+FROM orders
+""")
+def q_recode_crosswalk_typed(spark, sf_dir):
+    """B2: a crosswalk with other types, without label columns, and with one column too many."""
+    o = table(spark, sf_dir, "orders")
+    raw = o.select(
+        F.date_format("o_orderdate", "yyyy").alias("file_year"), F.lit("priority").alias("variable"),
+        F.col("o_orderpriority").alias("from_code"), (F.col("o_custkey") % 5).alias("to_code"),
+        (F.col("o_orderstatus") == "P").cast("string").alias("review_flag"), F.lit(1).alias("other")).distinct()
+    return crosswalk.recode_crosswalk(raw)
 
 
 PART_YEARS = [str(y) for y in range(1995, 2002)]
@@ -301,6 +332,36 @@ def q_missing_variable_summary(spark, sf_dir):
 # Joins and lookups.
 # --------------------------------------------------------------------------
 
+@register("null_key_left_join", """
+WITH stat AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_custkey END AS num_key,
+    CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE 'c' || o_custkey END AS text_key FROM orders),
+lit AS (SELECT CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_custkey END AS num_key, 'c' || c_custkey AS text_key, c_name FROM customer)
+SELECT o_orderkey, stat.num_key, stat.text_key, c_name FROM stat LEFT JOIN lit ON stat.num_key = lit.num_key AND stat.text_key = lit.text_key
+""")
+def q_null_key_left_join(spark, sf_dir):
+    """D1 with NULL numeric and text keys on the left and NULL numeric keys on the right: NULL matches nothing."""
+    k, c = F.col("o_orderkey"), F.col("c_custkey")
+    stat = table(spark, sf_dir, "orders").select(
+        k, F.when(k % 3 != 0, F.col("o_custkey")).alias("num_key"),
+        F.when(k % 4 != 0, F.concat(F.lit("c"), s("o_custkey"))).alias("text_key"))
+    lit = table(spark, sf_dir, "customer").select(
+        F.when(c % 5 != 0, c).alias("num_key"), F.concat(F.lit("c"), s("c_custkey")).alias("text_key"), "c_name")
+    return vintage.join_literals(stat, lit, ["num_key", "text_key"])
+
+
+@register("literal_key_audit", """
+WITH k AS (SELECT 'statistical' AS side, CAST(year(o_orderdate) AS INTEGER) AS file_year, o_orderkey % 7 = 0 AS missing FROM orders
+  UNION ALL SELECT 'literals', CAST(year(o_orderdate) AS INTEGER), o_orderkey % 9 = 0 FROM orders)
+SELECT side, file_year, CAST(count(*) AS BIGINT) AS n_null_key_rows FROM k WHERE missing GROUP BY side, file_year
+""")
+def q_literal_key_audit(spark, sf_dir):
+    """The audit of both sides' NULL keys that ``run`` writes."""
+    o = table(spark, sf_dir, "orders")
+    k, year = F.col("o_orderkey"), F.year("o_orderdate").cast("int").alias("file_year")
+    side = lambda n: o.select(year, F.when(k % n != 0, s("o_orderkey")).alias("state_file_number"))
+    return vintage.literal_key_audit(side(7), side(9))
+
+
 @register("stat_literal_left_join", """
 SELECT d.doc_id AS doc_id, d.lang AS lang, d.source AS source, d.n_chars AS n_chars, l.quality AS quality, l.toxic AS toxic
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
@@ -374,7 +435,20 @@ GROUP BY code
 def q_unmatched_codes(spark, sf_dir):
     df = _orders_with_nation(spark, sf_dir).select("file_year", pad_left(s("c_nationkey"), 2).alias("wa_code"))
     partial = geography.county_map_from_rule(spark, PARTIAL_MAP_MAX)
-    return lookup.unmatched_codes(df, "wa_code", partial, "county_wa_code", LOOKUP_THRESHOLD)
+    return lookup.unmatched_codes(df, "wa_code", partial, "county_wa_code", "county_fips_code", LOOKUP_THRESHOLD)
+
+
+@register("unmatched_report", f"""
+WITH {_ORDERS_NATION_SQL},
+k AS (SELECT CAST(c_nationkey AS VARCHAR) AS code, file_year FROM src WHERE file_year < {LOOKUP_THRESHOLD} AND c_nationkey IS NOT NULL)
+SELECT code, CAST(count(*) AS BIGINT) AS n_rows FROM k
+WHERE code NOT IN (SELECT CAST(n_nationkey AS VARCHAR) FROM nation WHERE n_nationkey % 3 <> 0 AND n_regionkey <> 2) GROUP BY code
+""")
+def q_unmatched_report(spark, sf_dir):
+    """D6 with typed keys, codes without a lookup row, and codes whose lookup value is NULL."""
+    n = table(spark, sf_dir, "nation").filter(F.col("n_nationkey") % 3 != 0)
+    names = n.select("n_nationkey", F.when(F.col("n_regionkey") != 2, F.col("n_name")).alias("name"))
+    return lookup.unmatched_codes(_orders_with_nation(spark, sf_dir), "c_nationkey", names, "n_nationkey", "name", LOOKUP_THRESHOLD)
 
 
 @register("duplicate_lookup_keys", """
@@ -691,10 +765,17 @@ def order_date_strings(spark, sf_dir) -> DataFrame:
     """Order dates printed in several layouts, with placeholders and junk."""
     o = table(spark, sf_dir, "orders")
     k, d = F.col("o_orderkey"), F.col("o_orderdate")
+    turn = F.floor(k / 6) % 12  # another layout of the same order each time
     raw = (F.when(k % 6 == 0, F.date_format(d, "yyyyMMdd"))
-           .when(k % 6 == 1, F.date_format(d, "yyyy-MM-dd"))
-           .when(k % 6 == 2, F.date_format(d, "M/d/yyyy"))
-           .when(k % 6 == 3, F.upper(F.date_format(d, "ddMMMyyyy")))
+           .when((k % 6 == 1) & (turn % 4 == 0), F.date_format(d, "yyyy-MM-dd"))
+           .when((k % 6 == 1) & (turn % 4 == 1), F.date_format(d, "yyyy/MM/dd"))
+           .when((k % 6 == 1) & (turn % 4 == 2), F.date_format(d, "yyyy.M.d"))
+           .when(k % 6 == 1, F.date_format(d, "yyyy MM dd"))
+           .when((k % 6 == 2) & (turn % 2 == 0), F.date_format(d, "M/d/yyyy"))
+           .when(k % 6 == 2, F.date_format(d, "MM-dd-yyyy"))
+           .when((k % 6 == 3) & (turn % 3 == 0), F.upper(F.date_format(d, "ddMMMyyyy")))
+           .when((k % 6 == 3) & (turn % 3 == 1), F.date_format(d, "dMMMyyyy"))
+           .when(k % 6 == 3, F.upper(F.date_format(d, "dd-MMM-yyyy")))
            .when(k % 12 == 4, F.lit("99991231"))
            .when(k % 6 == 4, F.concat(F.lit("bad "), F.date_format(d, "yyyy-MM-dd")))
            .when(k % 12 == 5, F.lit("1850-06-01"))
@@ -706,9 +787,14 @@ def order_date_strings(spark, sf_dir) -> DataFrame:
 _DATE_RAW_SQL = """raw AS (
   SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS state_file_number, CAST(year(o_orderdate) AS INTEGER) AS file_year,
     CASE WHEN o_orderkey % 6 = 0 THEN strftime(o_orderdate, '%Y%m%d')
-         WHEN o_orderkey % 6 = 1 THEN strftime(o_orderdate, '%Y-%m-%d')
-         WHEN o_orderkey % 6 = 2 THEN strftime(o_orderdate, '%-m/%-d/%Y')
-         WHEN o_orderkey % 6 = 3 THEN upper(strftime(o_orderdate, '%d%b%Y'))
+         WHEN o_orderkey % 6 = 1 THEN CASE (o_orderkey // 6) % 4
+           WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%Y/%m/%d')
+           WHEN 2 THEN strftime(o_orderdate, '%Y.%-m.%-d') ELSE strftime(o_orderdate, '%Y %m %d') END
+         WHEN o_orderkey % 6 = 2 THEN CASE (o_orderkey // 6) % 2
+           WHEN 0 THEN strftime(o_orderdate, '%-m/%-d/%Y') ELSE strftime(o_orderdate, '%m-%d-%Y') END
+         WHEN o_orderkey % 6 = 3 THEN CASE (o_orderkey // 6) % 3
+           WHEN 0 THEN upper(strftime(o_orderdate, '%d%b%Y')) WHEN 1 THEN strftime(o_orderdate, '%-d%b%Y')
+           ELSE upper(strftime(o_orderdate, '%d-%b-%Y')) END
          WHEN o_orderkey % 12 = 4 THEN '99991231'
          WHEN o_orderkey % 6 = 4 THEN 'bad ' || strftime(o_orderdate, '%Y-%m-%d')
          WHEN o_orderkey % 12 = 5 THEN '1850-06-01'
@@ -716,7 +802,7 @@ _DATE_RAW_SQL = """raw AS (
   FROM orders),
 sq AS (SELECT *, nullif(regexp_replace(regexp_replace(order_date, '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g'), '[\\s\\p{Z}]+', ' ', 'g'), '') AS d FROM raw),
 parsed AS (
-  SELECT *, CAST(coalesce(try_strptime(d, '%Y%m%d'), try_strptime(d, '%Y-%m-%d'), try_strptime(d, '%m/%d/%Y'), try_strptime(d, '%d%b%Y')) AS DATE) AS p0
+  SELECT *, CAST(try_strptime(d, ['%Y%m%d', '%Y-%m-%d', '%Y/%m/%d', '%Y.%m.%d', '%Y %m %d', '%m/%d/%Y', '%m-%d-%Y', '%d%b%Y', '%d-%b-%Y']) AS DATE) AS p0
   FROM sq),
 cleaned AS (
   SELECT *, CASE WHEN p0 > DATE '""" + AS_OF + """' OR year(p0) <= 1850 THEN NULL ELSE p0 END AS order_date_parsed FROM parsed)"""
@@ -1197,16 +1283,22 @@ def _dictionary_sql(max_unique=30, trunc=15):
         blocks.append(
             f"SELECT '{c}' AS varname, '{t}' AS data_type, CAST(count(*) AS BIGINT) AS n_rows, "
             f"CAST(count(*) - count({c}) AS BIGINT) AS n_null, "
-            f"CAST(CASE WHEN {nd} <= {max_unique} THEN {nd} END AS BIGINT) AS n_distinct, "
-            f"CASE WHEN {nd} <= {max_unique} THEN {vals} END AS value_counts, "
-            f"CASE WHEN {nd} > {max_unique} THEN left(CAST(min({c}) AS VARCHAR), {trunc}) END AS min_value, "
-            f"CASE WHEN {nd} > {max_unique} THEN left(CAST(max({c}) AS VARCHAR), {trunc}) END AS max_value FROM events")
+            f"CAST({nd} AS BIGINT) AS n_distinct, "
+            + (f"CASE WHEN {nd} <= {max_unique} THEN {vals} END AS value_counts, "
+               f"CASE WHEN {nd} > {max_unique} THEN CAST(min({c}) AS VARCHAR) END AS min_value, "
+               f"CASE WHEN {nd} > {max_unique} THEN CAST(max({c}) AS VARCHAR) END AS max_value, " if c != "props" else
+               "CAST(NULL AS VARCHAR) AS value_counts, CAST(NULL AS VARCHAR) AS min_value, CAST(NULL AS VARCHAR) AS max_value, ")
+            + ("(SELECT string_agg(d, '; ' ORDER BY d) FROM (SELECT DISTINCT 'kind ' || event_type AS d FROM events)) AS \"desc\", 'stream' AS source "
+               if c == "event_type" else "CAST(NULL AS VARCHAR) AS \"desc\", CAST(NULL AS VARCHAR) AS source ") + "FROM events")
     return "\nUNION ALL\n".join(blocks)
 
 
 @register("data_dictionary", _dictionary_sql())
 def q_data_dictionary(spark, sf_dir):
-    return quality.data_dictionary(table(spark, sf_dir, "events"))
+    events = table(spark, sf_dir, "events")
+    kinds = events.select("event_type").distinct()  # descriptions that repeat, in any order
+    texts = kinds.select(F.lit("event_type").alias("varname"), F.concat(F.lit("kind "), "event_type").alias("desc"), F.lit("stream").alias("source"))
+    return quality.data_dictionary(events, texts, suppress=["props"])
 
 
 # --------------------------------------------------------------------------
@@ -1315,6 +1407,24 @@ def q_harmonize_orders(spark, sf_dir):
     return harmonize_orders(spark, sf_dir)
 
 
+@register("harmonized_values", f"""
+WITH {_CW_CTE}, v AS ({_VINTAGES_SQL}),
+r AS (
+  SELECT v.file_year, coalesce(s.to_code, v.status) AS status, coalesce(p.to_code, v.priority) AS priority,
+    strftime(CAST(try_strptime(v.order_date, ['%Y%m%d', '%m/%d/%Y']) AS DATE), '%Y-%m') AS order_month
+  FROM v LEFT JOIN (SELECT DISTINCT file_year, from_code, to_code FROM cw WHERE variable = 'status') s
+    ON s.file_year = v.file_year AND s.from_code IS NOT DISTINCT FROM v.status
+  LEFT JOIN (SELECT DISTINCT file_year, from_code, to_code FROM cw WHERE variable = 'priority') p
+    ON p.file_year = v.file_year AND p.from_code IS NOT DISTINCT FROM v.priority)
+SELECT file_year, status, priority, order_month, CAST(count(*) AS BIGINT) AS n FROM r GROUP BY ALL
+""")
+def q_harmonized_values(spark, sf_dir):
+    """The flagship's values after recode and date parse, counted."""
+    v = recode.recode(order_vintages(spark, sf_dir), recode_crosswalk_df(spark))
+    return v.withColumn("order_month", F.date_format(parse_date_multi("order_date"), "yyyy-MM")).groupBy(
+        "file_year", "status", "priority", "order_month").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --------------------------------------------------------------------------
 # The whole cleaning stage (geography, codes, demographics, dates, times,
 # types, strings, final projection) on death-record-shaped rows derived from
@@ -1641,7 +1751,7 @@ def q_csv_all_string_scan(spark, sf_dir):
 @register("parquet_roundtrip", """
 SELECT CAST(year(o_orderdate) AS INTEGER) AS file_year, CAST(o_orderkey AS VARCHAR) AS state_file_number,
        o_orderstatus AS status, o_totalprice AS total_price
-FROM orders
+FROM orders WHERE year(o_orderdate) IN (1993, 1996)
 """)
 def q_parquet_roundtrip(spark, sf_dir):
     from yearweave.sources.parquet import read_harmonized, write_harmonized
@@ -1650,4 +1760,40 @@ def q_parquet_roundtrip(spark, sf_dir):
                   F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("total_price"))
     folder = scratch_folder(spark, "parquet_roundtrip")
     write_harmonized(df, folder)
-    return read_harmonized(spark, folder)
+    return read_harmonized(spark, folder, years=[1993, 1996])
+
+
+@register("written_reports", """
+SELECT o_orderpriority AS priority, CAST(count(*) AS BIGINT) AS n, CAST(row_number() OVER (ORDER BY o_orderpriority DESC) AS BIGINT) AS place
+FROM orders GROUP BY o_orderpriority
+""")
+def q_written_reports(spark, sf_dir):
+    """A report written sorted into one file comes back in that order."""
+    from yearweave.sources.parquet import write_tables
+    report = table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("priority")).agg(F.count(F.lit(1)).alias("n"))
+    folder = scratch_folder(spark, "written_reports")
+    write_tables({"priorities": report}, folder, sort_by={"priorities": [F.desc("priority")]})
+    return spark.read.parquet(f"{folder}/priorities").withColumn("place", F.monotonically_increasing_id() + 1)
+
+
+@register("code_sets", """
+SELECT 'nation' AS code_set, CAST(n_nationkey AS VARCHAR) AS code, n_name AS label FROM nation
+UNION ALL SELECT 'region', CAST(r_regionkey AS VARCHAR), r_name FROM region
+UNION ALL SELECT 'orders', CAST(o_orderkey AS VARCHAR), o_orderpriority FROM orders
+UNION ALL SELECT 'control', CAST(n_nationkey AS VARCHAR), n_name FROM nation
+""")
+def q_code_sets(spark, sf_dir):
+    """A13 (and A12's reader): control tables written as CSV and read back as text."""
+    from yearweave.sources.csv_scan import load_control_table
+    folder = scratch_folder(spark, "code_sets")
+    sources = {"nation": ("n_nationkey", "n_name"), "region": ("r_regionkey", "r_name"), "orders": ("o_orderkey", "o_orderpriority")}
+    for name, (code, label) in sources.items():
+        table(spark, sf_dir, name).select(F.col(code).alias("code"), F.col(label).alias("label")).write.options(
+            header="true").csv(f"{folder}/{name}_codes.csv")
+    sets = {n: load_control_table(spark, f"{folder}/{n}_codes.csv") for n in sources}
+    sets["control"] = load_control_table(spark, f"{folder}/nation_codes.csv", "csv")
+    out = None
+    for name, codes in sets.items():
+        part = codes.select(F.lit(name).alias("code_set"), "code", "label")
+        out = part if out is None else out.unionByName(part)
+    return out

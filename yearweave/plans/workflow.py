@@ -66,6 +66,8 @@ FINAL_SPEC: tuple[str | Selector, ...] = (
 
 # Row order of each written report (G1): sorting happens only at this boundary.
 REPORT_ORDER = {
+    "literal_null_keys": ["side", "file_year"],
+    "literal_duplicate_keys": ["file_year", "state_file_number"],
     "date_parse_errors": ["variable", "original_value"],
     "time_parse_errors": ["variable", "original_value", "primary_value"],
     "data_type_conversions": ["variable"],
@@ -77,6 +79,10 @@ REPORT_ORDER = {
 }
 
 
+# Columns the written table must have, with the type each must have (Q7).
+REQUIRED_COLUMNS = {"file_year": "int", "state_file_number": "string", "underlying_cod_code": "string", "date_of_death": "date"}
+
+
 @dataclass(frozen=True)
 class Config:
     raw_folder: str
@@ -90,7 +96,7 @@ class Config:
     column_pairs: Sequence[tuple[str, str, int]] = DEFAULT_COLUMN_PAIRS
     literal_pairs: Sequence[tuple[str, str, int]] = DEFAULT_LITERAL_PAIRS
     csv_options: dict = field(default_factory=dict)
-    on_unmatched: str = "raise"      # lookup guard: in-plan ("raise"), one counting pass ("count"), "ignore"
+    on_unmatched: str = "raise"      # lookup guard: on the row ("raise"), one listing pass ("scan"), "ignore"
     check_levels: str = "plan"       # factor-level guard: in-plan ("plan"), one listing pass ("scan"), "off"
     time_as: str = "string"          # time of day as "HH:mm:ss" text, or Spark's TIME type ("time")
     completeness_threshold: float = 1.0
@@ -104,8 +110,9 @@ def _today(cfg: Config) -> dt.date:
     return cfg.as_of_date if isinstance(cfg.as_of_date, dt.date) else dt.date.fromisoformat(str(cfg.as_of_date))
 
 
-def harmonize(spark: SparkSession, cfg: Config) -> DataFrame:
-    """Stage 1: every selected vintage renamed, joined and recoded (lazy)."""
+def harmonize(spark: SparkSession, cfg: Config, audits: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Stage 1: every selected vintage renamed, joined and recoded (lazy). ``audits`` receives the tables
+    of rows whose NULL key matches nothing in the literals join and of literals keys used twice."""
     files = manifest.select_vintages(manifest.build_manifest(spark, cfg.raw_folder))
     paths = manifest.vintage_paths(files)
     meta = {r["file_year"]: (r["vintage_label"], r["system"]) for r in files.select("file_year", "vintage_label", "system").distinct().collect()}
@@ -120,8 +127,12 @@ def harmonize(spark: SparkSession, cfg: Config) -> DataFrame:
         stats.append(vintage.attach_vintage(s, label, year, system, today))
         lit = csv_scan.scan_columns(spark, paths[year].get(LITERALS, []), vintage.year_renames(lit_rows, year), lit_cols, cfg.csv_options)
         lits.append(lit.withColumn("file_year", F.lit(int(year))))
+    stat_all = vintage.union_vintages(stats)
     lit_all = vintage.union_vintages(lits).select("file_year", *lit_cols)
-    joined = vintage.join_literals(vintage.union_vintages(stats), lit_all, ["file_year", "state_file_number"])
+    joined = vintage.join_literals(stat_all, lit_all, ["file_year", "state_file_number"])
+    if audits is not None:
+        audits["literal_null_keys"] = vintage.literal_key_audit(stat_all, lit_all)
+        audits["literal_duplicate_keys"] = vintage.literal_key_duplicates(lit_all)
     cw = crosswalk.recode_crosswalk(csv_scan.load_control_table(spark, cfg.recode_statistical))
     return recode.recode(joined, cw)
 
@@ -187,20 +198,23 @@ def run(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]:
     """Both stages with their writes; returns the report tables (also written)."""
     out = cfg.output_folder.rstrip("/")
     stage1 = f"{out}/_stage1_harmonized"
-    harmonize(spark, cfg).write.mode("overwrite").parquet(stage1)
+    stage1_audits: dict[str, DataFrame] = {}
+    harmonize(spark, cfg, stage1_audits).write.mode("overwrite").parquet(stage1)
     staged = spark.read.parquet(stage1)
     schema_df = csv_scan.load_control_table(spark, cfg.schema)
     final, audits = clean(spark, staged, cfg, schema_df)
     parquet.write_harmonized(final, f"{out}/harmonized_data.parquet")
     written = parquet.read_harmonized(spark, f"{out}/harmonized_data.parquet")
-    reports = dict(audits)
+    reports = {**stage1_audits, **audits}
     reports["completeness"] = quality.completeness_report(
         written, threshold=cfg.completeness_threshold, keep_axis=cfg.keep_axis_in_completeness)
     reports["validation"] = quality.validate_rules(written, death_record_rules(written), [("state_file_number_unique", ["file_year", "state_file_number"])])
-    descriptions = schema_df.select(F.col("variable").alias("varname"), F.col("description").alias("desc")).distinct()
+    source = F.col("source_file_type") if "source_file_type" in schema_df.columns else F.lit(None).cast("string")
+    descriptions = schema_df.select(F.col("variable").alias("varname"), F.col("description").alias("desc"), source.alias("source")).distinct()
     reports["data_dictionary"] = quality.data_dictionary(written, descriptions, SUPPRESSED)
+    reports["column_rules"] = quality.column_rules(written, REQUIRED_COLUMNS)
     parquet.write_tables(reports, f"{out}/reports", sort_by=REPORT_ORDER,
-                         single_file={"completeness", "validation", "data_dictionary", "data_type_conversions"})
+                         single_file={"completeness", "validation", "column_rules", "data_dictionary", "data_type_conversions"})
     return reports
 
 
@@ -225,6 +239,12 @@ def death_record_rules(df: DataFrame) -> dict:
     rules = {"file_year_present": F.col("file_year").isNotNull()}
     if "underlying_cod_code" in df.columns:
         rules["underlying_cod_code_icd10"] = F.col("underlying_cod_code").rlike(ICD10_PATTERN)
+    if "all_cod_code" in df.columns:  # every code of the joined causes
+        codes = F.filter(F.split("all_cod_code", ";"), lambda c: c != "")
+        rules["all_cod_code_icd10"] = F.when(F.col("all_cod_code").isNotNull(), F.forall(codes, lambda c: c.rlike(ICD10_PATTERN)))
+    for c in df.columns:
+        if c.startswith("record_axis_code_"):
+            rules[f"{c}_icd10"] = F.col(c).rlike(ICD10_PATTERN)
     if "age_years" in df.columns:
         rules["age_years_0_120"] = F.col("age_years").between(0, 120)
     return rules

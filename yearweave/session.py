@@ -1,11 +1,11 @@
-"""Session helpers: a local session for tests and a checkpoint folder lookup."""
+"""Session helpers: a local session for tests and the bench, and the shared folder of a session."""
 
 from __future__ import annotations
 
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -17,6 +17,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.files.maxPartitionBytes", "32m")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         # PySpark otherwise records the Python call site of every Column
@@ -26,44 +27,17 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if not spark.conf.get("spark.checkpoint.dir", None):  # one machine: its own folder is shared by all its threads
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="yearweave-ckpt-"))
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder named by the session.
+    """The checkpoint folder that the session names in ``spark.checkpoint.dir``.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only when it is unset (local tests) a fresh scratch folder is made.
+    On a cluster this must be a folder all executors share. Raises when none is named.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: no SparkContext, the conf is all there is
-        sc = None
-    if not current and sc is not None:
-        current = sc.getCheckpointDir() or ""
-    if not current:
-        current = tempfile.mkdtemp(prefix="yearweave-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    if sc is not None and not sc.getCheckpointDir():
-        sc.setCheckpointDir(current)
-    return current
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin fan-out when a scan yields fewer splits than the session's
-    parallelism (e.g. a single-row-group file feeding CPU-heavy text or date
-    work). On a cluster reading many files this is a no-op: no extra shuffle."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # e.g. a Spark Connect session: leave the plan unchanged
-        return df
-    return df.repartition(target) if splits < target else df
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        raise ValueError("no shared folder: set spark.checkpoint.dir to one that the driver and all executors reach")
+    return folder.rstrip("/")

@@ -3,20 +3,19 @@ control tables (A13)."""
 
 from __future__ import annotations
 
-import os
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yearweave.functions.strings import normalize_text
-from yearweave.operators._common import DataGuardError, SchemaMismatch
+from yearweave.operators._common import DataGuardError, SchemaMismatch, sources_by_target
 
 CSV_OPTIONS: Mapping[str, str] = {
     "header": "true",
     "quote": '"',
     "escape": '"',
-    "multiLine": "true",
     "inferSchema": "false",
     # Several files of one vintage are read by position; validate every
     # file's header against the first instead of silently shifting columns.
@@ -37,9 +36,24 @@ def read_csv_strings(spark: SparkSession, paths: Sequence[str] | str, options: M
     if not paths:
         raise DataGuardError("no input files for this vintage")
     opts = {**CSV_OPTIONS, **(options or {})}
+    if "multiLine" not in opts:
+        opts["multiLine"] = str(has_quoted_newlines(spark, paths, opts["quote"], opts["encoding"])).lower()
     return spark.read.options(**opts).csv(paths)
 
 
+def has_quoted_newlines(spark: SparkSession, paths: Sequence[str], quote: str = '"', encoding: str = "UTF-8") -> bool:
+    """Whether a quoted value runs over a line end: then some line has an odd number of quotes.
+
+    One splittable text pass that stops at the first such line. Only vintages for which it holds are
+    read with ``multiLine``, which makes a file one task; name the option to skip the pass. Files
+    that are not UTF-8 are taken to need it.
+    """
+    if encoding.upper().replace("-", "") != "UTF8":
+        return True
+    quotes = F.char_length("value") - F.char_length(F.replace("value", F.lit(quote), F.lit("")))
+    return not spark.read.text(list(paths)).filter(quotes % 2 == 1).isEmpty()
+
+
 def scan_columns(
     spark: SparkSession,
     paths: Sequence[str] | str,
@@ -60,9 +74,7 @@ def scan_columns(
     missing = sorted({f for f, _ in pairs} - set(raw.columns))
     if missing:
         raise SchemaMismatch(f"source column(s) not found in {list(paths) if not isinstance(paths, str) else paths}: {', '.join(missing)}")
-    by_target = {}
-    for f, t in pairs:
-        by_target.setdefault(t, f)
+    by_target = sources_by_target(pairs)
     out = []
     for t in canonical:
         if t in by_target:
@@ -76,19 +88,21 @@ def scan_columns(
 def load_code_sets(spark: SparkSession, folder: str, suffix: str = "_codes.csv") -> dict[str, DataFrame]:
     """Every ``<name>_codes.csv`` in ``folder`` as an all-string DataFrame keyed by ``<name>``.
 
-    Lazy: nothing is read until a code set is used. A leading UTF-8 BOM is
+    Spark lists the folder, so it may lie in any store that Spark reads. A leading UTF-8 BOM is
     stripped by Spark's CSV reader.
     """
-    out = {}
-    for fn in sorted(os.listdir(folder)):
-        if fn.endswith(suffix):
-            out[fn[: -len(suffix)]] = read_csv_strings(spark, os.path.join(folder, fn))
-    return out
+    files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(folder).select("path")
+    paths = sorted(r["path"] for r in files.collect())  # a folder of code sets: tens of files
+    name = lambda p: unquote(p.rsplit("/", 1)[-1])[: -len(suffix)]
+    return {name(p): read_csv_strings(spark, p) for p in paths}
 
 
 def load_control_table(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
-    """A crosswalk or schema table stored as CSV (all strings) or Parquet."""
-    fmt = fmt or ("parquet" if path.rstrip("/").endswith(".parquet") or os.path.isdir(path) else "csv")
+    """A crosswalk or schema table stored as CSV (all strings) or Parquet.
+
+    ``fmt`` defaults to CSV for names that end in ``.csv``, ``.txt`` or ``.csv.gz``, else Parquet.
+    """
+    fmt = fmt or ("csv" if path.rstrip("/").endswith((".csv", ".txt", ".csv.gz")) else "parquet")
     if fmt == "parquet":
         return spark.read.parquet(path)
     return read_csv_strings(spark, path)

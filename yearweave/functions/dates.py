@@ -14,26 +14,23 @@ from yearweave.functions.strings import squish
 # ``d`` one or two digits, ``b`` an English month name or its first three letters. As the reference's parser
 # does, separators in an order stand for any run of other characters between the parts, or none.
 DEFAULT_DATE_ORDERS: tuple[str, ...] = ("Ymd", "mdY", "dbY")
-_PARTS = {"Y": r"(\d{4})", "m": r"(\d{1,2})", "d": r"(\d{1,2})", "b": r"(\p{L}{3,9})"}
-_TWO_DIGITS = {**_PARTS, "m": r"(\d{2})", "d": r"(\d{2})"}
 _MONTHS = "January February March April May June July August September October November December".split()
+_MONTH = "(?:" + "|".join(f"{m[:3]}(?:{m[3:]})?" if m[3:] else m for m in _MONTHS) + ")"
+_PARTS = {"Y": r"(\d{4})", "m": r"(\d{1,2})", "d": r"(\d{1,2})", "b": f"({_MONTH})"}
+_TWO_DIGITS = {**_PARTS, "m": r"(\d{2})", "d": r"(\d{2})"}
 
 
-def _order_patterns(order: str) -> list[str]:
-    """Patterns of an order: digits run together (then two per month and day), or parts set apart.
-
-    Between a digit and a letter nothing need stand."""
+def _order_attempts(order: str) -> list[tuple[str, str, str]]:
+    """(pattern, its parts put in one form, datetime pattern of that form): digits run together (then two
+    per month and day), or parts set apart; between a digit and a letter nothing need stand."""
+    place = {p: f"${i}" for i, p in enumerate(order, 1)}
+    between = [r"[^\p{L}\d]*" if "b" in pair else r"[^\p{L}\d]+" for pair in zip(order, order[1:])]
+    apart = "(?i)^" + _PARTS[order[0]] + "".join(sep + _PARTS[p] for sep, p in zip(between, order[1:])) + "$"
+    if "b" in order:
+        return [(apart, f"{place['Y']}-{place['b']}-{place['d']}", f) for f in ("yyyy-MMM-d", "yyyy-MMMM-d")]
+    form = f"{place['Y']}-{place['m']}-{place['d']}"
     together = "^" + "".join(_TWO_DIGITS[p] for p in order) + "$"
-    apart = "^" + _PARTS[order[0]]
-    for before, part in zip(order, order[1:]):
-        apart += (r"[^\p{L}\d]*" if "b" in (before, part) else r"[^\p{L}\d]+") + _PARTS[part]
-    return [apart + "$"] if "b" in order else [together, apart + "$"]
-
-
-def _month_number(c: Column) -> Column:
-    """1 to 12 for a full English month name or its first three letters in any case, else NULL."""
-    names = F.create_map(*[F.lit(x) for i, m in enumerate(_MONTHS, 1) for n in {m.lower(), m[:3].lower()} for x in (n, str(i))])
-    return F.try_element_at(names, F.lower(c))
+    return [(together, form, "yyyy-M-d"), (apart, form, "yyyy-M-d")]
 
 
 def squish_or_null(c: ColumnOrName) -> Column:
@@ -52,10 +49,11 @@ def parse_date_multi(c: ColumnOrName, orders: Sequence[str] = DEFAULT_DATE_ORDER
     cleaned = col(c) if squished else squish_or_null(c)
     attempts = []
     for order in orders:
-        for pattern in _order_patterns(order):
-            part = {p: F.regexp_extract(cleaned, pattern, i) for i, p in enumerate(order, 1)}
-            month = _month_number(part["b"]) if "b" in part else part["m"]
-            attempts.append(F.when(cleaned.rlike(pattern), F.try_to_date(F.concat_ws("-", part["Y"], month, part["d"]), "yyyy-M-d")))
+        for pattern, form, fmt in _order_attempts(order):
+            value = F.regexp_replace(cleaned, pattern, form)
+            if "M" * 3 in fmt:
+                value = F.replace(F.initcap(F.replace(value, F.lit("-"), F.lit(" "))), F.lit(" "), F.lit("-"))  # "5 MAR": "5 Mar"
+            attempts.append(F.when(cleaned.rlike(pattern), F.try_to_date(value, fmt)))
     return F.coalesce(*attempts)
 
 

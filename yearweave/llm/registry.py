@@ -137,3 +137,25 @@ SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id)
     || ',"result":' || coalesce(to_json(content)::VARCHAR, 'null') || '}' AS message
 FROM c FULL JOIN r ON c.conv_id = r.conv_id AND c.call_id = r.call_id
 """
+
+
+ORACLE_SQL["op2_suffix_dedup"] = """
+WITH n AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), w AS (
+  SELECT r, i, md5(substr(h, 2 * i + 1, 400)) AS k FROM n, unnest(range(0, greatest(n - 199, 0))) AS t(i)
+), s AS (SELECT r, i FROM w SEMI JOIN (SELECT k FROM w GROUP BY k HAVING count(*) > 1) USING (k)),
+g AS (SELECT r, i, coalesce(i - lag(i) OVER (PARTITION BY r ORDER BY i) > 200, TRUE)::INT AS fresh FROM s),
+runs AS (
+  SELECT r, min(i) AS low, max(i) + 200 AS high
+  FROM (SELECT r, i, sum(fresh) OVER (PARTITION BY r ORDER BY i) AS run FROM g) GROUP BY r, run
+), gaps AS (SELECT r, low, high, lag(high, 1, 0) OVER (PARTITION BY r ORDER BY low) AS before FROM runs),
+kept AS (
+  SELECT r, sum(high - low) AS n_removed, count(*) AS n_spans,
+    string_agg(substr(h, 2 * before + 1, 2 * (low - before)), '' ORDER BY low) || substr(any_value(h), 2 * max(high) + 1) AS rest
+  FROM gaps JOIN n USING (r) GROUP BY r
+)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(rest, h))) AS kept_sha256
+FROM n LEFT JOIN kept USING (r)
+"""

@@ -26,7 +26,9 @@ from .common import text_or_empty
 FEATURES = 1 << 18
 #: Bound of the training sample: labelled rows of each class, and bytes of the longest text in it.
 TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_TEXT_BYTES = 1800, 3000, 1 << 17
-EPOCHS, LEARNING_RATE, DECAY = 150, 0.1, 2e-6
+EPOCHS, LEARNING_RATE, DECAY = 200, 0.1, 1e-7
+#: Share that counts of a word's evidence against: many harmless words excuse no offending one.
+AGAINST = 0.02
 _REMEMBERED_WORDS = 600_000
 
 _sentences = re.compile(r"[^.!?\n]+[.!?\n]*|[.!?\n]+").finditer
@@ -47,7 +49,8 @@ class SentenceModel:
     bias: float
 
     def word_weight(self, word: str) -> float:
-        return float(self.weights[word_features(word)].mean())
+        evidence = float(self.weights[word_features(word)].mean())
+        return evidence if evidence > 0 else evidence * AGAINST
 
 
 def train(texts: list[str], toxic: np.ndarray, sample_weight: np.ndarray) -> SentenceModel:
@@ -85,14 +88,16 @@ def train(texts: list[str], toxic: np.ndarray, sample_weight: np.ndarray) -> Sen
         return value - LEARNING_RATE * (moment[0] / (1 - 0.9**t)) / (np.sqrt(moment[1] / (1 - 0.99**t)) + 1e-8)
 
     for t in range(1, EPOCHS + 1):
-        word_weight = np.bincount(owner, model.weights[feature] * share, n_words)
+        evidence = np.bincount(owner, model.weights[feature] * share, n_words)
+        slope = np.where(evidence > 0, 1.0, AGAINST)
+        word_weight = evidence * slope
         logit = bias + np.bincount(sentence_of, word_weight[word_at], n_sentences)
         p = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
         none = np.bincount(document_of, -np.logaddexp(0, logit), n_docs)  # log of "no sentence offends"
         clean = np.exp(none)
         pull = np.where(toxic == 1, -clean / np.maximum(1 - clean, 1e-6), 1.0) * sample_weight
         by_sentence = pull[document_of] * p
-        by_word = np.bincount(word_at, by_sentence[sentence_of], n_words)
+        by_word = np.bincount(word_at, by_sentence[sentence_of], n_words) * slope
         gradient = np.bincount(feature, by_word[owner] * share, FEATURES) + DECAY * model.weights
         model.weights = step(model.weights, gradient, moments[0], t)
         bias = step(bias, by_sentence.sum(), moments[1], t)

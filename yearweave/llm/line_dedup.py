@@ -10,6 +10,8 @@ the join, then verified by a bit-parallel edit distance that follows a band arou
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +21,9 @@ MAX_EDITS = 2
 #: Shorter lines are left alone: they repeat by nature, and few edits make them another line.
 MIN_CHARS = 32
 #: Letters whose counts bound the distance: an edit changes at most two counts by one.
-COUNTED = "eatnrios"
+COUNTED = "eatnrioshldc"
+#: Bits of a count; it goes round, and so does the distance of two counts.
+COUNT_BITS = 5
 #: Characters of the pieces that must agree before a pair's edit distance is worked out.
 PIECE_CHARS = 6
 
@@ -57,17 +61,17 @@ def _keys(max_edits: int) -> Column:
 
 
 def _letter_counts() -> Column:
-    """Counts of eight letters, up to 255 each, in one number."""
-    count = lambda c: F.least(F.octet_length("line") - F.octet_length(F.replace("line", F.lit(c))), F.lit(255)).cast("long")
-    packed = F.lit(0).cast("long")
-    for k, c in enumerate(COUNTED):
-        packed = packed.bitwiseOR(F.shiftleft(count(c), 8 * k))
-    return packed
+    """Counts of letters modulo 32, twelve in one number."""
+    count = lambda c: (F.octet_length("line") - F.octet_length(F.replace("line", F.lit(c), F.lit("")))).cast("long")
+    parts = [F.shiftleft(count(c).bitwiseAND(F.lit((1 << COUNT_BITS) - 1)), COUNT_BITS * k) for k, c in enumerate(COUNTED)]
+    return reduce(Column.bitwiseOR, parts)
 
 
 def _count_distance(a: str, b: str) -> Column:
-    part = lambda c, k: F.shiftrightunsigned(c, 8 * k).bitwiseAND(F.lit(255))
-    return sum((F.abs(part(a, k) - part(b, k)) for k in range(1, len(COUNTED))), F.abs(part(a, 0) - part(b, 0)))
+    """At most the sum of the differences of the counts themselves."""
+    part = lambda c, k: F.shiftright(c, COUNT_BITS * k).bitwiseAND(F.lit((1 << COUNT_BITS) - 1))
+    apart = [F.abs(part(a, k) - part(b, k)) for k in range(len(COUNTED))]
+    return reduce(Column.__add__, [F.least(d, (1 << COUNT_BITS) - d) for d in apart])
 
 
 def edit_distance(a: Column, b: Column, max_edits: int) -> Column:
@@ -105,6 +109,13 @@ def edit_distance(a: Column, b: Column, max_edits: int) -> Column:
     return F.aggregate(bits, start, column)["d"]
 
 
+def _beyond_common_start(a: Column, b: Column, max_edits: int) -> tuple[Column, Column]:
+    """Both character arrays from their first difference on (``max_edits`` characters at least): the distance stays."""
+    same = F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), False) - 1
+    skip = F.greatest(F.lit(0), F.least(F.when(same < 0, F.size(b)).otherwise(same), F.size(b) - max_edits - 1)).cast("int")
+    return F.slice(a, skip + 1, F.size(a)), F.slice(b, skip + 1, F.size(b))
+
+
 def _pieces_agree(a: Column, b: Column, max_edits: int) -> Column:
     """Of ``a`` in pieces of a few characters, all but ``max_edits`` lie in ``b``, at most as many places off:
     an edit spoils one piece. Holds for every pair within the distance, and for few others."""
@@ -138,7 +149,8 @@ def repeated_lines(docs: DataFrame, max_edits: int = MAX_EDITS) -> DataFrame:
         F.col("line_id").alias("b"), F.col("counts").alias("counts_b"),
         F.posexplode("keys").alias("probe", "key"))
     same_length = F.col("probe") < sum(less == 0 for less, _, _ in probes)
-    near = index.join(asked, (index["key"] == asked["key"]) & (F.col("a") != F.col("b")) & (
+    # a hash join: neither the many probes nor the index need sorting; adaptive execution splits a skewed key's probes
+    near = index.hint("shuffle_hash").join(asked, (index["key"] == asked["key"]) & (F.col("a") != F.col("b")) & (
         ~same_length | (F.col("a") < F.col("b"))) & (_count_distance("counts_a", "counts_b") <= 2 * max_edits))
     pairs = stage(near.select("a", "b").distinct(), "line-pairs")
 
@@ -146,14 +158,19 @@ def repeated_lines(docs: DataFrame, max_edits: int = MAX_EDITS) -> DataFrame:
     located = different.join(wanted, "line_id").select("line_id", "first")
     found = lines.join(located, lines["doc_id"].eqNullSafe(located["first.doc_id"]) & (
         lines["th"] == located["first.th"]) & (lines["no"] == located["first.no"])).select(
-        "line_id", "first", "line", F.split("line", "").alias("chars")).dropDuplicates(["line_id"])
+        "line_id", "first", "line").dropDuplicates(["line_id"])
     found = stage(found, "line-texts")
     a, b = (found.select(*[F.col(c).alias(f"{c}_{s}") for c in found.columns]) for s in "ab")
     verified = pairs.join(a, pairs["a"] == a["line_id_a"]).join(b, pairs["b"] == b["line_id_b"])
     longer, shorter = F.col("line_b"), F.col("line_a")  # a line probes for its own and shorter lengths
-    distance = edit_distance(F.col("chars_b"), F.col("chars_a"), max_edits)
     later = F.when(F.col("first_a") > F.col("first_b"), F.col("a")).otherwise(F.col("b"))
-    close = verified.filter(_pieces_agree(longer, shorter, max_edits)).filter(distance <= max_edits).select(
+    agreeing = stage(verified.filter(_pieces_agree(longer, shorter, max_edits)).select(
+        "a", "b", "first_a", "first_b", F.split(longer, "").alias("chars_b"), F.split(shorter, "").alias("chars_a")), "agreeing-lines")
+    for _ in range(2):  # what both lines begin with, and what they end with, needs no table
+        b_rest, a_rest = _beyond_common_start(F.col("chars_b"), F.col("chars_a"), max_edits)
+        agreeing = stage(agreeing.select("a", "b", "first_a", "first_b", *[
+            F.reverse(c).alias(n) for c, n in ((b_rest, "chars_b"), (a_rest, "chars_a"))]), "verified-lines")
+    close = agreeing.filter(edit_distance(F.col("chars_b"), F.col("chars_a"), max_edits) <= max_edits).select(
         later.alias("line_id")).distinct().withColumn("close", F.lit(True))
     judged = different.join(close, "line_id", "left").select("h1", "h2", "first", F.coalesce("close", F.lit(False)).alias("close"))
     return places.join(judged, ["h1", "h2"]).filter(

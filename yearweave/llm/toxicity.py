@@ -59,7 +59,7 @@ def train(texts: list[str], toxic: np.ndarray, sample_weight: np.ndarray) -> Sen
     if len(set(toxic.tolist())) < 2:
         return model
     vocabulary: dict[str, int] = {}
-    sentence_of, word_at, document_of = array("q"), array("q"), array("q")
+    sentence_of, word_at, document_of = array("i"), array("i"), array("i")
     for d, text in enumerate(texts):
         for m in _sentences(text.lower()):
             words = _words(m.group())
@@ -67,17 +67,16 @@ def train(texts: list[str], toxic: np.ndarray, sample_weight: np.ndarray) -> Sen
                 word_at.extend(vocabulary.setdefault(w, len(vocabulary)) for w in words)
                 sentence_of.extend([len(document_of)] * len(words))
                 document_of.append(d)
-    flat, sizes = array("q"), array("q")
+    flat, sizes = array("i"), array("i")
     for w in vocabulary:
         grams = word_features(w)
         flat.extend(grams)
         sizes.append(len(grams))
     n_words, n_sentences, n_docs = len(vocabulary), len(document_of), len(texts)
     del vocabulary
-    sizes, feature = np.array(sizes), np.array(flat)
-    owner = np.repeat(np.arange(n_words), sizes)
-    share = (1.0 / sizes)[owner]
-    sentence_of, word_at, document_of = map(np.array, (sentence_of, word_at, document_of))
+    sizes, feature, sentence_of, word_at, document_of = (  # views, not copies: this runs on the driver
+        np.frombuffer(a, np.int32) for a in (sizes, flat, sentence_of, word_at, document_of))
+    owner = np.repeat(np.arange(n_words, dtype=np.int32), sizes)
     sample_weight = sample_weight / sample_weight.sum()
     bias = -4.0
     moments = [[np.zeros(FEATURES), np.zeros(FEATURES)], [0.0, 0.0]]
@@ -88,7 +87,7 @@ def train(texts: list[str], toxic: np.ndarray, sample_weight: np.ndarray) -> Sen
         return value - LEARNING_RATE * (moment[0] / (1 - 0.9**t)) / (np.sqrt(moment[1] / (1 - 0.99**t)) + 1e-8)
 
     for t in range(1, EPOCHS + 1):
-        evidence = np.bincount(owner, model.weights[feature] * share, n_words)
+        evidence = np.bincount(owner, model.weights[feature], n_words) / sizes
         slope = np.where(evidence > 0, 1.0, AGAINST)
         word_weight = evidence * slope
         logit = bias + np.bincount(sentence_of, word_weight[word_at], n_sentences)
@@ -97,8 +96,8 @@ def train(texts: list[str], toxic: np.ndarray, sample_weight: np.ndarray) -> Sen
         clean = np.exp(none)
         pull = np.where(toxic == 1, -clean / np.maximum(1 - clean, 1e-6), 1.0) * sample_weight
         by_sentence = pull[document_of] * p
-        by_word = np.bincount(word_at, by_sentence[sentence_of], n_words) * slope
-        gradient = np.bincount(feature, by_word[owner] * share, FEATURES) + DECAY * model.weights
+        by_word = np.bincount(word_at, by_sentence[sentence_of], n_words) * slope / sizes
+        gradient = np.bincount(feature, by_word[owner], FEATURES) + DECAY * model.weights
         model.weights = step(model.weights, gradient, moments[0], t)
         bias = step(bias, by_sentence.sum(), moments[1], t)
     model.bias = float(bias)

@@ -75,10 +75,11 @@ def test_agenda_on_random_strings():
     with open(MODEL, "rb") as f:
         encoder = AgendaEncoder(f.read())
     r = random.Random(1)
-    for _ in range(800):
-        text = "".join(r.choice("ab \n\t<0x>é日▁😀theInr#*.") for _ in range(r.randint(0, 120)))
-        assert np.frombuffer(encoder.encode(text), np.int32).tolist() == encoder.library.encode(text)
-    assert encoder._flat(list("▁internationally")) == encoder._heaped(list("▁internationally"))
+    texts = ["".join(r.choice("ab \n\t<0x>é日▁😀theInr#*.\u0000") for _ in range(r.randint(0, 120))) for _ in range(800)]
+    texts += ["".join(r.choice("inthesaror") for _ in range(n)) for n in range(1, 90)] + ["", " ", "  ", "▁"]
+    for i in range(0, len(texts), 100):
+        got = [np.frombuffer(b, np.int32).tolist() for b in encoder.encode(texts[i:i + 100])]
+        assert got == encoder.library.encode(texts[i:i + 100])
 
 
 # -- 2 ---------------------------------------------------------------------------------------------------------------

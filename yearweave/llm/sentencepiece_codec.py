@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 from .common import text_or_empty
 
 #: Chunks whose ids a worker remembers before it starts anew.
-REMEMBERED_CHUNKS = 1_500_000
-#: Up to this many symbols a flat agenda is quicker than a heap.
-FLAT_AGENDA = 40
+REMEMBERED_CHUNKS = 1_200_000
+#: Chunks of up to this many characters are merged many at a time; longer ones each by a heap.
+FLAT_AGENDA = 32
 _INFINITE = float("inf")
 
 
@@ -37,15 +37,71 @@ def _packed(ids: list[int]) -> bytes:
     return array("i", ids).tobytes()
 
 
-class _Remembered(dict):
-    """Chunks and their ids; a new chunk is merged when first asked for."""
-
-    def __init__(self, encoder: AgendaEncoder):
-        self.encoder = encoder
-
-    def __missing__(self, chunk: str) -> bytes:
-        self[chunk] = ids = self.encoder.parts_merged(chunk)
-        return ids
+class _PairTable:
+    """Score and piece of every pair of pieces whose concatenation is a piece."""
+
+    def __init__(self, ids: dict[str, int], cost: dict[str, float]):
+        splits = [(ids[p[:k]], ids[p[k:]], i, cost[p]) for p, i in ids.items() for k in range(1, len(p)) if p[:k] in ids and p[k:] in ids]
+        left, right, merged, score = map(np.array, zip(*splits))
+        self.width = max(ids.values()) + 1
+        key = left * self.width + right
+        order = np.argsort(key)
+        self.key, self.merged, self.score = key[order], merged[order], score[order]
+
+    def look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Cost (infinite for no pair, as beside an absent symbol, -1) and merged piece."""
+        key = left * self.width + right
+        at = np.searchsorted(self.key, key)
+        at[at == len(self.key)] = 0
+        found = (self.key[at] == key) & (left >= 0) & (right >= 0)
+        return np.where(found, self.score[at], _INFINITE), self.merged[at]
+
+
+def _merge_together(symbols: np.ndarray, pairs: _PairTable) -> np.ndarray:
+    """The agenda of many short chunks at once: rows of character pieces, -1 filled, become rows of pieces.
+
+    Each round takes every row's best pair (the leftmost of equals), and asks for its new neighbours."""
+    symbols = np.pad(symbols, ((0, 0), (0, 2)), constant_values=-1)
+    cost, merged = pairs.look_up(symbols[:, :-1], symbols[:, 1:])
+    done, rows = np.full_like(symbols, -1), np.arange(len(symbols))
+    place = np.arange(symbols.shape[1])
+    while len(rows):
+        each = np.arange(len(rows))
+        best = cost.argmin(axis=1)
+        more = cost[each, best] < _INFINITE
+        if not more.all():
+            done[rows[~more]] = symbols[~more]
+            rows, symbols, cost, merged, best = rows[more], symbols[more], cost[more], merged[more], best[more]
+            each = each[: len(rows)]
+            if not len(rows):
+                break
+        piece = merged[each, best]
+        from_symbol = np.minimum(place + (place > best[:, None]), symbols.shape[1] - 1)
+        symbols = np.take_along_axis(symbols, from_symbol, 1)
+        symbols[each, best] = piece
+        from_pair = np.minimum(place[:-1] + (place[:-1] > best[:, None]), cost.shape[1] - 1)
+        cost, merged = np.take_along_axis(cost, from_pair, 1), np.take_along_axis(merged, from_pair, 1)
+        for at in (best, np.maximum(best - 1, 0)):
+            cost[each, at], merged[each, at] = pairs.look_up(symbols[each, at], symbols[each, at + 1])
+    return done
+
+
+def _families(inside: set[tuple[str, str]], most: int = 12) -> list[set[str]]:
+    """Characters that pieces chain together (the space mark apart): the largest such sets, and all the others in one."""
+    of: dict[str, set[str]] = {}
+    for pair in inside:
+        if "▁" not in pair:
+            a, b = (of.setdefault(c, {c}) for c in pair)
+            if a is not b:
+                small, large = sorted((a, b), key=len)
+                large |= small
+                of.update(dict.fromkeys(small, large))
+        else:
+            for c in pair:
+                of.setdefault(c, {c})
+    of.pop("▁", None)
+    families = sorted({id(f): f for f in of.values()}.values(), key=lambda f: (-len(f), min(f)))
+    return families[:most] + ([set().union(*families[most:])] if families[most:] else [])
 
 
 class AgendaEncoder:
@@ -70,31 +126,73 @@ class AgendaEncoder:
         if len(self.byte_ids) != 256:
             raise ValueError("the vocabulary needs byte fallback pieces")
         self.inside = inside
-        joined = {c for pair in inside for c in pair} - {"▁"}
-        any_joined = "[" + "".join(map(re.escape, sorted(joined))) + "]"
-        # runs of the space mark with the joinable characters after them; else one character
-        self.chunks = re.compile(f"▁*{any_joined}+|▁+|.", re.DOTALL).findall
+        # runs of the space mark with a run of characters of one family after them; else one character
+        runs = "|".join("[" + "".join(map(re.escape, sorted(f))) + "]+" for f in _families(inside))
+        self.chunks = re.compile(f"▁*(?:{runs})|▁+|.", re.DOTALL).findall
         self.words_only = not any(p[1] == "▁" and p[0] != "▁" for p in inside)
-        self.known = _Remembered(self)
+        self.pairs = _PairTable(self.ids, self.cost)
+        self.known: dict[str, bytes] = {}
 
-    def encode(self, text: str) -> bytes:
-        """The ids as 32-bit integers one after another."""
-        mark = self.library.normalize(text)
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Of each text the ids as 32-bit integers one after another."""
+        marked = [self.library.normalize(t) for t in texts]
         if not self.words_only:
-            return _packed(self.merged(mark))
+            return [_packed(self.merged(m)) for m in marked]
         if len(self.known) > REMEMBERED_CHUNKS:
             self.known.clear()
-        return b"".join(map(self.known.__getitem__, self.chunks(mark)))
-
-    def parts_merged(self, chunk: str) -> bytes:
-        """Cut at every pair of neighbours that no piece holds, as before a full stop after a word."""
-        cuts = [i for i, pair in enumerate(zip(chunk, chunk[1:]), 1) if pair not in self.inside]
-        if not cuts:
-            return _packed(self.merged(chunk))
-        return b"".join([self.known[chunk[i:j]] for i, j in zip([0, *cuts], [*cuts, len(chunk)])])
+        chunks = [self.chunks(m) for m in marked]
+        self.learn(set(chain.from_iterable(chunks)).difference(self.known))
+        return [b"".join(map(self.known.__getitem__, parts)) for parts in chunks]
+
+    def learn(self, chunks: set[str]) -> None:
+        """Remember new chunks. Each is cut at pairs that no piece holds, as before a full stop after a word."""
+        inside, known, cut, plain = self.inside, self.known, {}, set()
+        for chunk in chunks:
+            rest = chunk[:-1]
+            if inside.issuperset(zip(chunk, chunk[1:])):
+                plain.add(chunk)
+            elif rest in known and (rest[-1], chunk[-1]) not in inside:  # a known word and a mark after it
+                cut[chunk] = parts = (rest, chunk[-1])
+                plain.add(chunk[-1])
+            else:
+                cuts = [0, *[i for i, pair in enumerate(zip(chunk, chunk[1:]), 1) if pair not in inside], len(chunk)]
+                cut[chunk] = parts = [chunk[i:j] for i, j in zip(cuts, cuts[1:])]
+                plain.update(parts)
+        short = []
+        for chunk in plain:
+            if chunk in known:
+                continue
+            if len(chunk) <= FLAT_AGENDA:
+                short.append(chunk)
+            else:
+                known[chunk] = _packed(self.merged(chunk))
+        if short:
+            self._learn_short(sorted(short, key=len))
+        for chunk, parts in cut.items():
+            known[chunk] = b"".join([known[part] for part in parts])
+
+    def _learn_short(self, chunks: list[str]) -> None:
+        for at in range(0, len(chunks), 4096):  # of about one length each
+            some = chunks[at:at + 4096]
+            width = len(some[-1])
+            codes = np.frombuffer("".join(c.ljust(width, "\0") for c in some).encode("utf-32-le"), np.uint32).reshape(len(some), width)
+            letters, which = np.unique(codes, return_inverse=True)
+            of_letter = np.array([self.ids.get(chr(c), -2) for c in letters.tolist()])
+            symbols = of_letter[which].reshape(codes.shape)
+            lengths = np.fromiter(map(len, some), np.int64, len(some))
+            symbols[np.arange(width) >= lengths[:, None]] = -1
+            odd = (symbols == -2).any(axis=1)  # a character that is no piece: its bytes stand for it
+            for i in np.flatnonzero(odd).tolist():
+                self.known[some[i]] = _packed(self.merged(some[i]))
+            some = [c for c, o in zip(some, odd.tolist()) if not o]
+            rows = _merge_together(symbols[~odd], self.pairs)
+            held = rows >= 0
+            ends = np.cumsum(held.sum(axis=1) * 4).tolist()
+            ids = rows[held].astype(np.int32).tobytes()
+            self.known.update(zip(some, [ids[i:j] for i, j in zip([0, *ends], ends)]))
 
     def merged(self, chunk: str) -> list[int]:
-        symbols = self._flat(list(chunk)) if len(chunk) <= FLAT_AGENDA else self._heaped(list(chunk))
+        symbols = self._heaped(list(chunk))
         out: list[int] = []
         for symbol in symbols:
             if symbol in self.ids:
@@ -103,19 +201,6 @@ class AgendaEncoder:
                 out.extend(self.byte_ids[b] for b in symbol.encode())
         return out
 
-    def _flat(self, symbols: list[str]) -> list[str]:
-        cost = self.cost.get
-        agenda = [cost(a + b, _INFINITE) for a, b in zip(symbols, symbols[1:])]
-        while agenda and (best := min(agenda)) < _INFINITE:
-            at = agenda.index(best)  # the leftmost of equal scores
-            symbols[at] += symbols.pop(at + 1)
-            agenda.pop(at)
-            if at:
-                agenda[at - 1] = cost(symbols[at - 1] + symbols[at], _INFINITE)
-            if at < len(agenda):
-                agenda[at] = cost(symbols[at] + symbols[at + 1], _INFINITE)
-        return symbols
-
     def _heaped(self, symbols: list[str]) -> list[str]:
         cost, n = self.cost, len(symbols)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
@@ -171,7 +256,7 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
                 texts = batch.column(1).to_pylist()
                 expected = encoder.library.encode(texts, num_threads=1)
                 packed = [_packed(ids) for ids in expected]
-                same = [encoder.encode(t) == p for t, p in zip(texts, packed)]
+                same = [a == b for a, b in zip(encoder.encode(texts), packed)]
                 decoded = encoder.library.decode(expected, num_threads=1)
                 ends = np.cumsum([0, *map(len, expected)])
                 flat = np.frombuffer(b"".join(packed), np.int32)

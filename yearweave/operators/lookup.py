@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from yearweave.operators._common import DataGuardError, check_strategy, duplicate_keys, require_columns
+from yearweave.operators._common import DataGuardError, check_strategy, duplicate_keys, guarded, require_columns
 
 
 @dataclass(frozen=True)
@@ -119,7 +119,7 @@ def apply_lookup_pairs(
         if on_unmatched == "raise":
             bad = in_scope & F.col(p.key_col).isNotNull() & F.col(tmp).isNull()
             message = F.concat(F.lit(f"{what}: {p.key_col} has no value for code '"), code, F.lit("'"))
-            df = df.filter(F.when(bad, F.raise_error(message).cast("boolean")).otherwise(True))
+            df = guarded(df, F.when(bad, F.raise_error(message).cast("boolean")).otherwise(True))
         mapped = p.value_transform(F.col(tmp)) if p.value_transform else F.col(tmp)
         df = df.withColumn(p.target_col, F.when(in_scope, mapped).otherwise(F.col(p.target_col))).drop(tmp)
     return df

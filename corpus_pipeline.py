@@ -28,7 +28,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines within the edit distance of an earlier line go, and documents that had no other lines."""
+    """Lines within the edit distance of an earlier line go, and documents that had no other lines with content."""
     return without_repeated_lines(docs)
 
 

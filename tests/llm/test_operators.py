@@ -335,6 +335,16 @@ def test_line_dedup_equals_brute_force(spark, docs, empty):
     assert line_report(empty).count() == without_repeated_lines(empty).count() == 0
 
 
+def test_short_lines_under_a_repeated_line_stay(spark):
+    from yearweave.llm.line_dedup import without_repeated_lines
+    header = "one header line that many of these documents share"
+    texts = [header + "\nmilk\neggs", header + "\nbread\n\nsalt", header + "\n日本", header + "\n😀", header, header + "\n---\n }", "\n---"]
+    rows = [(i, t, len(t)) for i, t in enumerate(texts)]
+    got = {r.doc_id: (r.text, r.n_chars) for r in without_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string, n_chars long")).collect()}
+    want = {0: texts[0], 1: "bread\n\nsalt", 2: "日本", 3: "😀", 6: "\n---"}  # no content is left of 4 and 5; 6 loses nothing
+    assert got == {i: (t, len(t)) for i, t in want.items()}
+
+
 # -- 7 ---------------------------------------------------------------------------------------------------------------
 
 def test_toxicity_learns_and_locates(spark):

@@ -20,6 +20,8 @@ from .common import stage, text_or_empty
 MAX_EDITS = 2
 #: Shorter lines are left alone: they repeat by nature, and few edits make them another line.
 MIN_CHARS = 32
+#: What a line with content has: a letter, a digit or a pictograph. Blank lines, rules and lone brackets have none.
+CONTENT = r"[\p{L}\p{N}\p{So}]"
 #: Letters whose counts bound the distance: an edit changes at most two counts by one.
 COUNTED = "eatnrioshldc"
 #: Bits of a count; it goes round, and so does the distance of two counts.
@@ -189,8 +191,8 @@ def line_report(docs: DataFrame) -> DataFrame:
 
 
 def without_repeated_lines(docs: DataFrame) -> DataFrame:
-    """The documents without the lines to drop; ``n_chars`` follows the text. A document that loses all its
-    lines of MIN_CHARS or more is a copy and goes; one without a line to drop stays as it is."""
+    """The documents without the lines to drop; ``n_chars`` follows the text. A document goes if it lost lines and
+    none with content is left, of whatever length; one without a line to drop stays as it is."""
     text = text_or_empty("text")
     removed = repeated_lines(docs).select(F.col("doc_id").alias("__doc_id"), F.col("th").alias("__th"), F.col("no").alias("__no"))
     rows = docs.withColumn("__key", F.xxhash64(text))
@@ -199,8 +201,7 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__no"))
     new = F.when(F.col("__no").isNull(), F.col("text")).otherwise(
         F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
-    left = F.exists(F.split("__new", "\n", -1), lambda line: F.char_length(line) >= MIN_CHARS)
-    out = joined.withColumn("__new", new).filter(F.col("__no").isNull() | left)
+    out = joined.withColumn("__new", new).filter(F.col("__no").isNull() | F.col("__new").rlike(CONTENT))
     values = {"text": F.col("__new"), "n_chars": F.char_length("__new").cast(docs.schema["n_chars"].dataType)} if (
         "n_chars" in docs.columns) else {"text": F.col("__new")}
     return out.select(*[values.get(c, F.col(c)).alias(c) for c in docs.columns])

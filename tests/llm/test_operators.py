@@ -335,6 +335,33 @@ def test_line_dedup_equals_brute_force(spark, docs, empty):
     assert line_report(empty).count() == without_repeated_lines(empty).count() == 0
 
 
+def test_registered_line_dedup_finds_short_lines(spark, tmp_path):
+    from yearweave.llm.registry import QUERIES
+    r = random.Random(8)
+    base = ["All rights reserved.", "Subscribe to our newsletter", "abcdefghijkl", "Un.", "To.", "日本", "}", "---", "", "  ", "😀", "-" * 40]
+    lines = list(base)
+    for _ in range(120):
+        line = list(r.choice(base[:3] + [prose(r, 2), prose(r, 4)]))
+        for _ in range(r.randint(0, 3)):
+            at = r.randrange(len(line))
+            line[at:at + r.randint(0, 1)] = r.choice(["", "x", "yz"])
+        lines.append("".join(line))
+    lines += base
+    r.shuffle(lines)
+    rows = [(i, "\n".join(lines[4 * i:4 * i + 4])) for i in range(len(lines) // 4)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {x.doc_id: x.removed_lines for x in QUERIES["op6_line_dedup"](spark, str(tmp_path)).collect()}
+    seen, want = [], {}
+    for i, t in rows:
+        want[i] = []
+        for no, line in enumerate(t.split("\n")):
+            if any(c.isalnum() or c == "😀" for c in line) or len(line) >= 32:
+                if line in seen or any(min(len(s), len(line)) >= 12 and distance(s, line) <= 2 for s in seen):
+                    want[i].append(no)
+                seen.append(line)
+    assert got == want and sum(map(len, want.values())) > 40
+
+
 def test_short_lines_under_a_repeated_line_stay(spark):
     from yearweave.llm.line_dedup import without_repeated_lines
     header = "one header line that many of these documents share"

@@ -1,7 +1,8 @@
 """Line de-duplication within an edit distance, from DataFrame operations alone.
 
 A line goes if an earlier line (smaller document id, then line number) of the table lies within
-``MAX_EDITS`` edits; equal lines are the case of none. Two lines within ``t`` edits share, cut into
+``MAX_EDITS`` edits; equal lines are the case of none. Equal lines of any length with content are found by
+their hashes alone, near ones from ``NEAR_CHARS`` on. Two lines within ``t`` edits share, cut into
 ``t + 1`` segments, at least one segment whole, near its own place: every different line is indexed by
 its segments and length, and probes the index with the substrings that can match, for its own and each
 shorter length in reach. What shares a segment is first held against a bound from letter counts, inside
@@ -18,8 +19,11 @@ from pyspark.sql import functions as F
 from .common import stage, text_or_empty
 
 MAX_EDITS = 2
-#: Shorter lines are left alone: they repeat by nature, and few edits make them another line.
+#: The bound of ``line_report`` unless its caller names others. From here on lines need no content to be compared.
 MIN_CHARS = 32
+#: Whole bounds: lines of so many characters are held against near lines (two edits are at most a sixth of one),
+#: and so many against equal ones.
+NEAR_CHARS, EQUAL_CHARS = 12, 1
 #: What a line with content has: a letter, a digit or a pictograph. Blank lines, rules and lone brackets have none.
 CONTENT = r"[\p{L}\p{N}\p{So}]"
 #: Letters whose counts bound the distance: an edit changes at most two counts by one.
@@ -30,11 +34,12 @@ COUNT_BITS = 5
 PIECE_CHARS = 6
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """Every line of at least MIN_CHARS characters with its place and a 128-bit identity."""
+def _lines(docs: DataFrame, least: int) -> DataFrame:
+    """Every line of at least ``least`` characters with its place and a 128-bit identity; lines under MIN_CHARS need content."""
     text = text_or_empty("text")
     return docs.select("doc_id", F.xxhash64(text).alias("th"), F.posexplode(F.split(text, "\n", -1)).alias("no", "line")).withColumn(
-        "n", F.char_length("line")).filter(F.col("n") >= MIN_CHARS).withColumn(
+        "n", F.char_length("line")).filter(
+        (F.col("n") >= least) & ((F.col("n") >= MIN_CHARS) | F.col("line").rlike(CONTENT))).withColumn(
         "h1", F.xxhash64("line")).withColumn("h2", F.xxhash64(F.lit("line"), F.col("line")))
 
 
@@ -129,13 +134,17 @@ def _pieces_agree(a: Column, b: Column, max_edits: int) -> Column:
     return F.size(spoiled) <= max_edits
 
 
-def repeated_lines(docs: DataFrame, max_edits: int = MAX_EDITS) -> DataFrame:
+def repeated_lines(
+        docs: DataFrame, max_edits: int = MAX_EDITS, near_chars: int = NEAR_CHARS, equal_chars: int = EQUAL_CHARS) -> DataFrame:
     """``doc_id``, ``th`` (the text's hash) and ``no``, the numbers (from 0, ascending) of the lines to drop.
 
-    Only texts with a line to drop have a row. Null texts have no lines. Rows that repeat a
-    document id and text are judged alike: none is earlier than the other. Null ids come first.
+    Equal lines are found from ``equal_chars`` characters on, near lines if both have ``near_chars``. Only
+    texts with a line to drop have a row. Null texts have no lines. Rows that repeat a document id and text are judged
+    alike: none is earlier than the other. Null ids come first.
     """
-    lines = _lines(docs)
+    if near_chars <= max_edits:
+        raise ValueError(f"near lines need more than {max_edits} characters: a segment of each must be left whole")
+    lines = _lines(docs, min(near_chars, equal_chars))
     place = F.struct("doc_id", "no", "th")
     places = stage(lines.select("doc_id", "no", "th", "h1", "h2"), "lines")
     different = stage(
@@ -144,10 +153,11 @@ def repeated_lines(docs: DataFrame, max_edits: int = MAX_EDITS) -> DataFrame:
         .withColumn("line_id", F.monotonically_increasing_id()), "different-lines")
     probes = _probes(max_edits)
     own = [k for k, (less, _, shift) in enumerate(probes) if less == 0 and shift == 0]
-    index = different.select(
+    compared = different.filter(F.col("n") >= near_chars)
+    index = compared.select(
         F.col("line_id").alias("a"), F.col("counts").alias("counts_a"),
         F.explode(F.array(*[F.col("keys")[k] for k in own])).alias("key"))
-    asked = different.select(
+    asked = compared.select(
         F.col("line_id").alias("b"), F.col("counts").alias("counts_b"),
         F.posexplode("keys").alias("probe", "key"))
     same_length = F.col("probe") < sum(less == 0 for less, _, _ in probes)
@@ -180,11 +190,11 @@ def repeated_lines(docs: DataFrame, max_edits: int = MAX_EDITS) -> DataFrame:
         F.array_sort(F.collect_set("no")).alias("no"))
 
 
-def line_report(docs: DataFrame) -> DataFrame:
+def line_report(docs: DataFrame, near_chars: int = MIN_CHARS, equal_chars: int = MIN_CHARS) -> DataFrame:
     """``doc_id``, ``n_lines``, ``n_removed`` and ``removed_lines`` of every row; a null text has one empty line."""
     text = text_or_empty("text")
     rows = docs.select("doc_id", F.xxhash64(text).alias("th"), F.size(F.split(text, "\n", -1)).alias("n_lines"))
-    removed = repeated_lines(docs).withColumnRenamed("doc_id", "__doc_id").withColumnRenamed("th", "__th")
+    removed = repeated_lines(docs, near_chars=near_chars, equal_chars=equal_chars).withColumnRenamed("doc_id", "__doc_id").withColumnRenamed("th", "__th")
     none = F.array().cast("array<int>")
     return rows.join(removed, rows["doc_id"].eqNullSafe(F.col("__doc_id")) & (rows["th"] == F.col("__th")), "left").select(
         "doc_id", "n_lines", F.coalesce(F.size("no"), F.lit(0)).alias("n_removed"), F.coalesce("no", none).alias("removed_lines"))

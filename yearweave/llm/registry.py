@@ -100,9 +100,9 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .line_dedup import line_report
+    from .line_dedup import EQUAL_CHARS, NEAR_CHARS, line_report
 
-    return line_report(table(spark, sf_dir, "documents"))
+    return line_report(table(spark, sf_dir, "documents"), NEAR_CHARS, EQUAL_CHARS)
 
 
 @_query

@@ -1,6 +1,8 @@
 """The corpus pipeline on the smallest tables, stage by stage against what each stage may do."""
 
 import hashlib
+import unicodedata
+from collections import Counter
 
 import public_tokenizers
 import sentencepiece
@@ -45,3 +47,48 @@ def test_stages_on_empty_documents(spark):
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, SF)
         assert out.count() == 0, name
+
+
+def _within_two(a, b):
+    if abs(len(a) - len(b)) > 2 or sum(((Counter(a) - Counter(b)) | (Counter(b) - Counter(a))).values()) > 4:
+        return False
+    before = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        now = [i]
+        for j, y in enumerate(b, 1):
+            now.append(min(before[j] + 1, now[-1] + 1, before[j - 1] + (x != y)))
+        before = now
+    return before[-1] <= 2
+
+
+def test_line_stage_equals_plain_python(spark):
+    """Expected rows without the library: a line goes after an equal one, or after one within two edits if both
+    have 12 characters; a document goes if it lost lines and none with content is left."""
+    import corpus_pipeline
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    top = max(r.doc_id for r in docs.select("doc_id").collect())
+    header = "a header line that several documents of short lines share"
+    added = [(top + k, f"{header}\n{rest}") for k, rest in enumerate(("milk\neggs", "bread\nsalt", "---", "milk\neggs"), 1)]
+    more = spark.createDataFrame(added, "doc_id long, text string").selectExpr(f"cast(doc_id as {docs.schema['doc_id'].dataType.simpleString()}) doc_id", "text")
+    docs = docs.unionByName(more, allowMissingColumns=True)
+    content = lambda line: any(unicodedata.category(c)[0] in "LN" or unicodedata.category(c) == "So" for c in line)
+    seen, by_length, want = set(), {}, {}
+    for r in sorted(docs.collect(), key=lambda r: r.doc_id):
+        lines, kept = (r.text or "").split("\n"), []
+        for line in lines:
+            if len(line) < 32 and not content(line):
+                kept.append(line)
+                continue
+            near = len(line) >= 12 and any(_within_two(s, line) for n in range(max(12, len(line) - 2), len(line) + 3) for s in by_length.get(n, ()))
+            if line not in seen and not near:
+                kept.append(line)
+            if line not in seen:
+                seen.add(line)
+                by_length.setdefault(len(line), []).append(line)
+        if len(kept) == len(lines):
+            want[r.doc_id] = r.text
+        elif content("".join(kept)):
+            want[r.doc_id] = "\n".join(kept)
+    got = {r.doc_id: r.text for r in dict(corpus_pipeline.STAGES)["line_dedup"](spark, docs, SF).collect()}
+    assert got == want
+    assert want[top + 2] == "bread\nsalt" and top + 3 not in want and top + 4 not in want

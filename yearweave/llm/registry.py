@@ -159,3 +159,25 @@ SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed
   sha256(unhex(coalesce(rest, h))) AS kept_sha256
 FROM n LEFT JOIN kept USING (r)
 """
+
+
+@_query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .periodic_runs import collapse_runs, run_digest, with_planted_runs
+
+    return run_digest(collapse_runs(with_planted_runs(table(spark, sf_dir, "documents"))))
+
+
+@_query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings"), components=32, scale=64, offset=1_000_000)
+
+
+@_query
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_rules import quality_verdicts
+
+    return quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")

@@ -51,16 +51,6 @@ def sources_by_target(renames: Iterable[tuple[str, str]]) -> dict[str, str]:
     return out
 
 
-def guarded(df: DataFrame, ok: Column) -> DataFrame:
-    """``df`` behind a row filter that raises inside ``ok``: no projection, count or later overwrite can prune it.
-
-    A row number stands in the condition, so that the filter stays where it is: pushed below the
-    projections it looks at, it would compute all of them a second time.
-    """
-    row = "__guard_row"
-    return df.withColumn(row, F.monotonically_increasing_id()).filter(ok & (F.col(row) >= 0)).drop(row)
-
-
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys occurring more than once (E5 / D5); NULL keys group together."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)

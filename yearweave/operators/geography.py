@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from yearweave.functions.logic import null_string
 from yearweave.functions.strings import last_n, pad_left, remove_first
+from yearweave.operators.guards import settle
 from yearweave.operators.lookup import LookupPair, apply_lookup_pairs, prefetch_lookup
 
 Y = "file_year"
@@ -128,8 +129,11 @@ def clean_geography(
     literal_pairs: Sequence[tuple[str, str, int]],
     on_unmatched: str = "raise",
 ) -> DataFrame:
-    """All geography rules K1-K12 in order; later rules see earlier results."""
+    """All geography rules K1-K12 in order; later rules see earlier results. ``on_unmatched`` as for the lookups: with
+    ``"raise"`` the guards of both folds are settled together, after the last rule."""
     rows = prefetch_lookup(county_map)  # a county-sized map is read once for both folds
+    raises = on_unmatched == "raise"
+    on_unmatched = "observe" if raises else on_unmatched
     df = k1_pad_wa_codes(df)
     df = k2_wa_to_fips(df, county_map, column_pairs, on_unmatched, rows)
     df = k3_null_out_of_state(df)
@@ -137,7 +141,7 @@ def clean_geography(
     for rule in (k5_death_fips_last3, k6_death_state, k7_residence_out_of_state, k8_residence_pad,
                  k9_residence_strip_state, k10_residence_state, k11_injury_fips, k12_injury_fips_recent):
         df = rule(df)
-    return df
+    return settle(df) if raises else df
 
 
 def county_map_from_rule(spark, n_counties: int = 39) -> DataFrame:

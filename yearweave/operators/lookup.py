@@ -20,7 +20,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from yearweave.operators._common import DataGuardError, check_strategy, duplicate_keys, guarded, require_columns
+from yearweave.operators._common import DataGuardError, check_strategy, duplicate_keys, require_columns
+from yearweave.operators.guards import settle, watch
+
+GUARD_MODES = ("raise", "observe", "scan", "ignore")
 
 
 @dataclass(frozen=True)
@@ -73,16 +76,18 @@ def apply_lookup_pairs(
 
     ``prefetched``: the lookup's rows from :func:`prefetch_lookup`, for ``strategy="map"``.
 
-    Unmatched guard (D6), ``on_unmatched``:
+    Unmatched guard (D6) on in-scope non-NULL codes without a value, ``on_unmatched``:
 
-    - ``"raise"`` (default): a filter on the row that raises on the first in-scope non-NULL code
-      without a value, naming column and code. No extra pass, and no projection, count or later
+    - ``"raise"`` (default): one guard for all pairs that raises on the first such code, naming column and
+      code (:func:`yearweave.operators.guards.settle`). No extra pass, and no projection, count or later
       overwrite of the target can prune it; the job that reads the rows fails.
+    - ``"observe"``: such codes go into guard columns, to be settled at the end of the stage, or counted and listed
+      by the write itself (:func:`yearweave.operators.guards.write_checked`).
     - ``"scan"``: one pass per pair before returning; raises with the number of rows and every code.
     - ``"ignore"``: no check; :func:`unmatched_codes` gives the same list as a table.
     """
-    if on_unmatched not in ("raise", "scan", "ignore"):
-        raise ValueError("on_unmatched must be 'raise', 'scan' or 'ignore'")
+    if on_unmatched not in GUARD_MODES:
+        raise ValueError(f"on_unmatched must be one of {', '.join(GUARD_MODES)}")
     check_strategy(strategy)
     require_columns(lookup, [lookup_key, lookup_value], what)
     keyed = lookup.select(F.col(lookup_key).cast("string").alias("k"), F.col(lookup_value).cast("string").alias("v"))
@@ -116,13 +121,12 @@ def apply_lookup_pairs(
         if null_key:
             df = df.withColumn(tmp, F.when(F.col(p.key_col).isNull(), F.lit(null_key[0])).otherwise(F.col(tmp)))
         in_scope = F.col(year_col) < F.lit(int(p.year_threshold))
-        if on_unmatched == "raise":
+        if on_unmatched in ("raise", "observe"):
             bad = in_scope & F.col(p.key_col).isNotNull() & F.col(tmp).isNull()
-            message = F.concat(F.lit(f"{what}: {p.key_col} has no value for code '"), code, F.lit("'"))
-            df = guarded(df, F.when(bad, F.raise_error(message).cast("boolean")).otherwise(True))
+            df = watch(df, f"{what}: {p.key_col} has no value for code", bad, code, " '{}'")
         mapped = p.value_transform(F.col(tmp)) if p.value_transform else F.col(tmp)
         df = df.withColumn(p.target_col, F.when(in_scope, mapped).otherwise(F.col(p.target_col))).drop(tmp)
-    return df
+    return settle(df) if on_unmatched == "raise" else df
 
 
 def lookup_before_year(

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from yearweave.operators._common import SchemaMismatch
+from yearweave.operators.guards import guard_columns
 
 
 @dataclass(frozen=True)
@@ -64,7 +65,9 @@ def resolve_columns(columns: Sequence[str], spec: Sequence[str | Selector]) -> l
 
 
 def select_spec(df: DataFrame, spec: Sequence[str | Selector]) -> DataFrame:
-    return df.select(*resolve_columns(df.columns, spec))
+    """The columns of ``spec``; guard columns not yet settled ride along, last."""
+    guards = guard_columns(df)
+    return df.select(*resolve_columns([c for c in df.columns if c not in guards], spec), *guards)
 
 
 def move_to_front(df: DataFrame, front: Sequence[str]) -> DataFrame:

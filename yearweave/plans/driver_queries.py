@@ -27,7 +27,7 @@ from yearweave.functions.strings import (
     title_case,
     zip5_or_null,
 )
-from yearweave.operators import causes, crosswalk, dates, demographics, geography, lookup, projection, quality, recode, schema, times, vintage
+from yearweave.operators import causes, crosswalk, dates, demographics, geography, guards, lookup, projection, quality, recode, schema, times, vintage
 from yearweave.sources.manifest import classify_files, missing_csv, select_vintages
 
 AS_OF = "2026-01-01"
@@ -451,6 +451,60 @@ def q_unmatched_report(spark, sf_dir):
     return lookup.unmatched_codes(_orders_with_nation(spark, sf_dir), "c_nationkey", names, "n_nationkey", "name", LOOKUP_THRESHOLD)
 
 
+GUARDED_LEVELS = [("O", "Open"), ("F", "Final")]  # 'P' has no level
+_GUARDED_SQL = f"""{_ORDERS_NATION_SQL},
+g AS (
+  SELECT s.*, o.o_orderstatus AS status, s.file_year < {LOOKUP_THRESHOLD} AND s.c_nationkey IS NOT NULL AND s.c_nationkey > {PARTIAL_MAP_MAX} AS unmatched
+  FROM src s JOIN orders o ON o.o_orderkey = s.o_orderkey)"""
+
+
+def guarded_orders(spark, sf_dir, n_counties: int, levels) -> DataFrame:
+    """Orders with a lookup and a factor whose guards are left to the write."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"))
+    df = _orders_with_nation(spark, sf_dir).join(o, "o_orderkey").select(
+        "o_orderkey", "file_year", pad_left(s("c_nationkey"), 2).alias("wa_code"), F.lit("?").alias("fips_code"), "status")
+    cmap = geography.county_map_from_rule(spark, n_counties)
+    df = lookup.lookup_before_year(df, "wa_code", "fips_code", cmap, "county_wa_code", "county_fips_code", LOOKUP_THRESHOLD,
+                                   on_unmatched="observe")
+    rows = _schema_rows([("o_orderkey", "numeric"), ("file_year", "integer"), ("wa_code", "character"), ("fips_code", "character")],
+                        [("status", "factor", False, v, label, None, "status", "orders") for v, label in levels])
+    return schema.enforce_schema(df, spark.createDataFrame(rows, SCHEMA_DDL), check_levels="observe").df
+
+
+@register("guard_report", f"""
+WITH {_GUARDED_SQL}
+SELECT 'lookup: wa_code has no value for code' AS guard, lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS code, CAST(count(*) AS BIGINT) AS n_rows
+FROM g WHERE unmatched GROUP BY ALL
+UNION ALL
+SELECT 'enforce_schema: status holds a value without a factor level', status, CAST(count(*) AS BIGINT) FROM g WHERE status NOT IN ('O', 'F') GROUP BY ALL
+""")
+def q_guard_report(spark, sf_dir):
+    """D6, N5 and E8 in the write's own pass: the refused write lists every code of every guard with its rows."""
+    try:
+        guards.write_checked(guarded_orders(spark, sf_dir, PARTIAL_MAP_MAX, GUARDED_LEVELS), scratch_folder(spark, "guard_report") + "/orders")
+        found = []
+    except guards.GuardViolation as e:
+        found = e.rows
+    return spark.createDataFrame(found, "guard string, code string, n_rows bigint")
+
+
+@register("guarded_refresh", f"""
+WITH {_GUARDED_SQL}
+SELECT o_orderkey::DOUBLE AS o_orderkey, file_year, CASE WHEN file_year < {LOOKUP_THRESHOLD} THEN {_FIPS_OF_NATION_SQL} ELSE '?' END AS fips_code,
+  CASE status WHEN 'O' THEN 'Open' WHEN 'F' THEN 'Final' ELSE 'Partial' END AS status FROM g
+""")
+def q_guarded_refresh(spark, sf_dir):
+    """A clean write takes its place; a refresh that its guards refuse leaves the table as it was."""
+    from yearweave.sources.parquet import read_harmonized, write_harmonized
+    path = scratch_folder(spark, "guarded_refresh") + "/orders"
+    write_harmonized(guarded_orders(spark, sf_dir, 39, [*GUARDED_LEVELS, ("P", "Partial")]), path)
+    try:
+        write_harmonized(guarded_orders(spark, sf_dir, PARTIAL_MAP_MAX, GUARDED_LEVELS), path)
+    except guards.GuardViolation:
+        pass
+    return read_harmonized(spark, path).select("o_orderkey", "file_year", "fips_code", "status")
+
+
 @register("duplicate_lookup_keys", """
 SELECT c_mktsegment, CAST(count(*) AS BIGINT) AS n FROM customer GROUP BY c_mktsegment HAVING count(*) > 1
 """)
@@ -1513,10 +1567,11 @@ def cleaned_records(spark, sf_dir):
     cfg = workflow.Config(raw_folder="", output_folder="", rename_statistical="", rename_literals="",
                           recode_statistical="", schema="", as_of_date=AS_OF)
     derived, audits = workflow.derive(spark, death_records(spark, sf_dir), cfg)
-    sch = workflow.schema_table(spark, derived.columns, RECORD_TYPES, RECORD_FACTORS)
+    listed = [c for c in derived.columns if c not in guards.guard_columns(derived)]
+    sch = workflow.schema_table(spark, listed, RECORD_TYPES, RECORD_FACTORS)
     final, more = workflow.finish(derived, cfg, sch)
     audits.update(more)
-    return final, audits
+    return guards.settle(final), audits
 
 
 # The 84 columns the final projection keeps for these records (FINAL_SPEC applied to them).

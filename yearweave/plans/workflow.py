@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yearweave.functions.strings import nullify_placeholders, title_case, zip5_or_null
-from yearweave.operators import causes, crosswalk, demographics, geography, quality, recode, schema, vintage
+from yearweave.operators import causes, crosswalk, demographics, geography, guards, quality, recode, schema, vintage
 from yearweave.operators import dates as dates_op
 from yearweave.operators import times as times_op
 from yearweave.operators.projection import Selector, contains, select_spec, starts_with
@@ -96,8 +96,8 @@ class Config:
     column_pairs: Sequence[tuple[str, str, int]] = DEFAULT_COLUMN_PAIRS
     literal_pairs: Sequence[tuple[str, str, int]] = DEFAULT_LITERAL_PAIRS
     csv_options: dict = field(default_factory=dict)
-    on_unmatched: str = "raise"      # lookup guard: on the row ("raise"), one listing pass ("scan"), "ignore"
-    check_levels: str = "plan"       # factor-level guard: in-plan ("plan"), one listing pass ("scan"), "off"
+    on_unmatched: str = "raise"      # lookup guard: settled at the stage's end ("raise"), one listing pass ("scan"), "ignore"
+    check_levels: str = "plan"       # factor-level guard: settled at the stage's end ("plan"), one listing pass ("scan"), "off"
     time_as: str = "string"          # time of day as "HH:mm:ss" text, or Spark's TIME type ("time")
     completeness_threshold: float = 1.0
     keep_axis_in_completeness: bool = False
@@ -145,8 +145,9 @@ def _county_map(spark: SparkSession, cfg: Config) -> DataFrame:
 
 def derive(spark: SparkSession, df: DataFrame, cfg: Config):
     """Stage 2, part 1: geography, cause codes, demographics, dates, times.
-    Returns ``(df, audits)``; the frame's columns are what the schema must list."""
-    df = geography.clean_geography(df, _county_map(spark, cfg), cfg.column_pairs, cfg.literal_pairs, cfg.on_unmatched)
+    Returns ``(df, audits)``; the frame's columns are what the schema must list, beside guard columns to be settled."""
+    df = geography.clean_geography(df, _county_map(spark, cfg), cfg.column_pairs, cfg.literal_pairs,
+                                   "observe" if cfg.on_unmatched == "raise" else cfg.on_unmatched)
     df = causes.all_cause_codes(causes.clean_cause_codes(df))
     df = demographics.derive_demographics(df)
     df, date_errors = dates_op.clean_dates(df, as_of_date=_today(cfg))
@@ -155,10 +156,10 @@ def derive(spark: SparkSession, df: DataFrame, cfg: Config):
 
 
 def finish(df: DataFrame, cfg: Config, schema_df: DataFrame | None = None):
-    """Stage 2, part 2: types from the schema, string rules, final projection."""
+    """Stage 2, part 2: types from the schema, string rules, final projection. Guard columns stay, to be settled."""
     audits = {}
     if schema_df is not None:
-        df, conversions = schema.enforce_schema(df, schema_df, cfg.check_levels)
+        df, conversions = schema.enforce_schema(df, schema_df, "observe" if cfg.check_levels == "plan" else cfg.check_levels)
         audits["data_type_conversions"] = conversions
     cod_text = [c for c in df.columns if "cod_text" in c]
     df = df.withColumns({c: title_case(c) for c in [*TITLE_CASE_COLUMNS, *cod_text] if c in df.columns})
@@ -171,11 +172,11 @@ def finish(df: DataFrame, cfg: Config, schema_df: DataFrame | None = None):
 
 
 def clean(spark: SparkSession, df: DataFrame, cfg: Config, schema_df: DataFrame | None = None):
-    """Stage 2 (lazy except the guards): returns ``(final_df, audits)``."""
+    """Stage 2 (lazy): returns ``(final_df, audits)``. All guards are settled by one filter at the end."""
     df, audits = derive(spark, df, cfg)
     df, more = finish(df, cfg, schema_df)
     audits.update(more)
-    return df, audits
+    return guards.settle(df), audits
 
 
 def schema_table(spark: SparkSession, columns, types: dict, factors: dict | None = None) -> DataFrame:
@@ -195,14 +196,19 @@ def schema_table(spark: SparkSession, columns, types: dict, factors: dict | None
 
 
 def run(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]:
-    """Both stages with their writes; returns the report tables (also written)."""
+    """Both stages with their writes; returns the report tables (also written).
+
+    The second write counts what its guards meet; if any code has no answer, the earlier table stays, and
+    :class:`yearweave.operators.guards.GuardViolation` lists all of them with their numbers of rows."""
     out = cfg.output_folder.rstrip("/")
     stage1 = f"{out}/_stage1_harmonized"
     stage1_audits: dict[str, DataFrame] = {}
     harmonize(spark, cfg, stage1_audits).write.mode("overwrite").parquet(stage1)
     staged = spark.read.parquet(stage1)
     schema_df = csv_scan.load_control_table(spark, cfg.schema)
-    final, audits = clean(spark, staged, cfg, schema_df)
+    derived, audits = derive(spark, staged, cfg)
+    final, conversions = finish(derived, cfg, schema_df)
+    audits.update(conversions)
     parquet.write_harmonized(final, f"{out}/harmonized_data.parquet")
     written = parquet.read_harmonized(spark, f"{out}/harmonized_data.parquet")
     reports = {**stage1_audits, **audits}

@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from yearweave.operators.guards import guard_columns, write_checked
+
 
 def write_harmonized(df: DataFrame, path: str, partition_by: str = "file_year", mode: str = "overwrite",
                      max_records_per_file: int = 5_000_000) -> None:
@@ -16,14 +18,21 @@ def write_harmonized(df: DataFrame, path: str, partition_by: str = "file_year",
     files, and lets AQE split a large year into advisory-sized pieces (a
     plain ``repartition(year)`` would put a whole year in one task) and merge
     small ones. Year directories give partition pruning on read.
+
+    A frame with guard columns is counted while it is written, after the shuffle, where a task's metrics
+    count once however often lost executors make it run, and takes the place of ``path`` only if no guard was hit
+    (:func:`yearweave.operators.guards.write_checked`).
     """
-    (
-        df.hint("rebalance", partition_by)
-        .write.mode(mode)
-        .option("maxRecordsPerFile", max_records_per_file)
-        .partitionBy(partition_by)
-        .parquet(path)
-    )
+    def write(frame: DataFrame, folder: str) -> None:
+        frame.write.mode(mode).option("maxRecordsPerFile", max_records_per_file).partitionBy(partition_by).parquet(folder)
+
+    rows = df.hint("rebalance", partition_by)
+    if not guard_columns(df):
+        write(rows, path)
+    elif mode != "overwrite":
+        raise ValueError("a frame with guards replaces the table; settle() it first to append")
+    else:
+        write_checked(rows, path, write)
 
 
 def read_harmonized(spark: SparkSession, path: str, years=None) -> DataFrame:

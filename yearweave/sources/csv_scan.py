@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from yearweave.functions.strings import normalize_text
 from yearweave.operators._common import DataGuardError, SchemaMismatch, sources_by_target
+from yearweave.sources.quoted_csv import read_quoted_csv
 
 CSV_OPTIONS: Mapping[str, str] = {
     "header": "true",
@@ -37,19 +38,21 @@ def read_csv_strings(spark: SparkSession, paths: Sequence[str] | str, options: M
         raise DataGuardError("no input files for this vintage")
     opts = {**CSV_OPTIONS, **(options or {})}
     if "multiLine" not in opts:
-        opts["multiLine"] = str(has_quoted_newlines(spark, paths, opts["quote"], opts["encoding"])).lower()
+        if opts["encoding"].upper().replace("-", "") != "UTF8":
+            opts["multiLine"] = "true"
+        elif has_quoted_newlines(spark, paths, opts["quote"]):
+            return read_quoted_csv(spark, paths, opts)
     return spark.read.options(**opts).csv(paths)
 
 
-def has_quoted_newlines(spark: SparkSession, paths: Sequence[str], quote: str = '"', encoding: str = "UTF-8") -> bool:
+def has_quoted_newlines(spark: SparkSession, paths: Sequence[str], quote: str = '"') -> bool:
     """Whether a quoted value runs over a line end: then some line has an odd number of quotes.
 
-    One splittable text pass that stops at the first such line. Only vintages for which it holds are
-    read with ``multiLine``, which makes a file one task; name the option to skip the pass. Files
-    that are not UTF-8 are taken to need it.
+    One splittable text pass that stops at the first such line. Vintages for which it holds are read by
+    :func:`yearweave.sources.quoted_csv.read_quoted_csv`, in splits as well; name the option
+    ``multiLine`` to skip the pass and use Spark's reader as it is. Other encodings than UTF-8 use its
+    ``multiLine`` form.
     """
-    if encoding.upper().replace("-", "") != "UTF8":
-        return True
     quotes = F.char_length("value") - F.char_length(F.replace("value", F.lit(quote), F.lit("")))
     return not spark.read.text(list(paths)).filter(quotes % 2 == 1).isEmpty()
 

@@ -1,10 +1,13 @@
 """Approximate nearest neighbours by largest inner product: a navigable small-world graph per shard.
 
 Distinct vectors fall into shards by hash. A shard's graph has levels: every vector is on the lowest,
-a geometrically smaller share on each further one. Neighbours are chosen by the diversity rule (a
-candidate stays if no chosen neighbour is nearer to it) and linked both ways; they are stored as one
-flat array per level. A search descends greedily from the top and widens to a beam on the lowest level,
-for a block of queries at a time. Every query visits every shard; the shards' best are merged.
+a geometrically smaller share on each further one. Vectors are inserted, those of the highest levels first: a batch
+at a time searches the graph as it stands, beam by beam down the levels, and is linked to what it finds and to
+its own nearest within the batch. Of its candidates a vector takes those that the diversity rule picks (a
+candidate stays if no chosen neighbour is nearer to it); links go both ways, and a full list is thinned by the same
+rule. Neighbours are stored as one flat array per level; as vectors are numbered in order of insertion, a level's
+members are the first of them. A search passes a beam from level to level, for a block of queries at a time.
+Every query visits every shard; the shards' best are merged.
 
 Inner products have no triangle inequality, so graphs are built on vectors with one component more,
 which gives all of a shard the same norm: there, the nearest is the one of the largest inner product.
@@ -22,131 +25,170 @@ from pyspark.sql.window import Window
 
 from .common import stage
 
-#: Vectors of a shard (about), neighbours on upper and lowest levels, candidates a neighbourhood is chosen from.
-SHARD_VECTORS, NEIGHBOURS, LOWEST_NEIGHBOURS, CANDIDATES = 4096, 16, 32, 64
-#: Width of the search beam, nodes expanded at a time, queries searched together and per task.
-BEAM, EXPANDED, QUERY_BLOCK, QUERY_PART = 160, 4, 512, 65_536
+#: Vectors of a shard (about): few, large shards, since every query visits all of them.
+SHARD_VECTORS = 32_768
+#: Neighbours a list is thinned to, and its places, on upper levels and on the lowest.
+NEIGHBOURS, LOWEST_NEIGHBOURS, SPARE = 16, 32, 16
+#: Width of the beam on upper levels, on insertion and on search; nodes expanded at a time.
+UPPER_BEAM, INSERT_BEAM, BEAM, EXPANDED = 32, 64, 240, 4
+#: Vectors inserted together (at most as many as there are already), neighbours within the batch, queries together and per task.
+BATCH, BATCH_NEIGHBOURS, QUERY_BLOCK, QUERY_PART = 512, 16, 512, 65_536
 #: Rows of one vector and salt that meet in a task on the way to its smallest ids.
 SALTED_ROWS = 100_000
 
 
-def _chosen(similar: np.ndarray, candidates: np.ndarray, most: int) -> np.ndarray:
-    """Of each node's candidates (nearest first, -1 for none), up to ``most`` by the diversity rule, -1 filled."""
-    n = len(candidates)
-    rows = np.arange(n)
+def _chosen(own: np.ndarray, among: np.ndarray, candidates: np.ndarray, most: int) -> np.ndarray:
+    """Of each node's candidates (-1 for none), up to ``most`` by the diversity rule, then the nearest left out.
+
+    ``own`` holds each candidate's nearness to the node, ``among`` the candidates' to each other. Ties: the earlier vector.
+    """
+    n, k = candidates.shape
+    own = np.where(candidates >= 0, own, -np.inf)
+    order = np.lexsort((candidates, -own), axis=1)
+    rows = np.arange(n)[:, None]
+    candidates, own = candidates[rows, order], own[rows, order]
+    among = among[rows[:, :, None], order[:, :, None], order[:, None, :]]
+    chosen = np.zeros((n, k), bool)
+    for j in range(k):
+        rival = np.where(chosen[:, :j], among[:, j, :j], -np.inf).max(axis=1, initial=-np.inf)
+        chosen[:, j] = (candidates[:, j] >= 0) & (own[:, j] > rival) & (chosen[:, :j].sum(axis=1) < most)
+    first = np.argsort(~chosen, axis=1, kind="stable")[:, :most]  # chosen ones, then the nearest of the rest
     out = np.full((n, most), -1, np.int32)
-    filled = np.zeros(n, np.int64)
-    for j in range(candidates.shape[1]):
-        c = candidates[:, j]
-        own = similar[rows, c]
-        nearest = np.where(out >= 0, similar[c[:, None], out], -np.inf).max(axis=1)
-        take = (c >= 0) & (filled < most) & (own > nearest)
-        out[rows[take], filled[take]] = c[take]
-        filled += take
-    for j in range(candidates.shape[1]):  # fill up with the nearest that the rule left out
-        c = candidates[:, j]
-        take = (c >= 0) & (filled < most) & ~(out == c[:, None]).any(axis=1)
-        out[rows[take], filled[take]] = c[take]
-        filled += take
+    out[:, :first.shape[1]] = candidates[rows, first]
+    return out
+
+
+def _pick(vectors: np.ndarray, nodes: np.ndarray, candidates: np.ndarray, most: int) -> np.ndarray:
+    out = np.empty((len(nodes), most), np.int32)
+    for low in range(0, len(nodes), BATCH):
+        c = candidates[low:low + BATCH]
+        near = vectors[c]
+        own = np.einsum("nd,nkd->nk", vectors[nodes[low:low + BATCH]], near)
+        out[low:low + BATCH] = _chosen(own, near @ near.transpose(0, 2, 1), c, most)
     return out
 
 
-def _level_graph(vectors: np.ndarray, most: int) -> np.ndarray:
-    """Neighbours (n x most, -1 filled) among equally long vectors."""
-    n = len(vectors)
-    if n < 2:
-        return np.full((n, most), -1, np.int32)
-    similar = (vectors @ vectors.T).astype(np.float32)
-    np.fill_diagonal(similar, -np.inf)
-    k = min(CANDIDATES, n - 1)
-    near = np.argpartition(-similar, k - 1, axis=1)[:, :k]
-    near = np.take_along_axis(near, np.argsort(-np.take_along_axis(similar, near, 1), axis=1, kind="stable"), 1)
-    own = _chosen(similar, near, most)
-    a, b = np.repeat(np.arange(n), most), own.ravel()
-    a, b = a[b >= 0], b[b >= 0]
-    both = np.unique(np.concatenate([a * n + b, b * n + a]))
-    a, b = np.divmod(both, n)
-    order = np.lexsort((-similar[a, b], a))
-    a, b = a[order], b[order]
-    place = np.arange(len(a)) - np.searchsorted(a, a)
-    kept = place < 3 * most
-    merged = np.full((n, min(int(place.max()) + 1, 3 * most)), -1, np.int64)
-    merged[a[kept], place[kept]] = b[kept]
-    return _chosen(similar, merged, most)
+def _link(vectors: np.ndarray, graph: np.ndarray, sources: np.ndarray, targets: np.ndarray, most: int) -> None:
+    """Put each source into its target's list; lists without a free place are thinned to ``most`` first."""
+    order = np.argsort(targets, kind="stable")
+    sources, targets = sources[order], targets[order]
+    while len(targets):
+        free = graph.shape[1] - (graph[targets] >= 0).sum(axis=1)
+        place = np.arange(len(targets)) - np.searchsorted(targets, targets)
+        fits = place < free
+        graph[targets[fits], graph.shape[1] - free[fits] + place[fits]] = sources[fits]
+        sources, targets = sources[~fits], targets[~fits]
+        full = np.unique(targets)
+        if len(full):
+            kept = _pick(vectors, full, graph[full], most)
+            graph[full] = -1
+            graph[full, :most] = kept
+
+
+def _beam(vectors: np.ndarray, graph: np.ndarray, queries: np.ndarray, entries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``width`` best nodes met from the entries (-1: none) and their nearness, in no order."""
+    n_q, n = len(queries), len(graph)
+    width = min(width, n)
+    seen = np.zeros((n_q, n + 1), bool)  # the last column stands for "none"
+    seen[:, -1] = True
+    ids = np.full((n_q, max(width, entries.shape[1])), -1, np.int64)
+    ids[:, :entries.shape[1]] = entries
+    np.put_along_axis(seen, ids, True, 1)
+
+    def nearness(nodes: np.ndarray) -> np.ndarray:
+        out = np.full(nodes.shape, -np.inf, np.float32)
+        q, j = np.nonzero(nodes >= 0)
+        out[q, j] = np.einsum("id,id->i", queries[q], vectors[nodes[q, j]])
+        return out
+
+    score, done = nearness(ids), ids < 0
+    while True:
+        if ids.shape[1] > width:
+            keep = np.argpartition(-score, width - 1, axis=1)[:, :width]
+            ids, score, done = (np.take_along_axis(x, keep, 1) for x in (ids, score, done))
+        active = np.flatnonzero(~done.all(axis=1))
+        if not len(active):
+            return ids, score
+        open_score = np.where(done[active], -np.inf, score[active])
+        pick = np.argpartition(-open_score, min(EXPANDED, width) - 1, axis=1)[:, :EXPANDED]
+        chosen = np.where(np.take_along_axis(done[active], pick, 1), -1, np.take_along_axis(ids[active], pick, 1))
+        done[active[:, None], pick] = True
+        near = np.full((n_q, chosen.shape[1] * graph.shape[1]), -1, np.int64)
+        near[active] = np.where(chosen[:, :, None] >= 0, graph[chosen], -1).reshape(len(active), -1)
+        near.sort(axis=1)
+        near[:, 1:][near[:, 1:] == near[:, :-1]] = -1
+        near[np.take_along_axis(seen, near, 1)] = -1
+        np.put_along_axis(seen, near, True, 1)
+        new = nearness(near)
+        most = min(near.shape[1], width)
+        best = np.argpartition(-new, most - 1, axis=1)[:, :most]
+        near, new = np.take_along_axis(near, best, 1), np.take_along_axis(new, best, 1)
+        ids, score, done = np.hstack([ids, near]), np.hstack([score, new]), np.hstack([done, near < 0])
 
 
 class Graph:
-    """One shard's vectors and flat neighbour arrays."""
+    """One shard's vectors, in order of insertion, and flat neighbour arrays, lowest level first."""
 
-    def __init__(self, vectors: np.ndarray, members: list[np.ndarray], neighbours: list[np.ndarray]):
-        self.vectors, self.members, self.neighbours = vectors, members, neighbours
+    def __init__(self, vectors: np.ndarray, order: np.ndarray, neighbours: list[np.ndarray]):
+        self.vectors, self.order, self.neighbours = vectors, order, neighbours
 
     @classmethod
     def build(cls, vectors: np.ndarray) -> Graph:
-        norms = (vectors**2).sum(axis=1)
-        level_vectors = np.hstack([vectors, np.sqrt(np.maximum(norms.max() - norms, 0))[:, None]])
-        draw = np.random.default_rng(len(vectors)).random(len(vectors))
+        """Insert all vectors; ``order`` holds their row numbers as given."""
+        n = len(vectors)
+        draw = np.random.default_rng(n).random(n)
         level = np.floor(-np.log(np.maximum(draw, 1e-12)) / np.log(NEIGHBOURS)).astype(int)
-        members = [np.flatnonzero(level >= h) for h in range(level.max() + 1)]
-        return cls(vectors, members, [
-            _level_graph(level_vectors[m], NEIGHBOURS if h else LOWEST_NEIGHBOURS) for h, m in enumerate(members)])
+        order = np.argsort(-level, kind="stable")
+        vectors, level = vectors[order], level[order]
+        norms = (vectors**2).sum(axis=1)
+        lifted = np.hstack([vectors, np.sqrt(np.maximum(norms.max() - norms, 0))[:, None]]).astype(np.float32)
+        sizes = [int((level >= h).sum()) for h in range(level[0] + 1)]
+        most = [NEIGHBOURS if h else LOWEST_NEIGHBOURS for h in range(len(sizes))]
+        graphs = [np.full((size, m + SPARE), -1, np.int32) for size, m in zip(sizes, most)]
+        low = 0
+        while low < n:
+            high = min(n, low + min(BATCH, max(low, EXPANDED)))
+            batch = np.arange(low, high)
+            entries = np.zeros((high - low, 1 if low else 0), np.int64)
+            for h in range(len(sizes) - 1, -1, -1):
+                if low:
+                    entries, _ = _beam(lifted, graphs[h], lifted[batch], entries, UPPER_BEAM if h else INSERT_BEAM)
+                new = batch[batch < sizes[h]]
+                if not len(new):
+                    continue
+                own = lifted[new] @ lifted[new].T
+                np.fill_diagonal(own, -np.inf)
+                k = min(BATCH_NEIGHBOURS, len(new) - 1)
+                within = new[np.argpartition(-own, max(k - 1, 0), axis=1)[:, :k]]
+                candidates = np.hstack([entries[:len(new)], within])
+                if not candidates.shape[1]:
+                    continue
+                picked = _pick(lifted, new, candidates, most[h])
+                graphs[h][new, :most[h]] = picked
+                source, target = np.repeat(new, most[h]), picked.ravel()
+                linked = (target >= 0) & ~(graphs[h][np.maximum(target, 0)] == source[:, None]).any(axis=1)
+                _link(lifted, graphs[h], source[linked], target[linked], most[h])
+            low = high
+        return cls(vectors, order, graphs)
 
     def to_row(self) -> dict:
         return {"n": len(self.vectors), "vectors": self.vectors.tobytes(),
-                "members": [m.astype(np.int32).tobytes() for m in self.members],
-                "neighbours": [x.tobytes() for x in self.neighbours]}
+                "neighbours": [x.tobytes() for x in self.neighbours], "widths": [x.shape[1] for x in self.neighbours]}
 
     @classmethod
     def from_row(cls, row: dict) -> Graph:
-        members = [np.frombuffer(m, np.int32) for m in row["members"]]
-        return cls(
-            np.frombuffer(row["vectors"], np.float64).reshape(row["n"], -1), members,
-            [np.frombuffer(x, np.int32).reshape(len(m), -1) for m, x in zip(members, row["neighbours"])])
-
-    def search(self, queries: np.ndarray, k: int, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
-        """Row numbers of the k best found (-1: none) and their inner products, best first."""
-        small = self.vectors.astype(np.float32)
-        q32 = queries.astype(np.float32)
-        n_q, rows = len(queries), np.arange(len(queries))
-        at = np.zeros(n_q, np.int64)  # positions among the members of the level
-        for h in range(len(self.members) - 1, 0, -1):
-            members, graph = self.members[h], self.neighbours[h]
-            best = np.einsum("qd,qd->q", q32, small[members[at]])
-            while True:
-                near = graph[at]
-                score = np.where(near >= 0, np.einsum("qd,qmd->qm", q32, small[members[near]]), -np.inf)
-                j = score.argmax(axis=1)
-                better = score[rows, j] > best
-                if not better.any():
-                    break
-                at = np.where(better, near[rows, j], at)
-                best = np.where(better, score[rows, j], best)
-            at = np.searchsorted(self.members[h - 1], members[at])
-        width = min(beam, len(small))
-        ids = np.full((n_q, width), -1, np.int64)
-        score = np.full((n_q, width), -np.inf, np.float32)
-        ids[:, 0], score[:, 0] = at, np.einsum("qd,qd->q", q32, small[at])
-        done = ids < 0
-        seen = np.zeros((n_q, len(small) + 1), bool)  # the last column stands for "none"
-        seen[rows, at] = seen[:, -1] = True
-        graph = self.neighbours[0]
-        while not done.all():
-            open_score = np.where(done, -np.inf, score)
-            pick = np.argpartition(-open_score, min(EXPANDED, width) - 1, axis=1)[:, :EXPANDED]
-            chosen = np.where(np.take_along_axis(done, pick, 1), -1, np.take_along_axis(ids, pick, 1))
-            np.put_along_axis(done, pick, True, 1)
-            near = np.where(chosen[:, :, None] >= 0, graph[chosen], -1).reshape(n_q, -1)
-            near.sort(axis=1)
-            near[:, 1:][near[:, 1:] == near[:, :-1]] = -1
-            near[np.take_along_axis(seen, near, 1)] = -1
-            np.put_along_axis(seen, near, True, 1)
-            new = np.where(near >= 0, np.einsum("qd,qmd->qm", q32, small[near]), -np.inf)
-            ids, score = np.hstack([ids, near]), np.hstack([score, new])
-            done = np.hstack([done, near < 0])
-            keep = np.argpartition(-score, width - 1, axis=1)[:, :width]
-            ids, score, done = (np.take_along_axis(x, keep, 1) for x in (ids, score, done))
+        vectors = np.frombuffer(row["vectors"], np.float64).reshape(row["n"], -1)
+        return cls(vectors, np.arange(row["n"]), [
+            np.frombuffer(x, np.int32).reshape(-1, w) for x, w in zip(row["neighbours"], row["widths"])])
+
+    def search(self, queries: np.ndarray, k: int, beam: int = BEAM, ranks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Node numbers of the k best found (-1: none) and their inner products, best first; ties by ``ranks`` (default: number)."""
+        small, q32 = self.vectors.astype(np.float32), queries.astype(np.float32)
+        ids = np.zeros((len(queries), 1), np.int64)
+        for h in range(len(self.neighbours) - 1, -1, -1):
+            ids, _ = _beam(small, self.neighbours[h], q32, ids, UPPER_BEAM if h else beam)
         exact = np.where(ids >= 0, np.einsum("qd,qmd->qm", queries, self.vectors[ids]), -np.inf)
-        order = np.argsort(-exact, axis=1, kind="stable")[:, :k]
+        order = np.lexsort((ids if ranks is None else ranks[ids], -exact), axis=1)[:, :k]
         return np.take_along_axis(ids, order, 1), np.take_along_axis(exact, order, 1)
 
 
@@ -178,15 +220,18 @@ def nearest(df: DataFrame, k: int, is_query, id_col: str = "vec_id", vector_col:
     shard = F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int")
 
     def build(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        v = np.array(rows["v"].to_pylist(), np.float64)
-        row = {"dim": key[0].as_py(), "shard": key[1].as_py(), "ids": rows["ids"].to_pylist()} | Graph.build(v).to_row()
+        dim = key[0].as_py()
+        v = rows["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+        given = np.argsort([x[0] for x in rows["ids"].to_pylist()])  # ids are sorted: a shard's graph depends on its rows alone
+        graph = Graph.build(v[given])
+        row = {"dim": dim, "shard": key[1].as_py(), "ids": rows["ids"].take(pa.array(given[graph.order])).to_pylist()} | graph.to_row()
         return pa.Table.from_pylist([row], graph_schema)
 
     graph_schema = pa.schema([
         ("dim", pa.int32()), ("shard", pa.int32()), ("ids", pa.list_(pa.list_(pa.int64()))), ("n", pa.int32()),
-        ("vectors", pa.binary()), ("members", pa.list_(pa.binary())), ("neighbours", pa.list_(pa.binary()))])
+        ("vectors", pa.binary()), ("neighbours", pa.list_(pa.binary())), ("widths", pa.list_(pa.int32()))])
     graphs = stage(distinct.select("dim", "v", "ids", shard.alias("shard")).groupBy("dim", "shard").applyInArrow(
-        build, "dim int, shard int, ids array<array<bigint>>, n int, vectors binary, members array<binary>, neighbours array<binary>"),
+        build, "dim int, shard int, ids array<array<bigint>>, n int, vectors binary, neighbours array<binary>, widths array<int>"),
         "graphs")
 
     parts = -(-total // QUERY_PART)
@@ -201,10 +246,11 @@ def nearest(df: DataFrame, k: int, is_query, id_col: str = "vec_id", vector_col:
         if asked.num_rows and offered.num_rows:
             row = offered.to_pylist()[0]
             graph, ids = Graph.from_row(row), row["ids"]
+            smallest_ids = np.array([x[0] for x in ids])
             for at in range(0, asked.num_rows, QUERY_BLOCK):
                 block = asked.slice(at, QUERY_BLOCK)
                 own, vs = block["id"].to_pylist(), block["v"].to_pylist()
-                found, scores = graph.search(np.array(vs, np.float64), k + 1)
+                found, scores = graph.search(np.array(vs, np.float64), k + 1, ranks=smallest_ids)
                 for q, v, nodes, values in zip(own, vs, found.tolist(), scores.tolist()):
                     hits = [(-s, i) for node, s in zip(nodes, values) if node >= 0 for i in ids[node] if i != q]
                     for s, i in sorted(hits)[:k]:

@@ -16,21 +16,34 @@ from yearweave.functions.strings import squish
 DEFAULT_DATE_ORDERS: tuple[str, ...] = ("Ymd", "mdY", "dbY")
 _MONTHS = "January February March April May June July August September October November December".split()
 _MONTH = "(?:" + "|".join(f"{m[:3]}(?:{m[3:]})?" if m[3:] else m for m in _MONTHS) + ")"
-_PARTS = {"Y": r"(\d{4})", "m": r"(\d{1,2})", "d": r"(\d{1,2})", "b": f"({_MONTH})"}
+_PARTS = {"Y": r"((?!0000)\d{4})", "m": r"(\d{1,2})", "d": r"(\d{1,2})", "b": f"({_MONTH})"}
 _TWO_DIGITS = {**_PARTS, "m": r"(\d{2})", "d": r"(\d{2})"}
 
 
-def _order_attempts(order: str) -> list[tuple[str, str, str]]:
-    """(pattern, its parts put in one form, datetime pattern of that form): digits run together (then two
-    per month and day), or parts set apart; between a digit and a letter nothing need stand."""
-    place = {p: f"${i}" for i, p in enumerate(order, 1)}
+def _order_patterns(order: str) -> list[str]:
+    """Patterns of one order: digits run together (then two per month and day), or parts set apart; between a
+    digit and a letter nothing need stand."""
     between = [r"[^\p{L}\d]*" if "b" in pair else r"[^\p{L}\d]+" for pair in zip(order, order[1:])]
     apart = "(?i)^" + _PARTS[order[0]] + "".join(sep + _PARTS[p] for sep, p in zip(between, order[1:])) + "$"
-    if "b" in order:
-        return [(apart, f"{place['Y']}-{place['b']}-{place['d']}", f) for f in ("yyyy-MMM-d", "yyyy-MMMM-d")]
-    form = f"{place['Y']}-{place['m']}-{place['d']}"
-    together = "^" + "".join(_TWO_DIGITS[p] for p in order) + "$"
-    return [(together, form, "yyyy-M-d"), (apart, form, "yyyy-M-d")]
+    return [apart] if "b" in order else ["^" + "".join(_TWO_DIGITS[p] for p in order) + "$", apart]
+
+
+def parse_date_order(cleaned: Column, order: str) -> Column:
+    """The date that squished text names in this one order, else NULL.
+
+    A matching value is put into the form year-month-day, which Spark casts without a datetime pattern.
+    """
+    place = {p: f"${i}" for i, p in enumerate(order, 1)}
+    form = "-".join(place[p] for p in ("Y", "b" if "b" in order else "m", "d"))
+    attempts = []
+    for pattern in _order_patterns(order):
+        value = F.regexp_replace(cleaned, pattern, form)
+        if "b" in order:
+            parts = F.split(value, "-")
+            month = (F.instr(F.lit("".join(m[:3] for m in _MONTHS)), F.initcap(F.left(F.get(parts, F.lit(1)), F.lit(3)))) + 2) / 3
+            value = F.concat_ws("-", F.get(parts, F.lit(0)), month.cast("int"), F.get(parts, F.lit(2)))
+        attempts.append(F.when(cleaned.rlike(pattern), value.try_cast("date")))
+    return F.coalesce(*attempts)
 
 
 def squish_or_null(c: ColumnOrName) -> Column:
@@ -42,19 +55,11 @@ def parse_date_multi(c: ColumnOrName, orders: Sequence[str] = DEFAULT_DATE_ORDER
     """Squish, ``""`` to NULL, then the first order that gives a valid date wins.
 
     ``2014/03/05``, ``2014.3.5``, ``2014 03 05``, ``03-05-2018``, ``5Mar2014`` and ``05-MAR-2014`` all parse. A value
-    that no order accepts, or whose day does not exist, is NULL; nothing raises under ANSI mode. A regex stands before
-    each attempt: it is far cheaper than a failed parse. Pass ``squished=True`` when ``c`` already
+    that no order accepts, or whose day does not exist, is NULL; nothing raises under ANSI mode. Pass ``squished=True`` when ``c`` already
     is :func:`squish_or_null` output (a staged column), so the squish runs once per value.
     """
     cleaned = col(c) if squished else squish_or_null(c)
-    attempts = []
-    for order in orders:
-        for pattern, form, fmt in _order_attempts(order):
-            value = F.regexp_replace(cleaned, pattern, form)
-            if "M" * 3 in fmt:
-                value = F.replace(F.initcap(F.replace(value, F.lit("-"), F.lit(" "))), F.lit(" "), F.lit("-"))  # "5 MAR": "5 Mar"
-            attempts.append(F.when(cleaned.rlike(pattern), F.try_to_date(value, fmt)))
-    return F.coalesce(*attempts)
+    return F.coalesce(*[parse_date_order(cleaned, order) for order in orders])
 
 
 def as_date(c: ColumnOrName) -> Column:

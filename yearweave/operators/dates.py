@@ -19,6 +19,7 @@ from yearweave.functions.dates import (
     completed_years,
     minus_months_strict,
     parse_date_multi,
+    parse_date_order,
     squish_or_null,
     year_end,
     year_start,
@@ -49,15 +50,61 @@ def _today(as_of_date):
     return F.lit(as_of_date)
 
 
-def parse_dates(df: DataFrame, vars: Sequence[str] = DATE_VARS, orders=DEFAULT_DATE_ORDERS, as_of_date=None) -> DataFrame:
+def order_votes(df: DataFrame, vars: Sequence[str] = DATE_VARS, by: str = "file_year", orders=DEFAULT_DATE_ORDERS) -> DataFrame:
+    """How many values of each vintage and column each date order accepts: ``<by>, variable, date_order, precedence, n_values``.
+
+    One aggregate over all columns and orders, then a row per vintage, column and order.
+    """
+    require_columns(df, [by, *vars], "order_votes")
+    cleaned = df.select(by, *[squish_or_null(v).alias(f"v{i}") for i, v in enumerate(vars)])
+    counts = cleaned.groupBy(by).agg(*[
+        F.count(parse_date_order(F.col(f"v{i}"), o)).alias(f"n{i}_{j}") for i in range(len(vars)) for j, o in enumerate(orders)])
+    entries = F.array(*[
+        F.struct(F.lit(v).alias("variable"), F.lit(o).alias("date_order"), F.lit(j).alias("precedence"), F.col(f"n{i}_{j}").alias("n_values"))
+        for i, v in enumerate(vars) for j, o in enumerate(orders)])
+    return counts.select(by, F.explode(entries).alias("e")).select(by, "e.*")
+
+
+def elected_orders(votes: DataFrame, by: str = "file_year") -> DataFrame:
+    """The order that accepts most values of a vintage and column (ties: the earlier in precedence): ``<by>, variable, date_order``."""
+    best = F.min(F.struct(-F.col("n_values"), "precedence", "date_order")).alias("best")
+    return votes.groupBy(by, "variable").agg(best).select(by, "variable", "best.date_order")
+
+
+def _voted(cleaned, year, elected: dict, orders: Sequence[str]):
+    """Each vintage's elected order first; a value that it does not accept goes through all orders."""
+    years = {}
+    for y, order in elected.items():
+        years.setdefault(order, []).append(y)
+    first = None
+    for order, of in sorted(years.items()):
+        met = F.coalesce(year.isin([y for y in of if y is not None]), F.lit(None in of))
+        first = (F if first is None else first).when(met, parse_date_order(cleaned, order))
+    rest = parse_date_multi(cleaned, orders, squished=True)
+    return rest if first is None else F.coalesce(first, rest)
+
+
+def parse_dates(df: DataFrame, vars: Sequence[str] = DATE_VARS, orders=DEFAULT_DATE_ORDERS, as_of_date=None,
+                vote_by: str | None = None) -> DataFrame:
     """L1 + L2: add ``<v>_parsed`` for each column: multi-format parse, then
-    future dates and years <= 1850 (placeholders such as 9999) to NULL."""
+    future dates and years <= 1850 (placeholders such as 9999) to NULL.
+
+    ``orders`` are tried in precedence, value by value. With orders that read one text in two ways (``mdY``
+    and ``dmY``), name the vintage column as ``vote_by``: one pass counts what each order accepts, and the order
+    elected for a vintage and column reads its values first, so that one column is read in one way. The default orders
+    give the same dates either way: no text is valid in two of them with both years after 1850.
+    """
     require_columns(df, vars, "clean_dates")
     today = _today(as_of_date)
+    elected: dict[str, dict] = {v: {} for v in vars}
+    if vote_by is not None:
+        for r in elected_orders(order_votes(df, vars, vote_by, orders), vote_by).collect():  # vintages x columns
+            elected[r["variable"]][r[vote_by]] = r["date_order"]
     # Two projections: the L2 checks reference the parsed column by name, so
     # the multi-format parse is computed once per value, not once per reference.
     df = df.withColumns({f"{v}_parsed": squish_or_null(v) for v in vars})
-    df = df.withColumns({f"{v}_parsed": parse_date_multi(f"{v}_parsed", orders, squished=True) for v in vars})
+    df = df.withColumns({
+        f"{v}_parsed": _voted(F.col(f"{v}_parsed"), F.col(vote_by or v), elected[v], orders) for v in vars})
     nd = F.lit(None).cast("date")
     out = {}
     for v in vars:
@@ -117,9 +164,9 @@ def replace_parsed(df: DataFrame, vars: Sequence[str] = DATE_VARS) -> DataFrame:
 
 
 def clean_dates(df: DataFrame, vars: Sequence[str] = DATE_VARS, orders=DEFAULT_DATE_ORDERS, as_of_date=None,
-                id_cols=("state_file_number", "file_year")) -> Cleaned:
+                id_cols=("state_file_number", "file_year"), vote_by: str | None = None) -> Cleaned:
     """Full date cleaning: returns the cleaned frame and the parse-error report."""
-    parsed = parse_dates(df, vars, orders, as_of_date)
+    parsed = parse_dates(df, vars, orders, as_of_date, vote_by)
     report = date_error_report(parsed, vars, id_cols)
     cleaned = replace_parsed(date_logic(parsed), vars)
     return Cleaned(cleaned, report)

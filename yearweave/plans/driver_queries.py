@@ -870,6 +870,42 @@ def q_parse_dates(spark, sf_dir):
     return parsed.select("o_orderkey", F.col("order_date").alias("date_raw"), iso("order_date_parsed").alias("date_parsed"))
 
 
+TWO_ORDERS = ("mdY", "dmY")  # they read one text in two ways wherever both parts are 12 or less
+_TWO_ORDERS_SQL = """raw AS (
+  SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS file_year,
+    CASE WHEN o_orderkey % 50 = 0 THEN 'unknown' WHEN year(o_orderdate) % 2 = 0 THEN strftime(o_orderdate, '%m/%d/%Y')
+      ELSE strftime(o_orderdate, '%d/%m/%Y') END AS d FROM orders),
+read AS (SELECT *, try_strptime(d, '%m/%d/%Y') AS month_first, try_strptime(d, '%d/%m/%Y') AS day_first FROM raw),
+votes AS (SELECT file_year, count(month_first) AS m, count(day_first) AS f FROM read GROUP BY file_year)"""
+
+
+def two_order_dates(spark, sf_dir) -> DataFrame:
+    """Vintages that print dates month first, and others that print them day first."""
+    o = table(spark, sf_dir, "orders")
+    year = F.year("o_orderdate").cast("int")
+    text = F.when(year % 2 == 0, F.date_format("o_orderdate", "MM/dd/yyyy")).otherwise(F.date_format("o_orderdate", "dd/MM/yyyy"))
+    return o.select("o_orderkey", year.alias("file_year"), F.when(F.col("o_orderkey") % 50 == 0, F.lit("unknown")).otherwise(text).alias("d"))
+
+
+@register("date_order_votes", "WITH " + _TWO_ORDERS_SQL + """
+SELECT file_year, 'd' AS variable, 'mdY' AS date_order, CAST(0 AS INTEGER) AS precedence, CAST(m AS BIGINT) AS n_values FROM votes
+UNION ALL SELECT file_year, 'd', 'dmY', 1, CAST(f AS BIGINT) FROM votes
+""")
+def q_date_order_votes(spark, sf_dir):
+    return dates.order_votes(two_order_dates(spark, sf_dir), ["d"], orders=TWO_ORDERS)
+
+
+@register("parse_dates_by_vintage", "WITH " + _TWO_ORDERS_SQL + """
+SELECT o_orderkey, d AS date_raw,
+  strftime(CASE WHEN m >= f THEN coalesce(month_first, day_first) ELSE coalesce(day_first, month_first) END, '%Y-%m-%d') AS date_parsed
+FROM read JOIN votes USING (file_year)
+""")
+def q_parse_dates_by_vintage(spark, sf_dir):
+    """L1 with the order chosen per vintage and column."""
+    parsed = dates.parse_dates(two_order_dates(spark, sf_dir), ["d"], TWO_ORDERS, AS_OF, vote_by="file_year")
+    return parsed.select("o_orderkey", F.col("d").alias("date_raw"), iso("d_parsed").alias("date_parsed"))
+
+
 @register("date_error_report", "WITH " + _DATE_RAW_SQL + """
 SELECT state_file_number, file_year, 'order_date' AS variable, order_date AS original_value, CAST(NULL AS VARCHAR) AS parsed_value
 FROM cleaned WHERE order_date IS NOT NULL AND order_date_parsed IS NULL

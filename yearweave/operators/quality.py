@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 from yearweave.functions.strings import pad_left, percent_label
 
 
+def _quoted(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
 def natural_sort_key(variable: Column, prefix: str = "record_axis_code_") -> Column:
     """``record_axis_code_2`` sorts before ``_10``: the number is zero-padded to 2."""
     num = F.regexp_extract(variable, r"(\d+)$", 1)
@@ -30,7 +34,7 @@ def completeness(df: DataFrame, by: str = "file_year") -> DataFrame:
     then unpivoted (a handful of rows per group, no second pass over the data).
     """
     cols = [c for c in df.columns if c != by]
-    aggs = [F.count(F.lit(1)).alias("__n")] + [F.count(F.col(f"`{c}`")).alias(f"c_{i}") for i, c in enumerate(cols)]
+    aggs = [F.count(F.lit(1)).alias("__n")] + [F.count(F.col(_quoted(c))).alias(f"c_{i}") for i, c in enumerate(cols)]
     wide = df.groupBy(by).agg(*aggs)
     entries = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(f"c_{i}").alias("n_complete")) for i, c in enumerate(cols)])
     long = wide.select(by, F.col("__n").alias("n_rows"), F.explode(entries).alias("e")).select(by, "e.variable", "n_rows", "e.n_complete")
@@ -110,6 +114,7 @@ def data_dictionary(
     suppress: Sequence[str] = (),
     max_unique_values: int = 30,
     truncation_threshold: int = 15,
+    distinct: str = "exact",
 ) -> DataFrame:
     """Q8 (own spec): per column ``varname, data_type, n_rows, n_null, n_distinct, value_counts, min_value,
     max_value``, with ``descriptions`` (varname, desc, source) also ``desc`` and ``source``.
@@ -121,39 +126,82 @@ def data_dictionary(
     Lazy: all columns are unpivoted and counted per value (pre-aggregated, one row per column and
     value), then per column; extremes come from one typed aggregate. Of several descriptions
     of a column the texts are joined, in order.
+
+    ``distinct="sketch"`` reads the table once, with one aggregate row per task whatever the columns hold: the values
+    of a column come from a frequent-items sketch, which is exact while it holds all of them, and larger columns have
+    an estimated ``n_distinct``. ``distinct_estimated`` says which; all else is the same as with ``"exact"``.
     """
+    if distinct not in ("exact", "sketch"):
+        raise ValueError("distinct must be 'exact' or 'sketch'")
     cols, types = df.columns, dict(df.dtypes)
     comparable = [c for c in cols if not types[c].startswith(("array", "map", "struct", "binary", "variant"))]
     aggs = [F.count(F.lit(1)).alias("__n")]
     for i, c in enumerate(cols):
-        aggs.append(F.count(F.col(f"`{c}`")).alias(f"nn{i}"))
+        aggs.append(F.count(F.col(_quoted(c))).alias(f"nn{i}"))
         if c in comparable:
-            aggs += [f(F.col(f"`{c}`")).cast("string").alias(f"{n}{i}") for n, f in (("mn", F.min), ("mx", F.max))]
+            aggs += [f(F.col(_quoted(c))).cast("string").alias(f"{n}{i}") for n, f in (("mn", F.min), ("mx", F.max))]
+            if distinct == "sketch":
+                text = f"CAST({_quoted(c)} AS STRING)"
+                aggs += [F.approx_count_distinct(F.expr(text), 0.02).alias(f"ds{i}"),
+                         F.expr(f"approx_top_k({text}, {max_unique_values + 2}, {_tracked(max_unique_values)})").alias(f"tk{i}")]
     none = F.lit(None).cast("string")
     entries = [F.struct(
         F.lit(c).alias("varname"), F.lit(types[c]).alias("data_type"), F.lit(i).alias("place"), F.col("__n").alias("n_rows"),
         (F.col("__n") - F.col(f"nn{i}")).alias("n_null"),
         (F.col(f"mn{i}") if c in comparable and c not in suppress else none).alias("mn"),
-        (F.col(f"mx{i}") if c in comparable and c not in suppress else none).alias("mx")) for i, c in enumerate(cols)]
+        (F.col(f"mx{i}") if c in comparable and c not in suppress else none).alias("mx"),
+        *([_sketched(i, c in comparable, max_unique_values)] if distinct == "sketch" else [])) for i, c in enumerate(cols)]
     columns = df.agg(*aggs).select(F.explode(F.array(*entries)).alias("e")).select("e.*")
-    values = F.array(*[F.struct(F.lit(c).alias("varname"), F.col(f"`{c}`").cast("string").alias("value")) for c in comparable])
+    if distinct == "sketch":
+        out = columns.select("*", "sketch.*").withColumn("listed", _listing("all", truncation_threshold))
+        return _dictionary_rows(out, comparable, suppress, max_unique_values, descriptions, ["distinct_estimated"])
+    values = F.array(*[F.struct(F.lit(c).alias("varname"), F.col(_quoted(c)).cast("string").alias("value")) for c in comparable])
     counted = df.select(F.explode(values).alias("e")).select("e.*").filter("value IS NOT NULL").groupBy("varname", "value").agg(
         F.count(F.lit(1)).alias("n"))
     sizes = counted.groupBy("varname").agg(F.count(F.lit(1)).alias("n_distinct"))
     few = sizes.filter(F.col("n_distinct") <= max_unique_values).select("varname")
     listed = counted.join(few, "varname").groupBy("varname").agg(
         F.sort_array(F.collect_list(F.struct("value", "n"))).alias("all")).select(  # at most max_unique_values entries
-        "varname", F.array_join(F.transform("all", lambda v: F.concat(
-            F.left(v["value"], F.lit(truncation_threshold)), F.lit(" ("), v["n"].cast("string"), F.lit(")"))), "; ").alias("listed"))
+        "varname", _listing("all", truncation_threshold).alias("listed"))
     out = columns.join(sizes, "varname", "left").join(listed, "varname", "left")
-    is_comparable = F.col("varname").isin(comparable)
+    return _dictionary_rows(out, comparable, suppress, max_unique_values, descriptions)
+
+
+def _tracked(most: int) -> int:
+    """Values that a frequent-items sketch keeps; it is exact up to three quarters of this, well beyond ``most``."""
+    return max(1024, 1 << (4 * most).bit_length())
+
+
+def _sketched(i: int, is_comparable: bool, most: int) -> Column:
+    """Of column ``i``: its values if there are at most ``most``, how many there are, and whether that is an estimate."""
+    if not is_comparable:
+        return F.struct(F.lit(None).cast("array<struct<value:string,n:bigint>>").alias("all"), F.lit(None).cast("bigint").alias("n_distinct"),
+                        F.lit(False).alias("distinct_estimated")).alias("sketch")
+    items = F.filter(F.col(f"tk{i}"), lambda x: x["item"].isNotNull())
+    # All values were kept if few came back, their rows add up, and the other sketch does not say otherwise.
+    whole = (F.size(items) <= most) & (F.aggregate(items, F.lit(0).cast("bigint"), lambda a, x: a + x["count"]) == F.col(f"nn{i}")) & (
+        F.col(f"ds{i}") <= _tracked(most) // 2)
+    values = F.sort_array(F.transform(items, lambda x: F.struct(x["item"].alias("value"), x["count"].cast("bigint").alias("n"))))
+    estimate = F.greatest(F.col(f"ds{i}").cast("bigint"), F.lit(most + 1).cast("bigint"))
+    return F.struct(F.when(whole, values).alias("all"), F.when(whole, F.size(items).cast("bigint")).otherwise(estimate).alias("n_distinct"),
+                    (~whole).alias("distinct_estimated")).alias("sketch")
+
+
+def _listing(values: str, width: int) -> Column:
+    return F.array_join(F.transform(values, lambda v: F.concat(
+        F.left(v["value"], F.lit(width)), F.lit(" ("), v["n"].cast("string"), F.lit(")"))), "; ")
+
+
+def _dictionary_rows(out: DataFrame, comparable: Sequence[str], suppress: Sequence[str], most: int, descriptions: DataFrame | None,
+                     more: Sequence[str] = ()) -> DataFrame:
+    is_comparable = F.col("varname").isin(list(comparable))
     hidden = F.col("varname").isin(list(suppress)) if suppress else F.lit(False)
     n_distinct = F.when(is_comparable, F.coalesce("n_distinct", F.lit(0).cast("bigint")))
-    large = n_distinct > max_unique_values
+    large = n_distinct > most
     out = out.select(
         "varname", "data_type", "n_rows", "n_null", n_distinct.alias("n_distinct"),
         F.when(is_comparable & ~hidden & ~large, F.coalesce("listed", F.lit(""))).alias("value_counts"),
-        F.when(large, F.col("mn")).alias("min_value"), F.when(large, F.col("mx")).alias("max_value"))
+        F.when(large, F.col("mn")).alias("min_value"), F.when(large, F.col("mx")).alias("max_value"), *more)
     if descriptions is not None:
         texts = [c for c in ("desc", "source") if c in descriptions.columns]
         joined = descriptions.groupBy("varname").agg(*[

@@ -1391,6 +1391,22 @@ def q_data_dictionary(spark, sf_dir):
     return quality.data_dictionary(events, texts, suppress=["props"])
 
 
+@register("data_dictionary_sketch", f"""
+WITH exact AS ({_dictionary_sql()})
+SELECT * EXCLUDE (n_distinct, "desc", source), CASE WHEN n_distinct <= 30 THEN n_distinct END AS n_listed, n_distinct > 30 AS distinct_estimated,
+  TRUE AS close FROM exact
+""")
+def q_data_dictionary_sketch(spark, sf_dir):
+    """Q8 in one aggregate: small columns exactly, large ones by estimate (held to a tenth of the exact number)."""
+    e = table(spark, sf_dir, "events")
+    rows = quality.data_dictionary(e, suppress=("props",), distinct="sketch")
+    exact = quality.data_dictionary(e, suppress=("props",)).select("varname", F.col("n_distinct").alias("exact"))
+    close = F.abs(F.col("n_distinct") - F.col("exact")) <= F.col("exact") / 10
+    return rows.join(exact, "varname").select(
+        "varname", "data_type", "n_rows", "n_null", F.when(~F.col("distinct_estimated"), F.col("n_distinct")).alias("n_listed"),
+        "distinct_estimated", "value_counts", "min_value", "max_value", close.alias("close"))
+
+
 # --------------------------------------------------------------------------
 # File manifest (A2-A9) over file names derived from documents.
 # --------------------------------------------------------------------------

@@ -1904,3 +1904,66 @@ def q_code_sets(spark, sf_dir):
         part = codes.select(F.lit(name).alias("code_set"), "code", "label")
         out = part if out is None else out.unionByName(part)
     return out
+
+
+def write_single_csv(df: DataFrame, path: str) -> None:
+    """A control table as one CSV file of exactly this name, as users keep them."""
+    from yearweave.operators.guards import replace_folder
+    spark = df.sparkSession
+    df.coalesce(1).write.options(header="true").csv(f"{path}.parts")
+    part = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}.parts").select("path").first()["path"]
+    replace_folder(spark, part, path)
+
+
+@register("code_set_folder", """
+SELECT 'nation' AS code_set, CAST(n_nationkey AS VARCHAR) AS code, n_name AS label FROM nation
+UNION ALL SELECT 'segments', CAST(c_custkey AS VARCHAR), c_mktsegment FROM customer
+""")
+def q_code_set_folder(spark, sf_dir):
+    """Every ``*_codes.csv`` of a folder, other files left alone."""
+    from yearweave.sources.csv_scan import load_code_sets
+    folder = scratch_folder(spark, "code_set_folder")
+    for name, source, code, label in (("nation_codes", "nation", "n_nationkey", "n_name"), ("notes", "nation", "n_nationkey", "n_name"),
+                                      ("segments_codes", "customer", "c_custkey", "c_mktsegment")):
+        write_single_csv(table(spark, sf_dir, source).select(F.col(code).alias("code"), F.col(label).alias("label")), f"{folder}/{name}.csv")
+    parts = [d.select(F.lit(name).alias("code_set"), "code", "label") for name, d in sorted(load_code_sets(spark, folder).items())]
+    return parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0].limit(0)
+
+
+LISTED_YEARS_SHIFT = 10  # order years 1995-2001 become vintages 2005-2011
+
+
+@register("listed_vintages", f"""
+SELECT 'Death Statistical' AS file_type, 'DeathStatF' || CAST(year(o_orderdate) + {LISTED_YEARS_SHIFT} AS VARCHAR) AS file_name, 'csv' AS file_ext,
+  CAST(year(o_orderdate) + {LISTED_YEARS_SHIFT} AS INTEGER) AS file_year, 'BEDROCK' AS system, 'Final' AS file_status,
+  CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(o_custkey) AS BIGINT) AS sum_custkey
+FROM orders GROUP BY ALL
+""")
+def q_listed_vintages(spark, sf_dir):
+    """A1 to A9 on files that are there: written, listed, classified, selected and scanned."""
+    from yearweave.sources import manifest
+    from yearweave.sources.csv_scan import scan_columns
+    folder = scratch_folder(spark, "listed_vintages")
+    o = table(spark, sf_dir, "orders").withColumn("y", (F.year("o_orderdate") + LISTED_YEARS_SHIFT).cast("int"))
+    for r in o.select("y").distinct().collect():
+        rows = o.filter(F.col("y") == r["y"]).select(F.col("o_custkey").alias("CUST"), F.col("o_orderpriority").alias("NOTE"))
+        rows.write.options(**_CSV_WRITE).csv(f"{folder}/DeathStatF{r['y']}.csv")
+    files = manifest.select_vintages(manifest.build_manifest(spark, folder))
+    out = None
+    for year, paths in sorted(manifest.vintage_paths(files).items()):
+        found = [p for of_type in paths.values() for p in of_type]
+        part = scan_columns(spark, found, [("CUST", "custkey")], ["custkey"]).agg(
+            F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("custkey").cast("bigint")).alias("sum_custkey")).withColumn("file_year", F.lit(int(year)))
+        out = part if out is None else out.unionByName(part)
+    kinds = files.select("file_type", "file_name", "file_ext", "file_year", "system", "file_status").distinct()
+    return kinds.join(out, "file_year") if out is not None else kinds.withColumns(
+        {"n_rows": F.lit(None).cast("bigint"), "sum_custkey": F.lit(None).cast("bigint")})
+
+
+@register("written_dictionary", _dictionary_sql())
+def q_written_dictionary(spark, sf_dir):
+    """The data dictionary as written beside the table."""
+    from yearweave.sources.parquet import write_tables
+    folder = scratch_folder(spark, "written_dictionary")
+    write_tables({"data_dictionary": q_data_dictionary(spark, sf_dir)}, folder, sort_by={"data_dictionary": ["varname"]})
+    return spark.read.parquet(f"{folder}/data_dictionary")

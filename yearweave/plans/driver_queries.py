@@ -1126,6 +1126,22 @@ def q_factor_labels(spark, sf_dir):
     return typed
 
 
+@register("ordered_factor_sort", """
+WITH r AS (
+  SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN 2 WHEN '3-MEDIUM' THEN 3 WHEN '4-NOT SPECIFIED' THEN 4 WHEN '5-LOW' THEN 5 END AS level
+  FROM orders)
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(level AS INTEGER) AS level FROM r ORDER BY level DESC NULLS LAST, o_orderkey DESC
+""")
+def q_ordered_factor_sort(spark, sf_dir):
+    """An ordered factor sorts by its levels, known from column metadata, after a Parquet round trip."""
+    o = table(spark, sf_dir, "orders").select(s("o_orderkey").alias("o_orderkey"), "o_orderstatus", "o_orderpriority")
+    typed, _ = schema.enforce_schema(o, order_factor_schema(spark))
+    path = scratch_folder(spark, "ordered_factor_sort")
+    typed.write.parquet(path)
+    ranked = schema.order_by_factors(spark.read.parquet(path), "o_orderpriority", "o_orderkey", descending=True)
+    return ranked.select("o_orderkey", schema.factor_rank(ranked, "o_orderpriority").alias("level"))
+
+
 @register("unexpected_levels", """
 SELECT DISTINCT 'o_orderstatus' AS variable, o_orderstatus AS value FROM orders WHERE o_orderstatus NOT IN ('O', 'F')
 UNION ALL

@@ -114,7 +114,12 @@ def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL["op5_tool_calls"] = """
-WITH u AS (SELECT DISTINCT conv_id, turn, text FROM conversations WHERE role = 'user'),
+WITH RECURSIVE u AS (SELECT DISTINCT conv_id, turn, text FROM conversations WHERE role = 'user'),
+t AS (SELECT DISTINCT conv_id, turn FROM u),
+lv AS (
+  SELECT conv_id, turn, 0 AS level FROM t WHERE NOT EXISTS (SELECT 1 FROM t p WHERE p.conv_id = t.conv_id AND p.turn = t.turn - 2)
+  UNION ALL SELECT t.conv_id, t.turn, lv.level + 1 FROM lv JOIN t ON t.conv_id = lv.conv_id AND t.turn = lv.turn + 2
+),
 c AS (
   SELECT u.conv_id, 'turn-' || u.turn AS call_id, u.turn, u.text, p.turn IS NOT NULL AS follows,
     count(*) OVER (PARTITION BY u.conv_id, u.turn) AS n_calls
@@ -124,7 +129,7 @@ c AS (
   FROM conversations WHERE role = 'assistant' GROUP BY ALL
 )
 SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id) AS call_id,
-  coalesce(c.turn, r.turn) AS turn, CASE WHEN c.turn IS NOT NULL THEN 0 END AS level,
+  coalesce(c.turn, r.turn) AS turn, lv.level::INTEGER AS level,
   CASE WHEN c.turn IS NOT NULL THEN 'reply' END AS name, coalesce(n_results, 0) AS n_results,
   CASE WHEN c.turn IS NULL THEN 'result without a call' ELSE concat_ws('; ',
     CASE WHEN text IS NULL THEN 'missing text' END, CASE WHEN n_calls > 1 THEN 'identifier used twice' END,
@@ -135,7 +140,7 @@ SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id)
     || ',"id":' || to_json(coalesce(c.call_id, r.call_id))::VARCHAR
     || ',"name":' || CASE WHEN c.turn IS NULL THEN 'null' ELSE '"reply"' END
     || ',"result":' || coalesce(to_json(content)::VARCHAR, 'null') || '}' AS message
-FROM c FULL JOIN r ON c.conv_id = r.conv_id AND c.call_id = r.call_id
+FROM c FULL JOIN r ON c.conv_id = r.conv_id AND c.call_id = r.call_id LEFT JOIN lv ON lv.conv_id = c.conv_id AND lv.turn = c.turn
 """
 
 

@@ -1,10 +1,12 @@
 """Tool calls in chats: link calls to results, order them, validate arguments, write canonical JSON.
 
 All DataFrame operations. Calls and results meet in a hash join by conversation and call identifier, each side
-reduced to one row per identifier before. An argument may refer to the result of another call as ``"${id}"``; a call
-comes after all it refers to. Turns usually are such an order already, which one join over the references
-shows; only conversations in which a call refers to a later one go through rounds that take away, level by
-level, the calls that wait for nothing. Canonical JSON has sorted keys, no white space and numbers in one form.
+reduced to one row per identifier before. An argument may refer to the result of another call as ``"${id}"``, at any
+depth of its JSON; a call comes after all it refers to. Its level is the length of the longest chain of references
+behind it, in every conversation alike, so that (level, turn) is a topological order. Calls with one reference, the
+usual case, find the end of their chain by doubling pointers, in rounds that grow with the logarithm of the
+longest chain; calls with several go through rounds that take, level by level, those whose references are known.
+Canonical JSON has sorted keys, no white space and numbers in one form.
 """
 
 from __future__ import annotations
@@ -21,7 +23,8 @@ JSON_TYPES = {
 #: Tool name to its parameters: the JSON type, and whether it is required.
 Schemas = dict[str, dict[str, tuple[str, bool]]]
 REPLY: Schemas = {"reply": {"after": ("string", False), "text": ("string", True), "turn": ("integer", True)}}
-_REFERENCE = r"^\$\{([^}]+)\}$"
+#: A JSON string that is a reference as a whole, and not the name of a field.
+_REFERENCE = r'(?<!\\)"\$\{([^}"\\]+)\}"(?!:)'
 
 
 def argument_errors(name: Column, arguments: Column, schemas: Schemas) -> Column:
@@ -48,18 +51,54 @@ def argument_errors(name: Column, arguments: Column, schemas: Schemas) -> Column
     return F.when(variant.isNull() | ~is_object, F.array(F.lit("malformed arguments"))).otherwise(checked)
 
 
+def _chain_ends(single: DataFrame) -> DataFrame:
+    """Of calls with one reference (conv_id, call_id, refers_to): ``end``, the first call down the chain that is none
+    of them, and ``steps`` to it; calls in a cycle, or behind one, get no row."""
+    pointers = stage(single.select("conv_id", "call_id", F.col("refers_to").alias("end"), F.lit(1).cast("long").alias("steps")), "pointers")
+    for _ in range(pointers.count().bit_length() + 1):
+        further = pointers.select("conv_id", F.col("call_id").alias("end"), F.col("end").alias("next"), F.col("steps").alias("more"))
+        pointers = stage(pointers.join(further, ["conv_id", "end"], "left").select(
+            "conv_id", "call_id", F.coalesce("next", "end").alias("end"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"),
+            F.col("next").isNotNull().alias("moved")), "pointers")
+        if pointers.filter("moved").isEmpty():
+            return pointers.drop("moved")
+        pointers = pointers.drop("moved")
+    inside = single.select("conv_id", F.col("call_id").alias("end"))
+    return pointers.join(inside, ["conv_id", "end"], "left_anti")
+
+
 def _levels(nodes: DataFrame, references: DataFrame) -> DataFrame:
-    """Kahn's rounds over calls; those in a cycle, or behind one, get no row."""
+    """The longest chain of references behind each call: conv_id, call_id, level; those in a cycle, or behind one, get
+    no row. References to no call do not count."""
     key = ["conv_id", "call_id"]
-    waiting, done, level = stage(nodes.select(*key).distinct(), "waiting"), None, 0
-    while True:
-        blocked = references.join(
-            waiting.select("conv_id", F.col("call_id").alias("refers_to")), ["conv_id", "refers_to"], "left_semi").select(*key)
-        ready = stage(waiting.join(blocked, key, "left_anti").withColumn("level", F.lit(level)), "ready")
-        done = ready if done is None else done.unionByName(ready)
-        if ready.isEmpty():
-            return done
-        waiting, level = stage(waiting.join(ready, key, "left_anti"), "waiting"), level + 1
+    nodes = nodes.select(*key).dropna().distinct()
+    known = stage(references.select(*key, "refers_to").distinct().join(
+        nodes.select("conv_id", F.col("call_id").alias("refers_to")), ["conv_id", "refers_to"], "left_semi"), "known")
+    counted = known.groupBy(*key).agg(F.count("*").alias("n"), F.min("refers_to").alias("refers_to"))
+    free = nodes.join(counted, key, "left_anti").withColumn("level", F.lit(0).cast("long"))
+    ends = stage(_chain_ends(counted.filter("n = 1")), "ends")
+    several = stage(counted.filter("n > 1").select(*key), "several")
+    levels = free
+    if not several.isEmpty():
+        # Each reference of these calls, led on to the end of its chain.
+        last = ends.select("conv_id", F.col("call_id").alias("refers_to"), "end", "steps")
+        chained = counted.filter("n = 1").select("conv_id", F.col("call_id").alias("refers_to"), F.lit(True).alias("chained"))
+        links = stage(known.join(several, key, "left_semi").join(last, ["conv_id", "refers_to"], "left").join(
+            chained, ["conv_id", "refers_to"], "left").select(
+            *key, F.when(F.col("chained"), F.col("end")).otherwise(F.col("refers_to")).alias("end"), (F.coalesce("steps", F.lit(0)) + 1).alias("steps")),
+            "links")
+        levels, waiting = stage(free, "levels"), several
+        while True:
+            at_end = levels.select("conv_id", F.col("call_id").alias("end"), F.col("level").alias("before"))
+            met = links.join(waiting, key, "left_semi").join(at_end, ["conv_id", "end"], "left")
+            ready = stage(met.groupBy(*key).agg(
+                F.bool_and(F.col("before").isNotNull()).alias("all"), F.max(F.col("before") + F.col("steps")).alias("level")).filter("all").drop("all"), "ready")
+            if ready.isEmpty():
+                break
+            levels, waiting = stage(levels.unionByName(ready), "levels"), stage(waiting.join(ready, key, "left_anti"), "waiting")
+    at_end = levels.select("conv_id", F.col("call_id").alias("end"), "level")
+    chains = ends.join(at_end, ["conv_id", "end"]).select(*key, (F.col("level") + F.col("steps")).alias("level"))
+    return levels.unionByName(chains)
 
 
 def link_calls(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
@@ -67,46 +106,44 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFr
 
     ``calls``: conv_id, call_id, turn, name, arguments (JSON text); ``results``: conv_id, call_id, turn,
     content. Returns conv_id, call_id, turn, level, name, n_results, errors and message (canonical JSON).
-    (level, turn) sorts a conversation's calls topologically; a call in a cycle has no level. Of several
+    (level, turn) sorts a conversation's calls topologically; level is 0 without references to known calls, and a call in
+    a cycle, or behind one, has none. Of several
     results with one identifier the earliest (then least) is linked. Calls repeated in every column count once;
     an identifier with different calls is an error of each. A null identifier links to nothing. Other columns
     are not read.
     """
     key = ["conv_id", "call_id"]
     calls = stage(calls.select(*key, "turn", "name", "arguments").distinct(), "calls")
-    identifiers = calls.groupBy(*key).agg(F.count("*").alias("n_calls"), F.min("turn").alias("first_turn"))
-    values = F.map_values(F.from_json("arguments", "map<string,string>"))
-    references = stage(calls.select(*key, "turn", F.explode(F.filter(values, lambda v: v.rlike(_REFERENCE))).alias("value")).select(
-        *key, "turn", F.regexp_extract("value", _REFERENCE, 1).alias("refers_to")).distinct(), "references")
+    identifiers = calls.groupBy(*key).agg(F.count("*").alias("n_calls"))
+    canonical = F.to_json(F.try_parse_json("arguments"))
+    references = stage(calls.select(*key, "turn", F.explode(F.regexp_extract_all(canonical, F.lit(_REFERENCE), 1)).alias("refers_to")).distinct(),
+                       "references")
     known = references.join(identifiers.select(
-        "conv_id", F.col("call_id").alias("refers_to"), "first_turn"), ["conv_id", "refers_to"], "left")
-    broken = known.filter("first_turn IS NULL").select(*key, "turn", F.concat(F.lit("unknown reference "), "refers_to").alias("e")).groupBy(
+        "conv_id", F.col("call_id").alias("refers_to"), F.lit(True).alias("known")), ["conv_id", "refers_to"], "left")
+    broken = known.filter("known IS NULL").select(*key, "turn", F.concat(F.lit("unknown reference "), "refers_to").alias("e")).groupBy(
         *key, "turn").agg(F.array_sort(F.collect_set("e")).alias("broken"))
-    backward = known.filter("first_turn >= turn").select("conv_id").distinct()
-    disordered = calls.join(backward, "conv_id", "left_semi")
-    levels = _levels(disordered, references.join(backward, "conv_id", "left_semi")).join(
-        backward.withColumn("disordered", F.lit(True)), "conv_id")
+    levels = _levels(calls, references)
     answers = results.select(*key, "turn", "content").groupBy(*key).agg(
         F.count("*").alias("n_results"), F.min(F.struct("turn", "content")).alias("answer"))
     ordered = (
         calls.join(identifiers.select(*key, "n_calls"), key, "left").join(broken, [*key, "turn"], "left")
-        .join(levels.select(*key, "level", F.lit(True).alias("placed")), key, "left")
-        .join(backward.withColumn("disordered", F.lit(True)), "conv_id", "left"))
+        .join(levels, key, "left"))
+    unnamed = F.col("conv_id").isNull() | F.col("call_id").isNull()  # links to nothing, so waits for nothing
+    ordered = ordered.withColumn("level", F.when(unnamed, 0).otherwise(F.col("level")).cast("int"))
     linked = ordered.withColumn("is_call", F.lit(True)).join(answers.hint("shuffle_hash"), key, "full")
     none = F.array().cast("array<string>")
     errors = F.when(F.col("is_call"), F.concat(
         argument_errors(F.col("name"), F.col("arguments"), schemas),
         F.when(F.col("n_calls") > 1, F.array(F.lit("identifier used twice"))).otherwise(none),
         F.coalesce("broken", none),
-        F.when(F.col("disordered") & F.col("placed").isNull(), F.array(F.lit("cyclic references"))).otherwise(none),
+        F.when(F.col("level").isNull(), F.array(F.lit("cyclic references"))).otherwise(none),
         F.when(F.col("n_results").isNull(), F.array(F.lit("no result"))).otherwise(none),
     )).otherwise(F.array(F.lit("result without a call")))
-    level = F.when(F.col("is_call") & ~F.coalesce("disordered", F.lit(False)), 0).otherwise(F.col("level"))
     message = F.to_json(F.struct(
         F.try_parse_json("arguments").alias("arguments"), F.col("call_id").alias("id"), F.col("name"),
         F.col("answer.content").alias("result")), {"ignoreNullFields": "false"})
     return linked.select(
-        *key, F.coalesce("turn", "answer.turn").alias("turn"), level.alias("level"), "name",
+        *key, F.coalesce("turn", "answer.turn").alias("turn"), "level", "name",
         F.coalesce("n_results", F.lit(0).cast("long")).alias("n_results"), errors.alias("errors"), message.alias("message"))
 
 

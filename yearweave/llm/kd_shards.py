@@ -136,7 +136,7 @@ def _refine(keyed: DataFrame, nodes: list[_Node]) -> None:
     histogram = (
         keyed.join(F.broadcast(ranges), "shard")
         .filter((F.col("__key") >= F.col("__low")) & (F.col("__key") < F.col("__high")))
-        .groupBy("shard", F.floor((F.col("__key") - F.col("__low")) / F.pow(F.lit(2.0), "__shift")).cast("int").alias("bin"))
+        .groupBy("shard", F.expr("shiftright(__key - __low, __shift)").cast("int").alias("bin"))
         .agg(F.sum("size").alias("bytes")).collect())
     bins: dict[int, list[tuple[int, int]]] = {}
     for shard, b, weight in histogram:

@@ -82,6 +82,29 @@ def test_agenda_on_random_strings():
         assert got == encoder.library.encode(texts[i:i + 100])
 
 
+def test_a_text_that_the_library_reads_otherwise_takes_its_ids():
+    """The agenda's ids are returned; with a library that gives others for one text, that text alone takes them, and says so."""
+    from yearweave.llm.sentencepiece_codec import AgendaEncoder, encode_texts
+    with open(MODEL, "rb") as f:
+        encoder = AgendaEncoder(f.read())
+    texts = ["one two", "three four", "", "日本 five"]
+    true = encoder.library
+
+    class Other:
+        def __getattr__(self, name):
+            return getattr(true, name)
+
+        def encode(self, given, num_threads=1):
+            return [true.encode(t)[::-1] if t.startswith("three") else true.encode(t) for t in given]
+
+    encoder.library = Other()
+    packed, decoded, same = encode_texts(encoder, texts)
+    got = [np.frombuffer(p, np.int32).tolist() for p in packed]
+    assert same == [True, False, True, True]
+    assert got == [true.encode(t)[::-1] if t.startswith("three") else true.encode(t) for t in texts]
+    assert decoded == [true.decode(ids) for ids in got]
+
+
 # -- 2 ---------------------------------------------------------------------------------------------------------------
 
 def removed_by_brute_force(texts, length):

@@ -3,8 +3,9 @@
 The encoder is the score-ordered agenda: a text starts as single characters; every adjacent
 pair whose concatenation is a piece waits in an agenda ordered by piece score, then by position;
 the best pair merges, and its new neighbours join the agenda. Symbols that stay outside the
-vocabulary fall back to their UTF-8 bytes. Texts pass through in Arrow batches; each batch is
-checked against the sentencepiece library (``agenda_matches``), whose ids stand where they differ.
+vocabulary fall back to their UTF-8 bytes. Texts pass through in Arrow batches. The agenda's ids are
+returned and decoded; each batch is checked against the sentencepiece library, and a text for which it
+gives other ids takes those instead, with ``agenda_matches`` false.
 
 No merge can join two characters that are neighbours in no piece, so a text is cut there first;
 the parts ("chunks", about a word long) repeat, and their ids are remembered per worker.
@@ -237,6 +238,20 @@ def _encoder(model: bytes) -> AgendaEncoder:
     return _ENCODERS[key]
 
 
+def encode_texts(encoder: AgendaEncoder, texts: list[str]) -> tuple[list[bytes], list[str], list[bool]]:
+    """Ids (32-bit integers in a row) by the agenda, the texts decoded from them, and whether the library gives the same ids.
+
+    Where it does not, its ids stand instead."""
+    packed = encoder.encode(texts)
+    ids = [np.frombuffer(p, np.int32).tolist() for p in packed]
+    expected = encoder.library.encode(texts, num_threads=1)
+    same = [a == b for a, b in zip(ids, expected)]
+    for i, s in enumerate(same):
+        if not s:
+            ids[i], packed[i] = expected[i], _packed(expected[i])
+    return packed, encoder.library.decode(ids, num_threads=1), same
+
+
 def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode whole texts and decode the ids again.
 
@@ -254,11 +269,8 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
             for start in range(0, whole.num_rows, 256):
                 batch = whole.slice(start, 256)
                 texts = batch.column(1).to_pylist()
-                expected = encoder.library.encode(texts, num_threads=1)
-                packed = [_packed(ids) for ids in expected]
-                same = [a == b for a, b in zip(encoder.encode(texts), packed)]
-                decoded = encoder.library.decode(expected, num_threads=1)
-                ends = np.cumsum([0, *map(len, expected)])
+                packed, decoded, same = encode_texts(encoder, texts)
+                ends = np.cumsum([0, *[len(p) // 4 for p in packed]])
                 flat = np.frombuffer(b"".join(packed), np.int32)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0),

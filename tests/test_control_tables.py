@@ -21,8 +21,8 @@ def test_recode_strategies_agree(spark, year_type, code_type):
     cw = spark.createDataFrame([
         ("2014", "code", "1", "one"), ("2014", "code", None, "none"), ("2015", "code", "1", "uno"), ("2015", "code", "2", None),
         (None, "code", "3", "never"), ("2016", "code", "3", "b"), ("2014", "absent", "1", "x")], CW)
-    got = {s: sorted(map(tuple, recode.recode(df, cw, strategy=s).collect()), key=str) for s in ("map", "join")}
-    assert got["map"] == got["join"] and len(got["map"]) == len(rows)
+    got = {s: sorted(map(tuple, recode.recode(df, cw, strategy=s).collect()), key=str) for s in ("map", "join", "year")}
+    assert got["map"] == got["join"] == got["year"] and len(got["map"]) == len(rows)
     codes = {r[0]: r[2] for r in got["map"]}
     assert [codes[i] for i in range(16)] == [
         "one", "2", "3", "none", "uno", "2", "3", None, "1", "2", "b", None, "1", "2", "3", None]
@@ -33,13 +33,40 @@ def test_recode_strategies_agree(spark, year_type, code_type):
 def test_ambiguous_codes_have_one_outcome(spark):
     df = spark.createDataFrame([(1, 2014, "a"), (2, 2014, None)], "id int, file_year int, code string")
     cw = spark.createDataFrame([("2014", "code", "a", "y"), ("2014", "code", "a", "x"), ("2014", "code", None, "n"), ("2014", "code", None, "m")], CW)
-    for s in ("map", "join"):
+    for s in ("map", "join", "year"):
         with pytest.raises(DataGuardError, match="2 code"):
             recode.recode(df, cw, strategy=s)
         out = recode.recode(df, cw, validate=False, strategy=s)
         assert sorted((r.id, r.code) for r in out.collect()) == [(1, "x"), (2, "m")]
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_recode_by_year_joins_once(spark, monkeypatch, broadcast):
+    """Many variables with many codes: one join, and equal rows whether the table of years is broadcast or salted."""
+    if not broadcast:
+        monkeypatch.setattr(recode, "BROADCAST_BYTES", -1)
+    names = [f"v{i}" for i in range(6)]
+    cw = spark.range(2014, 2018).select(F.col("id").alias("file_year"), F.explode(F.array(*map(F.lit, names))).alias("variable")).select(
+        "*", F.explode(F.expr("transform(sequence(0, 150, 2), c -> if(c = 0, null, cast(c as string)))")).alias("from_code")).select(
+        "file_year", "variable", "from_code", F.concat_ws("-", "variable", "file_year", F.coalesce("from_code", F.lit("none"))).alias("to_code"))
+    value = lambda i: F.when(F.col("id") % (7 + i) == 0, None).otherwise((F.col("id") * (i + 1) % 160).cast("string"))
+    df = spark.range(600).select("id", (F.lit(2013) + F.col("id") % 6).alias("file_year"), *[value(i).alias(n) for i, n in enumerate(names)])
+    by_year, by_map = (recode.recode(df, cw, strategy=s) for s in ("year", "map"))
+    assert by_year.columns == df.columns
+    assert {r["id"]: tuple(r) for r in by_year.collect()} == {r["id"]: tuple(r) for r in by_map.collect()}
+    plan = by_year._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter, ((__rc_row_year") + plan.count("Join LeftOuter, (__rc_row_year") == 1
+
+
+def test_recode_by_year_without_rows(spark):
+    df = spark.createDataFrame([(1, 2014, "a")], "id int, file_year int, code string")
+    cw = spark.createDataFrame([("2014", "code", "a", "b")], CW)
+    assert recode.recode(df.limit(0), cw, strategy="year").collect() == []
+    assert [r.code for r in recode.recode(df, cw.limit(0), strategy="year").collect()] == ["a"]
+    nothing = spark.createDataFrame([("2014", "code", "a", None), (None, "code", "a", "b")], CW)
+    assert [r.code for r in recode.recode(df, nothing, strategy="year").collect()] == ["a"]
+
+
 @pytest.mark.parametrize("key", ["double", "boolean", "string", "int", "decimal(5,2)"])
 def test_lookup_strategies_agree_on_typed_keys(spark, key):
     values = ["true", "false", None] if key == "boolean" else ["1", "900000000", "3", None] if key != "decimal(5,2)" else ["1", "90", None]

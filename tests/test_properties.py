@@ -61,7 +61,8 @@ def test_recode_strategies_agree(spark, rows, mapping):
                                "file_year int, variable string, from_code string, from_label string, to_code string, to_label string, review_flag boolean")
     by_map = {r["id"]: r["code"] for r in recode.recode(df, cw).collect()}
     by_join = {r["id"]: r["code"] for r in recode.recode(df, cw, strategy="join").collect()}
-    assert by_map == by_join
+    by_year = {r["id"]: r["code"] for r in recode.recode(df, cw, strategy="year").collect()}
+    assert by_map == by_join == by_year
 
 
 dates_text = st.one_of(st.none(), st.dates(min_value=__import__("datetime").date(1840, 1, 1),

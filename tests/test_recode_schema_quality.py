@@ -15,7 +15,7 @@ def cw(spark, rows):
     return spark.createDataFrame([(y, v, f, None, t, None, flag) for y, v, f, t, flag in rows], CW)
 
 
-@pytest.mark.parametrize("strategy", ["map", "join"])
+@pytest.mark.parametrize("strategy", ["map", "join", "year"])
 def test_recode_semantics(spark, strategy):
     data = spark.createDataFrame([(2014, "1", "a"), (2014, None, "b"), (2015, "1", "c"), (2014, "2", "d"), (2014, "3", "e")],
                                  "file_year int, sex string, id string")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,9 +28,9 @@ def require_columns(df: DataFrame, cols: Iterable[str], where: str = "") -> None
         raise SchemaMismatch(f"{prefix}missing column(s): {', '.join(missing)}")
 
 
-def check_strategy(strategy: str) -> None:
-    if strategy not in STRATEGIES:
-        raise ValueError(f"strategy must be one of {', '.join(STRATEGIES)}, not {strategy!r}")
+def check_strategy(strategy: str, known: Sequence[str] = STRATEGIES) -> None:
+    if strategy not in known:
+        raise ValueError(f"strategy must be one of {', '.join(known)}, not {strategy!r}")
 
 
 def whole_number_text(c: Column) -> Column:

@@ -9,7 +9,8 @@ The crosswalk is prepared once, in Spark: years, codes and values are compared a
 text in one form, ambiguity is one aggregate. Then the caller's ``strategy``
 applies it. ``"map"``: one Column expression per variable, a literal map per
 group of years sharing the same codes (no join, no exchange). ``"join"``: one
-equi-join per variable on (year, code). Both give equal rows.
+equi-join per variable on (year, code). ``"year"``: the crosswalk as one row per year that
+holds every variable's codes, joined once whatever the number of variables. All give equal rows.
 """
 
 from __future__ import annotations
@@ -74,6 +75,63 @@ def recode_expression(value: Column, year: Column, pairs) -> Column:
     return value if mapped is None else F.coalesce(mapped, value)
 
 
+#: A year's codes are dealt by hash into maps of about this many entries, since Spark looks a key up by scanning its map.
+CODES_PER_MAP = 4
+#: Crosswalks of up to so many bytes of codes are broadcast by ``strategy="year"``.
+BROADCAST_BYTES = 16 << 20
+
+
+def _slot(code: Column, maps: Column) -> Column:
+    return F.pmod(F.xxhash64(code), maps.cast("long")).cast("int")
+
+
+def year_table(pairs: DataFrame, variables: list[str]) -> DataFrame:
+    """One row per ``__rc_year``; columns ``__rc_0``, ``__rc_1``... hold the codes of ``variables`` in that year.
+
+    Such a column is ``struct<maps array<map>, missing>``: the map at the place of a code's hash leads from codes to
+    new codes; ``missing`` is the new code of NULL. It is NULL where a variable has no row in that year.
+    """
+    codes = pairs.filter(F.col("file_year").isNotNull() & F.col("to_code").isNotNull())
+    of = ["file_year", "variable"]
+    sizes = codes.groupBy(*of).agg(
+        F.ceil(F.greatest(F.count("from_code"), F.lit(1)) / CODES_PER_MAP).cast("int").alias("maps"),
+        F.max(F.when(F.col("from_code").isNull(), F.col("to_code"))).alias("missing"))
+    entries = codes.filter(F.col("from_code").isNotNull()).join(sizes, of).groupBy(
+        *of, _slot(F.col("from_code"), F.col("maps")).alias("slot")).agg(
+        F.collect_list(F.struct("from_code", "to_code")).alias("entries"))
+    slots = sizes.withColumn("slot", F.explode(F.sequence(F.lit(0), F.col("maps") - 1)))
+    none = F.array().cast("array<struct<from_code:string,to_code:string>>")
+    dealt = slots.join(entries, [*of, "slot"], "left").groupBy(*of).agg(
+        F.max("missing").alias("missing"),
+        F.sort_array(F.collect_list(F.struct("slot", F.coalesce("entries", none).alias("entries")))).alias("slots"))
+    held = F.struct(F.transform("slots", lambda m: F.map_from_entries(m["entries"])).alias("maps"), F.col("missing"))
+    return dealt.withColumn("held", held).groupBy(F.col("file_year").alias("__rc_year")).agg(
+        *[F.first(F.when(F.col("variable") == v, F.col("held")), ignorenulls=True).alias(f"__rc_{i}") for i, v in enumerate(variables)])
+
+
+def _recode_by_year(df: DataFrame, pairs: DataFrame, year: Column, variables: list[str]) -> DataFrame:
+    """One join with the table of years. A table under ``BROADCAST_BYTES`` is broadcast; a larger one is repeated under
+    as many salts as there are shuffle partitions, and each row's hash is dealt one, so that a year's rows spread over all tasks
+    (rows equal in all columns share one; adaptive execution splits such a task, as its other side is one row a year)."""
+    table = year_table(pairs, variables)
+    size = pairs.agg(F.sum(F.octet_length(F.concat_ws("", "from_code", "to_code")) + 32).alias("n")).first()["n"] or 0
+    keyed = df.withColumn("__rc_row_year", year)
+    if size <= BROADCAST_BYTES:
+        joined = keyed.join(F.broadcast(table), F.col("__rc_row_year") == F.col("__rc_year"), "left")
+    else:
+        salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        hashable = [F.col(c) for c, t in df.dtypes if "map<" not in t]
+        keyed = keyed.withColumn("__rc_row_salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int"))
+        salted = table.withColumn("__rc_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        joined = keyed.join(salted, (F.col("__rc_row_year") == F.col("__rc_year")) & (F.col("__rc_row_salt") == F.col("__rc_salt")), "left")
+    out = {}
+    for i, v in enumerate(variables):
+        text, held = F.col(v).cast("string"), F.col(f"__rc_{i}")
+        found = F.try_element_at(F.get(held["maps"], _slot(text, F.size(held["maps"]))), text)
+        out[v] = F.coalesce(F.when(text.isNull(), held["missing"]).otherwise(found), text)
+    return joined.select(*[out[c].alias(c) if c in out else F.col(c) for c in df.columns])
+
+
 def recode(
     df: DataFrame,
     cw: DataFrame,
@@ -86,7 +144,7 @@ def recode(
     Recoded variables become text, whatever they were. ``validate=False`` takes the least of
     several targets of a code instead of raising. ``strategy`` is how, never what: see the module.
     """
-    check_strategy(strategy)
+    check_strategy(strategy, ("map", "join", "year"))
     if validate:
         validate_recode_crosswalk(cw)
     prepared = prepared_crosswalk(cw)
@@ -110,6 +168,9 @@ def recode(
                 of[r["variable"]].append(r)
         return df.withColumns({v: recode_expression(text[v], year, of[v]) for v in present})
 
+    if strategy == "year":
+        return _recode_by_year(df, pairs, year, present)
+
     # One join per variable on (year, code). The NULL code (at most one target per year and variable) is an
     # expression; in the join key a NULL value or year is a per-row salt that matches nothing, so such
     # rows spread over all tasks of a shuffle join instead of sharing one hash key.

@@ -218,6 +218,44 @@ def q_recode_codes_join_path(spark, sf_dir):
     return recode.recode(df, recode_crosswalk_df(spark), strategy="join")
 
 
+# Five coded variables of every line item, one of 200 codes, and a crosswalk of the codes that occur per year.
+_LINE_CODES = {"returnflag": "l_returnflag", "linestatus": "l_linestatus", "line": "l_linenumber",
+               "part_group": "l_partkey % 12", "supplier_code": "l_suppkey % 200"}
+
+
+def line_codes(spark, sf_dir) -> DataFrame:
+    line = table(spark, sf_dir, "lineitem")
+    missing = F.col("l_orderkey") % 13 == 0
+    return line.select("l_orderkey", "l_linenumber", F.year("l_shipdate").cast("int").alias("file_year"),
+                       *[F.when(missing, null_string()).otherwise(s(F.expr(c))).alias(v) for v, c in _LINE_CODES.items()])
+
+
+def line_crosswalk(codes: DataFrame) -> DataFrame:
+    """New codes for those of even length or NULL in even years, and for the others in odd years."""
+    entries = F.array(*[F.struct(F.lit(v).alias("variable"), F.col(v).alias("from_code")) for v in _LINE_CODES])
+    found = codes.select("file_year", F.explode(entries).alias("e")).select("file_year", "e.*").distinct()
+    changed = F.coalesce(F.length("from_code"), F.lit(0)) % 2 == F.col("file_year") % 2
+    return found.select("*", F.when(changed, F.concat_ws("/", F.col("file_year"), F.coalesce("from_code", F.lit("none")))).alias("to_code"))
+
+
+def _line_code_sql(v: str, c: str) -> str:
+    x = f"CASE WHEN l_orderkey % 13 = 0 THEN NULL ELSE CAST({c} AS VARCHAR) END"
+    y = "year(l_shipdate)"
+    return (f"CASE WHEN coalesce(length({x}), 0) % 2 = {y} % 2 THEN CAST({y} AS VARCHAR) || '/' || coalesce({x}, 'none') "
+            f"ELSE {x} END AS {v}")
+
+
+@register("recode_many_variables", f"""
+SELECT l_orderkey, l_linenumber, CAST(year(l_shipdate) AS INTEGER) AS file_year,
+  {', '.join(_line_code_sql(v, c) for v, c in _LINE_CODES.items())}
+FROM lineitem
+""")
+def q_recode_many_variables(spark, sf_dir):
+    """D2 with one join for all variables."""
+    codes = line_codes(spark, sf_dir)
+    return recode.recode(codes, line_crosswalk(codes), strategy="year")
+
+
 # --------------------------------------------------------------------------
 # Crosswalks derived from data: a recode crosswalk from documents (one row per
 # distinct year/lang/source) and a wide rename crosswalk from part.

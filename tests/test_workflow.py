@@ -165,3 +165,19 @@ def test_rerun_is_idempotent(spark, project):
     workflow.run(spark, project)
     second = sorted(tuple(str(v) for v in r) for r in spark.read.parquet(path).collect())
     assert first == second and len(first) == 4
+
+
+def test_refresh_of_one_vintage(spark, project):
+    """All vintages, then one alone: the table equals a whole run, and completeness counts both."""
+    from yearweave.operators._common import DataGuardError
+    from yearweave.operators.quality import completeness_report
+    workflow.refresh(spark, project)
+    reports = workflow.refresh(spark, project, years=[2018])
+    workflow.run(spark, project)
+    whole = spark.read.parquet(os.path.join(project.output_folder, "harmonized_data.parquet"))
+    text = lambda df: sorted(tuple(str(v) for v in r) for r in df.select(sorted(whole.columns)).collect())
+    assert text(reports["data"]) == text(whole)
+    want = completeness_report(whole)
+    assert sorted(map(tuple, reports["completeness"].select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+    with pytest.raises(DataGuardError, match="1999"):
+        workflow.refresh(spark, project, years=[1999])

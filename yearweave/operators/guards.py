@@ -98,14 +98,14 @@ def settle(df: DataFrame) -> DataFrame:
     return counted.filter(F.when(hit.isNotNull(), F.raise_error(hit).cast("boolean")).otherwise(True)).drop(*guards)
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     return jvm_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm_path
 
 
 def replace_folder(spark: SparkSession, staged: str, path: str) -> None:
     """Put the folder ``staged`` in the place of ``path``, in the same file system; what stood there goes."""
-    fs, at = _file_system(spark, path)
+    fs, at = file_system(spark, path)
     old = f"{path}.old-{uuid.uuid4().hex}"
     had = fs.exists(at(path))
     if had and not fs.rename(at(path), at(old)):
@@ -140,5 +140,5 @@ def write_checked(df: DataFrame, path: str, write: Callable[[DataFrame, str], No
         done = True
     finally:
         if not done:
-            fs, at = _file_system(spark, staged)
+            fs, at = file_system(spark, staged)
             fs.delete(at(staged), True)

@@ -26,9 +26,8 @@ def natural_sort_key(variable: Column, prefix: str = "record_axis_code_") -> Col
     return F.when(variable.rlike("^" + re.escape(prefix) + r"\d+$"), F.concat(F.lit(prefix), pad_left(num, 2))).otherwise(variable)
 
 
-def completeness(df: DataFrame, by: str = "file_year") -> DataFrame:
-    """Share of non-NULL values of every column per ``by`` group (E1, E2):
-    ``<by>, variable, n_rows, n_complete, pct_complete, sort_key``.
+def completeness_counts(df: DataFrame, by: str = "file_year") -> DataFrame:
+    """Rows and non-NULL values of every column per ``by`` group (E1): ``<by>, variable, n_rows, n_complete``.
 
     One hash aggregate computes all columns' counts; the wide row per group is
     then unpivoted (a handful of rows per group, no second pass over the data).
@@ -37,12 +36,22 @@ def completeness(df: DataFrame, by: str = "file_year") -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("__n")] + [F.count(F.col(_quoted(c))).alias(f"c_{i}") for i, c in enumerate(cols)]
     wide = df.groupBy(by).agg(*aggs)
     entries = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(f"c_{i}").alias("n_complete")) for i, c in enumerate(cols)])
-    long = wide.select(by, F.col("__n").alias("n_rows"), F.explode(entries).alias("e")).select(by, "e.variable", "n_rows", "e.n_complete")
-    return long.withColumn("pct_complete", F.col("n_complete") / F.col("n_rows")).withColumn(
+    return wide.select(by, F.col("__n").alias("n_rows"), F.explode(entries).alias("e")).select(by, "e.variable", "n_rows", "e.n_complete")
+
+
+def shares(counts: DataFrame) -> DataFrame:
+    """Counts with ``pct_complete`` and the reports' ``sort_key``."""
+    return counts.withColumn("pct_complete", F.col("n_complete") / F.col("n_rows")).withColumn(
         "sort_key", natural_sort_key(F.col("variable"))
     )
 
 
+def completeness(df: DataFrame, by: str = "file_year") -> DataFrame:
+    """Share of non-NULL values of every column per ``by`` group (E1, E2):
+    ``<by>, variable, n_rows, n_complete, pct_complete, sort_key``."""
+    return shares(completeness_counts(df, by))
+
+
 def complete_variables(comp: DataFrame, threshold: float = 1.0) -> DataFrame:
     """Variables whose completeness is >= threshold in every group."""
     return (
@@ -57,7 +66,11 @@ def completeness_report(df: DataFrame, by: str = "file_year", threshold: float =
                         axis_pattern: str = "record_axis_code") -> DataFrame:
     """Q1: completeness minus variables complete everywhere (and, as the
     reference code does, minus the axis-code columns unless ``keep_axis``)."""
-    comp = completeness(df, by)
+    return report_of(completeness(df, by), threshold, keep_axis, axis_pattern)
+
+
+def report_of(comp: DataFrame, threshold: float = 1.0, keep_axis: bool = False, axis_pattern: str = "record_axis_code") -> DataFrame:
+    """:func:`completeness_report` from shares that are already there."""
     full = complete_variables(comp, threshold)
     out = comp.join(F.broadcast(full), "variable", "left_anti")  # at most one row per column
     if not keep_axis:

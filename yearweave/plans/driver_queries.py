@@ -1924,6 +1924,56 @@ def q_parquet_roundtrip(spark, sf_dir):
     return read_harmonized(spark, folder, years=[1993, 1996])
 
 
+REFRESHED_YEAR = 1997  # refreshed once more, with every third balance gone
+
+
+def refreshed_orders(spark, sf_dir) -> str:
+    """Orders with their customers, all vintages written and one of them refreshed; a refresh that its guard refuses comes last."""
+    from yearweave.sources.refresh import refresh
+    path = scratch_folder(spark, "refreshed_orders")
+    rows = orders_customers_by_year(spark, sf_dir)
+    refresh(rows, path)
+    gone = F.when(F.col("o_orderkey") % 3 != 0, F.col("c_acctbal"))
+    again = rows.filter(F.col("file_year") == REFRESHED_YEAR).withColumn("c_acctbal", gone)
+    refresh(again, path, years=[REFRESHED_YEAR])
+    try:
+        refresh(guards.watch(again.withColumn("o_orderstatus", null_string()), "refused", F.lit(True), F.col("c_mktsegment")), path)
+    except guards.GuardViolation:
+        pass
+    return path
+
+
+_REFRESHED_SQL = f"""oc AS (
+  SELECT CAST(year(o.o_orderdate) AS INTEGER) AS file_year, o.o_orderkey, o.o_orderstatus,
+         CASE WHEN year(o.o_orderdate) = 1995 AND o.o_custkey % 2 = 0 THEN NULL
+           WHEN year(o.o_orderdate) = {REFRESHED_YEAR} AND o.o_orderkey % 3 = 0 THEN NULL ELSE c.c_acctbal END AS c_acctbal,
+         CASE WHEN year(o.o_orderdate) >= 1999 THEN NULL ELSE c.c_mktsegment END AS c_mktsegment,
+         CASE WHEN o.o_orderkey % 7 = 0 THEN NULL ELSE o.o_orderpriority END AS o_orderpriority,
+         CASE WHEN year(o.o_orderdate) = 2001 THEN NULL ELSE o.o_orderstatus END AS record_axis_code_3
+  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey)"""
+
+
+@register("refreshed_vintages", f"WITH {_REFRESHED_SQL} SELECT * FROM oc")
+def q_refreshed_vintages(spark, sf_dir):
+    """A14 and A15 by vintage: a refresh replaces its vintage alone; one that is refused changes nothing."""
+    from yearweave.sources.refresh import read_refreshed
+    return read_refreshed(spark, refreshed_orders(spark, sf_dir))
+
+
+@register("kept_completeness", f"""
+WITH {_REFRESHED_SQL},
+c AS (SELECT file_year, count(*) AS n_rows, {', '.join(f'count({c}) AS {c}' for c in _OC_COLS)} FROM oc GROUP BY file_year),
+u AS (UNPIVOT c ON {', '.join(_OC_COLS)} INTO NAME variable VALUE n_complete)
+SELECT file_year, variable, CAST(n_rows AS BIGINT) AS n_rows, CAST(n_complete AS BIGINT) AS n_complete,
+       CAST(n_complete AS DOUBLE) / n_rows AS pct_complete, {_sort_key_sql()} AS sort_key
+FROM u
+""")
+def q_kept_completeness(spark, sf_dir):
+    """E1 and E2 from counts kept beside the table: a refresh counts its own vintage alone."""
+    from yearweave.sources.refresh import kept_completeness
+    return kept_completeness(spark, refreshed_orders(spark, sf_dir))
+
+
 @register("written_reports", """
 SELECT o_orderpriority AS priority, CAST(count(*) AS BIGINT) AS n, CAST(row_number() OVER (ORDER BY o_orderpriority DESC) AS BIGINT) AS place
 FROM orders GROUP BY o_orderpriority

@@ -25,8 +25,10 @@ from yearweave.functions.strings import nullify_placeholders, title_case, zip5_o
 from yearweave.operators import causes, crosswalk, demographics, geography, guards, quality, recode, schema, vintage
 from yearweave.operators import dates as dates_op
 from yearweave.operators import times as times_op
+from yearweave.operators._common import DataGuardError
 from yearweave.operators.projection import Selector, contains, select_spec, starts_with
 from yearweave.sources import csv_scan, manifest, parquet
+from yearweave.sources import refresh as vintages
 
 STATISTICAL = "Death Statistical"
 LITERALS = "Cause of Death Literals"
@@ -110,11 +112,16 @@ def _today(cfg: Config) -> dt.date:
     return cfg.as_of_date if isinstance(cfg.as_of_date, dt.date) else dt.date.fromisoformat(str(cfg.as_of_date))
 
 
-def harmonize(spark: SparkSession, cfg: Config, audits: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Stage 1: every selected vintage renamed, joined and recoded (lazy). ``audits`` receives the tables
-    of rows whose NULL key matches nothing in the literals join and of literals keys used twice."""
+def harmonize(spark: SparkSession, cfg: Config, audits: dict[str, DataFrame] | None = None,
+              years: Sequence[int] | None = None) -> DataFrame:
+    """Stage 1: every selected vintage, or those of ``years`` alone, renamed, joined and recoded (lazy). ``audits`` receives the
+    tables of rows whose NULL key matches nothing in the literals join and of literals keys used twice."""
     files = manifest.select_vintages(manifest.build_manifest(spark, cfg.raw_folder))
     paths = manifest.vintage_paths(files)
+    if years is not None:
+        if absent := sorted(set(years) - set(paths)):
+            raise DataGuardError(f"no files for vintage(s) {', '.join(map(str, absent))}")
+        paths = {y: paths[y] for y in years}
     meta = {r["file_year"]: (r["vintage_label"], r["system"]) for r in files.select("file_year", "vintage_label", "system").distinct().collect()}
     stat_rows = vintage.crosswalk_rows(crosswalk.rename_crosswalk_long(csv_scan.load_control_table(spark, cfg.rename_statistical)))
     lit_rows = vintage.crosswalk_rows(crosswalk.rename_crosswalk_long(csv_scan.load_control_table(spark, cfg.rename_literals)))
@@ -224,6 +231,25 @@ def run(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]:
     return reports
 
 
+def refresh(spark: SparkSession, cfg: Config, years: Sequence[int] | None = None) -> dict[str, DataFrame]:
+    """Both stages for the vintages of ``years`` alone (default: all), kept in ``harmonized_vintages`` beside those of earlier
+    refreshes (:mod:`yearweave.sources.refresh`). Returns ``data``, the whole table, the audits of the refreshed
+    vintages, and ``completeness`` over all vintages, which reads counts only; it is written under ``reports`` too."""
+    out = cfg.output_folder.rstrip("/")
+    audits: dict[str, DataFrame] = {}
+    stage1 = f"{out}/_stage1_refreshed"
+    harmonize(spark, cfg, audits, years).write.mode("overwrite").parquet(stage1)
+    derived, more = derive(spark, spark.read.parquet(stage1), cfg)
+    final, conversions = finish(derived, cfg, csv_scan.load_control_table(spark, cfg.schema))
+    table = f"{out}/harmonized_vintages"
+    vintages.refresh(final.withColumn("file_year", F.col("file_year").cast("int")), table, years)
+    reports = {**audits, **more, **conversions}
+    reports["completeness"] = quality.report_of(
+        vintages.kept_completeness(spark, table), cfg.completeness_threshold, cfg.keep_axis_in_completeness)
+    parquet.write_tables({"completeness": reports["completeness"]}, f"{out}/reports", sort_by=REPORT_ORDER)
+    return {**reports, "data": vintages.read_refreshed(spark, table)}
+
+
 def review(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]:
     """Crosswalk review tables (Q2, Q3), written under ``reports/review``."""
     renames = {

@@ -1909,6 +1909,58 @@ def q_csv_all_string_scan(spark, sf_dir):
     return scan_columns(spark, [folder], CSV_LAYOUT, CSV_CANONICAL)
 
 
+# Odd years are written as Windows-1252, even ones as UTF-8; every fifth order has a name with an accent and a euro sign.
+_NAME_SQL = "CASE WHEN o_orderkey % 5 = 0 THEN o_orderpriority || ' caf' || chr(233) || ' ' || chr(8364) ELSE o_orderpriority END"
+
+
+def mixed_encodings(spark, sf_dir) -> dict[int, list[str]]:
+    """``{year: [folder]}``. Spark writes bytes as ISO-8859-1, in which Windows-1252's euro sign is U+0080."""
+    folder = scratch_folder(spark, "mixed_encodings")
+    o = table(spark, sf_dir, "orders").withColumn("y", F.year("o_orderdate"))
+    out = {}
+    for (year,) in sorted(map(tuple, o.select("y").distinct().collect())):
+        euro, encoding = ("\u0080", "ISO-8859-1") if year % 2 else ("\u20ac", "UTF-8")
+        name = F.when(F.col("o_orderkey") % 5 == 0, F.concat("o_orderpriority", F.lit(f" caf\u00e9 {euro}"))).otherwise(F.col("o_orderpriority"))
+        rows = o.filter(F.col("y") == year).select(F.col("o_orderkey").alias("KEY"), name.alias("NAME"))
+        rows.write.options(**_CSV_WRITE, encoding=encoding).csv(f"{folder}/{year}")
+        out[year] = [f"{folder}/{year}"]
+    return out
+
+
+@register("vintage_encodings", f"""
+SELECT CAST(year(o_orderdate) AS INTEGER) AS file_year, CAST(o_orderkey AS VARCHAR) AS certno, {_NAME_SQL} AS name FROM orders
+""")
+def q_vintage_encodings(spark, sf_dir):
+    """Vintages that are not UTF-8 are read in the fallback charset, the others as they are."""
+    from yearweave.sources.csv_scan import scan_columns
+    parts = [scan_columns(spark, paths, [("KEY", "certno"), ("NAME", "name")], ["certno", "name"], fallback_charset="windows-1252").withColumn(
+        "file_year", F.lit(int(year))) for year, paths in mixed_encodings(spark, sf_dir).items()]
+    return union_parts(parts, spark)
+
+
+def union_parts(parts, spark) -> DataFrame:
+    """One frame of all parts; of none, an empty one."""
+    if not parts:
+        return spark.createDataFrame([], "certno string, name string, file_year int")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("invalid_bytes", """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS file_year,
+  CAST(count(*) FILTER (WHERE o_orderkey % 5 = 0 AND year(o_orderdate) % 2 = 1) AS BIGINT) AS n_invalid_lines,
+  CAST(2 * count(*) FILTER (WHERE o_orderkey % 5 = 0 AND year(o_orderdate) % 2 = 1) AS BIGINT) AS n_invalid_sequences
+FROM orders GROUP BY ALL
+""")
+def q_invalid_bytes(spark, sf_dir):
+    """Bytes that are not UTF-8, counted per vintage."""
+    from yearweave.sources.encodings import invalid_bytes_report
+    return invalid_bytes_report(spark, mixed_encodings(spark, sf_dir)).groupBy("file_year").agg(
+        F.sum("n_invalid_lines").alias("n_invalid_lines"), F.sum("n_invalid_sequences").alias("n_invalid_sequences"))
+
+
 @register("parquet_roundtrip", """
 SELECT CAST(year(o_orderdate) AS INTEGER) AS file_year, CAST(o_orderkey AS VARCHAR) AS state_file_number,
        o_orderstatus AS status, o_totalprice AS total_price

@@ -27,7 +27,7 @@ from yearweave.operators import dates as dates_op
 from yearweave.operators import times as times_op
 from yearweave.operators._common import DataGuardError
 from yearweave.operators.projection import Selector, contains, select_spec, starts_with
-from yearweave.sources import csv_scan, manifest, parquet
+from yearweave.sources import csv_scan, encodings, manifest, parquet
 from yearweave.sources import refresh as vintages
 
 STATISTICAL = "Death Statistical"
@@ -70,6 +70,7 @@ FINAL_SPEC: tuple[str | Selector, ...] = (
 REPORT_ORDER = {
     "literal_null_keys": ["side", "file_year"],
     "literal_duplicate_keys": ["file_year", "state_file_number"],
+    "invalid_bytes": ["file_year", "file"],
     "date_parse_errors": ["variable", "original_value"],
     "time_parse_errors": ["variable", "original_value", "primary_value"],
     "data_type_conversions": ["variable"],
@@ -98,6 +99,7 @@ class Config:
     column_pairs: Sequence[tuple[str, str, int]] = DEFAULT_COLUMN_PAIRS
     literal_pairs: Sequence[tuple[str, str, int]] = DEFAULT_LITERAL_PAIRS
     csv_options: dict = field(default_factory=dict)
+    fallback_charset: str | None = None  # for vintages that are not UTF-8; their invalid bytes are then counted in a report
     on_unmatched: str = "raise"      # lookup guard: settled at the stage's end ("raise"), one listing pass ("scan"), "ignore"
     check_levels: str = "plan"       # factor-level guard: settled at the stage's end ("plan"), one listing pass ("scan"), "off"
     time_as: str = "string"          # time of day as "HH:mm:ss" text, or Spark's TIME type ("time")
@@ -130,13 +132,15 @@ def harmonize(spark: SparkSession, cfg: Config, audits: dict[str, DataFrame] | N
     stats, lits = [], []
     for year in sorted(paths):
         label, system = meta[year]
-        s = csv_scan.scan_columns(spark, paths[year].get(STATISTICAL, []), vintage.year_renames(stat_rows, year), stat_cols, cfg.csv_options)
+        s = csv_scan.scan_columns(spark, paths[year].get(STATISTICAL, []), vintage.year_renames(stat_rows, year), stat_cols, cfg.csv_options, fallback_charset=cfg.fallback_charset)
         stats.append(vintage.attach_vintage(s, label, year, system, today))
-        lit = csv_scan.scan_columns(spark, paths[year].get(LITERALS, []), vintage.year_renames(lit_rows, year), lit_cols, cfg.csv_options)
+        lit = csv_scan.scan_columns(spark, paths[year].get(LITERALS, []), vintage.year_renames(lit_rows, year), lit_cols, cfg.csv_options, fallback_charset=cfg.fallback_charset)
         lits.append(lit.withColumn("file_year", F.lit(int(year))))
     stat_all = vintage.union_vintages(stats)
     lit_all = vintage.union_vintages(lits).select("file_year", *lit_cols)
     joined = vintage.join_literals(stat_all, lit_all, ["file_year", "state_file_number"])
+    if audits is not None and cfg.fallback_charset:
+        audits["invalid_bytes"] = encodings.invalid_bytes_report(spark, {y: [p for of in paths[y].values() for p in of] for y in paths})
     if audits is not None:
         audits["literal_null_keys"] = vintage.literal_key_audit(stat_all, lit_all)
         audits["literal_duplicate_keys"] = vintage.literal_key_duplicates(lit_all)

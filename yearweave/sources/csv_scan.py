@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from yearweave.functions.strings import normalize_text
 from yearweave.operators._common import DataGuardError, SchemaMismatch, sources_by_target
+from yearweave.sources.encodings import BYTES, line_facts, odd_quotes, translated, translated_name
 from yearweave.sources.quoted_csv import read_quoted_csv
 
 CSV_OPTIONS: Mapping[str, str] = {
@@ -29,22 +30,45 @@ CSV_OPTIONS: Mapping[str, str] = {
 }
 
 
-def read_csv_strings(spark: SparkSession, paths: Sequence[str] | str, options: Mapping[str, str] | None = None) -> DataFrame:
-    """All columns as strings; no schema inference (a second full read)."""
+def read_csv_strings(spark: SparkSession, paths: Sequence[str] | str, options: Mapping[str, str] | None = None,
+                     fallback_charset: str | None = None) -> DataFrame:
+    """All columns as strings; no schema inference (a second full read).
+
+    ``fallback_charset`` is a single-byte charset, such as ``windows-1252``. If a line of these files is not valid UTF-8,
+    all of them are read in it; without one, invalid bytes become U+FFFD.
+    """
     if isinstance(paths, str):
         paths = [paths]
     paths = list(paths)
     if not paths:
         raise DataGuardError("no input files for this vintage")
     opts = {**CSV_OPTIONS, **(options or {})}
-    if "multiLine" not in opts:
-        if opts["encoding"].upper().replace("-", "") != "UTF8":
+    utf8 = opts["encoding"].upper().replace("-", "") == "UTF8"
+    if fallback_charset and utf8:
+        runs_on, invalid = line_facts(spark, paths, opts["quote"])
+        if invalid:
+            return _read_in_charset(spark, paths, opts, fallback_charset, runs_on)
+        if runs_on and "multiLine" not in opts:
+            return read_quoted_csv(spark, paths, opts)
+    elif "multiLine" not in opts:
+        if not utf8:
             opts["multiLine"] = "true"
         elif has_quoted_newlines(spark, paths, opts["quote"]):
             return read_quoted_csv(spark, paths, opts)
     return spark.read.options(**opts).csv(paths)
 
 
+def _read_in_charset(spark: SparkSession, paths: list[str], opts: dict, charset: str, runs_on: bool) -> DataFrame:
+    opts = {**opts, "encoding": BYTES}
+    if runs_on and "multiLine" not in opts:
+        raw = read_quoted_csv(spark, paths, opts)
+    else:
+        raw = spark.read.options(**opts).csv(paths)
+    names = [translated_name(c, charset) for c in raw.columns]
+    raw = raw.toDF(*[f"c{i}" for i in range(len(names))])
+    return raw.select(*[translated(F.col(f"c{i}"), charset).alias(n) for i, n in enumerate(names)])
+
+
 def has_quoted_newlines(spark: SparkSession, paths: Sequence[str], quote: str = '"') -> bool:
     """Whether a quoted value runs over a line end: then some line has an odd number of quotes.
 
@@ -53,8 +77,7 @@ def has_quoted_newlines(spark: SparkSession, paths: Sequence[str], quote: str =
     ``multiLine`` to skip the pass and use Spark's reader as it is. Other encodings than UTF-8 use its
     ``multiLine`` form.
     """
-    quotes = F.char_length("value") - F.char_length(F.replace("value", F.lit(quote), F.lit("")))
-    return not spark.read.text(list(paths)).filter(quotes % 2 == 1).isEmpty()
+    return not spark.read.text(list(paths)).filter(odd_quotes(F.col("value"), quote)).isEmpty()
 
 
 def scan_columns(
@@ -64,6 +87,7 @@ def scan_columns(
     canonical: Sequence[str],
     options: Mapping[str, str] | None = None,
     normalize: bool = True,
+    fallback_charset: str | None = None,
 ) -> DataFrame:
     """Read only the crosswalk's source columns, normalize (J1), rename to the
     canonical names (B3), add absent canonical columns as NULL (B4) and fix the
@@ -73,7 +97,7 @@ def scan_columns(
     from the header raises (only the header is read to check it).
     """
     pairs = list(rename.items()) if isinstance(rename, Mapping) else list(rename)
-    raw = read_csv_strings(spark, paths, options)
+    raw = read_csv_strings(spark, paths, options, fallback_charset)
     missing = sorted({f for f, _ in pairs} - set(raw.columns))
     if missing:
         raise SchemaMismatch(f"source column(s) not found in {list(paths) if not isinstance(paths, str) else paths}: {', '.join(missing)}")

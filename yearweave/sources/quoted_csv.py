@@ -18,18 +18,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from yearweave.operators._common import SchemaMismatch
+from yearweave.sources.encodings import BYTES
 
 
-def csv_records(spark: SparkSession, paths: Sequence[str], quote: str = '"') -> DataFrame:
+def csv_records(spark: SparkSession, paths: Sequence[str], quote: str = '"', encoding: str = "UTF-8") -> DataFrame:
     """Every record as ``file, number, record``: ``number`` counts from 0 in its file, line ends within quotes are kept.
 
     Lines end with a line feed, or, where a file's first line does, with carriage return and line feed, which is then one
     line feed within quotes too, as for Spark's reader. Blank records are left out,
-    but numbered. A file whose quotes do not pair up ends in a record of all that follows the last open one.
+    but numbered. ``encoding`` is UTF-8 or ISO-8859-1. A file whose quotes do not pair up ends in a record of all that follows the last open one.
     """
     lines = spark.read.option("lineSep", "\n").text(list(paths)).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"), F.col("value").alias("text"))
+        F.monotonically_increasing_id().alias("line"),
+        (F.decode(F.col("value").cast("binary"), encoding) if encoding == BYTES else F.col("value")).alias("text"))
     odd = (F.char_length("text") - F.char_length(F.replace("text", F.lit(quote), F.lit("")))) % 2
     lines = lines.withColumn("odd", odd).repartition("file", "block")
     of_block = Window.partitionBy("file", "block")
@@ -64,7 +66,7 @@ def read_quoted_csv(spark: SparkSession, paths: Sequence[str], options: Mapping[
     options = {k: v for k, v in options.items() if k not in ("multiLine", "inferSchema", "enforceSchema")}
     header = str(options.pop("header", "false")).lower() == "true"
     names = spark.read.options(**options, header=str(header).lower(), multiLine="true").csv(paths[0]).columns
-    records = csv_records(spark, paths, options.get("quote", '"'))
+    records = csv_records(spark, paths, options.get("quote", '"'), options.get("encoding", "UTF-8"))
     # Line ends within quotes are only left as they are in this mode.
     parsing = {**{k: v for k, v in options.items() if k != "encoding"}, "multiLine": "true"}
     ddl = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)

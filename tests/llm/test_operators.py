@@ -537,3 +537,22 @@ def test_kd_shards(spark, docs, empty):
     five = kd_shards(spark.createDataFrame(rows, DOCS), F.lit(10), F.lit(0).cast("long"), "doc_id", ["n_chars", "lang"], target_bytes=9010).toPandas()
     sizes = five.groupby("shard").size()
     assert len(sizes) == 5 and sizes.max() - sizes.min() < 60
+
+
+def test_kd_shards_keep_groups_and_spread_repeated_rows(spark):
+    from yearweave.llm.kd_shards import GROUP_SHARE, document_shards
+    r = random.Random(11)
+    rows = [(i, prose(r, 30), "en", "s", 200, 0.0, 0, 0, "") for i in range(1600)]
+    texts = [prose(r, 40) for _ in range(90)]  # groups of up to a tenth of a shard, all alike in length and language
+    rows += [(2000 + i, texts[i % 90], "en", "s", 200, 0.0, 0, 0, "") for i in range(600)]
+    x = document_shards(spark.createDataFrame(rows, DOCS)).toPandas()
+    weights = x.groupby("shard")["size"].sum()
+    assert len(weights) == 16 and weights.max() / weights.min() < 1.2
+    groups = x[x.doc_id >= 2000].groupby("text_crc32").agg(size=("size", "sum"), shards=("shard", "nunique"))
+    small = groups[groups["size"] <= GROUP_SHARE * weights.sum() / 16 * 0.9]
+    assert len(small) == 90 and (small.shards == 1).all()
+    same = [(7, "one and the same row " * 200, "en", "s", 4200, 0.0, 0, 0, "")] * 500 + rows[:20]
+    y = document_shards(spark.createDataFrame(same, DOCS)).toPandas()
+    assert len(y) == 520 and y.groupby("shard")["slot"].apply(lambda s: sorted(s) == list(range(len(s)))).all()
+    weights = y.groupby("shard")["size"].sum()
+    assert len(weights) == 16 and weights.max() / weights.min() < 1.2

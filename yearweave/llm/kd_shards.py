@@ -3,8 +3,9 @@
 A node of the tree splits at the weighted median of its widest metadata dimension, until a leaf
 holds the target bytes. Medians are exact to a tolerance and found without sorting: each round
 sums the bytes of a node's rows over a histogram of the order key, keeps the bin in which the
-median falls, and looks closer. Ties on a dimension go on by text hash, so that equal texts stay
-together, and last by id hash, so that one large group of copies can still be cut for balance.
+median falls, and looks closer. Ties on a dimension go on by text hash. A cut falls between groups of
+equal texts, at the nearer edge, if the group at the median holds at most ``GROUP_SHARE`` of a shard; a
+larger group is cut for balance, by a hash of its rows' places, so that equal rows part as well.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ _KEY_BITS = _DIM_BITS + _TEXT_BITS + _ID_BITS
 HISTOGRAM_ROWS = 1 << 18
 #: A median is settled once the bin that holds it has this share of the node's bytes.
 TOLERANCE = 1e-4
+#: A group of equal texts of up to this share of a shard's bytes is never cut.
+GROUP_SHARE = 0.1
 #: Independent windows in which a shard's slots are numbered.
 SLOT_WINDOWS = 256
 
@@ -58,8 +61,7 @@ def kd_shards(
 
     Name the number of ``leaves``, or ``target_bytes`` for as many as the total takes. Returns
     ``id_col``, ``size``, the ``keep`` columns, ``shard`` and ``slot``, one row per input row. Null
-    ids and dimension values sort as 0; fully equal rows share a shard; an empty table gives an
-    empty result; there may be fewer rows than leaves, then some shards stay empty. Columns not
+    dimension values sort as 0; an empty table gives an empty result; there may be fewer rows than leaves, then some shards stay empty. Columns not
     named are not read, so clashing names do no harm. Only node tables (``leaves`` rows) are broadcast.
     """
     keep = keep or {}
@@ -67,7 +69,7 @@ def kd_shards(
         F.col(id_col), size.cast("long").alias("size"), *[c.alias(n) for n, c in keep.items()],
         F.array(*[_ordinal(df, d) for d in dims]).alias("__at"),
         ((F.abs(text_hash % (1 << _TEXT_BITS)) * (1 << _ID_BITS))
-         + F.abs(F.xxhash64(F.col(id_col)) % (1 << _ID_BITS))).alias("__tie"),
+         + F.abs(F.xxhash64(F.col(id_col), F.monotonically_increasing_id()) % (1 << _ID_BITS))).alias("__tie"),  # settled by staging
     ), "kd-rows")
     bounds = rows.agg(
         F.sum("size").alias("bytes"),
@@ -95,7 +97,7 @@ def kd_shards(
         ).drop("dim", "low", "leaves")
         nodes = [child for n in open_nodes for child in (
             _Node(n.first, n.leaves // 2), _Node(n.first + n.leaves // 2, n.leaves - n.leaves // 2))]
-    return _slots(placed.select(id_col, "size", *keep, "shard"), id_col)
+    return _slots(placed.select(id_col, "size", *keep, "shard", "__tie"), id_col)
 
 
 def _key() -> Column:
@@ -130,8 +132,9 @@ def _choose_dimensions(placed: DataFrame, nodes: list[_Node], n_dims: int) -> No
 def _refine(keyed: DataFrame, nodes: list[_Node]) -> None:
     """One look closer: the bin of each node's key range in which its median lies."""
     step = max(1, min(10, (HISTOGRAM_ROWS // len(nodes)).bit_length() - 1))
+    shifts = {n.first: max(n.bits - step, _ID_BITS if n.bits > _ID_BITS else 0) for n in nodes}  # one round ends at whole groups
     ranges = _rows(keyed, [
-        {"shard": n.first, "__low": n.low, "__high": n.low + (1 << n.bits), "__shift": max(0, n.bits - step)}
+        {"shard": n.first, "__low": n.low, "__high": n.low + (1 << n.bits), "__shift": shifts[n.first]}
         for n in nodes], "shard int, __low long, __high long, __shift int")
     histogram = (
         keyed.join(F.broadcast(ranges), "shard")
@@ -142,11 +145,12 @@ def _refine(keyed: DataFrame, nodes: list[_Node]) -> None:
     for shard, b, weight in histogram:
         bins.setdefault(shard, []).append((b, weight))
     for n in nodes:
-        shift = max(0, n.bits - step)
+        shift = shifts[n.first]
+        whole = GROUP_SHARE * n.weight / n.leaves if shift == _ID_BITS else 0  # the bin is one group
         for b, weight in sorted(bins[n.first]):
             if weight >= n.rest:
                 n.low, n.bits = n.low + (b << shift), shift
-                if shift == 0 or weight <= TOLERANCE * n.weight:
+                if shift == 0 or weight <= max(TOLERANCE * n.weight, whole):
                     n.settled = True
                     n.low += (1 << shift) * (n.rest > weight / 2)  # the nearer edge of the bin
                 break
@@ -157,12 +161,12 @@ def _refine(keyed: DataFrame, nodes: list[_Node]) -> None:
 
 def _slots(placed: DataFrame, id_col: str) -> DataFrame:
     """Gapless slots: numbered in hashed windows of a shard, then moved up by the rows of the windows before."""
-    others = [c for c in placed.columns if c not in ("shard",)]
-    rows = placed.withColumn("__window", F.pmod(F.xxhash64(*others), F.lit(SLOT_WINDOWS)).cast("int"))
+    others = [c for c in placed.columns if c not in ("shard", "__tie")]
+    rows = placed.withColumn("__window", F.pmod(F.xxhash64("__tie"), F.lit(SLOT_WINDOWS)).cast("int"))
     before = Window.partitionBy("shard").orderBy("__window").rowsBetween(Window.unboundedPreceding, -1)
     starts = rows.groupBy("shard", "__window").agg(F.count("*").alias("__n")).select(
         "shard", "__window", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
-    within = Window.partitionBy("shard", "__window").orderBy(id_col)
+    within = Window.partitionBy("shard", "__window").orderBy(id_col, "__tie")
     return (
         rows.withColumn("slot", F.row_number().over(within).cast("long") - 1)
         .join(starts, ["shard", "__window"])
@@ -173,7 +177,7 @@ def document_shards(docs: DataFrame, leaves: int = 16, dims: tuple[str, ...] = (
     """Shards of documents by UTF-8 bytes of the text plus one (a null text has none), over their metadata.
 
     The default dimensions are the ones that equal texts share: a group of copies stays in one
-    shard unless a cut for equal bytes falls inside it.
+    shard unless it is larger than ``GROUP_SHARE`` of one and a cut for equal bytes falls inside it.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", "text", *[d for d in dims if d not in ("doc_id", "text")])

@@ -335,7 +335,7 @@ def test_line_dedup_equals_brute_force(spark, docs, empty):
             at = r.randrange(len(line))
             line[at:at + r.randint(0, 1)] = r.choice(["", "x", "yz"])
         lines.append("".join(line))
-    lines += ["a" * 31, "a" * 31, "a" * 32, "a" * 33, "a" * 34, "a" * 35]
+    lines += ["a" * n for n in (1, 1, 2, 5, 6, 7, 11, 12, 13, 31, 31, 32, 33, 34, 35)]
     r.shuffle(lines)
     texts = ["\n".join(lines[i:i + 4]) for i in range(0, len(lines), 4)]
     rows = [(i, t) for i, t in enumerate(texts)] + [(900, ""), (901, None), (902, texts[0])]
@@ -344,12 +344,12 @@ def test_line_dedup_equals_brute_force(spark, docs, empty):
     for i, t in rows:
         want[i] = []
         for no, line in enumerate((t or "").split("\n")):
-            if len(line) >= 32:
-                if any(abs(len(s) - len(line)) <= 2 and distance(s, line) <= 2 for s in seen):
+            if line:
+                if any(distance(s, line) <= min(2, min(len(s), len(line)) // 6) for s in seen):
                     want[i].append(no)
                 seen.append(line)
     assert {i: x.removed_lines for i, x in got.items()} == want
-    assert got[901].n_lines == 1 and got[902].n_removed == len([x for x in texts[0].split("\n") if len(x) >= 32])
+    assert got[901].n_lines == 1 and got[902].n_removed == len([x for x in texts[0].split("\n") if x])
     kept = without_repeated_lines(docs)
     assert kept.columns == docs.columns and line_report(docs).count() == docs.count()
     by_id = {x.doc_id: x for x in kept.collect()}
@@ -378,8 +378,8 @@ def test_registered_line_dedup_finds_short_lines(spark, tmp_path):
     for i, t in rows:
         want[i] = []
         for no, line in enumerate(t.split("\n")):
-            if any(c.isalnum() or c == "😀" for c in line) or len(line) >= 32:
-                if line in seen or any(min(len(s), len(line)) >= 12 and distance(s, line) <= 2 for s in seen):
+            if any(c.isalnum() or c == "😀" for c in line):
+                if any(distance(s, line) <= min(2, min(len(s), len(line)) // 6) for s in seen):
                     want[i].append(no)
                 seen.append(line)
     assert got == want and sum(map(len, want.values())) > 40

@@ -49,7 +49,8 @@ def test_stages_on_empty_documents(spark):
         assert out.count() == 0, name
 
 
-def _within_two(a, b):
+def _in_reach(a, b):
+    reach = min(2, min(len(a), len(b)) // 6)
     if abs(len(a) - len(b)) > 2 or sum(((Counter(a) - Counter(b)) | (Counter(b) - Counter(a))).values()) > 4:
         return False
     before = list(range(len(b) + 1))
@@ -58,12 +59,12 @@ def _within_two(a, b):
         for j, y in enumerate(b, 1):
             now.append(min(before[j] + 1, now[-1] + 1, before[j - 1] + (x != y)))
         before = now
-    return before[-1] <= 2
+    return before[-1] <= reach
 
 
 def test_line_stage_equals_plain_python(spark):
-    """Expected rows without the library: a line goes after an equal one, or after one within two edits if both
-    have 12 characters; a document goes if it lost lines and none with content is left."""
+    """Expected rows without the library: a line goes after an equal one, or after one within two edits, one at most
+    for every six characters of the shorter; a document goes if it lost lines and none with content is left."""
     import corpus_pipeline
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     top = max(r.doc_id for r in docs.select("doc_id").collect())
@@ -76,10 +77,10 @@ def test_line_stage_equals_plain_python(spark):
     for r in sorted(docs.collect(), key=lambda r: r.doc_id):
         lines, kept = (r.text or "").split("\n"), []
         for line in lines:
-            if len(line) < 32 and not content(line):
+            if not content(line):
                 kept.append(line)
                 continue
-            near = len(line) >= 12 and any(_within_two(s, line) for n in range(max(12, len(line) - 2), len(line) + 3) for s in by_length.get(n, ()))
+            near = any(_in_reach(s, line) for n in range(max(6, len(line) - 2), len(line) + 3) for s in by_length.get(n, ()))
             if line not in seen and not near:
                 kept.append(line)
             if line not in seen:

@@ -1,12 +1,17 @@
 """Line de-duplication within an edit distance, from DataFrame operations alone.
 
-A line goes if an earlier line (smaller document id, then line number) of the table lies within
-``MAX_EDITS`` edits; equal lines are the case of none. Equal lines of any length with content are found by
-their hashes alone, near ones from ``NEAR_CHARS`` on. Two lines within ``t`` edits share, cut into
+A line goes if an earlier line (smaller document id, then line number) of the table lies within reach:
+at most ``MAX_EDITS`` edits, and at most one for every ``CHARS_PER_EDIT`` characters of the shorter of the two. Equal
+lines are the case of none, and found by their hashes alone. That one rule holds for lines of every
+length; lines without content (``CONTENT``) stay. Two lines within ``t`` edits share, cut into
 ``t + 1`` segments, at least one segment whole, near its own place: every different line is indexed by
 its segments and length, and probes the index with the substrings that can match, for its own and each
 shorter length in reach. What shares a segment is first held against a bound from letter counts, inside
 the join, then verified by a bit-parallel edit distance that follows a band around the diagonal.
+
+A segment that more than ``HOT_KEY`` different lines have (a template with numbers in it) is no key by itself: both sides
+are split on by a segment of the line's digits, for these too lie within the edits of the whole, and so are held
+against each other inside the join.
 """
 
 from __future__ import annotations
@@ -19,11 +24,10 @@ from pyspark.sql import functions as F
 from .common import stage, text_or_empty
 
 MAX_EDITS = 2
-#: The bound of ``line_report`` unless its caller names others. From here on lines need no content to be compared.
-MIN_CHARS = 32
-#: Whole bounds: lines of so many characters are held against near lines (two edits are at most a sixth of one),
-#: and so many against equal ones.
-NEAR_CHARS, EQUAL_CHARS = 12, 1
+#: Characters of the shorter line for each edit within reach: two edits are at most a sixth of a line.
+CHARS_PER_EDIT = 6
+#: Different lines of one segment beyond which it is split by digits as well. Decides the way, never the result.
+HOT_KEY = 128
 #: What a line with content has: a letter, a digit or a pictograph. Blank lines, rules and lone brackets have none.
 CONTENT = r"[\p{L}\p{N}\p{So}]"
 #: Letters whose counts bound the distance: an edit changes at most two counts by one.
@@ -34,39 +38,63 @@ COUNT_BITS = 5
 PIECE_CHARS = 6
 
 
-def _lines(docs: DataFrame, least: int) -> DataFrame:
-    """Every line of at least ``least`` characters with its place and a 128-bit identity; lines under MIN_CHARS need content."""
+def _lines(docs: DataFrame) -> DataFrame:
+    """Every line with content, with its place and a 128-bit identity."""
     text = text_or_empty("text")
-    return docs.select("doc_id", F.xxhash64(text).alias("th"), F.posexplode(F.split(text, "\n", -1)).alias("no", "line")).withColumn(
-        "n", F.char_length("line")).filter(
-        (F.col("n") >= least) & ((F.col("n") >= MIN_CHARS) | F.col("line").rlike(CONTENT))).withColumn(
+    return docs.select("doc_id", F.xxhash64(text).alias("th"), F.posexplode(F.split(text, "\n", -1)).alias("no", "line")).filter(
+        F.col("line").rlike(CONTENT)).withColumn("n", F.char_length("line")).withColumn(
         "h1", F.xxhash64("line")).withColumn("h2", F.xxhash64(F.lit("line"), F.col("line")))
 
 
-def _probes(max_edits: int) -> list[tuple[int, int, int]]:
-    """(how much shorter, segment, shift): all places where a segment of a line in reach can lie."""
+def _reach(n: Column, max_edits: int) -> Column:
+    """Edits within reach of a line of ``n`` characters."""
+    return F.least(F.lit(max_edits), F.floor(n / CHARS_PER_EDIT).cast("int"))
+
+
+def _probes(max_edits: int, least: int = 0) -> list[tuple[int, int, int]]:
+    """(how much shorter, segment, shift): all places where a segment of a text in reach can lie."""
     return [
-        (less, j, shift) for less in range(max_edits + 1) for j in range(max_edits + 1)
+        (less, j, shift) for less in range(least, max_edits + 1) for j in range(max_edits + 1)
         for shift in range(max(-j, less - (max_edits - j)), min(j, less + max_edits - j) + 1)]
 
 
-def _segment(n: Column, j: int, parts: int) -> tuple[Column, Column]:
-    """Start and length of segment ``j`` of a line of ``n`` characters: the longer segments come last."""
+def _segment(n: Column, j: int, parts: Column) -> tuple[Column, Column]:
+    """Start and length of segment ``j`` of a text of ``n`` characters: the longer segments come last."""
     short = F.floor(n / parts).cast("int")
     longer = n - short * parts
-    return j * short + F.greatest(F.lit(0), F.lit(j - parts) + longer), short + F.when(F.lit(j) >= parts - longer, 1).otherwise(0)
+    return j * short + F.greatest(F.lit(0), F.lit(j) - parts + longer), short + F.when(F.lit(j) >= parts - longer, 1).otherwise(0)
 
 
 def _keys(max_edits: int) -> Column:
-    """The hash of each probe's substring, with the length and segment it stands for."""
+    """The hash of each probe's substring, with the length and segment it stands for; null where the length has no such probe."""
     keys = []
     for less, j, shift in _probes(max_edits):
         n = F.col("n") - less
-        start, size = _segment(n, j, max_edits + 1)
-        keys.append(F.xxhash64(F.substring(F.col("line"), start + (shift + 1), size), n, F.lit(j)))
+        reach = _reach(n, max_edits)
+        start, size = _segment(n, j, reach + 1)
+        keys.append(F.when((reach >= 1) & (reach >= max(j, less)), F.xxhash64(
+            F.substring(F.col("line"), start + (shift + 1), size), n, F.lit(j))))
     return F.array(*keys)
 
 
+def _digits() -> Column:
+    """The digits of the line, in order: an edit of the line is at most one of them."""
+    return F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", "[^0-9]+", "")).otherwise(F.lit(""))
+
+
+def _digit_keys(digits: str, max_edits: int, probing: bool) -> Column:
+    """Hashes of the digits' own segments, or of all substrings that can equal one, each with the number of digits it stands for."""
+    t = max_edits
+    probes = _probes(t, -t) if probing else [(0, j, 0) for j in range(t + 1)]
+    keys = []
+    for less, j, shift in probes:
+        n = F.char_length(digits) - less
+        start, size = _segment(n, j, F.lit(t + 1))
+        part = F.substring(F.col(digits), F.greatest(start + (shift + 1), F.lit(1)), size)
+        keys.append(F.when(n >= 0, F.xxhash64("key", part, n, F.when(size > 0, j).otherwise(-1))))
+    return F.explode(F.array_distinct(F.array(*keys)))
+
+
 def _letter_counts() -> Column:
     """Counts of letters modulo 32, twelve in one number."""
     count = lambda c: (F.octet_length("line") - F.octet_length(F.replace("line", F.lit(c), F.lit("")))).cast("long")
@@ -134,37 +162,51 @@ def _pieces_agree(a: Column, b: Column, max_edits: int) -> Column:
     return F.size(spoiled) <= max_edits
 
 
-def repeated_lines(
-        docs: DataFrame, max_edits: int = MAX_EDITS, near_chars: int = NEAR_CHARS, equal_chars: int = EQUAL_CHARS) -> DataFrame:
+def different_lines(lines: DataFrame, max_edits: int) -> DataFrame:
+    """Each different line once: its first place, length, letter counts, digits and keys."""
+    place = F.struct("doc_id", "no", "th")
+    kept = ("n", "counts", "digits", "keys")
+    return lines.select(
+        "h1", "h2", place.alias("place"), "n", _letter_counts().alias("counts"), _digits().alias("digits"),
+        _keys(max_edits).alias("keys")).groupBy("h1", "h2").agg(F.min("place").alias("first"), *[
+            F.first(c).alias(c) for c in kept]).withColumn("line_id", F.monotonically_increasing_id())
+
+
+def candidate_pairs(different: DataFrame, max_edits: int) -> DataFrame:
+    """``a`` (never the longer) and ``b``, each pair once: all lines within reach of each other, and few others."""
+    probes = _probes(max_edits)
+    own = [k for k, (less, _, shift) in enumerate(probes) if less == 0 and shift == 0]
+    index = different.select(
+        F.col("line_id").alias("a"), F.col("counts").alias("counts_a"), _reach(F.col("n"), max_edits).alias("reach"),
+        F.col("digits").alias("digits_a"), F.explode(F.array(*[F.col("keys")[k] for k in own])).alias("key")).filter("key IS NOT NULL")
+    asked = different.select(
+        F.col("line_id").alias("b"), F.col("counts").alias("counts_b"), F.col("digits").alias("digits_b"),
+        F.posexplode("keys").alias("probe", "key")).filter("key IS NOT NULL")
+    same_length = F.col("probe") < sum(less == 0 for less, _, _ in probes)
+    apart = (F.col("a") != F.col("b")) & (~same_length | (F.col("a") < F.col("b"))) & (
+        _count_distance("counts_a", "counts_b") <= 2 * F.col("reach"))
+    hot = stage(index.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter(F.col("members") > HOT_KEY).select("key"), "hot-keys")
+    # a hash join: neither the many probes nor the index need sorting, and no key has more than HOT_KEY lines in it
+    rest = index.join(hot, "key", "left_anti").drop("digits_a")
+    probing = asked.drop("digits_b")
+    near = rest.hint("shuffle_hash").join(probing, (rest["key"] == probing["key"]) & apart).select("a", "b")
+    split = index.join(hot, "key", "left_semi").withColumn("part", _digit_keys("digits_a", max_edits, False)).drop("key")
+    probing = asked.join(hot, "key", "left_semi").withColumn("part", _digit_keys("digits_b", max_edits, True)).drop("key")
+    among_hot = split.hint("merge").join(probing, (split["part"] == probing["part"]) & apart & (
+        F.levenshtein("digits_a", "digits_b", max_edits) >= 0)).select("a", "b")
+    return near.union(among_hot).distinct()
+
+
+def repeated_lines(docs: DataFrame, max_edits: int = MAX_EDITS) -> DataFrame:
     """``doc_id``, ``th`` (the text's hash) and ``no``, the numbers (from 0, ascending) of the lines to drop.
 
-    Equal lines are found from ``equal_chars`` characters on, near lines if both have ``near_chars``. Only
-    texts with a line to drop have a row. Null texts have no lines. Rows that repeat a document id and text are judged
+    Only texts with a line to drop have a row. Null texts have no lines. Rows that repeat a document id and text are judged
     alike: none is earlier than the other. Null ids come first.
     """
-    if near_chars <= max_edits:
-        raise ValueError(f"near lines need more than {max_edits} characters: a segment of each must be left whole")
-    lines = _lines(docs, min(near_chars, equal_chars))
-    place = F.struct("doc_id", "no", "th")
+    lines = _lines(docs)
     places = stage(lines.select("doc_id", "no", "th", "h1", "h2"), "lines")
-    different = stage(
-        lines.select("h1", "h2", place.alias("place"), "n", _letter_counts().alias("counts"), _keys(max_edits).alias("keys"))
-        .groupBy("h1", "h2").agg(F.min("place").alias("first"), *[F.first(c).alias(c) for c in ("n", "counts", "keys")])
-        .withColumn("line_id", F.monotonically_increasing_id()), "different-lines")
-    probes = _probes(max_edits)
-    own = [k for k, (less, _, shift) in enumerate(probes) if less == 0 and shift == 0]
-    compared = different.filter(F.col("n") >= near_chars)
-    index = compared.select(
-        F.col("line_id").alias("a"), F.col("counts").alias("counts_a"),
-        F.explode(F.array(*[F.col("keys")[k] for k in own])).alias("key"))
-    asked = compared.select(
-        F.col("line_id").alias("b"), F.col("counts").alias("counts_b"),
-        F.posexplode("keys").alias("probe", "key"))
-    same_length = F.col("probe") < sum(less == 0 for less, _, _ in probes)
-    # a hash join: neither the many probes nor the index need sorting; adaptive execution splits a skewed key's probes
-    near = index.hint("shuffle_hash").join(asked, (index["key"] == asked["key"]) & (F.col("a") != F.col("b")) & (
-        ~same_length | (F.col("a") < F.col("b"))) & (_count_distance("counts_a", "counts_b") <= 2 * max_edits))
-    pairs = stage(near.select("a", "b").distinct(), "line-pairs")
+    different = stage(different_lines(lines, max_edits), "different-lines")
+    pairs = stage(candidate_pairs(different, max_edits), "line-pairs")
 
     wanted = pairs.select(F.col("a").alias("line_id")).union(pairs.select("b")).distinct()
     located = different.join(wanted, "line_id").select("line_id", "first")
@@ -176,13 +218,14 @@ def repeated_lines(
     verified = pairs.join(a, pairs["a"] == a["line_id_a"]).join(b, pairs["b"] == b["line_id_b"])
     longer, shorter = F.col("line_b"), F.col("line_a")  # a line probes for its own and shorter lengths
     later = F.when(F.col("first_a") > F.col("first_b"), F.col("a")).otherwise(F.col("b"))
-    agreeing = stage(verified.filter(_pieces_agree(longer, shorter, max_edits)).select(
-        "a", "b", "first_a", "first_b", F.split(longer, "").alias("chars_b"), F.split(shorter, "").alias("chars_a")), "agreeing-lines")
+    kept = ("a", "b", "first_a", "first_b", "reach")
+    agreeing = stage(verified.filter(_pieces_agree(longer, shorter, max_edits)).withColumn(
+        "reach", _reach(F.char_length(shorter), max_edits)).select(*kept, F.split(longer, "").alias("chars_b"), F.split(shorter, "").alias("chars_a")), "agreeing-lines")
     for _ in range(2):  # what both lines begin with, and what they end with, needs no table
         b_rest, a_rest = _beyond_common_start(F.col("chars_b"), F.col("chars_a"), max_edits)
-        agreeing = stage(agreeing.select("a", "b", "first_a", "first_b", *[
+        agreeing = stage(agreeing.select(*kept, *[
             F.reverse(c).alias(n) for c, n in ((b_rest, "chars_b"), (a_rest, "chars_a"))]), "verified-lines")
-    close = agreeing.filter(edit_distance(F.col("chars_b"), F.col("chars_a"), max_edits) <= max_edits).select(
+    close = agreeing.filter(edit_distance(F.col("chars_b"), F.col("chars_a"), max_edits) <= F.col("reach")).select(
         later.alias("line_id")).distinct().withColumn("close", F.lit(True))
     judged = different.join(close, "line_id", "left").select("h1", "h2", "first", F.coalesce("close", F.lit(False)).alias("close"))
     return places.join(judged, ["h1", "h2"]).filter(
@@ -190,28 +233,30 @@ def repeated_lines(
         F.array_sort(F.collect_set("no")).alias("no"))
 
 
-def line_report(docs: DataFrame, near_chars: int = MIN_CHARS, equal_chars: int = MIN_CHARS) -> DataFrame:
+def line_report(docs: DataFrame, max_edits: int = MAX_EDITS) -> DataFrame:
     """``doc_id``, ``n_lines``, ``n_removed`` and ``removed_lines`` of every row; a null text has one empty line."""
     text = text_or_empty("text")
     rows = docs.select("doc_id", F.xxhash64(text).alias("th"), F.size(F.split(text, "\n", -1)).alias("n_lines"))
-    removed = repeated_lines(docs, near_chars=near_chars, equal_chars=equal_chars).withColumnRenamed("doc_id", "__doc_id").withColumnRenamed("th", "__th")
+    removed = repeated_lines(docs, max_edits).select(F.col("doc_id").alias("__doc_id"), F.col("th").alias("__th"), "no")
     none = F.array().cast("array<int>")
     return rows.join(removed, rows["doc_id"].eqNullSafe(F.col("__doc_id")) & (rows["th"] == F.col("__th")), "left").select(
         "doc_id", "n_lines", F.coalesce(F.size("no"), F.lit(0)).alias("n_removed"), F.coalesce("no", none).alias("removed_lines"))
 
 
-def without_repeated_lines(docs: DataFrame) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, max_edits: int = MAX_EDITS) -> DataFrame:
     """The documents without the lines to drop; ``n_chars`` follows the text. A document goes if it lost lines and
-    none with content is left, of whatever length; one without a line to drop stays as it is."""
-    text = text_or_empty("text")
-    removed = repeated_lines(docs).select(F.col("doc_id").alias("__doc_id"), F.col("th").alias("__th"), F.col("no").alias("__no"))
-    rows = docs.withColumn("__key", F.xxhash64(text))
-    joined = rows.join(removed, rows["doc_id"].eqNullSafe(F.col("__doc_id")) & (F.col("__key") == F.col("__th")), "left")
-    lines = F.split("text", "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__no"))
-    new = F.when(F.col("__no").isNull(), F.col("text")).otherwise(
+    none with content is left, of whatever length; one without a line to drop stays as it is.
+
+    All columns pass through, whatever their names: the input row travels as one struct."""
+    removed = repeated_lines(docs, max_edits).select(F.col("doc_id").alias("of"), F.col("th").alias("removed_th"), "no")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.xxhash64(text_or_empty("text")).alias("th"))
+    joined = rows.join(removed, F.col("row.doc_id").eqNullSafe(F.col("of")) & (F.col("th") == F.col("removed_th")), "left")
+    lines = F.split("row.text", "\n", -1)
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("no"))
+    new = F.when(F.col("no").isNull(), F.col("row.text")).otherwise(
         F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
-    out = joined.withColumn("__new", new).filter(F.col("__no").isNull() | F.col("__new").rlike(CONTENT))
-    values = {"text": F.col("__new"), "n_chars": F.char_length("__new").cast(docs.schema["n_chars"].dataType)} if (
-        "n_chars" in docs.columns) else {"text": F.col("__new")}
-    return out.select(*[values.get(c, F.col(c)).alias(c) for c in docs.columns])
+    out = joined.withColumn("new", new).filter(F.col("no").isNull() | F.col("new").rlike(CONTENT))
+    values = {"text": F.col("new")}
+    if "n_chars" in docs.columns:
+        values["n_chars"] = F.char_length("new").cast(docs.schema["n_chars"].dataType)
+    return out.select(*[values.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])

@@ -48,7 +48,7 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 def _reach(n: Column, max_edits: int) -> Column:
     """Edits within reach of a line of ``n`` characters."""
-    return F.least(F.lit(max_edits), F.floor(n / CHARS_PER_EDIT).cast("int"))
+    return F.greatest(F.lit(0), F.least(F.lit(max_edits), F.floor(n / CHARS_PER_EDIT).cast("int")))
 
 
 def _probes(max_edits: int, least: int = 0) -> list[tuple[int, int, int]]:
@@ -66,17 +66,21 @@ def _segment(n: Column, j: int, parts: Column) -> tuple[Column, Column]:
 
 
 def _keys(max_edits: int) -> Column:
-    """The hash of each probe's substring, with the length and segment it stands for; null where the length has no such probe."""
+    """The hash of each probe's substring, with the length and segment it stands for. Lengths without such a probe are left
+    out when the array is exploded: a condition here would keep the places from being worked out once for all probes."""
     keys = []
     for less, j, shift in _probes(max_edits):
         n = F.col("n") - less
-        reach = _reach(n, max_edits)
-        start, size = _segment(n, j, reach + 1)
-        keys.append(F.when((reach >= 1) & (reach >= max(j, less)), F.xxhash64(
-            F.substring(F.col("line"), start + (shift + 1), size), n, F.lit(j))))
+        start, size = _segment(n, j, _reach(n, max_edits) + 1)
+        keys.append(F.xxhash64(F.substring(F.col("line"), start + (shift + 1), size), n, F.lit(j)))
     return F.array(*keys)
 
 
+def _least_chars(max_edits: int) -> Column:
+    """For each probe the least characters of a line that has it: so many edits are within reach of the line it asks for."""
+    return F.array(*[F.lit(less + CHARS_PER_EDIT * max(j, less, 1)) for less, j, _ in _probes(max_edits)])
+
+
 def _digits() -> Column:
     """The digits of the line, in order: an edit of the line is at most one of them."""
     return F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", "[^0-9]+", "")).otherwise(F.lit(""))
@@ -175,13 +179,15 @@ def different_lines(lines: DataFrame, max_edits: int) -> DataFrame:
 def candidate_pairs(different: DataFrame, max_edits: int) -> DataFrame:
     """``a`` (never the longer) and ``b``, each pair once: all lines within reach of each other, and few others."""
     probes = _probes(max_edits)
-    own = [k for k, (less, _, shift) in enumerate(probes) if less == 0 and shift == 0]
+    own = F.array(*[F.lit(less == 0 and shift == 0) for less, _, shift in probes])
+    has_probe = F.col("n") >= F.get(_least_chars(max_edits), F.col("probe"))
     index = different.select(
         F.col("line_id").alias("a"), F.col("counts").alias("counts_a"), _reach(F.col("n"), max_edits).alias("reach"),
-        F.col("digits").alias("digits_a"), F.explode(F.array(*[F.col("keys")[k] for k in own])).alias("key")).filter("key IS NOT NULL")
+        F.col("digits").alias("digits_a"), "n", F.posexplode("keys").alias("probe", "key")).filter(
+        F.get(own, F.col("probe")) & has_probe).drop("n", "probe")
     asked = different.select(
         F.col("line_id").alias("b"), F.col("counts").alias("counts_b"), F.col("digits").alias("digits_b"),
-        F.posexplode("keys").alias("probe", "key")).filter("key IS NOT NULL")
+        "n", F.posexplode("keys").alias("probe", "key")).filter(has_probe).drop("n")
     same_length = F.col("probe") < sum(less == 0 for less, _, _ in probes)
     apart = (F.col("a") != F.col("b")) & (~same_length | (F.col("a") < F.col("b"))) & (
         _count_distance("counts_a", "counts_b") <= 2 * F.col("reach"))

@@ -27,6 +27,23 @@ def test_recode_semantics(spark, strategy):
 
 
 
+@pytest.mark.parametrize("strategy", ["join", "year"])
+def test_crosswalk_is_worked_out_once(spark, strategy):
+    """A crosswalk may be a query over all data: its rows are made once, whatever recode asks of it."""
+    rows = [(y, v, c, None, f"{y}{v}{c}", None, False) for y in (2014, 2015) for v in ("sex", "race") for c in ("1", "2", None)]
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(row):
+        made.add(1)
+        return row
+
+    table = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2).map(counted), CW)
+    data = spark.createDataFrame([(2014, "1", None), (2015, "2", "3")], "file_year int, sex string, race string")
+    got = sorted(tuple(r) for r in recode.recode(data, table, strategy=strategy).collect())
+    assert got == [(2014, "2014sex1", "2014raceNone"), (2015, "2015sex2", "3")]
+    assert made.value == len(rows)
+
+
 def test_recode_groups_years_with_equal_codes(spark):
     """Years with the same code mapping share one literal map; results match the join path."""
     years = list(range(2005, 2020))

@@ -16,6 +16,7 @@ holds every variable's codes, joined once whatever the number of variables. All
 from __future__ import annotations
 
 import logging
+import uuid
 from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 from yearweave.operators._common import check_strategy, whole_number_text
 from yearweave.operators.crosswalk import validate_recode_crosswalk
+from yearweave.session import ensure_checkpoint_dir
 
 log = logging.getLogger("yearweave")
 
@@ -31,6 +33,18 @@ log = logging.getLogger("yearweave")
 _SALT_PREFIX = "\u0000"
 
 
+def codes_once(cw: DataFrame) -> DataFrame:
+    """The crosswalk's different codes as text, written to the session's shared folder and read back.
+
+    A crosswalk may be a query over all data; what recode asks of it (ambiguity, variables, size, codes) are several jobs,
+    which read these rows instead of working it out again. Equal rows are combined by hash before the shuffle.
+    """
+    codes = cw.select(*[F.col(c).cast("string").alias(c) for c in ("file_year", "variable", "from_code", "to_code")]).distinct()
+    path = f"{ensure_checkpoint_dir(cw.sparkSession)}/recode-codes-{uuid.uuid4().hex}"
+    codes.write.parquet(path)
+    return cw.sparkSession.read.schema(codes.schema).parquet(path)
+
+
 def prepared_crosswalk(cw: DataFrame) -> DataFrame:
     """One row per (file_year, variable, from_code), all text; where codes are ambiguous, the least ``to_code``."""
     text = cw.select(
@@ -142,9 +156,12 @@ def recode(
     """Recode every crosswalk variable present in ``df`` for all years in one pass.
 
     Recoded variables become text, whatever they were. ``validate=False`` takes the least of
-    several targets of a code instead of raising. ``strategy`` is how, never what: see the module.
+    several targets of a code instead of raising. ``strategy`` is how, never what: see the module. ``"join"`` and
+    ``"year"`` keep the crosswalk's codes in the folder that ``spark.checkpoint.dir`` names.
     """
     check_strategy(strategy, ("map", "join", "year"))
+    if strategy != "map":
+        cw = codes_once(cw)
     if validate:
         validate_recode_crosswalk(cw)
     prepared = prepared_crosswalk(cw)

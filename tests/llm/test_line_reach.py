@@ -64,3 +64,28 @@ def test_column_names_may_clash(spark):
     assert out.columns == docs.columns
     got = sorted(map(tuple, out.collect()))
     assert got == [(0, rows[0][1], "mine", 0, 0, "th", 7), (1, "other", "mine", 1, 1, "th", 7), (2, None, "mine", 2, 2, "th", 7)]
+
+
+def test_texts_of_few_lines_are_found_without_moving_all(spark):
+    """Of the lines that no near pair needs, next to none goes on to the shuffle that finds the texts."""
+    rows = [(None if i == 7 else i, "\n".join(f"line {k} of document {i}" for k in range(10))) for i in range(2000)]
+    docs = spark.createDataFrame([*rows, (2000, None)], "doc_id long, text string")
+    lines = line_dedup._split_lines(docs)
+    wanted = line_dedup.stage(lines.filter("coalesce(doc_id, 7) % 50 = 7 and no % 4 = 1").selectExpr(
+        "monotonically_increasing_id() as line_id", "struct(doc_id, no, th) as first"), "wanted-lines")
+    likely = {(r.doc_id, r.no): r.line for r in line_dedup.likely_lines(docs, wanted).collect()}
+    places = {(r["first"].doc_id, r["first"].no) for r in wanted.collect()}
+    assert len(places) == 120 and places <= likely.keys() and (None, 1) in places
+    assert all(line == f"line {no} of document {7 if doc is None else doc}" for (doc, no), line in likely.items())
+    assert len(likely) <= len(places) + 0.05 * len(rows) * 10
+    assert line_dedup.likely_lines(docs, wanted.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("most", [1, 2])
+def test_a_full_filter_loses_no_line(spark, monkeypatch, most):
+    r = random.Random(5)
+    rows = [(i, "\n".join(templated(r, 4) + [f"Item {r.randrange(300)} of the list"])) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(tuple, line_dedup.line_report(docs).collect()))
+    monkeypatch.setattr(line_dedup, "MAX_WORDS", most)
+    assert sorted(map(tuple, line_dedup.line_report(docs).collect())) == want and sum(x[2] for x in want) > 100

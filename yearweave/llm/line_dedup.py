@@ -36,13 +36,20 @@ COUNTED = "eatnrioshldc"
 COUNT_BITS = 5
 #: Characters of the pieces that must agree before a pair's edit distance is worked out.
 PIECE_CHARS = 6
+#: Lines for each word of the filter that finds lines by their places, and the most words it has, since it is broadcast.
+#: A fuller filter lets more other lines pass. Decides the way, never the result.
+LINES_PER_WORD, MAX_WORDS = 4, 1 << 19
+
+
+def _split_lines(docs: DataFrame) -> DataFrame:
+    """Every line with its place."""
+    text = text_or_empty("text")
+    return docs.select("doc_id", F.xxhash64(text).alias("th"), F.posexplode(F.split(text, "\n", -1)).alias("no", "line"))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
     """Every line with content, with its place and a 128-bit identity."""
-    text = text_or_empty("text")
-    return docs.select("doc_id", F.xxhash64(text).alias("th"), F.posexplode(F.split(text, "\n", -1)).alias("no", "line")).filter(
-        F.col("line").rlike(CONTENT)).withColumn("n", F.char_length("line")).withColumn(
+    return _split_lines(docs).filter(F.col("line").rlike(CONTENT)).withColumn("n", F.char_length("line")).withColumn(
         "h1", F.xxhash64("line")).withColumn("h2", F.xxhash64(F.lit("line"), F.col("line")))
 
 
@@ -167,12 +174,12 @@ def _pieces_agree(a: Column, b: Column, max_edits: int) -> Column:
 
 
 def different_lines(lines: DataFrame, max_edits: int) -> DataFrame:
-    """Each different line once: its first place, length, letter counts, digits and keys."""
+    """Each different line once: its first place, copies, length, letter counts, digits and keys."""
     place = F.struct("doc_id", "no", "th")
     kept = ("n", "counts", "digits", "keys")
     return lines.select(
         "h1", "h2", place.alias("place"), "n", _letter_counts().alias("counts"), _digits().alias("digits"),
-        _keys(max_edits).alias("keys")).groupBy("h1", "h2").agg(F.min("place").alias("first"), *[
+        _keys(max_edits).alias("keys")).groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("copies"), *[
             F.first(c).alias(c) for c in kept]).withColumn("line_id", F.monotonically_increasing_id())
 
 
@@ -187,14 +194,15 @@ def candidate_pairs(different: DataFrame, max_edits: int) -> DataFrame:
         F.get(own, F.col("probe")) & has_probe).drop("n", "probe")
     asked = different.select(
         F.col("line_id").alias("b"), F.col("counts").alias("counts_b"), F.col("digits").alias("digits_b"),
-        "n", F.posexplode("keys").alias("probe", "key")).filter(has_probe).drop("n")
-    same_length = F.col("probe") < sum(less == 0 for less, _, _ in probes)
-    apart = (F.col("a") != F.col("b")) & (~same_length | (F.col("a") < F.col("b"))) & (
+        "n", F.posexplode("keys").alias("probe", "key")).filter(has_probe).withColumn(
+        "same_length", F.col("probe") < sum(less == 0 for less, _, _ in probes)).drop("n", "probe")
+    apart = (F.col("a") != F.col("b")) & (~F.col("same_length") | (F.col("a") < F.col("b"))) & (
         _count_distance("counts_a", "counts_b") <= 2 * F.col("reach"))
     hot = stage(index.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter(F.col("members") > HOT_KEY).select("key"), "hot-keys")
     # a hash join: neither the many probes nor the index need sorting, and no key has more than HOT_KEY lines in it
-    rest = index.join(hot, "key", "left_anti").drop("digits_a")
-    probing = asked.drop("digits_b")
+    # what is alike in many rows stands first and ids last: the shuffled blocks are packed better
+    rest = index.join(hot, "key", "left_anti").select("reach", "key", "counts_a", "a")
+    probing = asked.select("same_length", "key", "counts_b", "b")
     near = rest.hint("shuffle_hash").join(probing, (rest["key"] == probing["key"]) & apart).select("a", "b")
     split = index.join(hot, "key", "left_semi").withColumn("part", _digit_keys("digits_a", max_edits, False)).drop("key")
     probing = asked.join(hot, "key", "left_semi").withColumn("part", _digit_keys("digits_b", max_edits, True)).drop("key")
@@ -203,6 +211,26 @@ def candidate_pairs(different: DataFrame, max_edits: int) -> DataFrame:
     return near.union(among_hot).distinct()
 
 
+def _word_and_bits(words: int, *place: str) -> tuple[Column, Column]:
+    """Where a place lies in a filter of so many words of 64 bits: its word, and three bits of that."""
+    h = F.xxhash64(F.lit("place"), *place)
+    bit = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(h, 6 * k).bitwiseAND(F.lit(63)).cast("int"))
+    return F.pmod(F.shiftright(h, 18), F.lit(words)), bit(0).bitwiseOR(bit(1)).bitwiseOR(bit(2))
+
+
+def likely_lines(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The lines (``doc_id``, ``th``, ``no``, ``line``) at the places ``first`` of ``wanted``, and few others.
+
+    The wanted places are marked in a Bloom filter of 64-bit words, which is broadcast: of all other lines' texts next to none is shuffled."""
+    words = max(1, min(MAX_WORDS, wanted.count() // LINES_PER_WORD))
+    word, bits = _word_and_bits(words, "first.doc_id", "first.th", "first.no")
+    marked = wanted.groupBy(word.alias("word")).agg(F.bit_or(bits).alias("marked"))
+    word, bits = _word_and_bits(words, "doc_id", "th", "no")
+    asked = _split_lines(docs).select("*", word.alias("word"), bits.alias("bits"))
+    return asked.join(F.broadcast(marked), "word").filter(F.col("marked").bitwiseAND(F.col("bits")) == F.col("bits")).select(
+        "doc_id", "th", "no", "line")
+
+
 def repeated_lines(docs: DataFrame, max_edits: int = MAX_EDITS) -> DataFrame:
     """``doc_id``, ``th`` (the text's hash) and ``no``, the numbers (from 0, ascending) of the lines to drop.
 
@@ -215,9 +243,10 @@ def repeated_lines(docs: DataFrame, max_edits: int = MAX_EDITS) -> DataFrame:
     pairs = stage(candidate_pairs(different, max_edits), "line-pairs")
 
     wanted = pairs.select(F.col("a").alias("line_id")).union(pairs.select("b")).distinct()
-    located = different.join(wanted, "line_id").select("line_id", "first")
-    found = lines.join(located, lines["doc_id"].eqNullSafe(located["first.doc_id"]) & (
-        lines["th"] == located["first.th"]) & (lines["no"] == located["first.no"])).select(
+    located = stage(different.join(wanted, "line_id").select("line_id", "first"), "wanted-lines")
+    likely = likely_lines(docs, located)
+    found = likely.join(located, likely["doc_id"].eqNullSafe(located["first.doc_id"]) & (
+        likely["th"] == located["first.th"]) & (likely["no"] == located["first.no"])).select(
         "line_id", "first", "line").dropDuplicates(["line_id"])
     found = stage(found, "line-texts")
     a, b = (found.select(*[F.col(c).alias(f"{c}_{s}") for c in found.columns]) for s in "ab")
@@ -233,7 +262,8 @@ def repeated_lines(docs: DataFrame, max_edits: int = MAX_EDITS) -> DataFrame:
             F.reverse(c).alias(n) for c, n in ((b_rest, "chars_b"), (a_rest, "chars_a"))]), "verified-lines")
     close = agreeing.filter(edit_distance(F.col("chars_b"), F.col("chars_a"), max_edits) <= F.col("reach")).select(
         later.alias("line_id")).distinct().withColumn("close", F.lit(True))
-    judged = different.join(close, "line_id", "left").select("h1", "h2", "first", F.coalesce("close", F.lit(False)).alias("close"))
+    judged = different.join(close, "line_id", "left").filter(F.col("close") | (F.col("copies") > 1)).select(
+        "h1", "h2", "first", F.coalesce("close", F.lit(False)).alias("close"))  # other lines stay
     return places.join(judged, ["h1", "h2"]).filter(
         F.col("close") | (F.struct("doc_id", "no") > F.struct("first.doc_id", "first.no"))).groupBy("doc_id", "th").agg(
         F.array_sort(F.collect_set("no")).alias("no"))
